@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
 from .files import read_text_lines
@@ -31,11 +32,43 @@ MODE_FMT = "i94model"
 STATE_FMT = "i94addrl"
 
 
+def _state_before_line(batches):
+    """Running block state inside each split, in read order.
+
+    For every line, the state left by the last header/terminator *before* it
+    in the same split (NULL if none yet). Lines of one split are contiguous
+    and in file order within a partition, so one pass per partition
+    suffices; the state carries across Arrow batches of the same split.
+    """
+    carry: dict = {}
+    for pdf in batches:
+        new_run = (pdf["file"] != pdf["file"].shift()) | (pdf["block"] != pdf["block"].shift())
+        run = new_run.cumsum()
+        filled = pdf["_after"].groupby(run).ffill()
+        before = filled.groupby(run).shift(1).astype(object)
+        for start in pdf.index[new_run.to_numpy()]:
+            key = (pdf.at[start, "file"], int(pdf.at[start, "block"]))
+            members = (run == run[start]).to_numpy()
+            # NULL only up to the segment's first event: inherit the state
+            # left by earlier batches of the same split.
+            if key in carry:
+                before[members & before.isna().to_numpy()] = carry[key]
+            seen = filled[members].dropna()
+            if len(seen):
+                carry[key] = seen.iloc[-1]
+        out = pdf.drop(columns=["_after"])
+        out["_local"] = before.where(before.notna(), None)
+        yield out
+
+
 def label_lines(lines: DataFrame) -> DataFrame:
     """Add ``fmt`` (the open block, or NULL outside blocks) to every line.
 
     ``lines`` has the columns of :func:`read_text_lines`
-    (``value, file, block, row``).
+    (``value, file, block, row``). No shuffle of the lines: the in-split
+    state comes from one ordered pass per partition, and the state a split
+    inherits from earlier splits is derived from the event lines (headers
+    and terminators) alone.
     """
     v = F.col("value")
     # State after this line: a header opens its block, a ';' closes it ('').
@@ -43,13 +76,15 @@ def label_lines(lines: DataFrame) -> DataFrame:
              .when(tx.closes_block(v), F.lit("")))
     ev = lines.withColumn("_after", after)
 
-    in_split = Window.partitionBy("file", "block").orderBy("row").rowsBetween(
-        Window.unboundedPreceding, -1)
-    ev = ev.withColumn("_local", F.last("_after", ignorenulls=True).over(in_split))
+    local_schema = T.StructType(list(lines.schema.fields)
+                                + [T.StructField("_local", T.StringType(), True)])
+    with_local = ev.mapInPandas(_state_before_line, local_schema)
 
-    splits = (ev.groupBy("file", "block")
-              .agg(F.max(F.when(F.col("_after").isNotNull(),
-                                F.struct("row", "_after"))).alias("_last")))
+    events = ev.where(F.col("_after").isNotNull())
+    splits = (lines.select("file", "block").distinct()
+              .join(events.groupBy("file", "block")
+                    .agg(F.max(F.struct("row", "_after")).alias("_last")),
+                    ["file", "block"], "left"))
     # Global order of splits; this table has one row per input split.
     before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     carry = splits.select(
@@ -57,9 +92,9 @@ def label_lines(lines: DataFrame) -> DataFrame:
         F.last(F.col("_last._after"), ignorenulls=True).over(before).alias("_carry"))
 
     fmt = F.coalesce(F.col("_local"), F.col("_carry"))
-    return (ev.join(F.broadcast(carry), ["file", "block"], "left")
+    return (with_local.join(F.broadcast(carry), ["file", "block"], "left")
             .withColumn("fmt", F.nullif(fmt, F.lit("")))
-            .drop("_after", "_local", "_carry"))
+            .drop("_local", "_carry"))
 
 
 def code_labels(spark: SparkSession | None, source: str | DataFrame) -> DataFrame:
