@@ -29,6 +29,7 @@ from ..operators import (as_map, cast_columns, conform, dq_fk_orphans, dq_non_em
                          select_star, sorted_distinct, star_join, top_k, where_equal,
                          cast_key_join)
 from ..session import scratch_path
+from ..streaming import read_refreshed, start_refresh
 from ..sources import labels as lb
 from ..sources.files import (read_csv, read_parquet, read_parquet_glob, read_text_lines,
                              write_csv, write_parquet)
@@ -337,6 +338,29 @@ def q_sql_function_surface(spark, d):
         FROM sl_lineitem""")
 
 
+# --- streaming: monthly refresh -------------------------------------------------------
+
+def _orders_fact(df: DataFrame, batch_id: int) -> DataFrame:
+    return df.where(F.col("o_orderstatus") != "P").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("person_id"),
+        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
+        F.col("o_orderpriority").alias("priority"), "o_totalprice")
+
+
+def q_fact_monthly_refresh(spark, d):
+    """Orders arrive as one folder per month; a stream loads them (20 files
+    per micro-batch) into a fact table partitioned by year and month."""
+    landing = scratch_path(spark, "orders_landing")
+    o = table(spark, d, "orders")
+    write_parquet(o.withColumn("ym", F.date_format("o_orderdate", "yyyyMM")), landing,
+                  partition_by=["ym"])
+    target = scratch_path(spark, "orders_fact")
+    q = start_refresh(spark, f"{landing}/ym=*", target, _orders_fact, schemas.DRIVER["orders"],
+                      max_files_per_trigger=20)
+    q.awaitTermination()
+    return read_refreshed(spark, target)
+
+
 # --- data quality -----------------------------------------------------------------------
 
 DQ_TABLES = ["orders", "lineitem", "customer", "part", "supplier", "nation", "region"]

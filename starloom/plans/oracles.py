@@ -159,6 +159,10 @@ FROM (SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_type || '-' || p_name
   l_returnflag || l_linestatus AS region,
   l_shipdate + INTERVAL 12 HOUR AS ship_noon
 FROM lineitem""",
+    "fact_monthly_refresh": """SELECT o_orderkey AS id, o_custkey AS person_id,
+  CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+  o_orderpriority AS priority, o_totalprice
+FROM orders WHERE o_orderstatus <> 'P'""",
     "dq_schema": f"""SELECT table_name, column_name, {DUCK_TO_SPARK_TYPE} AS expected_type,
   {DUCK_TO_SPARK_TYPE} AS actual_type, true AS ok
 FROM information_schema.columns

@@ -28,17 +28,18 @@ REQUIRED_ARRIVAL_COLUMNS = ("depdate", "i94addr", "fltno", "airline", "visatype"
                             "gender", "i94cit", "i94res")
 
 
-def clean_arrivals(raw: DataFrame) -> DataFrame:
+def clean_arrivals(raw: DataFrame, id_offset: int = 0) -> DataFrame:
     """Air arrivals with all required columns, narrowed and decoded.
 
     ``id`` is assigned here, once, so that every table written from this
     staging shares it; it is unique but neither dense nor stable across
-    runs and is never used as a join key.
+    runs and is never used as a join key. ``id_offset`` separates the id
+    ranges of successive loads (see :mod:`starloom.streaming.refresh`).
     """
     df = require_columns(where_equal(raw, "i94mode", AIR_MODE), REQUIRED_ARRIVAL_COLUMNS)
     n = lambda c, t: F.col(c).try_cast(t)  # noqa: E731  lenient narrowing
     return df.select(
-        F.monotonically_increasing_id().alias("id"),
+        (F.monotonically_increasing_id() + F.lit(id_offset)).alias("id"),
         n("cicid", "bigint").alias("cicid"),
         n("i94yr", "int").alias("year"),
         n("i94mon", "int").alias("month"),
