@@ -20,7 +20,7 @@ from ..operators import (bounded_broadcast, conform, first_by_key, quoted, requi
 from ..operators.order import clustered_for_write
 from ..session import scratch_path
 from ..sources import labels as lb
-from ..sources.files import read_csv, read_parquet, write_parquet
+from ..sources.files import read_csv, read_parquet, write_bucketed_table, write_parquet
 
 # Arrivals by air have mode 1; these columns must be present.
 AIR_MODE = 1
@@ -163,13 +163,18 @@ def load_lookups(spark: SparkSession, dictionary_path: str) -> dict[str, DataFra
 
 def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
                demographics_path: str, airports_path: str, out_dir: str,
-               parity: bool = False) -> dict[str, str]:
+               parity: bool = False, person_buckets: int | None = None) -> dict[str, str]:
     """Build and write the six star tables; returns ``{table: path}``.
 
     The cleaned arrivals are written once to the scratch folder and the
     three arrivals-based tables read that copy, instead of re-reading and
     re-cleaning the raw files for each of them (this also cuts lineage, so
     a lost executor re-runs only the last stage).
+
+    With ``person_buckets`` the fact and the person dimension are also
+    registered as catalog tables of those names, bucketed and sorted by
+    ``cicid`` with the same bucket count: their join (the largest of the
+    OLAP question) then runs without a shuffle on either side.
     """
     raw = read_parquet(spark, arrivals_path)
     staged = spark.read.parquet(
@@ -189,12 +194,16 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
                                                    parity),
         "dim_city_stats": dim_city_stats(cities, lk["ports"], parity),
     }
+    if person_buckets:
+        tables["dim_personal"] = dim_personal(staged, lk["countries"],
+                                              one_row_per_key=not parity)
     out = {}
     for name, df in tables.items():
         path = f"{out_dir.rstrip('/')}/{name}"
-        if name == "fact_immigration":
-            write_parquet(df, path, partition_by=["year", "month"])
+        part = ["year", "month"] if name == "fact_immigration" else None
+        if person_buckets and name in ("fact_immigration", "dim_personal"):
+            write_bucketed_table(df, name, path, person_buckets, ["cicid"], part)
         else:
-            write_parquet(df, path)
+            write_parquet(df, path, partition_by=part)
         out[name] = path
     return out

@@ -123,3 +123,22 @@ def test_flagship_matches_reference_sql(spark, built):
     got = top_female_port_city(t["fact_immigration"], t["dim_city_population"],
                                t["dim_personal"]).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_bucketed_fact_and_person_join_without_shuffle(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("bucketed"))
+    p = fx.write_inputs(spark, f"{root}/in")
+    star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"], p["airports"],
+                    f"{root}/out", person_buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact, person = spark.table("fact_immigration"), spark.table("dim_personal")
+        joined = fact.join(person.where(F.col("gender") == "F"), "cicid")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+        city = spark.read.parquet(f"{root}/out/dim_city_population")
+        res = top_female_port_city(fact, city, person).collect()
+        assert [tuple(r) for r in res] == [("CAPITOL", 4, 2000)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
