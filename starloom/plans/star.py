@@ -163,7 +163,8 @@ def load_lookups(spark: SparkSession, dictionary_path: str) -> dict[str, DataFra
 
 def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
                demographics_path: str, airports_path: str, out_dir: str,
-               parity: bool = False, person_buckets: int | None = None) -> dict[str, str]:
+               parity: bool = False, person_buckets: int | None = None,
+               database: str | None = None) -> dict[str, str]:
     """Build and write the six star tables; returns ``{table: path}``.
 
     The cleaned arrivals are written once to the scratch folder and the
@@ -172,7 +173,8 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     a lost executor re-runs only the last stage).
 
     With ``person_buckets`` the fact and the person dimension are also
-    registered as catalog tables of those names, bucketed and sorted by
+    registered as catalog tables of those names (in ``database`` if given),
+    bucketed and sorted by
     ``cicid`` with the same bucket count: their join (the largest of the
     OLAP question) then runs without a shuffle on either side.
     """
@@ -202,7 +204,8 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
         path = f"{out_dir.rstrip('/')}/{name}"
         part = ["year", "month"] if name == "fact_immigration" else None
         if person_buckets and name in ("fact_immigration", "dim_personal"):
-            write_bucketed_table(df, name, path, person_buckets, ["cicid"], part)
+            qualified = f"{database}.{name}" if database else name
+            write_bucketed_table(df, qualified, path, person_buckets, ["cicid"], part)
         else:
             write_parquet(df, path, partition_by=part)
         out[name] = path

@@ -128,12 +128,14 @@ def test_flagship_matches_reference_sql(spark, built):
 def test_bucketed_fact_and_person_join_without_shuffle(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("bucketed"))
     p = fx.write_inputs(spark, f"{root}/in")
+    spark.sql("CREATE DATABASE IF NOT EXISTS star_bucketed")
     star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"], p["airports"],
-                    f"{root}/out", person_buckets=4)
+                    f"{root}/out", person_buckets=4, database="star_bucketed")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        fact, person = spark.table("fact_immigration"), spark.table("dim_personal")
+        fact = spark.table("star_bucketed.fact_immigration")
+        person = spark.table("star_bucketed.dim_personal")
         joined = fact.join(person.where(F.col("gender") == "F"), "cicid")
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
