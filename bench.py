@@ -22,6 +22,7 @@ HEADLINE = [
     "conform_by_name_state", "label_sections", "parse_port_label", "dedup_by_key",
     "dq_fk_orphans", "dq_pk_unique", "dq_null_profile", "sas_date_to_timestamp",
     "sql_function_surface", "distinct_sorted", "top_k_desc", "group_count",
+    "star_top_female_port_city",
 ]
 
 

@@ -338,6 +338,73 @@ def q_sql_function_surface(spark, d):
         FROM sl_lineitem""")
 
 
+# --- composed: the star build on derived raw inputs ------------------------------------
+
+def _lookups(spark, d):
+    """Dictionary parsed once and kept as a small Parquet table (as in build_star)."""
+    from . import star
+    return star.load_lookups(spark, _dictionary(spark, d))
+
+
+def _clean(spark, d):
+    from . import arrivals_fixture as afx
+    from . import star
+    return star.clean_arrivals(afx.raw_arrivals(spark, d))
+
+
+def q_star_clean_arrivals(spark, d):
+    return _clean(spark, d).drop("id")
+
+
+def q_star_fact(spark, d):
+    from . import star
+    return star.fact_immigration(_clean(spark, d)).drop("id")
+
+
+def q_star_dim_personal(spark, d):
+    from . import star
+    return star.dim_personal(_clean(spark, d), _lookups(spark, d)["countries"],
+                             one_row_per_key=False)
+
+
+def q_star_dim_flight(spark, d):
+    from . import star
+    return star.dim_flight(_clean(spark, d), one_row_per_key=False)
+
+
+def _demog_cities(spark, d):
+    from . import arrivals_fixture as afx
+    from . import star
+    return star.majority_rows(afx.demographics(spark, d), ("City", "State"))
+
+
+def q_star_dim_city_population(spark, d):
+    from . import star
+    return star.dim_city_population(_demog_cities(spark, d), _lookups(spark, d)["ports"])
+
+
+def q_star_dim_city_stats(spark, d):
+    from . import star
+    return star.dim_city_stats(_demog_cities(spark, d), _lookups(spark, d)["ports"])
+
+
+def q_star_top_female_port_city(spark, d):
+    """The original OLAP question on a star built from the driver tables.
+
+    As in build_star: the cleaned arrivals are staged once in the scratch
+    folder (fact and person dimension both read them) and the dictionary is
+    parsed once.
+    """
+    from . import star
+    from .olap import top_female_port_city
+    lk = _lookups(spark, d)
+    staged = spark.read.parquet(write_parquet(_clean(spark, d),
+                                              scratch_path(spark, "arrivals_clean")))
+    return top_female_port_city(star.fact_immigration(staged),
+                                star.dim_city_population(_demog_cities(spark, d), lk["ports"]),
+                                star.dim_personal(staged, lk["countries"], one_row_per_key=True))
+
+
 # --- streaming: monthly refresh -------------------------------------------------------
 
 def _orders_fact(df: DataFrame, batch_id: int) -> DataFrame:

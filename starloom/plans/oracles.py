@@ -49,6 +49,15 @@ DUCK_TO_SPARK_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER
     WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
     WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END"""
 
+from . import arrivals_fixture as afx
+
+STAR_CLEAN = f"WITH clean AS ({afx.ORACLE_CLEAN})"
+STAR_CITY = f"""WITH cities AS ({afx.ORACLE_CITIES}), ports AS ({afx.ORACLE_PORTS}),
+city_pop AS (SELECT c.city, c.state, p.city_code, c.state_code, c.male_population,
+  c.female_population, c.total_population, c.veteran_population, c.foreign_population, c.race,
+  c.median_age, c.avg_household_size
+  FROM cities c JOIN ports p ON c.city = p.port_city AND c.state_code = p.port_state)"""
+
 ORACLE = {
     "flagship_top_market": """
 SELECT s.s_name AS market, count(l.l_orderkey) AS n_facts, s.s_acctbal AS market_size
@@ -163,6 +172,30 @@ FROM lineitem""",
   CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
   o_orderpriority AS priority, o_totalprice
 FROM orders WHERE o_orderstatus <> 'P'""",
+    "star_clean_arrivals": f"{STAR_CLEAN} SELECT * FROM clean",
+    "star_fact": f"""{STAR_CLEAN} SELECT cicid, year, month, port, state_code, visa, arrival_date,
+  departure_date, adm_num FROM clean""",
+    "star_dim_personal": f"""{STAR_CLEAN}, countries AS ({afx.ORACLE_COUNTRIES})
+SELECT DISTINCT i.cicid, cc.country_name AS citizen_country, rc.country_name AS residence_country,
+  i.age, i.birth_year, i.gender
+FROM clean i LEFT JOIN countries cc ON i.citizen_country = cc.country_code
+LEFT JOIN countries rc ON i.residence_country = rc.country_code""",
+    "star_dim_flight": f"""{STAR_CLEAN}
+SELECT DISTINCT adm_num, flight_no, airline, visatype FROM clean""",
+    "star_dim_city_population": f"""{STAR_CITY}
+SELECT city, state, city_code, state_code, male_population, female_population, total_population,
+  veteran_population, foreign_population, race FROM city_pop""",
+    "star_dim_city_stats": f"""{STAR_CITY}
+SELECT city, state, city_code, state_code, median_age, avg_household_size FROM city_pop""",
+    "star_top_female_port_city": f"""{STAR_CITY}, clean AS ({afx.ORACLE_CLEAN}),
+person AS (SELECT cicid, gender FROM (SELECT cicid, gender, row_number() OVER (PARTITION BY cicid
+             ORDER BY year DESC, month DESC) AS rn FROM clean) WHERE rn = 1)
+SELECT c.city, count(f.cicid) AS porting_female_immigrants, c.foreign_population
+FROM clean f LEFT JOIN city_pop c ON f.port = c.city_code
+LEFT JOIN person p ON f.cicid = p.cicid
+WHERE p.gender = 'F'
+GROUP BY c.city, c.foreign_population
+ORDER BY c.foreign_population DESC NULLS LAST, c.city ASC NULLS LAST LIMIT 1""",
     "dq_schema": f"""SELECT table_name, column_name, {DUCK_TO_SPARK_TYPE} AS expected_type,
   {DUCK_TO_SPARK_TYPE} AS actual_type, true AS ok
 FROM information_schema.columns
