@@ -149,7 +149,10 @@ def ports(labels: DataFrame, state_codes: DataFrame | None = None,
         ok = F.col("_st").isNotNull()
         out = p.withColumn("_ok", ok)
     else:
+        # Only two-capital codes can match a candidate, so this side has at
+        # most 26 * 26 rows whatever the dictionary size: safe to broadcast.
         known = (state_codes.select(F.col("state_code").alias("_st"))
+                 .where(F.col("_st").rlike("^[A-Z]{2}$"))
                  .distinct().withColumn("_ok", F.lit(True)))
         out = p.join(F.broadcast(known), "_st", "left")
     ok = F.coalesce(F.col("_ok"), F.lit(False))
