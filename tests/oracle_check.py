@@ -45,6 +45,22 @@ def _rows(cols, tuples):
     return sorted(out, key=lambda r: tuple("\0" if x is None else x for x in r))
 
 
+SPARK_TYPES = {"bigint": "int64", "int": "int32", "smallint": "int16", "tinyint": "int8",
+               "double": "float64", "float": "float32", "string": "string",
+               "boolean": "bool", "timestamp_ntz": "timestamp", "timestamp": "timestamp",
+               "date": "date"}
+DUCK_TYPES = {"BIGINT": "int64", "INTEGER": "int32", "SMALLINT": "int16", "TINYINT": "int8",
+              "DOUBLE": "float64", "FLOAT": "float32", "VARCHAR": "string",
+              "BOOLEAN": "bool", "TIMESTAMP": "timestamp", "DATE": "date"}
+
+
+def _types(sdf, cur) -> dict:
+    s = {f.name: SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in sdf.schema.fields}
+    d = {c[0]: DUCK_TYPES.get(str(c[1]), str(c[1])) for c in cur.description}
+    return {k: (s.get(k), d.get(k)) for k in sorted(set(s) | set(d)) if s.get(k) != d.get(k)}
+
+
 def compare(spark, key: str, fn, sql: str | None, sf_dir: str, con) -> dict:
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -65,6 +81,9 @@ def compare(spark, key: str, fn, sql: str | None, sf_dir: str, con) -> dict:
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
     if a == b:
         res["status"] = "ok"
+        mism = _types(sdf, cur)
+        if mism:
+            res["status"] = f"types differ: {mism}"
     else:
         diff = [x for x in a if x not in set(b)][:3]
         diff2 = [x for x in b if x not in set(a)][:3]

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from tests.conftest import SF_ORACLE, SF_SMALL
+from tests.conftest import SF_ORACLE
 from tests.oracle_check import compare, duck
 
 KEYS = sorted(E.queries())

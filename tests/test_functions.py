@@ -3,7 +3,6 @@
 import datetime as dt
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from starloom.functions import (char_cast, code_label, region_state, register_sql_functions,
                                 sas_day_to_timestamp, timestamp_to_sas_day)

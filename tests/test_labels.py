@@ -1,7 +1,6 @@
 """Code-dictionary parsing: whole blocks, every line shape, split-robust."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from starloom.sources import labels as lb
 from starloom.sources.files import read_text_lines

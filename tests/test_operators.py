@@ -1,10 +1,8 @@
 """Operators against their plain SQL definitions, incl. NULLs and ties."""
 
-import math
 
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from starloom.operators import (bounded_broadcast, cast_key_join, conform, dq_fk_orphans,
                                 dq_non_empty, dq_null_profile, dq_pk_unique, dq_schema,

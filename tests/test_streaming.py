@@ -1,6 +1,5 @@
 """Monthly refresh: incremental, unique ids across batches, re-run safe."""
 
-from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.plans.star import clean_arrivals, fact_immigration
