@@ -14,9 +14,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup we broadcast after a row check (a code dictionary block or
-# a dimension of that order); larger sides use a shuffle join.
-BROADCAST_MAX_ROWS = 1_000_000
+# Largest lookup we broadcast after a row check: a code-dictionary block or a
+# dimension of that order (a few hundred bytes per row, so tens of MB at
+# most); larger sides use a shuffle join.
+BROADCAST_MAX_ROWS = 200_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
