@@ -69,14 +69,18 @@ def conform(left: DataFrame, lookup: DataFrame, keys: Mapping[str, str],
 
 
 def cast_key_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                  key_type: str, how: str = "inner") -> DataFrame:
-    """Join where the right key is text holding the left key's type.
+                  key_type: str, how: str = "inner", broadcast: bool = True) -> DataFrame:
+    """Join where the right key (a code lookup) is text holding the left
+    key's type.
 
     The right key is converted once with ``try_cast`` (a code that is not a
     number becomes NULL and matches nothing) instead of casting per
-    comparison or failing under ANSI mode.
+    comparison or failing under ANSI mode. The lookup is broadcast if it
+    passes the row check.
     """
     r = right.withColumn("_jk", F.col(right_key).try_cast(key_type))
+    if broadcast and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        r = bounded_broadcast(r)
     return left.join(r, left[left_key] == r["_jk"], how).drop("_jk")
 
 

@@ -75,11 +75,13 @@ def dq_fk_orphans(child: DataFrame, fk: str | Sequence[str], parent: DataFrame,
     """
     fk = [fk] if isinstance(fk, str) else list(fk)
     pk = [pk] if isinstance(pk, str) else list(pk)
-    any_null = reduce(lambda a, b: a | b, [quoted(k).isNull() for k in fk])
-    keyed = child.select(*[quoted(c).alias(f"_k{i}") for i, c in enumerate(fk)],
-                         any_null.alias("_null"))
-    per_key = keyed.groupBy(*[f"_k{i}" for i in range(len(fk))], "_null").agg(
-        F.count(F.lit(1)).alias("c"))
+    keys = [f"_k{i}" for i in range(len(fk))]
+    keyed = child.select(*[quoted(c).alias(k) for c, k in zip(fk, keys)])
+    # Grouped by the key alone, so the result is already partitioned the
+    # way the join below needs it; the NULL flag is a function of the key.
+    per_key = (keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+               .withColumn("_null", reduce(lambda a, b: a | b,
+                                           [F.col(k).isNull() for k in keys])))
     parents = (parent.select(*[quoted(c).alias(f"_p{i}") for i, c in enumerate(pk)])
                .distinct().withColumn("_found", F.lit(True)))
     cond = reduce(lambda a, b: a & b,
