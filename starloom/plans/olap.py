@@ -1,22 +1,20 @@
-"""The OLAP question over the star: how many fact rows with a person
-attribute arrive at the market with the largest size measure.
-
-Reference form::
-
-    SELECT c.city, count(f.id), c.foreign_population
-    FROM fact f LEFT JOIN city c ON f.port = c.city_code
-                LEFT JOIN person p ON f.cicid = p.cicid
-    WHERE p.gender = 'F'
-    GROUP BY c.city, c.foreign_population
-    ORDER BY c.foreign_population DESC LIMIT 1
-
-Plan used here: filter the person dimension first (the WHERE makes that
-join inner), join it to the narrow fact projection, **count per port before
-joining the market dimension** (partial aggregation collapses every port,
-hot ones included, to one row per task), then join the per-port counts to
-the market dimension, re-aggregate per market and take the top row with a
-total order (measure desc NULLS LAST, name asc). Summing per-port counts
-gives exactly the counts of the join-then-count form, fan-out included.
+"""The OLAP question over the star: how many fact rows whose person has a
+given attribute arrive at the market with the largest size measure.
+
+Semantics: fact rows are matched to markets by port code (rows without a
+market form one NULL group) and to persons by person key, keeping only
+rows whose person has the attribute (so the person join is inner, and a
+person key present twice counts its facts twice). Counts are taken per
+(market name, market size); the answer is the group with the largest size,
+NULL sizes last, ties by name.
+
+Plan used here: filter the person dimension first, join it to the narrow
+fact projection, **count per port before joining the market dimension**
+(partial aggregation collapses every port, hot ones included, to one row
+per task), then join the per-port counts to the market dimension,
+re-aggregate per market and take the top row. Summing per-port counts
+gives exactly the counts of joining first and counting afterwards, fan-out
+included.
 """
 
 from __future__ import annotations
