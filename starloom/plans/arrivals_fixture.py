@@ -76,6 +76,28 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
                      for f in schemas.DEMOGRAPHICS_RAW.fields])
 
 
+# Airports from suppliers: nations 0-9 are the 'US' ones; every third nation
+# has a region without a two-character state part.
+AIRPORT_COLUMNS = {
+    "ident": "'A' || CAST(s_suppkey AS STRING)",
+    "type": "CASE WHEN s_acctbal > 5000 THEN 'large_airport' ELSE 'small_airport' END",
+    "name": "s_name",
+    "elevation_ft": "s_nationkey * 100",
+    "iso_country": "CASE WHEN s_nationkey < 10 THEN 'US' ELSE 'XX' END",
+    "iso_region": ("CASE WHEN s_nationkey % 3 = 0 THEN 'US-U-A' "
+                   "ELSE 'US-' || chr(CAST(65 + s_nationkey AS INTEGER)) || 'Q' END"),
+    "municipality": "upper(s_name)",
+    "coordinates": "CAST(s_suppkey AS STRING) || ', ' || CAST(s_nationkey AS STRING)",
+}
+
+
+def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = spark.read.schema(schemas.DRIVER["supplier"]).parquet(f"{sf_dir}/supplier.parquet")
+    return s.select([(F.expr(AIRPORT_COLUMNS[f.name]) if f.name in AIRPORT_COLUMNS
+                      else F.lit(None)).cast(f.dataType).alias(f.name)
+                     for f in schemas.AIRPORTS_RAW.fields])
+
+
 # --- DuckDB side (independent formulation) ----------------------------------
 
 STATE_OF_LINE = dfx.STATE_OF_PART.replace("p_partkey", "l_partkey")
@@ -116,3 +138,11 @@ FROM part a JOIN (SELECT p_name, {dfx.STATE_OF_PART} AS st, max(p_size) AS m FRO
                   GROUP BY p_name, {dfx.STATE_OF_PART}) b
   ON a.p_name = b.p_name AND {dfx.STATE_OF_PART.replace('p_partkey', 'a.p_partkey')} = b.st
      AND a.p_size = b.m"""
+
+ORACLE_AIRPORTS = f"""
+SELECT {AIRPORT_COLUMNS["ident"]} AS airport_id, {AIRPORT_COLUMNS["type"]} AS type,
+  s_name AS name, s_nationkey * 100 AS elevation_ft,
+  CASE WHEN s_nationkey % 3 = 0 THEN NULL
+       ELSE chr(CAST(65 + s_nationkey AS INTEGER)) || 'Q' END AS region,
+  upper(s_name) AS municipality, {AIRPORT_COLUMNS["coordinates"]} AS coordinates
+FROM supplier WHERE s_nationkey < 10"""

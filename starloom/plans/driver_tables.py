@@ -372,6 +372,12 @@ def q_star_dim_flight(spark, d):
     return star.dim_flight(_clean(spark, d), one_row_per_key=False)
 
 
+def q_star_dim_airports(spark, d):
+    from . import arrivals_fixture as afx
+    from . import star
+    return star.us_airports(afx.airports(spark, d))
+
+
 def _demog_cities(spark, d):
     from . import arrivals_fixture as afx
     from . import star

@@ -182,6 +182,7 @@ FROM clean i LEFT JOIN countries cc ON i.citizen_country = cc.country_code
 LEFT JOIN countries rc ON i.residence_country = rc.country_code""",
     "star_dim_flight": f"""{STAR_CLEAN}
 SELECT DISTINCT adm_num, flight_no, airline, visatype FROM clean""",
+    "star_dim_airports": afx.ORACLE_AIRPORTS,
     "star_dim_city_population": f"""{STAR_CITY}
 SELECT city, state, city_code, state_code, male_population, female_population, total_population,
   veteran_population, foreign_population, race FROM city_pop""",

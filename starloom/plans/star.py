@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import char_cast, code_label, region_state, sas_day_to_timestamp
-from ..operators import (bounded_broadcast, conform, first_by_key, quoted, require_columns,
+from ..operators import (conform, first_by_key, quoted, require_columns,
                          role_lookup, rows_at_group_max, where_equal)
 from ..operators.order import clustered_for_write
 from ..session import scratch_path
@@ -192,8 +192,7 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
             dim_personal(staged, lk["countries"], one_row_per_key=not parity), ["cicid"]),
         "dim_flight": dim_flight(staged, one_row_per_key=not parity),
         "dim_airports": us_airports(airports),
-        "dim_city_population": dim_city_population(cities, bounded_broadcast(lk["ports"]),
-                                                   parity),
+        "dim_city_population": dim_city_population(cities, lk["ports"], parity),
         "dim_city_stats": dim_city_stats(cities, lk["ports"], parity),
     }
     if person_buckets:
