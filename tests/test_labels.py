@@ -1,6 +1,7 @@
 """Code-dictionary parsing: whole blocks, every line shape, split-robust."""
 
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from starloom.sources import labels as lb
 from starloom.sources.files import read_text_lines
@@ -91,3 +92,33 @@ def test_multi_file_dictionary_in_path_order(spark, tmp_dir):
 def test_no_driver_collect_in_parse_plan(spark, dict_path):
     plan = _entries(spark, dict_path)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan
+
+
+label_text = st.text(alphabet=st.sampled_from(list("ABCXYZ abc'(),.#-/0189")),
+                     min_size=1, max_size=24).filter(lambda s: s.strip() != "")
+code_text = st.text(alphabet=st.sampled_from(list("ABZ019.$_")), min_size=1, max_size=5)
+
+
+def _fmt_entry(code, label, numeric, shape):
+    lab = "'" + label.replace("'", "''") + "'"
+    c = code if numeric else f"'{code}'"
+    return [f"   {c} =  {lab}", f"\t{c}\t=\t{lab}", f"{c}={lab}", f"  {c} = {lab}  "][shape]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(code_text, label_text, st.integers(0, 3)), min_size=1, max_size=12,
+                unique_by=lambda t: t[0]),
+       st.lists(st.tuples(st.integers(0, 99999), label_text, st.integers(0, 3)), min_size=1,
+                max_size=12, unique_by=lambda t: t[0]))
+def test_parse_inverts_format(spark, tmp_path_factory, quoted_entries, numeric_entries):
+    lines = ["/* generated */", "  value $qfmt"]
+    lines += [_fmt_entry(c, lab, False, s) for c, lab, s in quoted_entries]
+    lines += [";", "/* between blocks: 7 = 'not an entry' */", "value nfmt"]
+    lines += [_fmt_entry(str(c), lab, True, s) for c, lab, s in numeric_entries]
+    lines[-1] += " ;"
+    p = tmp_path_factory.mktemp("prop") / "d.txt"
+    p.write_text("\n".join(lines) + "\n")
+    got = sorted((r.fmt, r.code, r.label) for r in lb.code_labels(spark, str(p)).collect())
+    want = sorted([("$qfmt", c.strip(), lab.rstrip()) for c, lab, _ in quoted_entries]
+                  + [("nfmt", str(c), lab.rstrip()) for c, lab, _ in numeric_entries])
+    assert got == want
