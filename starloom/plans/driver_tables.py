@@ -372,6 +372,31 @@ def q_star_dim_flight(spark, d):
     return star.dim_flight(_clean(spark, d), one_row_per_key=False)
 
 
+def star_inputs(spark, d) -> dict:
+    """Raw inputs of the star build in their original formats, derived from
+    the driver tables and written to the scratch folder."""
+    from . import arrivals_fixture as afx
+    root = scratch_path(spark, "star_inputs")
+    return {
+        "arrivals": write_parquet(afx.raw_arrivals(spark, d), f"{root}/arrivals"),
+        "dictionary": _dictionary(spark, d),
+        "demographics": write_csv(afx.demographics(spark, d), f"{root}/demographics", sep=";"),
+        "airports": write_csv(afx.airports(spark, d), f"{root}/airports", sep=","),
+    }
+
+
+def q_star_build(spark, d):
+    """The whole build (six tables written) on driver-derived inputs; rows
+    per written table."""
+    from . import star
+    p = star_inputs(spark, d)
+    out = star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"],
+                          p["airports"], scratch_path(spark, "star_out"))
+    return reduce(DataFrame.unionByName, [
+        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(name).alias("table_name"), "n_rows") for name, path in out.items()])
+
+
 def q_star_dim_airports(spark, d):
     from . import arrivals_fixture as afx
     from . import star

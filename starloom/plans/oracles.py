@@ -183,6 +183,13 @@ LEFT JOIN countries rc ON i.residence_country = rc.country_code""",
     "star_dim_flight": f"""{STAR_CLEAN}
 SELECT DISTINCT adm_num, flight_no, airline, visatype FROM clean""",
     "star_dim_airports": afx.ORACLE_AIRPORTS,
+    "star_build": f"""{STAR_CITY}, clean AS ({afx.ORACLE_CLEAN})
+SELECT 'fact_immigration' AS table_name, count(*) AS n_rows FROM clean
+UNION ALL SELECT 'dim_personal', count(DISTINCT cicid) FROM clean
+UNION ALL SELECT 'dim_flight', count(DISTINCT adm_num) FROM clean
+UNION ALL SELECT 'dim_airports', count(*) FROM ({afx.ORACLE_AIRPORTS})
+UNION ALL SELECT 'dim_city_population', count(*) FROM city_pop
+UNION ALL SELECT 'dim_city_stats', count(*) FROM city_pop""",
     "star_dim_city_population": f"""{STAR_CITY}
 SELECT city, state, city_code, state_code, male_population, female_population, total_population,
   veteran_population, foreign_population, race FROM city_pop""",
