@@ -144,3 +144,38 @@ def test_bucketed_fact_and_person_join_without_shuffle(spark, tmp_path_factory):
         assert [tuple(r) for r in res] == [("CAPITOL", 4, 2000)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_check_star_passes_on_default_build(spark, built):
+    from starloom.plans.checks import check_star
+    _, _, root = built
+    findings = check_star(spark, f"{root}/out", raise_errors=True)
+    assert findings.where(~F.col("ok")).count() == 0
+    assert findings.count() > 20
+
+
+def test_check_star_flags_parity_duplicates(spark, tmp_path_factory):
+    from starloom.plans.checks import check_star
+    root = str(tmp_path_factory.mktemp("parity"))
+    p = fx.write_inputs(spark, f"{root}/in")
+    star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"], p["airports"],
+                    f"{root}/out", parity=True)
+    bad = {r.subject for r in check_star(spark, f"{root}/out", raise_errors=False)
+           .where(~F.col("ok")).collect()}
+    # one admission number with two flights: not a key of the DISTINCT flight table
+    assert "dim_flight.adm_num" in bad
+    with pytest.raises(ValueError):
+        check_star(spark, f"{root}/out")
+
+
+def test_cli_build_check_ask(spark, tmp_path_factory, capsys):
+    from starloom.__main__ import main
+    root = str(tmp_path_factory.mktemp("cli"))
+    p = fx.write_inputs(spark, f"{root}/in")
+    main(["build", "--arrivals", p["arrivals"], "--dictionary", p["dictionary"],
+          "--demographics", p["demographics"], "--airports", p["airports"],
+          "--out", f"{root}/out"])
+    main(["check", "--star", f"{root}/out"])
+    main(["ask", "--star", f"{root}/out"])
+    out = capsys.readouterr().out
+    assert "fact_immigration" in out and "CAPITOL" in out
