@@ -33,8 +33,10 @@ from ..streaming import read_refreshed, start_refresh
 from ..sources import labels as lb
 from ..sources.files import (read_csv, read_parquet, read_parquet_glob, read_text_lines,
                              write_csv, write_parquet)
+from . import arrivals_fixture as afx
 from . import dictionary_fixture as dfx
-from .olap import top_market
+from . import star
+from .olap import top_female_port_city, top_market
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, declared: bool = True) -> DataFrame:
@@ -342,13 +344,10 @@ def q_sql_function_surface(spark, d):
 
 def _lookups(spark, d):
     """Dictionary parsed once and kept as a small Parquet table (as in build_star)."""
-    from . import star
     return star.load_lookups(spark, _dictionary(spark, d))
 
 
 def _clean(spark, d):
-    from . import arrivals_fixture as afx
-    from . import star
     return star.clean_arrivals(afx.raw_arrivals(spark, d))
 
 
@@ -357,25 +356,21 @@ def q_star_clean_arrivals(spark, d):
 
 
 def q_star_fact(spark, d):
-    from . import star
     return star.fact_immigration(_clean(spark, d)).drop("id")
 
 
 def q_star_dim_personal(spark, d):
-    from . import star
     return star.dim_personal(_clean(spark, d), _lookups(spark, d)["countries"],
                              one_row_per_key=False)
 
 
 def q_star_dim_flight(spark, d):
-    from . import star
     return star.dim_flight(_clean(spark, d), one_row_per_key=False)
 
 
 def star_inputs(spark, d) -> dict:
     """Raw inputs of the star build in their original formats, derived from
     the driver tables and written to the scratch folder."""
-    from . import arrivals_fixture as afx
     root = scratch_path(spark, "star_inputs")
     return {
         "arrivals": write_parquet(afx.raw_arrivals(spark, d), f"{root}/arrivals"),
@@ -388,7 +383,6 @@ def star_inputs(spark, d) -> dict:
 def q_star_build(spark, d):
     """The whole build (six tables written) on driver-derived inputs; rows
     per written table."""
-    from . import star
     p = star_inputs(spark, d)
     out = star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"],
                           p["airports"], scratch_path(spark, "star_out"))
@@ -398,24 +392,18 @@ def q_star_build(spark, d):
 
 
 def q_star_dim_airports(spark, d):
-    from . import arrivals_fixture as afx
-    from . import star
     return star.us_airports(afx.airports(spark, d))
 
 
 def _demog_cities(spark, d):
-    from . import arrivals_fixture as afx
-    from . import star
     return star.majority_rows(afx.demographics(spark, d), ("City", "State"))
 
 
 def q_star_dim_city_population(spark, d):
-    from . import star
     return star.dim_city_population(_demog_cities(spark, d), _lookups(spark, d)["ports"])
 
 
 def q_star_dim_city_stats(spark, d):
-    from . import star
     return star.dim_city_stats(_demog_cities(spark, d), _lookups(spark, d)["ports"])
 
 
@@ -426,8 +414,6 @@ def q_star_top_female_port_city(spark, d):
     folder (fact and person dimension both read them) and the dictionary is
     parsed once.
     """
-    from . import star
-    from .olap import top_female_port_city
     lk = _lookups(spark, d)
     staged = spark.read.parquet(write_parquet(_clean(spark, d),
                                               scratch_path(spark, "arrivals_clean")))
