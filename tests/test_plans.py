@@ -62,3 +62,21 @@ def test_library_never_collects():
             offenders.append(f"{f.name}: {m.group(0)}")
     # the only collect is raise_on_failure's bounded list of failed checks
     assert offenders == ["quality.py: .collect("], offenders
+
+
+def test_clean_arrivals_pushes_filters_and_prunes_columns(spark, tmp_dir):
+    from starloom.plans.star import REQUIRED_ARRIVAL_COLUMNS, clean_arrivals, fact_immigration
+    from starloom.sources.files import read_parquet
+    from tests import fixtures as fx
+    p = fx.write_inputs(spark, tmp_dir)
+    fact = fact_immigration(clean_arrivals(read_parquet(spark, p["arrivals"])))
+    text = _formatted(fact)
+    scan = text[text.index("Scan parquet"):]
+    pushed = scan[scan.index("PushedFilters"):].splitlines()[0]
+    assert "EqualTo(i94mode,1.0)" in pushed
+    for c in REQUIRED_ARRIVAL_COLUMNS:
+        assert f"IsNotNull({c})" in pushed
+    read_schema = scan[scan.index("ReadSchema"):].splitlines()[0]
+    # the fact needs 12 raw columns (8 only for the required-column filter)
+    assert "count" not in read_schema and "occup" not in read_schema and "i94bir" not in read_schema
+    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
