@@ -4,6 +4,7 @@
         --airports P --out OUT [--parity] [--person-buckets N --database DB]
     python -m starloom check --star OUT
     python -m starloom ask --star OUT
+    python -m starloom sql --star OUT "SELECT ... FROM fact_immigration ..."
 
 Under spark-submit the cluster's session is used as configured; run
 directly, a local session is created.
@@ -35,6 +36,10 @@ def main(argv=None) -> None:
     b.add_argument("--database")
     for name in ("check", "ask"):
         sub.add_parser(name).add_argument("--star", required=True)
+    q = sub.add_parser("sql")
+    q.add_argument("--star", required=True)
+    q.add_argument("query")
+    q.add_argument("--rows", type=int, default=50)
     args = ap.parse_args(argv)
 
     spark = _session()
@@ -50,6 +55,10 @@ def main(argv=None) -> None:
         check_star(spark, args.star, raise_errors=False).orderBy("check", "subject").show(
             200, truncate=False)
         check_star(spark, args.star, raise_errors=True)
+    elif args.cmd == "sql":
+        from .plans.star import register_views
+        register_views(spark, args.star)
+        spark.sql(args.query).show(args.rows, truncate=False)
     else:
         from .plans.olap import top_female_port_city
         t = {n: spark.read.parquet(f"{args.star.rstrip('/')}/{n}")

@@ -174,9 +174,9 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
 
     With ``person_buckets`` the fact and the person dimension are also
     registered as catalog tables of those names (in ``database`` if given),
-    bucketed and sorted by
-    ``cicid`` with the same bucket count: their join (the largest of the
-    OLAP question) then runs without a shuffle on either side.
+    bucketed and sorted by ``cicid`` with the same bucket count: their join
+    (the largest of the OLAP question) then runs without a shuffle on
+    either side.
     """
     raw = read_parquet(spark, arrivals_path)
     staged = spark.read.parquet(
@@ -209,3 +209,17 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
             write_parquet(df, path, partition_by=part)
         out[name] = path
     return out
+
+
+def register_views(spark: SparkSession, star: str | dict[str, DataFrame],
+                   prefix: str = "") -> dict[str, DataFrame]:
+    """Expose the star tables to SQL as temporary views.
+
+    ``star`` is the output folder of :func:`build_star` or a ``{name: df}``
+    mapping; views are named ``prefix + table``.
+    """
+    if isinstance(star, str):
+        star = {n: spark.read.parquet(f"{star.rstrip('/')}/{n}") for n in schemas.STAR_SCHEMAS}
+    for name, df in star.items():
+        df.createOrReplaceTempView(prefix + name)
+    return star

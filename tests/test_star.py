@@ -109,9 +109,7 @@ def test_flagship_on_star(built):
 
 
 def test_flagship_matches_sql_form(spark, built):
-    t = built[0]
-    for k, df in t.items():
-        df.createOrReplaceTempView(k)
+    t = star.register_views(spark, built[0])
     want = spark.sql("""
         WITH women AS (
           SELECT f.id, f.port FROM fact_immigration f
@@ -177,5 +175,8 @@ def test_cli_build_check_ask(spark, tmp_path_factory, capsys):
           "--out", f"{root}/out"])
     main(["check", "--star", f"{root}/out"])
     main(["ask", "--star", f"{root}/out"])
+    main(["sql", "--star", f"{root}/out",
+          "SELECT count(*) AS n_fact_rows_cli FROM fact_immigration"])
     out = capsys.readouterr().out
     assert "fact_immigration" in out and "CAPITOL" in out
+    assert "n_fact_rows_cli" in out and f"|{len(fx.KEPT_CICIDS)}" in out.replace(" ", "")
