@@ -93,10 +93,17 @@ def compare(spark, key: str, fn, sql: str | None, sf_dir: str, con) -> dict:
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
-    keys = [a for a in argv[1:] if not a.startswith("/")]
+    keys = [a for a in argv[1:] if not a.startswith("/") and not a.startswith("--")]
     import __spark_entry__ as E
-    from starloom.session import build_session
-    spark = build_session(shuffle_partitions=8)
+    if "--plain" in argv:  # a session with none of the library's options
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.ui.enabled", "false")
+                 .config("spark.sql.session.timeZone", "America/Los_Angeles").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from starloom.session import build_session
+        spark = build_session(shuffle_partitions=8)
     con = duck(sf_dir)
     qs, orc = E.queries(), E.oracle_sql()
     bad = 0
