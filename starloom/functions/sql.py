@@ -10,10 +10,16 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from . import text as tx
 from .codes import REGION_STATE_PATTERN, VISA_CATEGORIES
 from .dates import MICROS_PER_DAY, SAS_EPOCH
 
 
+def _lit(pattern: str) -> str:
+    """A Spark SQL string literal holding ``pattern`` exactly."""
+    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _visa_case() -> str:
     whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in VISA_CATEGORIES.items())
     return f"CASE CAST(v AS DOUBLE) {whens} END"
@@ -33,6 +39,20 @@ def function_definitions() -> dict[str, str]:
         "region_state": (
             "(r STRING) RETURNS STRING RETURN "
             f"nullif(regexp_extract(r, r'{REGION_STATE_PATTERN}', 1), '')"),
+        # dictionary lines: code and label of an entry line ('' if none)
+        "label_code": (
+            "(line STRING) RETURNS STRING RETURN "
+            f"trim(regexp_extract(line, {_lit(tx.ENTRY)}, 1))"),
+        "label_text": (
+            "(line STRING) RETURNS STRING RETURN "
+            f"rtrim(replace(regexp_extract(line, {_lit(tx.ENTRY)}, 2), \"''\", \"'\"))"),
+        # port labels: city and state candidates (no check against a state list)
+        "port_city": (
+            "(label STRING) RETURNS STRING RETURN "
+            f"nullif(trim(regexp_extract(label, {_lit(tx.PORT_SPLIT)}, 1)), '')"),
+        "port_state": (
+            "(label STRING) RETURNS STRING RETURN "
+            f"nullif(regexp_extract(label, {_lit(tx.PORT_SPLIT)}, 2), '')"),
     }
 
 

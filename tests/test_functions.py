@@ -66,3 +66,21 @@ def test_sql_functions_match_dataframe_functions(spark):
     plan = spark.sql("SELECT visa_category(v) FROM fn_probe")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_sql_label_parsers_match_dataframe_functions(spark):
+    from starloom.functions import text as tx
+    from tests import fixtures as fx
+    register_sql_functions(spark)
+    lines = [(l,) for l in fx.DICTIONARY.splitlines()]
+    df = spark.createDataFrame(lines, "line string")
+    df.createOrReplaceTempView("dict_lines")
+    sql = spark.sql("""SELECT label_code(line) c, label_text(line) t,
+                              port_city(label_text(line)) pc, port_state(label_text(line)) ps
+                       FROM dict_lines""").collect()
+    lab = tx.entry_label(df.line)
+    api = df.select(tx.entry_code(df.line), lab, tx.port_city_candidate(lab),
+                    tx.port_state_candidate(lab)).collect()
+    assert [tuple(r) for r in sql] == [tuple(r) for r in api]
+    got = {r.c: (r.pc, r.ps) for r in sql if r.c == "INL"}
+    assert got == {"INL": ("INT'L FALLS", "MN")}
