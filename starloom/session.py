@@ -52,12 +52,18 @@ def scratch_dir(spark: SparkSession) -> str:
     unset (local runs, tests) a folder of our own is created and registered,
     so that ``DataFrame.checkpoint()`` also works.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+        configured = configured or sc.getCheckpointDir()
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
     if configured:
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="starloom-ckpt-")
-    sc.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     try:
         spark.conf.set("spark.checkpoint.dir", local)
     except Exception:  # core option not settable at runtime on some builds

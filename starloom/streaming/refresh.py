@@ -57,7 +57,10 @@ def start_refresh(spark: SparkSession, source: str, target: str,
 
 
 def _fact_transform(df: DataFrame, batch_id: int) -> DataFrame:
-    n_parts = df.rdd.getNumPartitions()
+    try:
+        n_parts = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect has no RDD API; bound by maxFilesPerTrigger
+        n_parts = 0
     if n_parts >= MAX_BATCH_PARTITIONS:
         raise ValueError(f"micro-batch has {n_parts} partitions; lower maxFilesPerTrigger")
     return fact_immigration(clean_arrivals(df, id_offset=batch_id << BATCH_ID_SHIFT))
