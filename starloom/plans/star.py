@@ -9,6 +9,7 @@ original grouping/joining keys where the defaults are stricter.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,13 +102,23 @@ def us_airports(raw: DataFrame, country: str = "US") -> DataFrame:
 
 
 def majority_rows(demog: DataFrame, keys: Sequence[str] = ("City", "State"),
-                  measure: str = "Count") -> DataFrame:
+                  measure: str = "Count", tie_break: str | None = None) -> DataFrame:
     """One row per city (more if tied) holding its largest group, renamed.
 
     ``keys=("City",)`` reproduces grouping by city name only, which merges
-    same-named cities of different states.
+    same-named cities of different states. With ``tie_break`` (e.g.
+    ``"Race"``) exactly one row per city is kept: the largest ``measure``,
+    ties resolved by the smallest ``tie_break`` value.
     """
-    top = rows_at_group_max(demog, list(keys), measure)
+    if tie_break:
+        # same rows as the tie-keeping form (no NULL key or measure), then
+        # ascending (-measure, tie_break): largest measure, smallest tie value
+        present = reduce(lambda a, b: a & b,
+                         [quoted(c).isNotNull() for c in (*keys, measure)])
+        top = first_by_key(demog.where(present), list(keys),
+                           [-quoted(measure), quoted(tie_break)])
+    else:
+        top = rows_at_group_max(demog, list(keys), measure)
     return top.select(
         F.upper("City").alias("city"), F.upper("State").alias("state"),
         quoted("Median Age").alias("median_age"),

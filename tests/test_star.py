@@ -180,3 +180,16 @@ def test_cli_build_check_ask(spark, tmp_path_factory, capsys):
     out = capsys.readouterr().out
     assert "fact_immigration" in out and "CAPITOL" in out
     assert "n_fact_rows_cli" in out and f"|{len(fx.KEPT_CICIDS)}" in out.replace(" ", "")
+
+
+def test_majority_tie_break_keeps_one_row(spark, built):
+    _, p, _ = built
+    from starloom.sources.files import read_csv
+    demog = read_csv(spark, p["demographics"], sep=";", schema=schemas.DEMOGRAPHICS_RAW)
+    kept = star.majority_rows(demog).where("city = 'CAPITOL'").collect()
+    assert sorted(r.race for r in kept) == ["Black", "White"]
+    one = star.majority_rows(demog, tie_break="Race")
+    assert [r.race for r in one.where("city = 'CAPITOL'").collect()] == ["Black"]
+    assert one.count() == one.select("city", "state").distinct().count() == 8
+    brook = one.where("city = 'BROOK'").first()
+    assert brook.race == "White"  # NULL count never wins
