@@ -142,6 +142,7 @@ def main() -> None:
         "metric": "headline_queries_total_sec",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
+        "flagship_sec": times["flagship_top_market"],
         "queries": times,
         "sf": (re.search(r"sf([0-9.]+)", sf_dir) or [None, sf_dir])[1],
         "cpus": int(cpus),

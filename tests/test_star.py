@@ -193,3 +193,18 @@ def test_majority_tie_break_keeps_one_row(spark, built):
     assert one.count() == one.select("city", "state").distinct().count() == 8
     brook = one.where("city = 'BROOK'").first()
     assert brook.race == "White"  # NULL count never wins
+
+
+def test_month_filter_prunes_fact_partitions(spark, built):
+    import contextlib
+    import io
+    _, _, root = built
+    fact = spark.read.parquet(f"{root}/out/fact_immigration")
+    may = fact.where((F.col("year") == 2016) & (F.col("month") == 5))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        may.explain("formatted")
+    plan = buf.getvalue()
+    part_filters = [l for l in plan.splitlines() if l.startswith("PartitionFilters")][0]
+    assert "(month" in part_filters and "= 5)" in part_filters
+    assert may.count() == 1
