@@ -125,6 +125,38 @@ def star_build_timing(spark, sf_dir: str, runs: int) -> dict:
     return {"build_star": _best(build, runs)}
 
 
+def event_log_summary(log_dir: str, runs: int) -> dict:
+    """Per job group (query): shuffle MB written, input MB read and stages,
+    averaged per run, from Spark's event log."""
+    import glob
+    stage_group, stats = {}, {}
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isdir(path) or path.endswith(".crc"):
+            continue
+        with open(path) as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(ev.get("Stage ID"))
+                    if not group:
+                        continue
+                    m = ev.get("Task Metrics") or {}
+                    st = stats.setdefault(group, {"shuffle": 0, "input": 0, "stages": set()})
+                    st["shuffle"] += (m.get("Shuffle Write Metrics") or {}).get(
+                        "Shuffle Bytes Written", 0)
+                    st["input"] += (m.get("Input Metrics") or {}).get("Bytes Read", 0)
+                    st["stages"].add(ev.get("Stage ID"))
+    mb = 1024 * 1024
+    return {g: {"shuffle_mb": round(v["shuffle"] / runs / mb, 3),
+                "input_mb": round(v["input"] / runs / mb, 3),
+                "stages": round(len(v["stages"]) / runs, 1)} for g, v in sorted(stats.items())}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -133,11 +165,17 @@ def main() -> None:
     from starloom.plans.driver_tables import QUERIES
     from starloom.session import build_session
 
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
+    import tempfile
+    log_dir = tempfile.mkdtemp(prefix="starloom-bench-events-")
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus), extra={
+        "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+        "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
     times = {}
     for key in HEADLINE:
         fn = QUERIES[key]
+        spark.sparkContext.setJobGroup(key, key)
         times[key] = _best(lambda: _run(fn(spark, sf_dir)), runs)
+    spark.sparkContext.setJobGroup("build_star", "build_star")
     out = {
         "metric": "headline_queries_total_sec",
         "value": round(sum(times.values()), 3),
@@ -150,8 +188,15 @@ def main() -> None:
         "note": "sum over queries of the best of `runs` timings; full execution via noop sink",
     }
     out["build"] = star_build_timing(spark, sf_dir, runs)
+    spark.sparkContext.setJobGroup("comparisons", "comparisons")
     if os.environ.get("BENCH_COMPARE", "1") == "1":
         out["comparisons"] = comparisons(spark, sf_dir, runs)
+    spark.stop()  # flushes the event log
+    try:
+        out["shuffle"] = {k: v for k, v in event_log_summary(log_dir, runs).items()
+                          if k in times or k == "build_star"}
+    except Exception as e:  # the timing result stands without it
+        out["shuffle_error"] = f"{type(e).__name__}: {e}"
     print(json.dumps(out))
 
 
