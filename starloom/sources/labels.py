@@ -4,13 +4,15 @@ The dictionary text is read line by line (splittable, in parallel). Each
 line learns the block it belongs to with a two-level scan instead of a
 driver round trip or a whole-file read:
 
-1. inside each input split, a window ordered by the line's rank carries the
-   last ``value <fmt>`` header / ``;`` terminator forward (bounded by the
-   split size);
-2. a one-row-per-split summary gives the state a split inherits from the
-   splits before it (ordered by file path and byte offset). The summary has
-   exactly as many rows as the scan has input splits, which the driver
-   already plans, so broadcasting it is bounded.
+1. inside each input split, one ordered pass per partition
+   (``mapInPandas``) carries the last ``value <fmt>`` header / ``;``
+   terminator forward. A split is never divided between tasks and its
+   lines arrive in file order, so this needs no shuffle of the lines;
+2. a one-row-per-split summary, built from the header/terminator lines
+   only, gives the state a split inherits from the splits before it
+   (ordered by file path and byte offset). It has exactly as many rows as
+   the scan has input splits, which the driver already plans, so
+   broadcasting it is bounded.
 
 Blocks are parsed whole: no entry is lost at a block edge and codes of any
 width (``'AG'``, ``'.GA'``, ``'CP '``) are accepted.
