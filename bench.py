@@ -110,21 +110,49 @@ def comparisons(spark, sf_dir: str, runs: int) -> dict:
     return {k: _best(f, runs) for k, f in cases.items()}
 
 
-def star_build_timing(spark, sf_dir: str, runs: int) -> dict:
+def star_build_timing(spark, p: dict, runs: int) -> dict:
     """The whole star build (staging + six tables written) on inputs derived
     from the driver tables; inputs are prepared once, outside the timing."""
     from starloom.plans import star
-    from starloom.plans.driver_tables import star_inputs
     from starloom.session import scratch_path
 
-    p = star_inputs(spark, sf_dir)
-
     def build():
         star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"],
                         p["airports"], scratch_path(spark, "bench_star"))
     return {"build_star": _best(build, runs)}
 
 
+def bucketed_vs_shuffled(spark, p: dict, runs: int) -> dict:
+    """OLAP question on a plain star vs one with fact and person bucketed by
+    cicid, both with sort-merge joins (size-based broadcast off, as when
+    the tables are large)."""
+    from starloom.plans import star
+    from starloom.plans.olap import top_female_port_city
+    from starloom.session import scratch_path
+
+    plain_dir, bucket_dir = scratch_path(spark, "bench_plain"), scratch_path(spark, "bench_bkt")
+    star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"], p["airports"],
+                    plain_dir)
+    spark.sql("CREATE DATABASE IF NOT EXISTS bench_star")
+    star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"], p["airports"],
+                    bucket_dir, person_buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
+                    database="bench_star")
+    city = spark.read.parquet(f"{plain_dir}/dim_city_population")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = lambda: _run(top_female_port_city(
+            spark.read.parquet(f"{plain_dir}/fact_immigration"), city,
+            spark.read.parquet(f"{plain_dir}/dim_personal")))
+        bucketed = lambda: _run(top_female_port_city(
+            spark.table("bench_star.fact_immigration"), city,
+            spark.table("bench_star.dim_personal")))
+        return {"olap_star_shuffled": _best(plain, runs),
+                "olap_star_bucketed": _best(bucketed, runs)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def event_log_summary(log_dir: str, runs: int) -> dict:
     """Per job group (query): shuffle MB written, input MB read and stages,
     averaged per run, from Spark's event log."""
@@ -169,7 +197,8 @@ def main() -> None:
     log_dir = tempfile.mkdtemp(prefix="starloom-bench-events-")
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus), extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
-        "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
+        "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="starloom-bench-wh-")})
     times = {}
     for key in HEADLINE:
         fn = QUERIES[key]
@@ -187,10 +216,13 @@ def main() -> None:
         "runs": runs,
         "note": "sum over queries of the best of `runs` timings; full execution via noop sink",
     }
-    out["build"] = star_build_timing(spark, sf_dir, runs)
+    from starloom.plans.driver_tables import star_inputs
+    inputs = star_inputs(spark, sf_dir)
+    out["build"] = star_build_timing(spark, inputs, runs)
     spark.sparkContext.setJobGroup("comparisons", "comparisons")
     if os.environ.get("BENCH_COMPARE", "1") == "1":
         out["comparisons"] = comparisons(spark, sf_dir, runs)
+        out["comparisons"].update(bucketed_vs_shuffled(spark, inputs, runs))
     spark.stop()  # flushes the event log
     try:
         out["shuffle"] = {k: v for k, v in event_log_summary(log_dir, runs).items()
