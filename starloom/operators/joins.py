@@ -62,9 +62,8 @@ def conform(left: DataFrame, lookup: DataFrame, keys: Mapping[str, str],
         p = left[lc] == lk[rc]
         cond = p if cond is None else cond & p
     out = left.join(lk, cond, "inner")
-    for lc, rc in keys.items():
-        if lc != rc:
-            out = out.drop(lk[rc])
+    for rc in keys.values():  # equal to the left key by the join condition
+        out = out.drop(lk[rc])
     return out
 
 

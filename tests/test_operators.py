@@ -124,3 +124,11 @@ def test_dq_null_profile(spark):
     got = {r.column_name: (r.n_rows, r.n_null, r.null_fraction)
            for r in dq_null_profile(df, "t").collect()}
     assert got == {"a": (4, 1, 0.25), "b c": (4, 2, 0.5)}
+
+
+def test_conform_with_same_key_names_keeps_one_column(spark):
+    left = spark.createDataFrame([("X", 1)], "city string, n int")
+    lk = spark.createDataFrame([("X", "c1")], "city string, code string")
+    out = conform(left, lk, {"city": "city"})
+    assert out.columns == ["city", "n", "code"]
+    assert [tuple(r) for r in out.select("city", "code").collect()] == [("X", "c1")]
