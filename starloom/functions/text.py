@@ -21,31 +21,38 @@ from pyspark.sql import functions as F
 HEADER = r"(?i)^\s*value\s+(\$?\w+)"
 ENTRY = r"^\s*'?([^'=]*?)'?\s*=\s*'(.*)'"
 CLOSES = r";\s*$"
+# A comment opened and closed on the same line (removed before looking for
+# headers and terminators, so a ';' inside it does not close a block).
+LINE_COMMENT = r"/\*.*?\*/"
 # City and state of a port label: the last two capitals at the end (after a
 # comma or a blank), optionally followed by a bracketed or '#' suffix.
 PORT_SPLIT = r"^(.*?)\s*(?:,\s*|\s+)([A-Z]{2})(?:\s*[(#].*)?$"
 
 
+def _code_part(line: Column) -> Column:
+    return F.regexp_replace(line, LINE_COMMENT, "")
+
+
 def header_fmt(line: Column) -> Column:
     """Format name of a ``value <fmt>`` header line, else NULL."""
-    return F.nullif(F.regexp_extract(line, HEADER, 1), F.lit(""))
+    return F.nullif(F.regexp_extract(_code_part(line), HEADER, 1), F.lit(""))
 
 
 def closes_block(line: Column) -> Column:
-    return line.rlike(CLOSES)
+    return _code_part(line).rlike(CLOSES)
 
 
 def is_entry(line: Column) -> Column:
-    return line.rlike(ENTRY)
+    return _code_part(line).rlike(ENTRY)
 
 
 def entry_code(line: Column) -> Column:
-    return F.trim(F.regexp_extract(line, ENTRY, 1))
+    return F.trim(F.regexp_extract(_code_part(line), ENTRY, 1))
 
 
 def entry_label(line: Column) -> Column:
     """Label text with ``''`` unescaped and trailing blanks removed."""
-    raw = F.regexp_extract(line, ENTRY, 2)
+    raw = F.regexp_extract(_code_part(line), ENTRY, 2)
     return F.rtrim(F.regexp_replace(raw, "''", "'"))
 
 

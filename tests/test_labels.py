@@ -122,3 +122,18 @@ def test_parse_inverts_format(spark, tmp_path_factory, quoted_entries, numeric_e
     want = sorted([("$qfmt", c.strip(), lab.rstrip()) for c, lab, _ in quoted_entries]
                   + [("nfmt", str(c), lab.rstrip()) for c, lab, _ in numeric_entries])
     assert got == want
+
+
+def test_comment_with_semicolon_inside_block(spark, tmp_path):
+    p = tmp_path / "d.txt"
+    p.write_text("value $blk\n 'A' = 'ALPHA'\n /* see note; more */\n 'B' = 'BRAVO' /* x; */\n;\n"
+                 "/* value $fake */\n 'C' = 'NOT IN A BLOCK'\n")
+    got = sorted((r.fmt, r.code, r.label) for r in lb.code_labels(spark, str(p)).collect())
+    assert got == [("$blk", "A", "ALPHA"), ("$blk", "B", "BRAVO")]
+
+
+def test_trailing_comment_with_quote_is_not_label(spark, tmp_path):
+    p = tmp_path / "d.txt"
+    p.write_text("value $blk\n 'A' = 'ALPHA' /* it's old */\n;\n")
+    got = [(r.code, r.label) for r in lb.code_labels(spark, str(p)).collect()]
+    assert got == [("A", "ALPHA")]
