@@ -175,7 +175,7 @@ def load_lookups(spark: SparkSession, dictionary_path: str) -> dict[str, DataFra
 def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
                demographics_path: str, airports_path: str, out_dir: str,
                parity: bool = False, person_buckets: int | None = None,
-               database: str | None = None) -> dict[str, str]:
+               database: str | None = None, refreshable: bool = False) -> dict[str, str]:
     """Build and write the six star tables; returns ``{table: path}``.
 
     The cleaned arrivals are written once to the scratch folder and the
@@ -188,6 +188,10 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     bucketed and sorted by ``cicid`` with the same bucket count: their join
     (the largest of the OLAP question) then runs without a shuffle on
     either side.
+
+    With ``refreshable`` the fact is written as ``year/month/batch=-1`` so
+    that :func:`starloom.streaming.refresh_fact_immigration` can add later
+    months to the same folder (read it with ``read_refreshed``).
     """
     raw = read_parquet(spark, arrivals_path)
     staged = spark.read.parquet(
@@ -213,6 +217,9 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     for name, df in tables.items():
         path = f"{out_dir.rstrip('/')}/{name}"
         part = ["year", "month"] if name == "fact_immigration" else None
+        if refreshable and name == "fact_immigration":
+            df = df.withColumn("batch", F.lit(-1))
+            part = ["year", "month", "batch"]
         if person_buckets and name in ("fact_immigration", "dim_personal"):
             qualified = f"{database}.{name}" if database else name
             write_bucketed_table(df, qualified, path, person_buckets, ["cicid"], part)

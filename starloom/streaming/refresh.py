@@ -9,9 +9,11 @@ rewrites exactly its own partitions, so the output is the same as if it ran
 once; readers prune by ``year``/``month`` as usual.
 
 Ids: within a micro-batch ``monotonically_increasing_id`` is
-``partition << 33 | row``; each batch gets its own range ``batch << 48``,
-which keeps ids unique while a micro-batch has fewer than 2**15 input
-partitions (bound it with ``max_files_per_trigger``; checked per batch).
+``partition << 33 | row``; each batch gets its own range
+``(batch + 1) << 48`` (range 0 is the initial build, written as
+``batch=-1`` by ``build_star(..., refreshable=True)``), which keeps ids
+unique while a micro-batch has fewer than 2**15 input partitions (bound it
+with ``max_files_per_trigger``; checked per batch).
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from ..session import scratch_path
 
 BATCH_ID_SHIFT = 48
 MAX_BATCH_PARTITIONS = 1 << (BATCH_ID_SHIFT - 33)
+INITIAL_BATCH = -1
 
 
 def start_refresh(spark: SparkSession, source: str, target: str,
@@ -63,7 +66,7 @@ def _fact_transform(df: DataFrame, batch_id: int) -> DataFrame:
         n_parts = 0
     if n_parts >= MAX_BATCH_PARTITIONS:
         raise ValueError(f"micro-batch has {n_parts} partitions; lower maxFilesPerTrigger")
-    return fact_immigration(clean_arrivals(df, id_offset=batch_id << BATCH_ID_SHIFT))
+    return fact_immigration(clean_arrivals(df, id_offset=(batch_id + 1) << BATCH_ID_SHIFT))
 
 
 def refresh_fact_immigration(spark: SparkSession, arrivals_source: str, fact_dir: str,

@@ -33,3 +33,21 @@ def test_refresh_is_incremental_and_idempotent(spark, tmp_dir):
     # nothing new: nothing changes
     refresh_fact_immigration(spark, f"{landing}/m=*", fact, ckpt).awaitTermination()
     assert read_refreshed(spark, fact).count() == second.count()
+
+
+def test_stream_extends_a_refreshable_build(spark, tmp_dir):
+    from starloom.plans import star
+    p = fx.write_inputs(spark, f"{tmp_dir}/in")
+    april = _raw(spark, 4.0)
+    april.write.parquet(f"{tmp_dir}/april")
+    out = star.build_star(spark, f"{tmp_dir}/april", p["dictionary"], p["demographics"],
+                          p["airports"], f"{tmp_dir}/out", refreshable=True)
+    fact_dir = out["fact_immigration"]
+    first = read_refreshed(spark, fact_dir).count()
+    _raw(spark, 5.0).write.parquet(f"{tmp_dir}/landing/m=201605")
+    refresh_fact_immigration(spark, f"{tmp_dir}/landing/m=*", fact_dir,
+                             f"{tmp_dir}/ckpt").awaitTermination()
+    both = read_refreshed(spark, fact_dir)
+    assert first == len(fx.KEPT_CICIDS) - 1 and both.count() == len(fx.KEPT_CICIDS)
+    assert both.select("id").distinct().count() == both.count()
+    assert "batch" not in both.columns
