@@ -5,6 +5,8 @@
     python -m starloom check --star OUT
     python -m starloom ask --star OUT
     python -m starloom sql --star OUT "SELECT ... FROM fact_immigration ..."
+    python -m starloom refresh --landing NEW_MONTHS --star OUT --dictionary D \
+        [--checkpoint CKPT] [--max-files N]     # after build --refreshable
 
 Under spark-submit the cluster's session is used as configured; run
 directly, a local session is created.
@@ -34,6 +36,13 @@ def main(argv=None) -> None:
     b.add_argument("--parity", action="store_true")
     b.add_argument("--person-buckets", type=int)
     b.add_argument("--database")
+    b.add_argument("--refreshable", action="store_true")
+    r = sub.add_parser("refresh")
+    r.add_argument("--landing", required=True)
+    r.add_argument("--star", required=True)
+    r.add_argument("--dictionary", required=True)
+    r.add_argument("--checkpoint")
+    r.add_argument("--max-files", type=int)
     for name in ("check", "ask"):
         sub.add_parser(name).add_argument("--star", required=True)
     q = sub.add_parser("sql")
@@ -48,21 +57,27 @@ def main(argv=None) -> None:
         for table, path in build_star(spark, args.arrivals, args.dictionary, args.demographics,
                                       args.airports, args.out, parity=args.parity,
                                       person_buckets=args.person_buckets,
-                                      database=args.database).items():
+                                      database=args.database,
+                                      refreshable=args.refreshable).items():
             print(f"{table}\t{path}")
     elif args.cmd == "check":
         from .plans.checks import check_star
         check_star(spark, args.star, raise_errors=False).orderBy("check", "subject").show(
             200, truncate=False)
         check_star(spark, args.star, raise_errors=True)
+    elif args.cmd == "refresh":
+        from .streaming import refresh_star
+        refresh_star(spark, args.landing, args.star, args.dictionary, args.checkpoint,
+                     args.max_files).awaitTermination()
+        print(f"refreshed {args.star}")
     elif args.cmd == "sql":
         from .plans.star import register_views
         register_views(spark, args.star)
         spark.sql(args.query).show(args.rows, truncate=False)
     else:
         from .plans.olap import top_female_port_city
-        t = {n: spark.read.parquet(f"{args.star.rstrip('/')}/{n}")
-             for n in ("fact_immigration", "dim_city_population", "dim_personal")}
+        from .plans.star import read_star
+        t = read_star(spark, args.star)
         top_female_port_city(t["fact_immigration"], t["dim_city_population"],
                              t["dim_personal"]).show(truncate=False)
 

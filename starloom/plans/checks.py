@@ -56,8 +56,8 @@ def star_findings(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFram
 
 def check_star(spark: SparkSession, star_dir: str, raise_errors: bool = True) -> DataFrame:
     """Run every check on the tables under ``star_dir``."""
-    tables = {n: spark.read.parquet(f"{star_dir.rstrip('/')}/{n}") for n in schemas.STAR_SCHEMAS}
-    findings = star_findings(spark, tables)
+    from .star import read_star
+    findings = star_findings(spark, read_star(spark, star_dir))
     if raise_errors:
         raise_on_failure(findings, "star")
     return findings

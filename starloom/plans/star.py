@@ -189,10 +189,13 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     (the largest of the OLAP question) then runs without a shuffle on
     either side.
 
-    With ``refreshable`` the fact is written as ``year/month/batch=-1`` so
-    that :func:`starloom.streaming.refresh_fact_immigration` can add later
-    months to the same folder (read it with ``read_refreshed``).
+    With ``refreshable`` the fact, person and flight tables get a ``batch``
+    partition level (``-1`` for this build) so that
+    :func:`starloom.streaming.refresh_star` can add later months to the same
+    folders; read them with :func:`read_star`.
     """
+    if refreshable and parity:
+        raise ValueError("a refreshable star keeps one row per key; use parity=False")
     raw = read_parquet(spark, arrivals_path)
     staged = spark.read.parquet(
         write_parquet(clean_arrivals(raw), scratch_path(spark, "arrivals_clean")))
@@ -217,9 +220,9 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     for name, df in tables.items():
         path = f"{out_dir.rstrip('/')}/{name}"
         part = ["year", "month"] if name == "fact_immigration" else None
-        if refreshable and name == "fact_immigration":
+        if refreshable and name in REFRESHED_KEYS:
             df = df.withColumn("batch", F.lit(-1))
-            part = ["year", "month", "batch"]
+            part = (part or []) + ["batch"]
         if person_buckets and name in ("fact_immigration", "dim_personal"):
             qualified = f"{database}.{name}" if database else name
             write_bucketed_table(df, qualified, path, person_buckets, ["cicid"], part)
@@ -229,6 +232,30 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     return out
 
 
+# Tables a refresh extends, with the key that identifies a row (None: the
+# fact, where every row is kept).
+REFRESHED_KEYS = {"fact_immigration": None, "dim_personal": "cicid", "dim_flight": "adm_num"}
+
+
+def read_star(spark: SparkSession, star_dir: str) -> dict[str, DataFrame]:
+    """The six tables under ``star_dir``.
+
+    For a refreshed star the ``batch`` bookkeeping column is resolved: fact
+    rows are all kept; person and flight rows are one per key, the latest
+    batch winning (a partial aggregate, so a key present in every batch
+    costs one row per task).
+    """
+    tables = {n: spark.read.parquet(f"{star_dir.rstrip('/')}/{n}") for n in schemas.STAR_SCHEMAS}
+    for name, key in REFRESHED_KEYS.items():
+        df = tables[name]
+        if "batch" not in df.columns:
+            continue
+        if key is not None:
+            df = first_by_key(df, key, ["batch"], descending=True)
+        tables[name] = df.drop("batch").select(*schemas.STAR_SCHEMAS[name].fieldNames())
+    return tables
+
+
 def register_views(spark: SparkSession, star: str | dict[str, DataFrame],
                    prefix: str = "") -> dict[str, DataFrame]:
     """Expose the star tables to SQL as temporary views.
@@ -237,7 +264,7 @@ def register_views(spark: SparkSession, star: str | dict[str, DataFrame],
     mapping; views are named ``prefix + table``.
     """
     if isinstance(star, str):
-        star = {n: spark.read.parquet(f"{star.rstrip('/')}/{n}") for n in schemas.STAR_SCHEMAS}
+        star = read_star(spark, star)
     for name, df in star.items():
         df.createOrReplaceTempView(prefix + name)
     return star

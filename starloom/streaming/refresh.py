@@ -26,8 +26,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..plans.star import clean_arrivals, fact_immigration
+from ..plans.star import (clean_arrivals, dim_flight, dim_personal, fact_immigration,
+                          load_lookups)
 from ..session import scratch_path
+from ..sources.files import write_parquet
 
 BATCH_ID_SHIFT = 48
 MAX_BATCH_PARTITIONS = 1 << (BATCH_ID_SHIFT - 33)
@@ -60,13 +62,17 @@ def start_refresh(spark: SparkSession, source: str, target: str,
 
 
 def _fact_transform(df: DataFrame, batch_id: int) -> DataFrame:
+    return fact_immigration(_fact_transform_clean(df, batch_id))
+
+
+def _fact_transform_clean(df: DataFrame, batch_id: int) -> DataFrame:
     try:
         n_parts = df.rdd.getNumPartitions()
     except Exception:  # Spark Connect has no RDD API; bound by maxFilesPerTrigger
         n_parts = 0
     if n_parts >= MAX_BATCH_PARTITIONS:
         raise ValueError(f"micro-batch has {n_parts} partitions; lower maxFilesPerTrigger")
-    return fact_immigration(clean_arrivals(df, id_offset=(batch_id + 1) << BATCH_ID_SHIFT))
+    return clean_arrivals(df, id_offset=(batch_id + 1) << BATCH_ID_SHIFT)
 
 
 def refresh_fact_immigration(spark: SparkSession, arrivals_source: str, fact_dir: str,
@@ -78,6 +84,44 @@ def refresh_fact_immigration(spark: SparkSession, arrivals_source: str, fact_dir
                          max_files_per_trigger)
 
 
+def refresh_star(spark: SparkSession, arrivals_source: str, star_dir: str,
+                 dictionary_path: str, checkpoint: str | None = None,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Add new monthly arrival files to a star built with
+    ``build_star(..., refreshable=True)``: fact, person and flight tables.
+
+    Each micro-batch is cleaned once and staged in the scratch folder, then
+    its fact rows go to ``year/month/batch=b`` and its person and flight rows
+    to ``batch=b`` of their tables, each by dynamic partition overwrite (a
+    re-run batch replaces exactly its own rows). Readers resolve one row per
+    key across batches (the latest batch wins), see
+    :func:`starloom.plans.star.read_star`.
+    """
+    countries = load_lookups(spark, dictionary_path)["countries"]
+    root = star_dir.rstrip("/")
+
+    def write_batch(df: DataFrame, batch_id: int) -> None:
+        clean = _fact_transform_clean(df, batch_id)
+        staged = spark.read.parquet(write_parquet(clean, scratch_path(spark, "refresh-stage")))
+        b = F.lit(batch_id)
+        writes = [
+            (fact_immigration(staged), "fact_immigration", ["year", "month", "batch"]),
+            (dim_personal(staged, countries, one_row_per_key=True), "dim_personal", ["batch"]),
+            (dim_flight(staged, one_row_per_key=True), "dim_flight", ["batch"]),
+        ]
+        for out, name, part in writes:
+            (out.withColumn("batch", b).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*part)
+             .parquet(f"{root}/{name}"))
+
+    reader = spark.readStream.schema(schemas.ARRIVALS_RAW)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return (reader.parquet(arrivals_source).writeStream.foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint or scratch_path(spark, "refresh-ckpt"))
+            .trigger(availableNow=True).start())
+
+
 def read_refreshed(spark: SparkSession, target: str) -> DataFrame:
     """The refreshed table without the bookkeeping ``batch`` column."""
     return spark.read.parquet(target).drop("batch")

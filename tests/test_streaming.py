@@ -51,3 +51,59 @@ def test_stream_extends_a_refreshable_build(spark, tmp_dir):
     assert first == len(fx.KEPT_CICIDS) - 1 and both.count() == len(fx.KEPT_CICIDS)
     assert both.select("id").distinct().count() == both.count()
     assert "batch" not in both.columns
+
+
+def test_cli_refreshable_build_then_refresh(spark, tmp_dir, capsys):
+    from starloom.__main__ import main
+    p = fx.write_inputs(spark, f"{tmp_dir}/in")
+    _raw(spark, 4.0).write.parquet(f"{tmp_dir}/april")
+    main(["build", "--arrivals", f"{tmp_dir}/april", "--dictionary", p["dictionary"],
+          "--demographics", p["demographics"], "--airports", p["airports"],
+          "--out", f"{tmp_dir}/out", "--refreshable"])
+    _raw(spark, 5.0).write.parquet(f"{tmp_dir}/landing/m=201605")
+    main(["refresh", "--landing", f"{tmp_dir}/landing/m=*", "--star", f"{tmp_dir}/out",
+          "--dictionary", p["dictionary"], "--checkpoint", f"{tmp_dir}/ckpt"])
+    main(["check", "--star", f"{tmp_dir}/out"])
+    main(["sql", "--star", f"{tmp_dir}/out",
+          "SELECT count(*) AS n_after_refresh FROM fact_immigration"])
+    out = capsys.readouterr().out.replace(" ", "")
+    assert f"|{len(fx.KEPT_CICIDS)}|" in out
+
+
+def test_refresh_star_keeps_references_and_keys(spark, tmp_dir):
+    from starloom.plans import star
+    from starloom.plans.checks import check_star
+    from starloom.streaming import refresh_star
+    p = fx.write_inputs(spark, f"{tmp_dir}/in")
+    _raw(spark, 4.0).write.parquet(f"{tmp_dir}/april")
+    star.build_star(spark, f"{tmp_dir}/april", p["dictionary"], p["demographics"],
+                    p["airports"], f"{tmp_dir}/out", refreshable=True)
+    _raw(spark, 5.0).write.parquet(f"{tmp_dir}/landing/m=201605")
+    for _ in range(2):  # a second run finds nothing new and changes nothing
+        refresh_star(spark, f"{tmp_dir}/landing/m=*", f"{tmp_dir}/out", p["dictionary"],
+                     f"{tmp_dir}/ckpt").awaitTermination()
+    check_star(spark, f"{tmp_dir}/out")  # raises on orphans or duplicate keys
+    t = star.read_star(spark, f"{tmp_dir}/out")
+    assert t["fact_immigration"].count() == len(fx.KEPT_CICIDS)
+    assert t["dim_personal"].count() == len(set(fx.KEPT_CICIDS))
+    # same results as building the star from both months at once
+    whole = star.build_star(spark, fx_arrivals(spark, tmp_dir), p["dictionary"],
+                            p["demographics"], p["airports"], f"{tmp_dir}/whole")
+    want = spark.read.parquet(whole["dim_flight"])
+    assert sorted(map(tuple, t["dim_flight"].collect()), key=str) == \
+        sorted(map(tuple, want.collect()), key=str)
+
+
+def fx_arrivals(spark, tmp_dir):
+    path = f"{tmp_dir}/both"
+    _raw(spark, 4.0).unionByName(_raw(spark, 5.0)).write.parquet(path)
+    return path
+
+
+def test_refreshable_requires_keyed_dimensions(spark, tmp_dir):
+    import pytest
+    from starloom.plans import star
+    p = fx.write_inputs(spark, f"{tmp_dir}/in")
+    with pytest.raises(ValueError):
+        star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"],
+                        p["airports"], f"{tmp_dir}/out", parity=True, refreshable=True)
