@@ -391,6 +391,25 @@ def q_star_build(spark, d):
         .select(F.lit(name).alias("table_name"), "n_rows") for name, path in out.items()])
 
 
+def q_star_monthly_refresh(spark, d):
+    """Build a refreshable star from the arrivals shipped before 1997, then
+    stream the later months into it (one folder per month, 12 files per
+    micro-batch); the refreshed fact equals a one-shot build."""
+    from ..streaming import refresh_star
+    raw = afx.raw_arrivals(spark, d).withColumn("ym", F.col("i94yr") * 100 + F.col("i94mon"))
+    early, late = scratch_path(spark, "arrivals_early"), scratch_path(spark, "arrivals_late")
+    write_parquet(raw.where(F.col("i94yr") < 1997).drop("ym"), early)
+    write_parquet(raw.where(~(F.col("i94yr") < 1997) | F.col("i94yr").isNull()), late,
+                  partition_by=["ym"])
+    p = star_inputs(spark, d)
+    out = scratch_path(spark, "star_refreshed")
+    star.build_star(spark, early, p["dictionary"], p["demographics"], p["airports"], out,
+                    refreshable=True)
+    refresh_star(spark, f"{late}/ym=*", out, p["dictionary"],
+                 max_files_per_trigger=12).awaitTermination()
+    return star.read_star(spark, out)["fact_immigration"].drop("id")
+
+
 def q_star_dim_airports(spark, d):
     return star.us_airports(afx.airports(spark, d))
 
