@@ -9,6 +9,7 @@ original grouping/joining keys where the defaults are stricter.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -216,8 +217,7 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     if person_buckets:
         tables["dim_personal"] = dim_personal(staged, lk["countries"],
                                               one_row_per_key=not parity)
-    out = {}
-    for name, df in tables.items():
+    def write(name: str, df: DataFrame) -> str:
         path = f"{out_dir.rstrip('/')}/{name}"
         part = ["year", "month"] if name == "fact_immigration" else None
         if refreshable and name in REFRESHED_KEYS:
@@ -228,7 +228,13 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
             write_bucketed_table(df, qualified, path, person_buckets, ["cicid"], part)
         else:
             write_parquet(df, path, partition_by=part)
-        out[name] = path
+        return path
+
+    # The six writes are independent jobs: submit them together so small
+    # dimension jobs run alongside the fact write instead of after it.
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        futures = {name: pool.submit(write, name, df) for name, df in tables.items()}
+        out = {name: f.result() for name, f in futures.items()}
     return out
 
 
