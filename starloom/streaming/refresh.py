@@ -19,6 +19,7 @@ with ``max_files_per_trigger``; checked per batch).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,11 +110,17 @@ def refresh_star(spark: SparkSession, arrivals_source: str, star_dir: str,
             (dim_personal(staged, countries, one_row_per_key=True), "dim_personal", ["batch"]),
             (dim_flight(staged, one_row_per_key=True), "dim_flight", ["batch"]),
         ]
-        for out, name, part in writes:
+
+        def write(out: DataFrame, name: str, part: list[str]) -> None:
             (out.withColumn("batch", b).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(*part)
              .parquet(f"{root}/{name}"))
 
+        # independent jobs over the same staged batch: submit them together
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            for f in [pool.submit(write, *w) for w in writes]:
+                f.result()
+
     reader = spark.readStream.schema(schemas.ARRIVALS_RAW)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
