@@ -34,33 +34,39 @@ MODE_FMT = "i94model"
 STATE_FMT = "i94addrl"
 
 
-def _state_before_line(batches):
+def _state_before_line():
     """Running block state inside each split, in read order.
 
-    For every line, the state left by the last header/terminator *before* it
-    in the same split (NULL if none yet). Lines of one split are contiguous
-    and in file order within a partition, so one pass per partition
-    suffices; the state carries across Arrow batches of the same split.
+    Returns the per-partition function for ``mapInPandas``: for every line,
+    the state left by the last header/terminator *before* it in the same
+    split (NULL if none yet). Lines of one split are contiguous and in file
+    order within a partition, so one pass per partition suffices; the state
+    carries across Arrow batches of the same split. Built as a closure so
+    that it is shipped to the Python workers by value (they need not import
+    this package).
     """
-    carry: dict = {}
-    for pdf in batches:
-        new_run = (pdf["file"] != pdf["file"].shift()) | (pdf["block"] != pdf["block"].shift())
-        run = new_run.cumsum()
-        filled = pdf["_after"].groupby(run).ffill()
-        before = filled.groupby(run).shift(1).astype(object)
-        for start in pdf.index[new_run.to_numpy()]:
-            key = (pdf.at[start, "file"], int(pdf.at[start, "block"]))
-            members = (run == run[start]).to_numpy()
-            # NULL only up to the segment's first event: inherit the state
-            # left by earlier batches of the same split.
-            if key in carry:
-                before[members & before.isna().to_numpy()] = carry[key]
-            seen = filled[members].dropna()
-            if len(seen):
-                carry[key] = seen.iloc[-1]
-        out = pdf.drop(columns=["_after"])
-        out["_local"] = before.where(before.notna(), None)
-        yield out
+    def run(batches):
+        carry: dict = {}
+        for pdf in batches:
+            new_run = ((pdf["file"] != pdf["file"].shift())
+                       | (pdf["block"] != pdf["block"].shift()))
+            run_id = new_run.cumsum()
+            filled = pdf["_after"].groupby(run_id).ffill()
+            before = filled.groupby(run_id).shift(1).astype(object)
+            for start in pdf.index[new_run.to_numpy()]:
+                key = (pdf.at[start, "file"], int(pdf.at[start, "block"]))
+                members = (run_id == run_id[start]).to_numpy()
+                # NULL only up to the segment's first event: inherit the
+                # state left by earlier batches of the same split.
+                if key in carry:
+                    before[members & before.isna().to_numpy()] = carry[key]
+                seen = filled[members].dropna()
+                if len(seen):
+                    carry[key] = seen.iloc[-1]
+            out = pdf.drop(columns=["_after"])
+            out["_local"] = before.where(before.notna(), None)
+            yield out
+    return run
 
 
 def label_lines(lines: DataFrame) -> DataFrame:
@@ -80,7 +86,7 @@ def label_lines(lines: DataFrame) -> DataFrame:
 
     local_schema = T.StructType(list(lines.schema.fields)
                                 + [T.StructField("_local", T.StringType(), True)])
-    with_local = ev.mapInPandas(_state_before_line, local_schema)
+    with_local = ev.mapInPandas(_state_before_line(), local_schema)
 
     events = ev.where(F.col("_after").isNotNull())
     splits = (lines.select("file", "block").distinct()
