@@ -132,3 +132,22 @@ def test_conform_with_same_key_names_keeps_one_column(spark):
     out = conform(left, lk, {"city": "city"})
     assert out.columns == ["city", "n", "code"]
     assert [tuple(r) for r in out.select("city", "code").collect()] == [("X", "c1")]
+
+
+def test_sorted_distinct_returns_rows_in_order(spark):
+    from starloom.operators import sorted_distinct
+    df = spark.createDataFrame([(3, "b"), (1, "a"), (3, "b"), (2, None), (None, "z")],
+                               "k int, v string")
+    got = [tuple(r) for r in sorted_distinct(df, ["k", "v"], ["k"]).collect()]
+    assert got == [(None, "z"), (1, "a"), (2, None), (3, "b")]
+
+
+def test_clustered_for_write_ranges_are_disjoint_and_sorted(spark):
+    from pyspark.sql import functions as F
+    from starloom.operators import clustered_for_write
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
+    parts = clustered_for_write(df, ["k"], 4).rdd.glom().map(
+        lambda rows: [r.k for r in rows]).collect()
+    flat = [k for p in parts for k in p]
+    assert flat == sorted(flat) and len(flat) == 1000
+    assert sum(1 for p in parts if p) > 1
