@@ -3,8 +3,8 @@
     zip -r starloom.zip starloom
     spark-submit --py-files starloom.zip submit.py build --arrivals ... --out ...
 
-``--py-files`` ships the package to the executors, which import it to run
-the dictionary parse's per-partition pass.
+``--py-files`` puts the package on the driver's path (and the executors');
+the executors' only Python pass is shipped by value.
 """
 
 from starloom.__main__ import main
