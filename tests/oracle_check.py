@@ -27,13 +27,16 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT_FLOATS = os.environ.get("ORACLE_EXACT_FLOATS", "1") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 9))
+        return repr(v) if EXACT_FLOATS else repr(round(v, 9))
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     return str(v)
