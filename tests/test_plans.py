@@ -80,3 +80,15 @@ def test_clean_arrivals_pushes_filters_and_prunes_columns(spark, tmp_dir):
     # the fact needs 12 raw columns (8 only for the required-column filter)
     assert "count" not in read_schema and "occup" not in read_schema and "i94bir" not in read_schema
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+def test_bounded_lookups_broadcast_even_without_size_stats(spark):
+    """With size-based broadcasting off (as for huge tables), the two nation
+    lookups still broadcast after their row check; the big joins sort-merge."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES["role_playing_lookup"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" in plan
