@@ -180,6 +180,16 @@ SELECT DISTINCT i.cicid, cc.country_name AS citizen_country, rc.country_name AS
   i.age, i.birth_year, i.gender
 FROM clean i LEFT JOIN countries cc ON i.citizen_country = cc.country_code
 LEFT JOIN countries rc ON i.residence_country = rc.country_code""",
+    "star_dim_personal_keyed": f"""{STAR_CLEAN}, countries AS ({afx.ORACLE_COUNTRIES}),
+named AS (SELECT i.cicid, cc.country_name AS citizen_country, rc.country_name AS residence_country,
+            i.age, i.birth_year, i.gender, i.year, i.month
+          FROM clean i LEFT JOIN countries cc ON i.citizen_country = cc.country_code
+          LEFT JOIN countries rc ON i.residence_country = rc.country_code)
+SELECT cicid, citizen_country, residence_country, age, birth_year, gender FROM (
+  SELECT *, row_number() OVER (PARTITION BY cicid ORDER BY year DESC NULLS LAST,
+    month DESC NULLS LAST, citizen_country DESC NULLS LAST, residence_country DESC NULLS LAST,
+    age DESC NULLS LAST, birth_year DESC NULLS LAST, gender DESC NULLS LAST) AS rn
+  FROM named) WHERE rn = 1""",
     "star_dim_flight": f"""{STAR_CLEAN}
 SELECT DISTINCT adm_num, flight_no, airline, visatype FROM clean""",
     "star_dim_airports": afx.ORACLE_AIRPORTS,
