@@ -61,10 +61,15 @@ def main(argv=None) -> None:
                                       refreshable=args.refreshable).items():
             print(f"{table}\t{path}")
     elif args.cmd == "check":
+        from .operators import raise_on_failure
         from .plans.checks import check_star
-        check_star(spark, args.star, raise_errors=False).orderBy("check", "subject").show(
-            200, truncate=False)
-        check_star(spark, args.star, raise_errors=True)
+        from .session import scratch_path
+        from .sources.files import write_parquet
+        # one pass over the star; the small findings table is shown and checked
+        findings = spark.read.parquet(write_parquet(
+            check_star(spark, args.star, raise_errors=False), scratch_path(spark, "findings")))
+        findings.orderBy("check", "subject").show(200, truncate=False)
+        raise_on_failure(findings, "star")
     elif args.cmd == "refresh":
         from .streaming import refresh_star
         refresh_star(spark, args.landing, args.star, args.dictionary, args.checkpoint,
