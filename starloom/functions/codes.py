@@ -41,6 +41,7 @@ def region_state(region: Column | str) -> Column:
 
 
 def upper_name(c: Column | str) -> Column:
+    """Upper-case a name column (city and state names are compared upper-cased)."""
     return F.upper(_col(c))
 
 

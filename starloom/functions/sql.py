@@ -26,6 +26,7 @@ def _visa_case() -> str:
 
 
 def function_definitions() -> dict[str, str]:
+    """``{name: signature and body}`` of every SQL function (see module doc)."""
     return {
         "sas_to_timestamp": (
             "(d DOUBLE) RETURNS TIMESTAMP_NTZ RETURN "

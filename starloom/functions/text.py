@@ -39,14 +39,17 @@ def header_fmt(line: Column) -> Column:
 
 
 def closes_block(line: Column) -> Column:
+    """True for a line ending a block with ``;`` (outside same-line comments)."""
     return _code_part(line).rlike(CLOSES)
 
 
 def is_entry(line: Column) -> Column:
+    """True for a ``code = 'label'`` line."""
     return _code_part(line).rlike(ENTRY)
 
 
 def entry_code(line: Column) -> Column:
+    """Code of an entry line, quotes and surrounding blanks removed."""
     return F.trim(F.regexp_extract(_code_part(line), ENTRY, 1))
 
 
@@ -57,8 +60,10 @@ def entry_label(line: Column) -> Column:
 
 
 def port_city_candidate(label: Column) -> Column:
+    """City part of a port label if it ends in a two-capital state token."""
     return F.nullif(F.trim(F.regexp_extract(label, PORT_SPLIT, 1)), F.lit(""))
 
 
 def port_state_candidate(label: Column) -> Column:
+    """Trailing two-capital state token of a port label, else NULL."""
     return F.nullif(F.regexp_extract(label, PORT_SPLIT, 2), F.lit(""))

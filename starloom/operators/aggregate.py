@@ -22,6 +22,7 @@ def _names(cols: str | Sequence[str]) -> list[str]:
 
 def group_max(df: DataFrame, keys: str | Sequence[str], measure: str,
               alias: str | None = None) -> DataFrame:
+    """``MAX(measure)`` per group (partial aggregation before the shuffle)."""
     keys = _names(keys)
     return df.groupBy(*[quoted(k) for k in keys]).agg(
         F.max(quoted(measure)).alias(alias or measure))
@@ -62,6 +63,7 @@ def row_count(df: DataFrame, alias: str = "n_rows") -> DataFrame:
 
 
 def distinct_projection(df: DataFrame, columns: Sequence[str | Column]) -> DataFrame:
+    """``SELECT DISTINCT columns`` (partial aggregation before the shuffle)."""
     cols = [quoted(c) if isinstance(c, str) else c for c in columns]
     return df.select(cols).distinct()
 

@@ -12,6 +12,7 @@ from .project import quoted
 
 
 def where_equal(df: DataFrame, column: str, value) -> DataFrame:
+    """``column = value``; pushed into the Parquet scan."""
     return df.where(quoted(column) == F.lit(value))
 
 

@@ -30,6 +30,7 @@ def cast_columns(df: DataFrame, casts: Mapping[str, tuple[str, str]],
 
 
 def select_star(df: DataFrame) -> DataFrame:
+    """``SELECT *``: every column, unchanged."""
     return df.select("*")
 
 

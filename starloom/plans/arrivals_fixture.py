@@ -27,6 +27,7 @@ GENDER_BY_PRIORITY = {"1-URGENT": "F", "2-HIGH": "M", "3-MEDIUM": "F", "4-NOT SP
 
 
 def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw arrival records derived from ``lineitem`` joined to ``orders`` (module doc)."""
     li = spark.read.schema(schemas.DRIVER["lineitem"]).parquet(f"{sf_dir}/lineitem.parquet")
     o = spark.read.schema(schemas.DRIVER["orders"]).parquet(f"{sf_dir}/orders.parquet")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
@@ -61,6 +62,7 @@ def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demographics rows derived from ``part`` (module doc)."""
     p = spark.read.schema(schemas.DRIVER["part"]).parquet(f"{sf_dir}/part.parquet")
     state = F.expr(dfx.STATE_OF_PART)
     cols = {
@@ -92,6 +94,7 @@ AIRPORT_COLUMNS = {
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airports derived from ``supplier`` (see ``AIRPORT_COLUMNS``)."""
     s = spark.read.schema(schemas.DRIVER["supplier"]).parquet(f"{sf_dir}/supplier.parquet")
     return s.select([(F.expr(AIRPORT_COLUMNS[f.name]) if f.name in AIRPORT_COLUMNS
                       else F.lit(None)).cast(f.dataType).alias(f.name)

@@ -40,6 +40,7 @@ from .olap import top_female_port_city, top_market
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, declared: bool = True) -> DataFrame:
+    """A driver table, read with its declared schema unless ``declared=False``."""
     schema = schemas.DRIVER.get(name) if declared else None
     return read_parquet(spark, f"{sf_dir}/{name}.parquet", schema)
 

@@ -31,6 +31,7 @@ def top_market(fact: DataFrame, markets: DataFrame, persons: DataFrame, *,
                person_key: str, person_attr: str, person_value,
                out_name: str = "market", out_count: str = "n_arrivals",
                out_size: str = "market_size", k: int = 1) -> DataFrame:
+    """Top ``k`` markets by size with their count of matching fact rows (module doc)."""
     p = (persons.where(F.col(person_attr) == F.lit(person_value))
          .select(F.col(person_key).alias("_pk")))
     f = fact.select(F.col(fact_id).alias("_id"), F.col(fact_port).alias("_port"),

@@ -63,6 +63,7 @@ def clean_arrivals(raw: DataFrame, id_offset: int = 0) -> DataFrame:
 
 
 def fact_immigration(clean: DataFrame) -> DataFrame:
+    """Fact table: one row per cleaned arrival."""
     return clean.select("id", "cicid", "year", "month", "port", "state_code", "visa",
                         "arrival_date", "departure_date", "adm_num")
 
@@ -89,6 +90,7 @@ def dim_personal(clean: DataFrame, countries: DataFrame, one_row_per_key: bool =
 
 
 def dim_flight(clean: DataFrame, one_row_per_key: bool = False) -> DataFrame:
+    """Flight dimension; DISTINCT rows, or one row per ``adm_num`` if keyed."""
     cols = ["adm_num", "flight_no", "airline", "visatype"]
     if one_row_per_key:
         return first_by_key(clean.select(*cols), "adm_num", ["flight_no", "airline"])
@@ -147,6 +149,7 @@ def _with_port_codes(cities: DataFrame, ports: DataFrame, parity: bool) -> DataF
 
 def dim_city_population(cities: DataFrame, ports: DataFrame, parity: bool = False
                         ) -> DataFrame:
+    """Population figures per city with its port code(s)."""
     out = _with_port_codes(cities, ports, parity)
     return out.select("city", "state", "city_code", "state_code", "male_population",
                       "female_population", "total_population", "veteran_population",
@@ -154,6 +157,7 @@ def dim_city_population(cities: DataFrame, ports: DataFrame, parity: bool = Fals
 
 
 def dim_city_stats(cities: DataFrame, ports: DataFrame, parity: bool = False) -> DataFrame:
+    """Median age and household size per city with its port code(s)."""
     out = _with_port_codes(cities, ports, parity)
     return out.select("city", "state", "city_code", "state_code", "median_age",
                       "avg_household_size")

@@ -93,6 +93,7 @@ def write_bucketed_table(df: DataFrame, table: str, path: str, buckets: int,
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True,
               mode: str = "overwrite") -> str:
+    """Delimited text with a header; quotes doubled inside quoted fields."""
     (df.write.mode(mode).option("sep", sep).option("header", header)
      .option("quote", '"').option("escape", '"').csv(path))
     return path

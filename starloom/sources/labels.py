@@ -129,11 +129,13 @@ def countries(labels: DataFrame, fmt: str = COUNTRY_FMT) -> DataFrame:
 
 
 def states(labels: DataFrame, fmt: str = STATE_FMT) -> DataFrame:
+    """State codes: ``(state_code, state_name)``."""
     return (labels.where(F.col("fmt") == fmt)
             .select(F.col("code").alias("state_code"), F.col("label").alias("state_name")))
 
 
 def modes(labels: DataFrame, fmt: str = MODE_FMT) -> DataFrame:
+    """Arrival modes: ``(mode_code INT, mode_name)``."""
     return (labels.where(F.col("fmt") == fmt)
             .select(F.col("code").try_cast("int").alias("mode_code"),
                     F.col("label").alias("mode_name")))
