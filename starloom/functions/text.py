@@ -30,7 +30,8 @@ PORT_SPLIT = r"^(.*?)\s*(?:,\s*|\s+)([A-Z]{2})(?:\s*[(#].*)?$"
 
 
 def _code_part(line: Column) -> Column:
-    return F.regexp_replace(line, LINE_COMMENT, "")
+    """The line without same-line comments and without a byte-order mark."""
+    return F.regexp_replace(F.regexp_replace(line, "^\ufeff", ""), LINE_COMMENT, "")
 
 
 def header_fmt(line: Column) -> Column:

@@ -137,3 +137,10 @@ def test_trailing_comment_with_quote_is_not_label(spark, tmp_path):
     p.write_text("value $blk\n 'A' = 'ALPHA' /* it's old */\n;\n")
     got = [(r.code, r.label) for r in lb.code_labels(spark, str(p)).collect()]
     assert got == [("A", "ALPHA")]
+
+
+def test_byte_order_mark_before_first_header(spark, tmp_path):
+    p = tmp_path / "bom.txt"
+    p.write_bytes("value $blk\n 'A' = 'ALPHA'\n;\n".encode("utf-8-sig"))
+    got = [(r.fmt, r.code, r.label) for r in lb.code_labels(spark, str(p)).collect()]
+    assert got == [("$blk", "A", "ALPHA")]
