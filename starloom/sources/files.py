@@ -34,10 +34,10 @@ def read_parquet_glob(spark: SparkSession, pattern: str, base_path: str | None =
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool = True,
              schema: T.StructType | None = None, infer: bool = False,
-             quote: str = '"', escape: str = '"') -> DataFrame:
+             quote: str = '"', escape: str = '"', encoding: str = "UTF-8") -> DataFrame:
     """Delimited text with a declared schema (``infer=True`` for exploration)."""
     reader = (spark.read.option("sep", sep).option("header", header)
-              .option("quote", quote).option("escape", escape))
+              .option("quote", quote).option("escape", escape).option("encoding", encoding))
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:

@@ -30,3 +30,12 @@ def test_csv_roundtrip_quoted_comma(spark, tmp_dir):
     back = read_csv(spark, write_csv(df, f"{tmp_dir}/c", sep=","), sep=",",
                     schema=df.schema).collect()
     assert sorted(map(tuple, back), key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
+def test_csv_latin1(spark, tmp_dir):
+    path = f"{tmp_dir}/latin1.csv"
+    with open(path, "w", encoding="latin-1") as fh:
+        fh.write("City;Count\nSão Paulo;3\n")
+    got = read_csv(spark, path, sep=";", schema="City string, Count int",
+                   encoding="ISO-8859-1").collect()
+    assert [tuple(r) for r in got] == [("São Paulo", 3)]
