@@ -47,10 +47,10 @@ def clean_arrivals(raw: DataFrame, id_offset: int = 0) -> DataFrame:
         n("i94mon", "int").alias("month"),
         n("i94cit", "int").alias("citizen_country"),
         n("i94res", "int").alias("residence_country"),
-        char_cast("i94port").alias("port"),
+        F.trim(char_cast("i94port")).alias("port"),  # codes are trimmed like the dictionary's
         sas_day_to_timestamp("arrdate").alias("arrival_date"),
         sas_day_to_timestamp("depdate").alias("departure_date"),
-        char_cast("i94addr").alias("state_code"),
+        F.trim(char_cast("i94addr")).alias("state_code"),
         n("i94bir", "int").alias("age"),
         n("biryear", "int").alias("birth_year"),
         code_label("i94visa").alias("visa"),

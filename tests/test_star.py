@@ -208,3 +208,11 @@ def test_month_filter_prunes_fact_partitions(spark, built):
     part_filters = [l for l in plan.splitlines() if l.startswith("PartitionFilters")][0]
     assert "(month" in part_filters and "= 5)" in part_filters
     assert may.count() == 1
+
+
+def test_padded_port_code_matches_trimmed_dictionary_code(spark):
+    cols = schemas.ARRIVALS_RAW.fieldNames()
+    row = dict(fx.BASE, cicid=99.0, admnum=1.0, i94port="CP ", i94addr=" CA")
+    raw = spark.createDataFrame([tuple(row[c] for c in cols)], schemas.ARRIVALS_RAW)
+    r = star.clean_arrivals(raw).first()
+    assert (r.port, r.state_code) == ("CP", "CA")
