@@ -13,21 +13,39 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest lookup we broadcast after a row check: a code-dictionary block or a
-# dimension of that order (a few hundred bytes per row, so tens of MB at
-# most); larger sides use a shuffle join.
+# Largest lookup we broadcast after a size check: a code-dictionary block or a
+# dimension of that order. Both the row count and the bytes are checked, so a
+# few very wide rows cannot slip through; larger sides use a shuffle join.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
+_VARIABLE_WIDTH = (T.StringType, T.BinaryType)
+_FIXED_WIDTH_BOUND = 16  # bytes; the widest fixed-width value is a 128-bit decimal
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
 
-    The check counts at most ``max_rows + 1`` rows, so it stops early on a
-    large input instead of counting it whole.
+def _width(field: T.StructField):
+    """Upper bound of a column's bytes in one row: actual bytes for strings
+    and binaries, a fixed bound for everything else."""
+    if isinstance(field.dataType, _VARIABLE_WIDTH):
+        return F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)).cast("long")
+    return F.lit(_FIXED_WIDTH_BOUND).cast("long")
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows and ``max_bytes``
+    bytes of data, else ``df``.
+
+    One job reads at most ``max_rows + 1`` rows (it stops early on a large
+    input) and sums their widths; nested columns fail the check.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in df.schema):
+        return df
+    width = sum((_width(f) for f in df.schema.fields), F.lit(0).cast("long"))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df
 
 
 def role_lookup(df: DataFrame, lookup: DataFrame, lookup_key: str, lookup_value: str,

@@ -49,8 +49,9 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
     Uses ``spark.checkpoint.dir`` as named by the cluster. Only when it is
-    unset (local runs, tests) a folder of our own is created and registered,
-    so that ``DataFrame.checkpoint()`` also works.
+    unset on a local master (local runs, tests) a folder of our own is
+    created and registered, so that ``DataFrame.checkpoint()`` also works;
+    on a cluster master an unset folder is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -61,6 +62,11 @@ def scratch_dir(spark: SparkSession) -> str:
         sc = None
     if configured:
         return configured.rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local"):
+        # a machine-local folder is not shared by executors and is lost with them
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                           f"(master {master!r} has none)")
     local = tempfile.mkdtemp(prefix="starloom-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)

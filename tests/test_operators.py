@@ -87,6 +87,16 @@ def test_bounded_broadcast(spark):
     assert "broadcast" not in str(bounded_broadcast(big, 10)._jdf.queryExecution().logical()).lower()
 
 
+def test_bounded_broadcast_checks_bytes(spark):
+    def hinted(df):
+        return "broadcast" in str(df._jdf.queryExecution().logical()).lower()
+    wide = spark.createDataFrame([(i, "x" * 1000) for i in range(5)], "k int, v string")
+    assert hinted(bounded_broadcast(wide, 10, max_bytes=100_000))
+    assert not hinted(bounded_broadcast(wide, 10, max_bytes=4_000))  # few rows, too many bytes
+    nested = spark.createDataFrame([(1, [1, 2])], "k int, a array<int>")
+    assert not hinted(bounded_broadcast(nested, 10))
+
+
 # --- quality -----------------------------------------------------------------
 
 def test_dq_pk_unique(spark):

@@ -14,6 +14,24 @@ def test_scratch_dir_uses_session_checkpoint_dir(spark):
     assert a != b and a.startswith(d)
 
 
+def test_scratch_dir_refuses_machine_local_folder_on_a_cluster():
+    import pytest
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class ClusterSession:  # cluster master, no checkpoint folder, no local context
+        conf = Conf()
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no SparkContext")
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(ClusterSession())
+
+
 def test_csv_declared_schema_vs_inference(spark, tmp_dir):
     path = f"{tmp_dir}/demog.csv"
     with open(path, "w") as fh:
