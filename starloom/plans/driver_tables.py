@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import (char_cast, code_label, region_state, register_sql_functions,
                          sas_day_to_timestamp, timestamp_to_sas_day, upper_name)
-from ..operators import (as_map, cast_columns, conform, dq_fk_orphans, dq_non_empty,
+from ..operators import (as_map, bounded_broadcast, cast_columns, conform, dq_fk_orphans, dq_non_empty,
                          dq_null_profile, dq_pk_unique, dq_schema, distinct_projection,
                          first_by_key, group_count, group_max, map_element, preview,
                          rename, require_columns, role_lookup, rows_at_group_max,
@@ -199,9 +199,15 @@ def q_role_playing_lookup(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    staged = (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(c, F.col("o_custkey") == c.c_custkey)
-              .join(s, F.col("l_suppkey") == s.s_suppkey))
+    # Lineitem rows meet the supplier first and shrink to distinct
+    # (order, supplier nation) pairs, partially aggregated before the shuffle,
+    # so a hot order collapses map-side; only those pairs meet the
+    # orders-sized order/customer side.
+    pairs = (li.join(bounded_broadcast(s), li.l_suppkey == s.s_suppkey)
+             .select("l_orderkey", "s_nationkey").distinct())
+    orders = (o.join(c, o.o_custkey == c.c_custkey)
+              .select("o_orderkey", "o_orderpriority", "c_nationkey"))
+    staged = pairs.join(orders, pairs.l_orderkey == orders.o_orderkey)
     named = role_lookup(staged, table(spark, d, "nation"), "n_nationkey", "n_name",
                         {"c_nationkey": "customer_nation", "s_nationkey": "supplier_nation"})
     return distinct_projection(named, [F.col("l_orderkey").alias("order_key"),

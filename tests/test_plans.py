@@ -84,11 +84,19 @@ def test_clean_arrivals_pushes_filters_and_prunes_columns(spark, tmp_dir):
 
 def test_bounded_lookups_broadcast_even_without_size_stats(spark):
     """With size-based broadcasting off (as for huge tables), the two nation
-    lookups still broadcast after their row check; the big joins sort-merge."""
+    lookups and the (small here) supplier table still broadcast after their
+    size check; the order-level joins sort-merge. Lineitem rows are reduced
+    to distinct (order, nation) pairs before any shuffle on the order key,
+    and the final distinct reuses that partitioning."""
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = _plan(QUERIES["role_playing_lookup"](spark, SF_SMALL))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" in plan
+    assert plan.count("BroadcastHashJoin") == 3 and plan.count("SortMergeJoin") == 2
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert len(exchanges) == 5
+    assert not any("customer_nation" in e for e in exchanges)  # no shuffle for the distinct
+    assert not any("l_suppkey" in e for e in exchanges)  # bounded supplier side broadcast
+    assert [e.split("#")[0] for e in exchanges if "custkey" in e] == ["o_custkey", "c_custkey"]
