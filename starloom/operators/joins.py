@@ -44,7 +44,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in df.schema):
         return df
     width = sum((_width(f) for f in df.schema.fields), F.lit(0).cast("long"))
-    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    # widths first, so the limit's single-partition exchange carries one long per row
+    n, size = (df.select(width.alias("_w")).limit(max_rows + 1)
+               .agg(F.count(F.lit(1)), F.sum("_w")).first())
     return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df
 
 
