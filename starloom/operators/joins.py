@@ -95,7 +95,7 @@ def cast_key_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     The right key is converted once with ``try_cast`` (a code that is not a
     number becomes NULL and matches nothing) instead of casting per
     comparison or failing under ANSI mode. The lookup is broadcast if it
-    passes the row check.
+    passes the size check (rows and bytes).
     """
     r = right.withColumn("_jk", F.col(right_key).try_cast(key_type))
     if broadcast and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
