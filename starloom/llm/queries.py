@@ -6,13 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import (bpe_codec, decontaminate, quality_rules, secret_scan, simhash,
-                           token_count)
+from starloom.llm import (bpe_codec, decontaminate, license_scan, quality_rules, secret_scan,
+                          sharding, simhash, token_count, url_filter)
 from starloom.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 TOKEN_LIMIT = 2048
+# The url rules of the contract, as (host, path).
+ALLOW = [("org", "/"), ("com", "/fr/")]
+BLOCK = [("example.org", "/es/"), ("example.org", "/en/1"), ("com", "/de/")]
 
 
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +47,18 @@ def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, by bytes."""
+    return (sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
+            .withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of every document."""
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -57,6 +72,38 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.scan_documents(table(spark, sf_dir, "documents"), BYTE_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_codec, op3_quality_rules, op4_decontamination,
-                                   op5_token_count, op8_simhash, op9_secret_scan)}
-ORACLE: dict[str, str] = {}
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), ALLOW, BLOCK)
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_bpe_codec, op3_quality_rules, op4_decontamination, op5_token_count, op6_sharding,
+    op7_license_scan, op8_simhash, op9_secret_scan, op10_url_filter)}
+
+_URL_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for v, rules in (("allow", ALLOW), ("block", BLOCK))
+                       for h, p in rules)
+ORACLE: dict[str, str] = {
+    "op10_url_filter": f"""
+        WITH cut AS (
+            SELECT row_number() OVER () AS r, page_id, contains(coalesce(url, ''), '://') AS known,
+                   substr(url, strpos(url, '://') + 3) AS rest FROM pages),
+        parts AS (
+            SELECT r, page_id,
+                   CASE WHEN known THEN translate(regexp_extract(rest, '^[^/?#]*'),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                        ELSE '' END AS host,
+                   CASE WHEN known THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1)
+                        ELSE '' END AS path
+            FROM cut),
+        rules(rule_host, rule_path, says) AS (VALUES {_URL_RULES}),
+        best AS (
+            SELECT r, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+                   max_by(says, length(rule_host || rule_path)) AS says
+            FROM parts JOIN rules
+              ON (host = rule_host OR ends_with(host, '.' || rule_host))
+             AND starts_with(path, rule_path)
+            GROUP BY r)
+        SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict
+        FROM parts LEFT JOIN best USING (r)""",
+}
