@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import (bpe_codec, decontaminate, license_scan, quality_rules, secret_scan,
-                          sharding, simhash, token_count, url_filter)
+from starloom.llm import (bpe_codec, decontaminate, html_wrapper, license_scan, quality_rules,
+                          secret_scan, sharding, simhash, token_count, url_filter)
 from starloom.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,12 @@ ALLOW = [("org", "/"), ("com", "/fr/")]
 BLOCK = [("example.org", "/es/"), ("example.org", "/en/1"), ("com", "/de/")]
 
 
+def op1_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_wrapper.main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of ids and decoded text of every document."""
     return bpe_codec.token_digests(
@@ -78,7 +84,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_bpe_codec, op3_quality_rules, op4_decontamination, op5_token_count, op6_sharding,
+    op1_html_wrapper, op2_bpe_codec, op3_quality_rules, op4_decontamination, op5_token_count, op6_sharding,
     op7_license_scan, op8_simhash, op9_secret_scan, op10_url_filter)}
 
 _URL_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for v, rules in (("allow", ALLOW), ("block", BLOCK))
