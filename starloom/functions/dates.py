@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 # The SAS epoch and the microseconds in one day.
 SAS_EPOCH = "1960-01-01 00:00:00"
 MICROS_PER_DAY = 86_400_000_000
+EPOCH_DAYS_BEFORE_1970 = 3_653
 
 
 def _epoch() -> Column:
@@ -30,7 +31,13 @@ def sas_day_to_timestamp(day: Column | str) -> Column:
 
 
 def timestamp_to_sas_day(ts: Column | str) -> Column:
-    """timestamp_ntz -> fractional day number since the SAS epoch (double)."""
+    """timestamp_ntz -> fractional day number since the SAS epoch (double).
+
+    Built from the calendar fields: a difference of timestamps would pass
+    through the session zone and shift local times that the zone skips.
+    """
     ts = F.col(ts) if isinstance(ts, str) else ts
-    micros = F.timestamp_diff("MICROSECOND", _epoch(), ts)
-    return micros.cast("double") / F.lit(float(MICROS_PER_DAY))
+    days = F.unix_date(ts.cast("date")).cast("bigint") + EPOCH_DAYS_BEFORE_1970
+    seconds = days * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60
+    fraction = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    return (seconds * 1_000_000 + fraction).cast("double") / F.lit(float(MICROS_PER_DAY))

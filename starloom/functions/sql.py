@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 from . import text as tx
 from .codes import REGION_STATE_PATTERN, VISA_CATEGORIES
-from .dates import MICROS_PER_DAY, SAS_EPOCH
+from .dates import EPOCH_DAYS_BEFORE_1970, MICROS_PER_DAY, SAS_EPOCH
 
 
 def _lit(pattern: str) -> str:
@@ -34,7 +34,9 @@ def function_definitions() -> dict[str, str]:
             f"TIMESTAMP_NTZ'{SAS_EPOCH}')"),
         "timestamp_to_sas": (
             "(t TIMESTAMP_NTZ) RETURNS DOUBLE RETURN "
-            f"CAST(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{SAS_EPOCH}', t) AS DOUBLE) "
+            f"CAST(((CAST(unix_date(CAST(t AS DATE)) AS BIGINT) + {EPOCH_DAYS_BEFORE_1970}) * 86400 "
+            "+ hour(t) * 3600 + minute(t) * 60) * 1000000 "
+            "+ CAST(extract(SECOND FROM t) * 1000000 AS BIGINT) AS DOUBLE) "
             f"/ {MICROS_PER_DAY}D"),
         "visa_category": f"(v DOUBLE) RETURNS STRING RETURN {_visa_case()}",
         "region_state": (

@@ -82,5 +82,25 @@ def test_sql_label_parsers_match_dataframe_functions(spark):
     api = df.select(tx.entry_code(df.line), lab, tx.port_city_candidate(lab),
                     tx.port_state_candidate(lab)).collect()
     assert [tuple(r) for r in sql] == [tuple(r) for r in api]
-    got = {r.c: (r.pc, r.ps) for r in sql if r.c == "INL"}
-    assert got == {"INL": ("INT'L FALLS", "MN")}
+    got = {r.c: (r.pc, r.ps) for r in sql if r.c == "OMA"}
+    assert got == {"OMA": ("O'MALLEY POINT", "MN")}
+
+
+def test_sas_day_does_not_depend_on_the_session_zone(spark):
+    """02:30 on the day the clocks go forward in Los Angeles."""
+    from pyspark.sql import functions as F
+
+    from starloom.functions import (register_sql_functions, sas_day_to_timestamp,
+                                    timestamp_to_sas_day)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        register_sql_functions(spark)
+        for text in ("2016-03-13 02:30:00", "2016-11-06 01:30:00.000001", "1959-12-31 23:59:59.5",
+                     "1883-11-18 12:05:00"):
+            df = spark.sql(f"SELECT TIMESTAMP_NTZ'{text}' AS t")
+            row = df.select("t", sas_day_to_timestamp(timestamp_to_sas_day("t")).alias("a"),
+                            F.expr("sas_to_timestamp(timestamp_to_sas(t))").alias("b")).first()
+            assert row.a == row.t == row.b
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
