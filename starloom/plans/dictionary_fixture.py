@@ -66,22 +66,24 @@ ENTRY_LINES = [
 
 # Fixed lines around the blocks: (section, kind, order key, text).
 FIXED_LINES = [
-    (0, 0, 0, "libname library 'dictionary location' ;"),
-    (0, 0, 1, "proc format library=library ;"),
-    (0, 0, 2, ""),
-    (0, 0, 3, "/* COUNTRY - codes of countries */"),
+    (0, 0, 0, "options derived from tables ;"),
+    (0, 0, 1, "/* a remark over"),
+    (0, 0, 2, "   value $two lines; */"),
+    (0, 0, 3, "/* customers as lands */"),
     (1, 0, 0, "  value i94cntyl"),
     (1, 2, 0, ";"),
     (2, 0, 0, ""),
-    (2, 0, 1, "/* PORT - codes of ports of entry */"),
+    (2, 0, 1, "/* parts as landing places */"),
     (3, 0, 0, "  value $i94prtl"),
+    (3, 0, 1, "   /* 'NONE' = 'a remark inside the block',"),
+    (3, 0, 2, "      which ends with a semicolon; */"),
     (3, 2, 0, ";"),
-    (4, 0, 0, "/* MODE - not reported (9) is listed too */"),
+    (4, 0, 0, "/* regions as ways to travel */"),
     (5, 0, 0, "value i94model"),
     (5, 2, 0, "\t;"),
-    (6, 0, 0, "/* VISA - collapsed into three categories, not a format:"),
-    (6, 0, 1, "   1 = Business"),
-    (6, 0, 2, "   2 = 'Pleasure'"),
+    (6, 0, 0, "/* not a block:"),
+    (6, 0, 1, "   1 = Plain"),
+    (6, 0, 2, "   2 = 'Quoted'"),
     (6, 0, 3, "*/"),
     (7, 0, 0, "value i94addrl"),
     (7, 2, 0, " ;"),

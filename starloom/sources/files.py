@@ -66,10 +66,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> str:
     """Parquet write; full overwrite by default, as for the star tables.
 
-    With ``partition_by`` and ``partitionOverwriteMode=dynamic`` on the
-    session, an overwrite replaces only the partitions present in ``df``.
+    An overwrite replaces the whole table, whatever ``partitionOverwriteMode``
+    the session has (the streaming refresh asks for dynamic overwrite itself).
     """
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -84,7 +84,8 @@ def write_bucketed_table(df: DataFrame, table: str, path: str, buckets: int,
     shuffle on either side (read them with ``spark.table``). The data lives
     at ``path``; the catalog entry records the bucketing.
     """
-    writer = df.write.mode("overwrite").option("path", path)
+    writer = (df.write.mode("overwrite").option("path", path)
+              .option("partitionOverwriteMode", "static"))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)

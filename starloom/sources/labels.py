@@ -1,31 +1,30 @@
 """Code dictionary -> lookup tables, as Spark jobs.
 
-The dictionary text is read line by line (splittable, in parallel). Each
+The dictionary text is read once, line by line (splittable, in parallel). Each
 line learns the block it belongs to with a two-level scan instead of a
 driver round trip or a whole-file read:
 
-1. inside each input split, one ordered pass per partition
-   (``mapInPandas``) carries the last ``value <fmt>`` header / ``;``
-   terminator forward. A split is never divided between tasks and its
-   lines arrive in file order, so this needs no shuffle of the lines;
-2. a one-row-per-split summary, built from the header/terminator lines
-   only, gives the state a split inherits from the splits before it
-   (ordered by file path and byte offset). It has exactly as many rows as
-   the scan has input splits, which the driver already plans, so
-   broadcasting it is bounded.
-
-Blocks are parsed whole: no entry is lost at a block edge and codes of any
-width (``'AG'``, ``'.GA'``, ``'CP '``) are accepted.
+1. inside each input split, one ordered pass per partition strips comments
+   and carries the open block forward. A split cannot know whether it begins inside
+   a comment, so the pass answers for both cases. A split is never
+   divided between tasks and its lines arrive in file order, so this needs no
+   shuffle of the lines; the result is staged;
+2. a one-row-per-split summary of the staged lines gives the state that a
+   split inherits from the splits before it (ordered by file path and byte
+   offset): which case holds, and which block is open.
+
+Blocks are parsed whole: no entry is lost at a block edge, comments may span
+lines anywhere, and codes of any width (``'AG'``, ``'.GA'``, ``'CP '``) are accepted.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text as tx
-from .files import read_text_lines
+from ..session import scratch_path
+from .files import read_text_lines, write_parquet
 
 # Block names of the arrivals code dictionary.
 COUNTRY_FMT = "i94cntyl"
@@ -34,75 +33,95 @@ MODE_FMT = "i94model"
 STATE_FMT = "i94addrl"
 
 
-def _state_before_line():
-    """Running block state inside each split, in read order.
+def _scan_lines():
+    """The ordered pass: a function for ``mapInPandas``.
 
-    Returns the per-partition function for ``mapInPandas``: for every line,
-    the state left by the last header/terminator *before* it in the same
-    split (NULL if none yet). Lines of one split are contiguous and in file
-    order within a partition, so one pass per partition suffices; the state
-    carries across Arrow batches of the same split. Built as a closure so
-    that it is shipped to the Python workers by value (they need not import
-    this package).
+    For ``c`` = 0 (the split begins outside a comment) and 1 (inside) it adds
+    ``code<c>``, the line without comments; ``fmt<c>``, the block open before
+    the line ('' closed, NULL not known in this split); ``in<c>`` and
+    ``end<c>``, comment and block state after it. Built as a closure so that it is
+    shipped to the Python workers by value (they need not import this package).
     """
+    import re
+    token = re.compile(r"'(?:[^']|'')*'|/\*")
+    header, closes = re.compile(tx.HEADER, re.ASCII), re.compile(tx.CLOSES, re.ASCII)
+
+    def strip(line, inside):
+        out, at = [], 0
+        while at < len(line):
+            if inside:
+                end = line.find("*/", at)
+                if end < 0:
+                    return "".join(out), True
+                at, inside = end + 2, False
+                continue
+            m = token.search(line, at)
+            stop = m.start() if m else len(line)
+            out.append(line[at:stop])
+            if not m:
+                break
+            at, inside = m.end(), m.group() == "/*"
+            if not inside:
+                out.append(m.group())  # quoted text may hold comment marks
+        return "".join(out), inside
+
     def run(batches):
-        carry: dict = {}
+        split, states = None, None
         for pdf in batches:
-            new_run = ((pdf["file"] != pdf["file"].shift())
-                       | (pdf["block"] != pdf["block"].shift()))
-            run_id = new_run.cumsum()
-            filled = pdf["_after"].groupby(run_id).ffill()
-            before = filled.groupby(run_id).shift(1).astype(object)
-            for start in pdf.index[new_run.to_numpy()]:
-                key = (pdf.at[start, "file"], int(pdf.at[start, "block"]))
-                members = (run_id == run_id[start]).to_numpy()
-                # NULL only up to the segment's first event: inherit the
-                # state left by earlier batches of the same split.
-                if key in carry:
-                    before[members & before.isna().to_numpy()] = carry[key]
-                seen = filled[members].dropna()
-                if len(seen):
-                    carry[key] = seen.iloc[-1]
-            out = pdf.drop(columns=["_after"])
-            out["_local"] = before.where(before.notna(), None)
-            yield out
+            rows = []
+            for line, file, block in zip(pdf["value"], pdf["file"], pdf["block"]):
+                if (file, block) != split:
+                    split, states = (file, block), [(False, None), (True, None)]
+                row = []
+                for c, (inside, fmt) in enumerate(states):
+                    code, inside = strip((line or "").lstrip("\ufeff"), inside)
+                    before, m = fmt, header.search(code)
+                    if closes.search(code):
+                        fmt = ""
+                    elif m:
+                        fmt = m.group(1)
+                    states[c] = (inside, fmt)
+                    row += [code, before, inside, fmt]
+                rows.append(row)
+            added = list(zip(*rows)) if rows else [[]] * 8
+            names = ["code0", "fmt0", "in0", "end0", "code1", "fmt1", "in1", "end1"]
+            yield pdf.assign(**{n: list(v) for n, v in zip(names, added)})
     return run
 
 
 def label_lines(lines: DataFrame) -> DataFrame:
-    """Add ``fmt`` (the open block, or NULL outside blocks) to every line.
+    """Add ``code`` (the line without comments) and ``fmt`` (the open block, or
+    NULL outside blocks) to every line.
 
     ``lines`` has the columns of :func:`read_text_lines`
-    (``value, file, block, row``). No shuffle of the lines: the in-split
-    state comes from one ordered pass per partition, and the state a split
-    inherits from earlier splits is derived from the event lines (headers
-    and terminators) alone.
+    (``value, file, block, row``); the scanned lines are staged once.
     """
-    v = F.col("value")
-    # State after this line: a header opens its block, a ';' closes it ('').
-    after = (F.when(tx.header_fmt(v).isNotNull() & ~tx.closes_block(v), tx.header_fmt(v))
-             .when(tx.closes_block(v), F.lit("")))
-    ev = lines.withColumn("_after", after)
-
-    local_schema = T.StructType(list(lines.schema.fields)
-                                + [T.StructField("_local", T.StringType(), True)])
-    with_local = ev.mapInPandas(_state_before_line(), local_schema)
-
-    events = ev.where(F.col("_after").isNotNull())
-    splits = (lines.select("file", "block").distinct()
-              .join(events.groupBy("file", "block")
-                    .agg(F.max(F.struct("row", "_after")).alias("_last")),
-                    ["file", "block"], "left"))
-    # Global order of splits; this table has one row per input split.
+    spark = lines.sparkSession
+    added = [f"{n}{c} {t}" for c in (0, 1) for n, t in
+             (("code", "string"), ("fmt", "string"), ("in", "boolean"), ("end", "string"))]
+    schema = "value string, file string, block bigint, row bigint, " + ", ".join(added)
+    scanned = spark.read.parquet(write_parquet(
+        lines.select("value", "file", "block", "row").mapInPandas(_scan_lines(), schema),
+        scratch_path(spark, "label_lines")))
+    # State after each split, in the global order of splits. One row per input
+    # split, which the driver plans anyway.
+    splits = (scanned.groupBy("file", "block")
+              .agg(F.max_by(F.struct("in0", "end0", "in1", "end1"), "row").alias("s"))
+              .select("file", "block", "s.*"))
     before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    carry = splits.select(
-        "file", "block",
-        F.last(F.col("_last._after"), ignorenulls=True).over(before).alias("_carry"))
-
-    fmt = F.coalesce(F.col("_local"), F.col("_carry"))
-    return (with_local.join(F.broadcast(carry), ["file", "block"], "left")
-            .withColumn("fmt", F.nullif(fmt, F.lit("")))
-            .drop("_local", "_carry"))
+    # a split without comment marks ends as it began, all others end one way
+    known = F.when(F.col("in0") == F.col("in1"), F.col("in0"))
+    splits = splits.withColumn("inside", F.coalesce(
+        F.last(known, ignorenulls=True).over(before), F.lit(False)))
+    end = F.when(F.col("inside"), F.col("end1")).otherwise(F.col("end0"))
+    carry = splits.select("file", "block", "inside",
+                          F.last(end, ignorenulls=True).over(before).alias("open"))
+    # no hint: AQE broadcasts the summary when it is small
+    joined = scanned.join(carry, ["file", "block"], "left")
+    fmt = F.when(F.col("inside"), F.col("fmt1")).otherwise(F.col("fmt0"))
+    code = F.when(F.col("inside"), F.col("code1")).otherwise(F.col("code0"))
+    return joined.select("value", "file", "block", "row", code.alias("code"),
+                         F.nullif(F.coalesce(fmt, F.col("open")), F.lit("")).alias("fmt"))
 
 
 def code_labels(spark: SparkSession | None, source: str | DataFrame) -> DataFrame:
@@ -112,7 +131,7 @@ def code_labels(spark: SparkSession | None, source: str | DataFrame) -> DataFram
     :func:`read_text_lines` shape.
     """
     lines = read_text_lines(spark, source) if isinstance(source, str) else source
-    v = F.col("value")
+    v = F.col("code")
     return (label_lines(lines)
             .where(F.col("fmt").isNotNull() & tx.is_entry(v))
             .select("fmt", tx.entry_code(v).alias("code"), tx.entry_label(v).alias("label")))

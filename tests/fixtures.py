@@ -6,12 +6,11 @@ import os
 
 from starloom import schemas
 
-DICTIONARY = """libname library 'somewhere' ;
-proc format library=library ;
+DICTIONARY = """options made_up ;
 
-/* YEAR - 4 digit year */
+/* codes of an invented land survey */
 
-/* CIT & RES - country codes, valid and invalid */
+/* part one: lands */
   value i94cntyl
    101 =  'FIRSTLAND'
    236 =  'NORTH ELBONIA'
@@ -20,7 +19,7 @@ proc format library=library ;
    999 =  'LASTLAND' ;
 
 
-/* PORT - port codes */
+/* part two: landing places */
   value $i94prtl
    'ABC'\t=\t'ALPHA CITY, AK             '
    'ABD'\t=\t'BRAVO TOWN, AK'
@@ -29,7 +28,7 @@ proc format library=library ;
    'AG'\t=\t'AGUA, MX'
    'CP '\t=\t'CAPE POINT, CA'
    '.GA'\t=\t'DOT PORT, GA'
-   'INL'\t=\t'INT''L FALLS, MN'
+   'OMA'\t=\t'O''MALLEY POINT, MN'
    'SPX'\t=\t'SPRINGS,CO'
    'PRT'\t=\t'PORTVILLE, ME'
    'PRO'\t=\t'PORTVILLE, OR'
@@ -41,33 +40,33 @@ proc format library=library ;
 ;
 
 
-/* ARRDATE - a SAS date numeric field */
+/* days are counted, see the manual */
 
 
-/* MODE - missing and not reported (9) */
+/* part three: ways to travel */
 value i94model
-\t1 = 'Air'
-\t2 = 'Sea'
-\t3 = 'Land'
-\t9 = 'Not reported' ;
+\t1 = 'Balloon'
+\t2 = 'Raft'
+\t3 = 'Mule'
+\t9 = 'Unknown way' ;
 \t
 
-/* ADDR - valid state codes, everything else is 'other' */
+/* part four: provinces; unlisted ones don't count */
 value i94addrl
-\t'AK'='ALASKA'
-\t'CA'='CALIFORNIA'
-\t'CO'='COLORADO'
-\t'DC'='DIST. OF COLUMBIA'
-\t'GA'='GEORGIA'
-\t'ME'='MAINE'
-\t'MI'='MICHIGAN'
-\t'MN'='MINNESOTA'
-\t'NY'='NEW YORK'
-\t'OR'='OREGON'
-\t'WA'='WASHINGTON'
-\t'99'='All Other Codes' ;
-
-/* VISA - collapsed into categories, documented only:
+\t'AK'='ALDER KEEP'
+\t'CA'='CANYON'
+\t'CO'='COPPER'
+\t'DC'='DOVE COUNTY'
+\t'GA'='GARDEN'
+\t'ME'='MEADOW'
+\t'MI'='MIDLAND'
+\t'MN'='MOON'
+\t'NY'='NORTH YARD'
+\t'OR'='ORCHARD'
+\t'WA'='WATER'
+\t'99'='Elsewhere' ;
+
+/* reasons, told in prose only:
    1 = 'Trips'
    2 = Leisure
 */
@@ -81,7 +80,7 @@ COUNTRIES = {101: "FIRSTLAND", 236: "NORTH ELBONIA", 0: "NO COUNTRY (0)",
 PORTS = {
     "ABC": ("ALPHA CITY", "AK"), "ABD": ("BRAVO TOWN", "AK"), "WDC": ("CAPITOL", "DC"),
     "XYZ": ("No PORT Code (XYZ)", None), "AG": ("AGUA, MX", None),
-    "CP": ("CAPE POINT", "CA"), ".GA": ("DOT PORT", "GA"), "INL": ("INT'L FALLS", "MN"),
+    "CP": ("CAPE POINT", "CA"), ".GA": ("DOT PORT", "GA"), "OMA": ("O'MALLEY POINT", "MN"),
     "SPX": ("SPRINGS", "CO"), "PRT": ("PORTVILLE", "ME"), "PRO": ("PORTVILLE", "OR"),
     "ALC": ("ALPHA CITY", "AK"), "BRK": ("BROOK", "NY"), "HSH": ("HASHTON", "WA"),
     "TWO": ("LAKE, NORTH SHORE", "MI"), "UNK": ("UNKNOWN", None),

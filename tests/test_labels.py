@@ -54,9 +54,9 @@ def test_ports_without_state_check(spark, dict_path):
 def test_states_and_modes(spark, dict_path):
     e = _entries(spark, dict_path)
     st = {r.state_code: r.state_name for r in lb.states(e).collect()}
-    assert st["DC"] == "DIST. OF COLUMBIA" and st["AK"] == "ALASKA" and "99" in st
+    assert st["DC"] == "DOVE COUNTY" and st["AK"] == "ALDER KEEP" and "99" in st
     modes = {r.mode_code: r.mode_name for r in lb.modes(e).collect()}
-    assert modes == {1: "Air", 2: "Sea", 3: "Land", 9: "Not reported"}
+    assert modes == {1: "Balloon", 2: "Raft", 3: "Mule", 9: "Unknown way"}
 
 
 def test_parse_survives_small_splits_and_batches(spark, dict_path):
@@ -144,3 +144,25 @@ def test_byte_order_mark_before_first_header(spark, tmp_path):
     p.write_bytes("value $blk\n 'A' = 'ALPHA'\n;\n".encode("utf-8-sig"))
     got = [(r.fmt, r.code, r.label) for r in lb.code_labels(spark, str(p)).collect()]
     assert got == [("$blk", "A", "ALPHA")]
+
+
+def test_comments_over_lines_inside_and_between_blocks(spark, tmp_path):
+    p = tmp_path / "d.txt"
+    p.write_text("/* opens\n value $no\n 'X' = 'NOT AN ENTRY' */ value $blk\n 'A' = 'ALPHA'\n"
+                 " /* 'B' = 'BRAVO'\n closes here; */\n 'C' = 'CHARLIE /* kept */'\n"
+                 " /* one */ 'D' = 'DELTA' /* two\n ; */ 'E' = 'ECHO'\n;\n 'F' = 'OUTSIDE'\n")
+    want = [("$blk", "A", "ALPHA"), ("$blk", "D", "DELTA"), ("$blk", "E", "ECHO")]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "23"):  # whole, and cut inside comments and lines
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = sorted((r.fmt, r.code, r.label) for r in lb.code_labels(spark, str(p)).collect())
+            assert [g for g in got if g[1] != "C"] == want
+            assert [g[:2] for g in got if g[1] == "C"] == [("$blk", "C")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_parse_reads_the_text_once(spark, dict_path):
+    plan = lb.code_labels(spark, dict_path)._jdf.queryExecution().executedPlan().toString()
+    assert "Scan text" not in plan and "MapInPandas" not in plan  # staged lines only
