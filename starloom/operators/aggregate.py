@@ -57,11 +57,6 @@ def group_count(df: DataFrame, keys: str | Sequence[str], column: str | None = N
     return df.groupBy(*[quoted(k) for k in keys]).agg(agg.alias(alias))
 
 
-def row_count(df: DataFrame, alias: str = "n_rows") -> DataFrame:
-    """One-row DataFrame with the row count (lazy, unlike ``df.count()``)."""
-    return df.agg(F.count(F.lit(1)).alias(alias))
-
-
 def distinct_projection(df: DataFrame, columns: Sequence[str | Column]) -> DataFrame:
     """``SELECT DISTINCT columns`` (partial aggregation before the shuffle)."""
     cols = [quoted(c) if isinstance(c, str) else c for c in columns]

@@ -41,7 +41,8 @@ def sorted_distinct(df: DataFrame, columns: Sequence[str], order: Sequence[str])
 def clustered_for_write(df: DataFrame, keys: Sequence[str], partitions: int | None = None
                         ) -> DataFrame:
     """Range-partition by ``keys`` and sort inside partitions: files come out
-    ordered and non-overlapping without one global sort task."""
+    ordered and non-overlapping without one global sort task. Without
+    ``partitions`` AQE merges small ranges, so the file count follows the data."""
     cols = [quoted(k) for k in keys]
-    parts = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return df.repartitionByRange(int(parts), *cols).sortWithinPartitions(*cols)
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    return ranged.sortWithinPartitions(*cols)

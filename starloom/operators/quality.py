@@ -20,22 +20,27 @@ from .project import quoted
 
 def dq_schema(spark: SparkSession,
               tables: Mapping[str, tuple[DataFrame, T.StructType]]) -> DataFrame:
-    """Compare each table's schema with its declared model.
+    """Compare each table's columns with its declared model, over the data.
 
-    Rows ``(table_name, column_name, expected_type, actual_type, ok)``; a
-    column missing on either side has a NULL type. Only schema metadata is
-    used; no data is read.
+    Rows ``(table_name, column_name, expected_type, actual_type, n_values, ok)``; a
+    column missing on either side has a NULL type, ``n_values`` counts the
+    values that the scan could read as the actual type. One aggregate per table.
     """
-    rows = []
+    parts = []
     for name, (df, expected) in tables.items():
         actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
-        for col in list(wanted) + [c for c in actual if c not in wanted]:
-            e, a = wanted.get(col), actual.get(col)
-            rows.append((name, col, e, a, e is not None and e == a))
-    schema = "table_name string, column_name string, expected_type string, " \
-             "actual_type string, ok boolean"
-    return spark.createDataFrame(rows, schema)
+        cols = list(wanted) + [c for c in actual if c not in wanted]
+        counts = df.agg(*[(F.count(quoted(c)) if c in actual else F.count(F.lit(None)))
+                          .alias(f"n{i}") for i, c in enumerate(cols)])
+        rows = F.explode(F.array(*[F.struct(
+            F.lit(c).alias("column_name"), F.lit(wanted.get(c)).cast("string").alias("expected_type"),
+            F.lit(actual.get(c)).cast("string").alias("actual_type"),
+            F.col(f"n{i}").alias("n_values")) for i, c in enumerate(cols)]))
+        parts.append(counts.select(F.lit(name).alias("table_name"), rows.alias("r"))
+                     .select("table_name", "r.*"))
+    return reduce(DataFrame.unionByName, parts).withColumn(
+        "ok", F.coalesce(F.col("expected_type") == F.col("actual_type"), F.lit(False)))
 
 
 def dq_non_empty(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -99,6 +104,43 @@ def dq_fk_orphans(child: DataFrame, fk: str | Sequence[str], parent: DataFrame,
         .withColumn("ok", F.col("n_orphan_rows") == 0))
 
 
+def dq_references(child: DataFrame,
+                  relations: Sequence[tuple[str, Sequence[str], DataFrame, Sequence[str]]]
+                  ) -> DataFrame:
+    """:func:`dq_fk_orphans` for several references of one child table with
+    one scan of it: ``relations`` are ``(name, fk, parent, pk)``.
+
+    Every child row gives one key per relation; keys are counted per
+    (relation, key) on the map side before they are shuffled.
+    """
+    spark = child.sparkSession
+
+    def key(columns, types):
+        return F.array(*[quoted(c).cast(t).cast("string") for c, t in zip(columns, types)])
+    keys, parents = [], []
+    for i, (_, fk, parent, pk) in enumerate(relations):
+        types = [parent.schema[c].dataType for c in pk]
+        null = reduce(lambda a, b: a | b, [quoted(c).isNull() for c in fk])
+        keys.append(F.struct(F.lit(i).alias("rel"), key(fk, types).alias("k"), null.alias("null")))
+        parents.append(parent.select(F.lit(i).alias("rel"), key(pk, types).alias("k")).distinct())
+    per_key = (child.select(F.explode(F.array(*keys)).alias("x")).select("x.*")
+               .groupBy("rel", "k", "null").agg(F.count(F.lit(1)).alias("c")))
+    known = reduce(DataFrame.unionByName, parents).withColumn("found", F.lit(True))
+    orphan = ~F.col("null") & F.col("found").isNull()
+
+    def total(cond):
+        return F.coalesce(F.sum(F.when(cond, F.col("c"))), F.lit(0)).cast("bigint")
+    found = per_key.join(known, ["rel", "k"], "left").groupBy("rel").agg(
+        F.sum("c").alias("n_rows"), total(F.col("null")).alias("n_null_fk"),
+        total(orphan).alias("n_orphan_rows"), F.count(F.when(orphan, True)).alias("n_orphan_keys"))
+    names = spark.createDataFrame([(i, r[0]) for i, r in enumerate(relations)],
+                                  "rel int, relation string")
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in
+              ("n_rows", "n_null_fk", "n_orphan_rows", "n_orphan_keys")]
+    return (names.join(found, "rel", "left").select("relation", *counts)
+            .withColumn("ok", F.col("n_orphan_rows") == 0))
+
+
 def dq_null_profile(df: DataFrame, table_name: str,
                     columns: Sequence[str] | None = None) -> DataFrame:
     """Missing values per column in one pass over the table.
@@ -119,11 +161,14 @@ def dq_null_profile(df: DataFrame, table_name: str,
         (F.col("n_null").cast("double") / F.col("n_rows")).alias("null_fraction"))
 
 
-def raise_on_failure(findings: DataFrame, what: str = "data quality") -> None:
+def raise_on_failure(findings: DataFrame, what: str = "data quality", shown: int = 20) -> None:
     """Raise ``ValueError`` listing the failed rows (``ok = false``).
 
-    Only failed findings (one small row each) are brought to the driver.
+    The message names how many rows failed and shows the first ``shown``; the
+    caller has the findings themselves.
     """
-    bad = findings.where(~F.col("ok")).limit(1000).collect()
-    if bad:
-        raise ValueError(f"{what} check failed: " + "; ".join(str(r.asDict()) for r in bad))
+    bad = findings.where(~F.col("ok"))
+    first = bad.limit(shown).collect()
+    if first:
+        raise ValueError(f"{what} check failed, {bad.count()} findings, the first {len(first)}: "
+                         + "; ".join(str(r.asDict()) for r in first))

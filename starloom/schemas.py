@@ -16,6 +16,8 @@ def _s(*fields: tuple[str, T.DataType]) -> T.StructType:
 D, L, I, S = T.DoubleType(), T.LongType(), T.IntegerType(), T.StringType()
 TS = T.TimestampNTZType()
 
+# Column names and types of the raw files and of the star tables
+# must equal those of the data and of its users.
 # --- raw inputs -----------------------------------------------------------
 
 ARRIVALS_RAW = _s(
@@ -50,9 +52,10 @@ FACT_IMMIGRATION = _s(
     ("departure_date", TS), ("adm_num", L),
 )
 
+# cicid numbers start anew every month, so a person row belongs to one month
 DIM_PERSONAL = _s(
-    ("cicid", L), ("citizen_country", S), ("residence_country", S),
-    ("age", I), ("birth_year", I), ("gender", S),
+    ("cicid", L), ("year", I), ("month", I), ("citizen_country", S),
+    ("residence_country", S), ("age", I), ("birth_year", I), ("gender", S),
 )
 
 DIM_FLIGHT = _s(("adm_num", L), ("flight_no", S), ("airline", S), ("visatype", S))
@@ -82,8 +85,6 @@ STAR_SCHEMAS = {
     "dim_city_stats": DIM_CITY_STATS,
 }
 
-CODE_LABELS = _s(("fmt", S), ("code", S), ("label", S))
-
 # --- driver tables (read-only test data) -------------------------------------
 
 DRIVER = {
@@ -106,11 +107,6 @@ DRIVER = {
 }
 
 
-def type_name(dt: T.DataType) -> str:
-    """Short SQL type name as Spark prints it (``bigint``, ``timestamp_ntz`` ...)."""
-    return dt.simpleString()
-
-
 def with_field(schema: T.StructType, name: str, data_type: T.DataType) -> T.StructType:
     """A copy of ``schema`` with one more nullable field (does not mutate)."""
     return T.StructType(list(schema.fields) + [T.StructField(name, data_type, True)])

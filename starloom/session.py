@@ -45,36 +45,34 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_local_scratch: str | None = None
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
     Uses ``spark.checkpoint.dir`` as named by the cluster. Only when it is
-    unset on a local master (local runs, tests) a folder of our own is
-    created and registered, so that ``DataFrame.checkpoint()`` also works;
-    on a cluster master an unset folder is an error.
+    unset on a local master (local runs, tests) this process makes a folder of
+    its own; anywhere else, also where the master cannot be seen, an unset
+    folder is an error. The session's configuration is not touched.
     """
+    global _local_scratch
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
-    try:
-        sc = spark.sparkContext
-        configured = configured or sc.getCheckpointDir()
-    except Exception:  # Spark Connect: no SparkContext on the client
-        sc = None
+    if not configured:
+        try:
+            configured = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect: no SparkContext on the client
+            configured = None
     if configured:
         return configured.rstrip("/")
-    master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         # a machine-local folder is not shared by executors and is lost with them
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                            f"(master {master!r} has none)")
-    local = tempfile.mkdtemp(prefix="starloom-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(local)
-    try:
-        spark.conf.set("spark.checkpoint.dir", local)
-    except Exception:  # core option not settable at runtime on some builds
-        pass
-    return local
+    if _local_scratch is None:
+        _local_scratch = tempfile.mkdtemp(prefix="starloom-ckpt-")
+    return _local_scratch
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
