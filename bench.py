@@ -140,6 +140,7 @@ def bucketed_vs_shuffled(spark, p: dict, runs: int) -> dict:
     city = spark.read.parquet(f"{plain_dir}/dim_city_population")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     try:
         plain = lambda: _run(top_female_port_city(
             spark.read.parquet(f"{plain_dir}/fact_immigration"), city,
@@ -151,6 +152,7 @@ def bucketed_vs_shuffled(spark, p: dict, runs: int) -> dict:
                 "olap_star_bucketed": _best(bucketed, runs)}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
 
 
 def event_log_summary(log_dir: str, runs: int) -> dict:

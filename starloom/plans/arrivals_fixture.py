@@ -131,16 +131,14 @@ SELECT CAST(p_partkey AS STRING) AS city_code, {dfx.PORT_CITY} AS port_city,
   {dfx.PORT_STATE} AS port_state FROM part"""
 
 ORACLE_CITIES = f"""
-SELECT upper(a.p_name) AS city, upper('state ' || {dfx.STATE_OF_PART}) AS state,
-  {dfx.STATE_OF_PART} AS state_code,
-  a.p_size * 100 AS male_population, a.p_size * 110 AS female_population,
-  a.p_size * 210 AS total_population, a.p_size AS veteran_population,
-  CAST(a.p_partkey % 997 AS INTEGER) AS foreign_population, a.p_type AS race,
-  CAST(a.p_size AS DOUBLE) / 2 AS median_age, a.p_retailprice / 1000 AS avg_household_size
-FROM part a JOIN (SELECT p_name, {dfx.STATE_OF_PART} AS st, max(p_size) AS m FROM part
-                  GROUP BY p_name, {dfx.STATE_OF_PART}) b
-  ON a.p_name = b.p_name AND {dfx.STATE_OF_PART.replace('p_partkey', 'a.p_partkey')} = b.st
-     AND a.p_size = b.m"""
+SELECT upper(p_name) AS city, upper('state ' || st) AS state, st AS state_code,
+  p_size * 100 AS male_population, p_size * 110 AS female_population,
+  p_size * 210 AS total_population, p_size AS veteran_population,
+  CAST(p_partkey % 997 AS INTEGER) AS foreign_population, p_type AS race,
+  CAST(p_size AS DOUBLE) / 2 AS median_age, p_retailprice / 1000 AS avg_household_size
+FROM (SELECT *, max(p_size) OVER (PARTITION BY p_name, st) AS largest
+      FROM (SELECT *, {dfx.STATE_OF_PART} AS st FROM part))
+WHERE p_size = largest"""
 
 ORACLE_AIRPORTS = f"""
 SELECT {AIRPORT_COLUMNS["ident"]} AS airport_id, {AIRPORT_COLUMNS["type"]} AS type,

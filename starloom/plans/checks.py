@@ -13,13 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import (dq_fk_orphans, dq_non_empty, dq_pk_unique, dq_schema,
+from ..operators import (dq_non_empty, dq_pk_unique, dq_references, dq_schema,
                          raise_on_failure)
+from .star import PERSON_KEY
 
-PRIMARY_KEYS = {"fact_immigration": ["id"], "dim_personal": ["cicid"],
-                "dim_flight": ["adm_num"]}
-REFERENCES = [("fact_immigration", "cicid", "dim_personal", "cicid"),
-              ("fact_immigration", "adm_num", "dim_flight", "adm_num")]
+PRIMARY_KEYS = {"fact_immigration": ["id"], "dim_personal": list(PERSON_KEY),
+                "dim_flight": ["adm_num"], "dim_airports": ["airport_id"],
+                "dim_city_population": ["city_code"], "dim_city_stats": ["city_code"]}
+# References of the fact table. Every person and flight comes from the same
+# arrivals and must be there; ports and states may lie outside the lists of
+# cities and airports, so those two count as coverage: reported, never failed.
+REFERENCES = [(list(PERSON_KEY), "dim_personal", list(PERSON_KEY), True),
+              (["adm_num"], "dim_flight", ["adm_num"], True),
+              (["port"], "dim_city_population", ["city_code"], False),
+              (["port"], "dim_city_stats", ["city_code"], False),
+              (["state_code"], "dim_airports", ["region"], False)]
 
 
 def star_findings(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
@@ -43,14 +51,17 @@ def star_findings(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFram
                 F.concat(F.lit("duplicates="), F.col("n_duplicate_keys").cast("string"),
                          F.lit(" nulls="), F.col("n_null_keys").cast("string")).alias("detail"),
                 "ok"))
-    for child, fk, parent, pk in REFERENCES:
-        if child in tables and parent in tables:
-            rel = f"{child}.{fk}->{parent}.{pk}"
-            r = dq_fk_orphans(tables[child], fk, tables[parent], pk, rel)
-            parts.append(r.select(
-                F.lit("reference").alias("check"), F.col("relation").alias("subject"),
-                F.concat(F.lit("orphan_rows="), F.col("n_orphan_rows").cast("string")).alias("detail"),
-                "ok"))
+    known = [(f"fact_immigration.{','.join(fk)}->{parent}.{','.join(pk)}", fk, tables[parent], pk,
+              must) for fk, parent, pk, must in REFERENCES if parent in tables]
+    if "fact_immigration" in tables and known:
+        must = [name for name, *_, m in known if m]
+        found = dq_references(tables["fact_immigration"], [k[:4] for k in known])
+        needed = F.col("relation").isin(must)
+        parts.append(found.select(
+            F.when(needed, "reference").otherwise("coverage").alias("check"),
+            F.col("relation").alias("subject"),
+            F.concat(F.lit("orphan_rows="), F.col("n_orphan_rows").cast("string")).alias("detail"),
+            (F.col("ok") | ~needed).alias("ok")))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -23,7 +23,8 @@ from .. import schemas
 from ..functions import (char_cast, code_label, region_state, register_sql_functions,
                          sas_day_to_timestamp, timestamp_to_sas_day, upper_name)
 from ..operators import (as_map, bounded_broadcast, cast_columns, conform, dq_fk_orphans, dq_non_empty,
-                         dq_null_profile, dq_pk_unique, dq_schema, distinct_projection,
+                         dq_null_profile, dq_pk_unique, dq_references, dq_schema,
+                         distinct_projection,
                          first_by_key, group_count, group_max, map_element, preview,
                          rename, require_columns, role_lookup, rows_at_group_max,
                          select_star, sorted_distinct, star_join, top_k, where_equal,
@@ -50,7 +51,8 @@ def _dictionary(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lb.code_labels(spark, _dictionary(spark, sf_dir))
+    """Parsed dictionary, staged: queries use it more than once."""
+    return star.load_lookups(spark, _dictionary(spark, sf_dir))["entries"]
 
 
 # --- composed: the OLAP question --------------------------------------------
@@ -97,6 +99,13 @@ def q_scan_csv_comma(spark, d):
                     schema=schemas.with_field(schemas.DRIVER["customer"], "coordinates", schemas.S))
 
 
+def q_scan_csv_inferred(spark, d):
+    """Types found by an inference pass over the file, then cast to the declared ones."""
+    path = write_csv(table(spark, d, "part"), scratch_path(spark, "part_inferred"), sep=",")
+    found = read_csv(spark, path, sep=",", infer=True)
+    return found.select(*[F.col(f.name).cast(f.dataType) for f in schemas.DRIVER["part"].fields])
+
+
 def q_sql_over_views(spark, d):
     table(spark, d, "orders").createOrReplaceTempView("sl_orders")
     table(spark, d, "customer").createOrReplaceTempView("sl_customer")
@@ -372,8 +381,8 @@ def q_star_dim_personal(spark, d):
 
 
 def q_star_dim_personal_keyed(spark, d):
-    """One person row per key: the latest (year, month), remaining ties by
-    the largest attribute values (a total order, so the answer is defined)."""
+    """One person row per month and number; among differing records the
+    smallest attribute values (a total order, so the answer is defined)."""
     return star.dim_personal(_clean(spark, d), _lookups(spark, d)["countries"],
                              one_row_per_key=True)
 
@@ -396,13 +405,28 @@ def star_inputs(spark, d) -> dict:
 
 def q_star_build(spark, d):
     """The whole build (six tables written) on driver-derived inputs; rows
-    per written table."""
+    and a digest of the contents per written table."""
     p = star_inputs(spark, d)
     out = star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"],
                           p["airports"], scratch_path(spark, "star_out"))
     return reduce(DataFrame.unionByName, [
-        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(name).alias("table_name"), "n_rows") for name, path in out.items()])
+        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"),
+                                     _digest(STAR_DIGEST[name]).alias("digest"))
+        .select(F.lit(name).alias("table_name"), "n_rows", "digest") for name, path in out.items()])
+
+
+# What the digest of each star table covers (ids are not comparable).
+STAR_DIGEST = {name: [f.name for f in schema.fields if f.name != "id"]
+               for name, schema in schemas.STAR_SCHEMAS.items()}
+
+
+def _digest(columns: list[str]):
+    """Sum of the first 28 bits of each row's MD5; times to the hour."""
+    def text(c):
+        value = F.date_format(c, "yyyyMMddHH") if c.endswith("_date") else F.col(c).cast("string")
+        return F.coalesce(value, F.lit("~"))
+    row = F.md5(F.concat_ws("|", *[text(c) for c in columns]).cast("binary"))
+    return F.sum(F.conv(F.substring(row, 1, 7), 16, 10).cast("bigint"))
 
 
 def q_star_monthly_refresh(spark, d):
@@ -424,6 +448,85 @@ def q_star_monthly_refresh(spark, d):
     return star.read_star(spark, out)["fact_immigration"].drop("id")
 
 
+def _late_refreshed(spark, d) -> tuple[str, DataFrame]:
+    """A refreshable star of all months before 1997 but one, then two refresh runs
+    from different landing folders: the months from 1997 on, then the older
+    month that came late. Returns the folder and the raw arrivals."""
+    from ..streaming import refresh_star
+    raw = afx.raw_arrivals(spark, d)
+    late = (F.col("i94yr") == 1996) & (F.col("i94mon") == 3)
+    parts = {"first": (F.col("i94yr") < 1997) & ~late, "next": ~(F.col("i94yr") < 1997), "late": late}
+    paths = {k: write_parquet(raw.where(c), scratch_path(spark, f"arrivals_{k}"))
+             for k, c in parts.items()}
+    p = star_inputs(spark, d)
+    out = scratch_path(spark, "star_late")
+    star.build_star(spark, paths["first"], p["dictionary"], p["demographics"], p["airports"], out,
+                    refreshable=True)
+    for k in ("next", "late"):
+        refresh_star(spark, paths[k], out, p["dictionary"],
+                     max_files_per_trigger=3).awaitTermination()
+    return out, raw
+
+
+def q_star_refresh_personal(spark, d):
+    return star.read_star(spark, _late_refreshed(spark, d)[0])["dim_personal"]
+
+
+def q_star_refresh_flight(spark, d):
+    """Compacted half way, which changes nothing for the reader."""
+    out, _ = _late_refreshed(spark, d)
+    star.compact_star(spark, out)
+    return star.read_star(spark, out)["dim_flight"]
+
+
+def q_star_refresh_ids(spark, d):
+    ids = star.read_star(spark, _late_refreshed(spark, d)[0])["fact_immigration"].select("id")
+    return ids.agg(F.count("id").alias("n"), F.count_distinct("id").alias("n_distinct"))
+
+
+def q_star_rebuild_dynamic(spark, d):
+    """A star rebuilt from fewer months, in a session that asks for dynamic
+    overwrite, holds these months only."""
+    raw = afx.raw_arrivals(spark, d)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before, out = spark.conf.get(key), scratch_path(spark, "fact_rebuilt")
+    spark.conf.set(key, "dynamic")
+    try:
+        for part in (raw, raw.where("i94yr = 1997")):
+            write_parquet(star.fact_immigration(star.clean_arrivals(part)), out,
+                          partition_by=["year", "month"])
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.parquet(out).groupBy("year", "month").agg(F.count("id").alias("n_rows"))
+
+
+def q_star_person_per_month(spark, d):
+    """Person numbers that mean a woman in even months and a man in odd ones:
+    arrivals of women per city are counted within the month."""
+    raw = afx.raw_arrivals(spark, d).withColumn(
+        "gender", F.when(F.col("gender").isNotNull(),
+                         F.when(F.col("i94mon") % 2 == 0, "F").otherwise("M")))
+    lk = _lookups(spark, d)
+    staged = spark.read.parquet(write_parquet(star.clean_arrivals(raw),
+                                              scratch_path(spark, "arrivals_gender")))
+    return top_female_port_city(star.fact_immigration(staged),
+                                star.dim_city_population(_demog_cities(spark, d), lk["ports"]),
+                                star.dim_personal(staged, lk["countries"], one_row_per_key=True))
+
+
+def q_star_tied_cities(spark, d):
+    """Every city has two groups of equal count: one row per city stays and
+    no arrival counts twice."""
+    demog = afx.demographics(spark, d)
+    tied = demog.unionByName(demog.withColumn("Race", F.concat(F.lit("~"), F.col("Race"))))
+    lk = _lookups(spark, d)
+    staged = spark.read.parquet(write_parquet(_clean(spark, d), scratch_path(spark, "arrivals_tied")))
+    cities = star.majority_rows(tied, tie_break="Race")
+    return top_female_port_city(star.fact_immigration(staged),
+                                star.dim_city_population(cities, lk["ports"]),
+                                star.dim_personal(staged, lk["countries"], one_row_per_key=True))
+
+
 def q_star_dim_airports(spark, d):
     return star.us_airports(afx.airports(spark, d))
 
@@ -484,8 +587,15 @@ DQ_TABLES = ["orders", "lineitem", "customer", "part", "supplier", "nation", "re
 
 
 def q_dq_schema(spark, d):
-    return dq_schema(spark, {n: (table(spark, d, n, declared=False), schemas.DRIVER[n])
-                             for n in DQ_TABLES})
+    """The driver tables against their declarations, and one that fails: orders
+    with a narrowed key, a missing and an undeclared column."""
+    tables = {n: (table(spark, d, n, declared=False), schemas.DRIVER[n]) for n in DQ_TABLES}
+    o = table(spark, d, "orders")
+    tables["orders_altered"] = (
+        o.select(F.col("o_orderkey").cast("int").alias("o_orderkey"),
+                 *[c for c in o.columns if c not in ("o_orderkey", "o_orderpriority")],
+                 F.nullif("o_orderstatus", F.lit("P")).alias("o_extra")), schemas.DRIVER["orders"])
+    return dq_schema(spark, tables)
 
 
 def q_dq_non_empty(spark, d):
@@ -516,14 +626,24 @@ def _relation_name(child, fk, parent, pk, where):
 
 def q_dq_fk_orphans(spark, d):
     parts = []
-    for child, fk, parent, pk, where in FK_CHECKS:
-        p = table(spark, d, parent)
-        p = p.where(where) if where else p
-        parts.append(dq_fk_orphans(table(spark, d, child), fk, p, pk,
-                                   _relation_name(child, fk, parent, pk, where)))
+    for child in dict.fromkeys(c[0] for c in FK_CHECKS):  # one scan per child table
+        relations = []
+        for c, fk, parent, pk, where in FK_CHECKS:
+            if c == child:
+                p = table(spark, d, parent)
+                relations.append((_relation_name(c, fk, parent, pk, where), [fk],
+                                  p.where(where) if where else p, [pk]))
+        parts.append(dq_references(table(spark, d, child), relations))
     return reduce(DataFrame.unionByName, parts)
 
 
+def q_dq_fk_orphans_single(spark, d):
+    """One reference by a join of distinct keys."""
+    return dq_fk_orphans(table(spark, d, "orders"), "o_custkey",
+                         table(spark, d, "customer").where("c_mktsegment = 'BUILDING'"), "c_custkey",
+                         "orders.o_custkey->customer.c_custkey")
+
+
 def _orders_with_gaps(spark, d):
     return table(spark, d, "orders").select(
         "o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"),

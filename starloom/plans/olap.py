@@ -19,24 +19,31 @@ included.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import top_k
+from .star import PERSON_KEY
 
 
 def top_market(fact: DataFrame, markets: DataFrame, persons: DataFrame, *,
-               fact_id: str, fact_port: str, fact_person: str,
+               fact_id: str, fact_port: str, fact_person: str | Sequence[str],
                market_code: str, market_name: str, market_size: str,
-               person_key: str, person_attr: str, person_value,
+               person_key: str | Sequence[str], person_attr: str, person_value,
                out_name: str = "market", out_count: str = "n_arrivals",
                out_size: str = "market_size", k: int = 1) -> DataFrame:
     """Top ``k`` markets by size with their count of matching fact rows (module doc)."""
+    fk = [fact_person] if isinstance(fact_person, str) else list(fact_person)
+    pk = [person_key] if isinstance(person_key, str) else list(person_key)
     p = (persons.where(F.col(person_attr) == F.lit(person_value))
-         .select(F.col(person_key).alias("_pk")))
+         .select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(pk)]))
     f = fact.select(F.col(fact_id).alias("_id"), F.col(fact_port).alias("_port"),
-                    F.col(fact_person).alias("_person"))
-    per_port = (f.join(p, f["_person"] == p["_pk"], "inner")
+                    *[F.col(c).alias(f"_f{i}") for i, c in enumerate(fk)])
+    same = reduce(lambda a, b: a & b, [f[f"_f{i}"] == p[f"_p{i}"] for i in range(len(pk))])
+    per_port = (f.join(p, same, "inner")
                 .groupBy("_port").agg(F.count("_id").alias("_n")))
     m = markets.select(F.col(market_code).alias("_code"),
                        F.col(market_name).alias(out_name),
@@ -49,11 +56,12 @@ def top_market(fact: DataFrame, markets: DataFrame, persons: DataFrame, *,
 
 def top_female_port_city(fact: DataFrame, city_population: DataFrame,
                          personal: DataFrame) -> DataFrame:
-    """The reference question on the star tables built by :mod:`.star`."""
+    """Arrivals of women at the city with most foreign-born inhabitants, on the
+    star tables built by :mod:`.star`."""
     return top_market(fact, city_population, personal,
-                      fact_id="id", fact_port="port", fact_person="cicid",
+                      fact_id="id", fact_port="port", fact_person=PERSON_KEY,
                       market_code="city_code", market_name="city",
                       market_size="foreign_population",
-                      person_key="cicid", person_attr="gender", person_value="F",
-                      out_name="city", out_count="porting_female_immigrants",
+                      person_key=PERSON_KEY, person_attr="gender", person_value="F",
+                      out_name="city", out_count="n_female_arrivals",
                       out_size="foreign_population")

@@ -7,8 +7,9 @@ ascending, DuckDB last); double -> integer casts truncate explicitly
 
 from __future__ import annotations
 
+from .. import schemas
 from . import dictionary_fixture as dfx
-from .driver_tables import DQ_TABLES, FK_CHECKS, PK_CHECKS, _relation_name
+from .driver_tables import DQ_TABLES, FK_CHECKS, PK_CHECKS, STAR_DIGEST, _relation_name
 
 CITIES = f"""
   SELECT p_partkey, {dfx.CITY} AS city, {dfx.STATE_OF_PART} AS state, p_retailprice
@@ -45,18 +46,87 @@ def _fk_sql(child, fk, parent, pk, where) -> str:
 ORDERS_WITH_GAPS = """(SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS o_orderpriority,
     nullif(o_orderstatus, 'P') AS o_orderstatus, o_totalprice FROM orders)"""
 
-DUCK_TO_SPARK_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
-    WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
-    WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END"""
-
 from . import arrivals_fixture as afx
 
 STAR_CLEAN = f"WITH clean AS ({afx.ORACLE_CLEAN})"
-STAR_CITY = f"""WITH cities AS ({afx.ORACLE_CITIES}), ports AS ({afx.ORACLE_PORTS}),
+STAR_CITY_PARTS = f"""cities AS ({afx.ORACLE_CITIES}), ports AS ({afx.ORACLE_PORTS})"""
+STAR_CITY = f"""WITH {STAR_CITY_PARTS},
 city_pop AS (SELECT c.city, c.state, p.city_code, c.state_code, c.male_population,
   c.female_population, c.total_population, c.veteran_population, c.foreign_population, c.race,
   c.median_age, c.avg_household_size
   FROM cities c JOIN ports p ON c.city = p.port_city AND c.state_code = p.port_state)"""
+STAR_NAMED = f"""{STAR_CLEAN}, lands AS ({afx.ORACLE_COUNTRIES}),
+named AS (SELECT clean.*, (SELECT any_value(country_name) FROM lands
+                           WHERE country_code = citizen_country) AS home,
+                 (SELECT any_value(country_name) FROM lands
+                  WHERE country_code = residence_country) AS stay FROM clean)"""
+# one record per month and number, one per admission number
+PERSON_SQL = """SELECT cicid, year, month, home AS citizen_country, stay AS residence_country, age,
+  birth_year, gender FROM named QUALIFY 1 = row_number() OVER (PARTITION BY year, month, cicid
+  ORDER BY age NULLS FIRST, birth_year NULLS FIRST, gender NULLS FIRST,
+           citizen_country NULLS FIRST, residence_country NULLS FIRST)"""
+FLIGHT_SQL = """SELECT adm_num, flight_no, airline, visatype FROM clean
+QUALIFY 1 = row_number() OVER (PARTITION BY adm_num ORDER BY year DESC NULLS LAST,
+  month DESC NULLS LAST, flight_no, airline, visatype)"""
+
+
+def _women_sql(gender: str) -> str:
+    """How many arrivals are of women at the port city with most foreign-born
+    inhabitants; a person's gender is that of the month's first record."""
+    return f"""{STAR_CITY}, clean AS ({afx.ORACLE_CLEAN}),
+women AS (SELECT year, month, cicid FROM (
+    SELECT *, row_number() OVER (PARTITION BY year, month, cicid ORDER BY age NULLS FIRST,
+      birth_year NULLS FIRST, {gender} NULLS FIRST) AS nth FROM clean)
+  WHERE nth = 1 AND {gender} = 'F'),
+arrived AS (SELECT port, count(*) AS n FROM clean SEMI JOIN women USING (year, month, cicid)
+            GROUP BY port),
+markets AS (SELECT city, foreign_population, city_code FROM city_pop)
+SELECT city, CAST(sum(n) AS BIGINT) AS n_female_arrivals, foreign_population
+FROM arrived LEFT JOIN markets ON city_code = port
+GROUP BY city, foreign_population
+ORDER BY foreign_population DESC NULLS LAST, city NULLS LAST LIMIT 1"""
+
+
+def _digest_sql(name: str, source: str) -> str:
+    def text(c):
+        value = f"strftime({c}, '%Y%m%d%H')" if c.endswith("_date") else f"CAST({c} AS STRING)"
+        return f"coalesce({value}, '~')"
+    row = " || '|' || ".join(text(c) for c in STAR_DIGEST[name])
+    return f"""SELECT '{name}' AS table_name, count(*) AS n_rows,
+  CAST(sum(CAST('0x' || substr(md5({row}), 1, 7) AS BIGINT)) AS BIGINT) AS digest FROM ({source})"""
+
+
+UNION_OF_DIGESTS = "\nUNION ALL\n".join([
+    _digest_sql("fact_immigration", "SELECT * FROM clean"),
+    _digest_sql("dim_personal", PERSON_SQL), _digest_sql("dim_flight", FLIGHT_SQL),
+    _digest_sql("dim_airports", afx.ORACLE_AIRPORTS),
+    _digest_sql("dim_city_population", "SELECT * FROM market"),
+    _digest_sql("dim_city_stats", "SELECT * FROM market")])
+
+
+def _schema_sql() -> str:
+    """Declared types against those DuckDB finds in the data."""
+    spark_type = """CASE typeof(any_value({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+  WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END"""
+    altered = """(SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_custkey, o_orderstatus,
+      o_totalprice, o_orderdate, nullif(o_orderstatus, 'P') AS o_extra FROM orders)"""
+    rows = []
+    for name, source in [(t, t) for t in DQ_TABLES] + [("orders_altered", altered)]:
+        declared = {f.name: f.dataType.simpleString()
+                    for f in schemas.DRIVER[name.removesuffix("_altered")].fields}
+        present = set(declared) if name == source else set(declared) - {"o_orderpriority"}
+        for c in [*declared, *(["o_extra"] if name != source else [])]:
+            want = f"'{declared[c]}'" if c in declared else "CAST(NULL AS STRING)"
+            there = c in present or c == "o_extra"
+            got = spark_type.format(c=c) if there else "CAST(NULL AS STRING)"
+            n = f"count({c})" if there else "CAST(0 * count(*) AS BIGINT)"
+            rows.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, {want} AS expected_type,"
+                        f" {got} AS actual_type, {n} AS n_values FROM {source}")
+    union = "\nUNION ALL\n".join(rows)
+    return f"SELECT *, coalesce(expected_type = actual_type, false) AS ok FROM ({union})"
+
+
+DQ_SCHEMA = _schema_sql()
 
 ORACLE = {
     "flagship_top_market": """
@@ -74,6 +144,7 @@ LIMIT 1""",
     "scan_csv_semicolon": "SELECT * FROM part",
     "scan_csv_comma": """SELECT *, CAST(c_custkey AS STRING) || ', ' || CAST(c_nationkey AS STRING)
   AS coordinates FROM customer""",
+    "scan_csv_inferred": "SELECT * FROM part",
     "sql_over_views": """
 SELECT c.c_mktsegment, count(o.o_orderkey) AS n_orders, max(o.o_totalprice) AS max_totalprice
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY c.c_mktsegment""",
@@ -175,55 +246,42 @@ FROM orders WHERE o_orderstatus <> 'P'""",
     "star_clean_arrivals": f"{STAR_CLEAN} SELECT * FROM clean",
     "star_fact": f"""{STAR_CLEAN} SELECT cicid, year, month, port, state_code, visa, arrival_date,
   departure_date, adm_num FROM clean""",
-    "star_dim_personal": f"""{STAR_CLEAN}, countries AS ({afx.ORACLE_COUNTRIES})
-SELECT DISTINCT i.cicid, cc.country_name AS citizen_country, rc.country_name AS residence_country,
-  i.age, i.birth_year, i.gender
-FROM clean i LEFT JOIN countries cc ON i.citizen_country = cc.country_code
-LEFT JOIN countries rc ON i.residence_country = rc.country_code""",
-    "star_dim_personal_keyed": f"""{STAR_CLEAN}, countries AS ({afx.ORACLE_COUNTRIES}),
-named AS (SELECT i.cicid, cc.country_name AS citizen_country, rc.country_name AS residence_country,
-            i.age, i.birth_year, i.gender, i.year, i.month
-          FROM clean i LEFT JOIN countries cc ON i.citizen_country = cc.country_code
-          LEFT JOIN countries rc ON i.residence_country = rc.country_code)
-SELECT cicid, citizen_country, residence_country, age, birth_year, gender FROM (
-  SELECT *, row_number() OVER (PARTITION BY cicid ORDER BY year DESC NULLS LAST,
-    month DESC NULLS LAST, citizen_country DESC NULLS LAST, residence_country DESC NULLS LAST,
-    age DESC NULLS LAST, birth_year DESC NULLS LAST, gender DESC NULLS LAST) AS rn
-  FROM named) WHERE rn = 1""",
+    "star_dim_personal": f"""{STAR_NAMED}
+SELECT DISTINCT cicid, home AS citizen_country, stay AS residence_country, age, birth_year, gender
+FROM named""",
+    "star_dim_personal_keyed": f"{STAR_NAMED} {PERSON_SQL}",
     "star_dim_flight": f"""{STAR_CLEAN}
 SELECT DISTINCT adm_num, flight_no, airline, visatype FROM clean""",
     "star_dim_airports": afx.ORACLE_AIRPORTS,
     "star_monthly_refresh": f"""{STAR_CLEAN} SELECT cicid, year, month, port, state_code, visa,
   arrival_date, departure_date, adm_num FROM clean""",
-    "star_build": f"""{STAR_CITY}, clean AS ({afx.ORACLE_CLEAN})
-SELECT 'fact_immigration' AS table_name, count(*) AS n_rows FROM clean
-UNION ALL SELECT 'dim_personal', count(DISTINCT cicid) FROM clean
-UNION ALL SELECT 'dim_flight', count(DISTINCT adm_num) FROM clean
-UNION ALL SELECT 'dim_airports', count(*) FROM ({afx.ORACLE_AIRPORTS})
-UNION ALL SELECT 'dim_city_population', count(*) FROM city_pop
-UNION ALL SELECT 'dim_city_stats', count(*) FROM city_pop""",
+    "star_refresh_personal": f"{STAR_NAMED} {PERSON_SQL}",
+    "star_refresh_flight": f"{STAR_CLEAN} {FLIGHT_SQL}",
+    "star_refresh_ids": f"{STAR_CLEAN} SELECT count(*) AS n, count(*) AS n_distinct FROM clean",
+    "star_rebuild_dynamic": f"""{STAR_CLEAN}
+SELECT year, month, count(*) AS n_rows FROM clean WHERE year = 1997 GROUP BY year, month""",
+    "star_build": f"""{STAR_NAMED}, {STAR_CITY_PARTS}, one_city AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY city, state_code
+    ORDER BY race, foreign_population, avg_household_size) AS nth FROM cities) WHERE nth = 1),
+market AS (SELECT c.*, p.city_code FROM one_city c
+           JOIN ports p ON c.city = p.port_city AND c.state_code = p.port_state)
+{UNION_OF_DIGESTS}""",
     "star_dim_city_population": f"""{STAR_CITY}
 SELECT city, state, city_code, state_code, male_population, female_population, total_population,
   veteran_population, foreign_population, race FROM city_pop""",
     "star_dim_city_stats": f"""{STAR_CITY}
 SELECT city, state, city_code, state_code, median_age, avg_household_size FROM city_pop""",
-    "star_top_female_port_city": f"""{STAR_CITY}, clean AS ({afx.ORACLE_CLEAN}),
-person AS (SELECT cicid, gender FROM (SELECT cicid, gender, row_number() OVER (PARTITION BY cicid
-             ORDER BY year DESC, month DESC) AS rn FROM clean) WHERE rn = 1)
-SELECT c.city, count(f.cicid) AS porting_female_immigrants, c.foreign_population
-FROM clean f LEFT JOIN city_pop c ON f.port = c.city_code
-LEFT JOIN person p ON f.cicid = p.cicid
-WHERE p.gender = 'F'
-GROUP BY c.city, c.foreign_population
-ORDER BY c.foreign_population DESC NULLS LAST, c.city ASC NULLS LAST LIMIT 1""",
-    "dq_schema": f"""SELECT table_name, column_name, {DUCK_TO_SPARK_TYPE} AS expected_type,
-  {DUCK_TO_SPARK_TYPE} AS actual_type, true AS ok
-FROM information_schema.columns
-WHERE table_name IN ({", ".join(f"'{t}'" for t in DQ_TABLES)})""",
+    "star_top_female_port_city": _women_sql("gender"),
+    "star_person_per_month": _women_sql("CASE WHEN month % 2 = 0 THEN 'F' ELSE 'M' END"),
+    "star_tied_cities": _women_sql("gender"),
+    "dq_schema": DQ_SCHEMA,
     "dq_non_empty": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(*) > 0 AS ok FROM {t}"
         for t in DQ_TABLES),
     "dq_pk_unique": "\nUNION ALL\n".join(_pk_sql(t, k) for t, k in PK_CHECKS),
+    "dq_fk_orphans_single": _fk_sql("orders", "o_custkey", "customer", "c_custkey",
+                                    "c_mktsegment = 'BUILDING'").replace(
+        " [c_mktsegment = ''BUILDING'']", ""),
     "dq_fk_orphans": "\nUNION ALL\n".join(_fk_sql(*c) for c in FK_CHECKS),
     "dq_null_profile": "\nUNION ALL\n".join(
         f"""SELECT 'orders' AS table_name, '{c}' AS column_name, count(*) AS n_rows,

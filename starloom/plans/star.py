@@ -1,9 +1,8 @@
 """The star schema: staging, fact and dimension tables, and the full build.
 
 Inputs are the monthly arrivals (Parquet), the code dictionary (text),
-city demographics (``;`` CSV) and airports (CSV). Reference behaviour is
-kept where it defines results on valid data; ``parity=True`` selects the
-original grouping/joining keys where the defaults are stricter.
+city demographics (``;`` CSV) and airports (CSV). Original behaviour is kept where
+it defines results on valid data; keys are stricter where it does not (README).
 """
 
 from __future__ import annotations
@@ -68,33 +67,60 @@ def fact_immigration(clean: DataFrame) -> DataFrame:
                         "arrival_date", "departure_date", "adm_num")
 
 
+# A person number is unique within its month; an admission number everywhere.
+PERSON_KEY = ("year", "month", "cicid")
+PERSON_ORDER = ("age", "birth_year", "gender", "citizen_country", "residence_country")
+
+
+def person_rows(clean: DataFrame) -> DataFrame:
+    """One row per person and month, with country codes. Among differing records
+    of one key the smallest in ``PERSON_ORDER`` stays, so the result does not
+    depend on how the arrivals were split into loads."""
+    return first_by_key(clean.select(*PERSON_KEY, *PERSON_ORDER), PERSON_KEY, PERSON_ORDER)
+
+
+def name_countries(persons: DataFrame, countries: DataFrame) -> DataFrame:
+    """Adds ``citizen_country_name`` and ``residence_country_name``; both codes
+    resolve through one lookup."""
+    return role_lookup(persons, countries, "country_code", "country_name",
+                       {"citizen_country": "citizen_country_name",
+                        "residence_country": "residence_country_name"})
+
+
 def dim_personal(clean: DataFrame, countries: DataFrame, one_row_per_key: bool = False
                  ) -> DataFrame:
-    """Person dimension; both country codes resolve through one lookup.
+    """Person dimension.
 
-    Default: DISTINCT over all attributes (as declared by the model). With
-    ``one_row_per_key`` the latest record (year, month) per ``cicid`` is
-    kept, so ``cicid`` is a real key.
+    Default: DISTINCT over the attributes (as declared by the original model).
+    With ``one_row_per_key``: one row per ``PERSON_KEY``, reduced on codes
+    before the country names are joined.
     """
-    named = role_lookup(clean, countries, "country_code", "country_name",
-                        {"citizen_country": "citizen_country_name",
-                         "residence_country": "residence_country_name"})
-    cols = ["cicid", F.col("citizen_country_name").alias("citizen_country"),
-            F.col("residence_country_name").alias("residence_country"),
-            "age", "birth_year", "gender"]
+    names = [F.col("citizen_country_name").alias("citizen_country"),
+             F.col("residence_country_name").alias("residence_country"),
+             "age", "birth_year", "gender"]
     if one_row_per_key:
-        latest = first_by_key(named.select(*cols, "year", "month"), "cicid",
-                              ["year", "month"], descending=True)
-        return latest.drop("year", "month")
-    return named.select(*cols).distinct()
+        return name_countries(person_rows(clean), countries).select(
+            "cicid", "year", "month", *names)
+    return name_countries(clean, countries).select("cicid", *names).distinct()
+
+
+def _flight_order() -> list:
+    # latest month first, a missing month last, then the smallest flight
+    return [-F.coalesce(F.col(c), F.lit(-1)) for c in ("year", "month")] + [
+        F.col("flight_no"), F.col("airline"), F.col("visatype")]
+
+
+def flight_rows(clean: DataFrame) -> DataFrame:
+    """One row per admission number, with its month: the latest month's, then
+    the smallest flight."""
+    return first_by_key(clean.select("adm_num", "year", "month", "flight_no", "airline",
+                                     "visatype"), "adm_num", _flight_order())
 
 
 def dim_flight(clean: DataFrame, one_row_per_key: bool = False) -> DataFrame:
     """Flight dimension; DISTINCT rows, or one row per ``adm_num`` if keyed."""
     cols = ["adm_num", "flight_no", "airline", "visatype"]
-    if one_row_per_key:
-        return first_by_key(clean.select(*cols), "adm_num", ["flight_no", "airline"])
-    return clean.select(*cols).distinct()
+    return flight_rows(clean).select(*cols) if one_row_per_key else clean.select(*cols).distinct()
 
 
 def us_airports(raw: DataFrame, country: str = "US") -> DataFrame:
@@ -135,32 +161,23 @@ def majority_rows(demog: DataFrame, keys: Sequence[str] = ("City", "State"),
         F.col("Race").alias("race"))
 
 
-def _with_port_codes(cities: DataFrame, ports: DataFrame, parity: bool) -> DataFrame:
-    if parity:
-        keys = {"city": "port_city"}
-    else:
-        keys = {"city": "port_city", "state_code": "port_state"}
-    lk = ports.select(F.col("port_code").alias("city_code"),
-                      F.col("city").alias("port_city"),
+def _with_port_codes(cities: DataFrame, ports: DataFrame) -> DataFrame:
+    lk = ports.select(F.col("port_code").alias("city_code"), F.col("city").alias("port_city"),
                       F.col("state_code").alias("port_state"))
-    lk = lk.select("city_code", *keys.values())
-    return conform(cities, lk, keys)
+    return conform(cities, lk, {"city": "port_city", "state_code": "port_state"})
 
 
-def dim_city_population(cities: DataFrame, ports: DataFrame, parity: bool = False
-                        ) -> DataFrame:
+def dim_city_population(cities: DataFrame, ports: DataFrame) -> DataFrame:
     """Population figures per city with its port code(s)."""
-    out = _with_port_codes(cities, ports, parity)
-    return out.select("city", "state", "city_code", "state_code", "male_population",
-                      "female_population", "total_population", "veteran_population",
-                      "foreign_population", "race")
+    return _with_port_codes(cities, ports).select(
+        "city", "state", "city_code", "state_code", "male_population", "female_population",
+        "total_population", "veteran_population", "foreign_population", "race")
 
 
-def dim_city_stats(cities: DataFrame, ports: DataFrame, parity: bool = False) -> DataFrame:
+def dim_city_stats(cities: DataFrame, ports: DataFrame) -> DataFrame:
     """Median age and household size per city with its port code(s)."""
-    out = _with_port_codes(cities, ports, parity)
-    return out.select("city", "state", "city_code", "state_code", "median_age",
-                      "avg_household_size")
+    return _with_port_codes(cities, ports).select(
+        "city", "state", "city_code", "state_code", "median_age", "avg_household_size")
 
 
 def load_lookups(spark: SparkSession, dictionary_path: str) -> dict[str, DataFrame]:
@@ -179,18 +196,18 @@ def load_lookups(spark: SparkSession, dictionary_path: str) -> dict[str, DataFra
 
 def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
                demographics_path: str, airports_path: str, out_dir: str,
-               parity: bool = False, person_buckets: int | None = None,
-               database: str | None = None, refreshable: bool = False) -> dict[str, str]:
+               person_buckets: int | None = None, database: str | None = None,
+               refreshable: bool = False) -> dict[str, str]:
     """Build and write the six star tables; returns ``{table: path}``.
 
-    The cleaned arrivals are written once to the scratch folder and the
-    three arrivals-based tables read that copy, instead of re-reading and
+    The cleaned arrivals and the cities are written once to the scratch folder
+    and the tables read those copies, instead of re-reading and
     re-cleaning the raw files for each of them (this also cuts lineage, so
-    a lost executor re-runs only the last stage).
+    a lost executor re-runs only the last stage). Every table is replaced whole.
 
     With ``person_buckets`` the fact and the person dimension are also
     registered as catalog tables of those names (in ``database`` if given),
-    bucketed and sorted by ``cicid`` with the same bucket count: their join
+    bucketed and sorted by the person key with the same bucket count: their join
     (the largest of the OLAP question) then runs without a shuffle on
     either side.
 
@@ -199,32 +216,33 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     :func:`starloom.streaming.refresh_star` can add later months to the same
     folders; read them with :func:`read_star`.
     """
-    if refreshable and parity:
-        raise ValueError("a refreshable star keeps one row per key; use parity=False")
-    raw = read_parquet(spark, arrivals_path)
+    if refreshable and person_buckets:
+        raise ValueError("a refresh writes plain files: choose refreshable or person_buckets")
+    raw = read_parquet(spark, arrivals_path, schemas.ARRIVALS_RAW)
     staged = spark.read.parquet(
         write_parquet(clean_arrivals(raw), scratch_path(spark, "arrivals_clean")))
     lk = load_lookups(spark, dictionary_path)
     demog = read_csv(spark, demographics_path, sep=";", schema=schemas.DEMOGRAPHICS_RAW)
     airports = read_csv(spark, airports_path, sep=",", schema=schemas.AIRPORTS_RAW)
-    cities = majority_rows(demog, ("City",) if parity else ("City", "State"))
-
+    cities = spark.read.parquet(write_parquet(majority_rows(demog, tie_break="Race"),
+                                              scratch_path(spark, "cities")))
+    persons = dim_personal(staged, lk["countries"], one_row_per_key=True)
     tables = {
         "fact_immigration": fact_immigration(staged),
-        "dim_personal": clustered_for_write(
-            dim_personal(staged, lk["countries"], one_row_per_key=not parity), ["cicid"]),
-        "dim_flight": dim_flight(staged, one_row_per_key=not parity),
+        "dim_personal": persons if person_buckets else clustered_for_write(persons, ["cicid"]),
+        "dim_flight": dim_flight(staged, one_row_per_key=True),
         "dim_airports": us_airports(airports),
-        "dim_city_population": dim_city_population(cities, lk["ports"], parity),
-        "dim_city_stats": dim_city_stats(cities, lk["ports"], parity),
+        "dim_city_population": dim_city_population(cities, lk["ports"]),
+        "dim_city_stats": dim_city_stats(cities, lk["ports"]),
     }
-    if person_buckets:
-        tables["dim_personal"] = dim_personal(staged, lk["countries"],
-                                              one_row_per_key=not parity)
+    if refreshable:
+        tables["dim_personal"] = coded_persons(staged, lk["countries"])
+        tables["dim_flight"] = flight_rows(staged)
+
     def write(name: str, df: DataFrame) -> str:
         path = f"{out_dir.rstrip('/')}/{name}"
         part = ["year", "month"] if name == "fact_immigration" else None
-        if refreshable and name in REFRESHED_KEYS:
+        if refreshable and name in REFRESHED_TABLES:
             df = df.withColumn("batch", F.lit(-1))
             part = (part or []) + ["batch"]
         if person_buckets and name in ("fact_immigration", "dim_personal"):
@@ -239,33 +257,88 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
         futures = {name: pool.submit(write, name, df) for name, df in tables.items()}
         out = {name: f.result() for name, f in futures.items()}
+    if refreshable:  # after the fact, whose overwrite also removes older state
+        record_batch(spark, out["fact_immigration"], -1, next_id=free_id(staged))
     return out
 
 
-# Tables a refresh extends, with the key that identifies a row (None: the
-# fact, where every row is kept).
-REFRESHED_KEYS = {"fact_immigration": None, "dim_personal": "cicid", "dim_flight": "adm_num"}
+# Tables that a refresh extends.
+REFRESHED_TABLES = ("fact_immigration", "dim_personal", "dim_flight")
+
+
+def coded_persons(clean: DataFrame, countries: DataFrame) -> DataFrame:
+    """Stored form of the person rows of a refreshable star: names beside
+    the codes by which rows of several batches are compared."""
+    return name_countries(person_rows(clean), countries)
+
+
+def state_dir(fact_dir: str) -> str:
+    """Bookkeeping of a refreshed fact table; readers of the table skip it."""
+    return f"{fact_dir.rstrip('/')}/_refresh"
+
+
+def free_id(staged: DataFrame) -> int:
+    """The first id after those of a staged load."""
+    return staged.agg(F.coalesce(F.max("id"), F.lit(-1)) + 1).first()[0]
+
+
+def record_batch(spark: SparkSession, fact_dir: str, batch: int, stream: str | None = None,
+                 stream_batch: int | None = None, next_id: int | None = None) -> None:
+    """Keep what ``batch`` holds and the first id free after it (re-runs replace
+    the row)."""
+    row = spark.createDataFrame([(stream, stream_batch, next_id, batch)],
+                                "stream string, stream_batch long, next_id long, batch int")
+    (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch").parquet(f"{state_dir(fact_dir)}/batches"))
+
+
+def merged(df: DataFrame, name: str) -> DataFrame:
+    """One row per key of a refreshed person or flight table over all batches,
+    by the same order as within one load."""
+    df = df.drop("batch")
+    if name == "dim_personal":
+        return first_by_key(df, PERSON_KEY, PERSON_ORDER)
+    return first_by_key(df, "adm_num", _flight_order())
 
 
 def read_star(spark: SparkSession, star_dir: str) -> dict[str, DataFrame]:
     """The six tables under ``star_dir``.
 
-    For a refreshed star the ``batch`` bookkeeping column is resolved: fact
-    rows are all kept; person and flight rows are one per key, the latest
-    batch winning (a partial aggregate, so a key present in every batch
-    costs one row per task).
+    For a refreshed star the bookkeeping columns are resolved: fact rows are all
+    kept; person and flight rows are one per key (a partial aggregate, so
+    a key present in every batch costs one row per task), exactly those of a build from
+    all months at once. :func:`compact_star` shortens that work.
     """
     tables = {n: spark.read.parquet(f"{star_dir.rstrip('/')}/{n}") for n in schemas.STAR_SCHEMAS}
-    for name, key in REFRESHED_KEYS.items():
+    for name in REFRESHED_TABLES:
         df = tables[name]
         if "batch" not in df.columns:
             continue
-        if key is not None:
-            df = first_by_key(df, key, ["batch"], descending=True)
-        tables[name] = df.drop("batch").select(*schemas.STAR_SCHEMAS[name].fieldNames())
+        if name == "dim_personal":
+            df = merged(df, name).drop("citizen_country", "residence_country").withColumnsRenamed(
+                {"citizen_country_name": "citizen_country",
+                 "residence_country_name": "residence_country"})
+        elif name == "dim_flight":
+            df = merged(df, name)
+        tables[name] = df.select(*schemas.STAR_SCHEMAS[name].fieldNames())
     return tables
 
 
+def compact_star(spark: SparkSession, star_dir: str) -> None:
+    """Rewrite the person and flight tables of a refreshed star to one row per
+    key. The merged rows are staged first, so a failed rewrite can be
+    repeated from the scratch copy."""
+    for name in ("dim_personal", "dim_flight"):
+        path = f"{star_dir.rstrip('/')}/{name}"
+        df = spark.read.parquet(path)
+        last = df.agg(F.max("batch")).first()[0]
+        if last is None:
+            continue
+        copy = write_parquet(merged(df, name).withColumn("batch", F.lit(last)),
+                             scratch_path(spark, f"compact-{name}"))
+        write_parquet(spark.read.parquet(copy), path, partition_by=["batch"])
+
+
 def register_views(spark: SparkSession, star: str | dict[str, DataFrame],
                    prefix: str = "") -> dict[str, DataFrame]:
     """Expose the star tables to SQL as temporary views.

@@ -8,33 +8,55 @@ each micro-batch with dynamic partition overwrite keyed by
 rewrites exactly its own partitions, so the output is the same as if it ran
 once; readers prune by ``year``/``month`` as usual.
 
-Ids: within a micro-batch ``monotonically_increasing_id`` is
-``partition << 33 | row``; each batch gets its own range
-``(batch + 1) << 48`` (range 0 is the initial build, written as
-``batch=-1`` by ``build_star(..., refreshable=True)``), which keeps ids
-unique while a micro-batch has fewer than 2**15 input partitions (bound it
-with ``max_files_per_trigger``; checked per batch).
+State lies beside the data (``_refresh`` under the fact table, which readers of
+the table skip) and goes with it when the star is rebuilt. Each landing folder has its own
+checkpoint there, so a later run continues where the last one from that folder
+ended. Batch numbers are given out over all folders: a batch of a folder that was
+begun before keeps its number, a new one gets the next. Ids: within a load
+``monotonically_increasing_id`` is ``partition << 33 | row``; a batch starts at the
+first id that is free after all other batches, so ids cannot meet at any
+partition count. Refreshes of one star must not run at the same time.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..plans.star import (clean_arrivals, dim_flight, dim_personal, fact_immigration,
-                          load_lookups)
+from ..plans.star import (clean_arrivals, coded_persons, fact_immigration, flight_rows, free_id,
+                          load_lookups, record_batch, state_dir)
 from ..session import scratch_path
 from ..sources.files import write_parquet
 
-BATCH_ID_SHIFT = 48
-MAX_BATCH_PARTITIONS = 1 << (BATCH_ID_SHIFT - 33)
-INITIAL_BATCH = -1
+
+def _checkpoint(target: str, source: str) -> str:
+    return f"{state_dir(target)}/checkpoint-{hashlib.sha256(source.encode()).hexdigest()[:16]}"
+
+
+def claim_batch(spark: SparkSession, target: str, stream: str, stream_batch: int) -> tuple[int, int]:
+    """(batch number, first free id) for a micro-batch of a stream, which its
+    checkpoint identifies."""
+    try:
+        known = spark.read.schema(
+            "stream string, stream_batch long, next_id long, batch int").parquet(
+            f"{state_dir(target)}/batches")
+        last, mine = known.agg(F.max("batch"), F.max(F.when(
+            (F.col("stream") == stream) & (F.col("stream_batch") == stream_batch),
+            F.col("batch")))).first()
+        batch = mine if mine is not None else (-1 if last is None else last) + 1
+        first = known.where(F.col("batch") != batch).agg(F.max("next_id")).first()[0]
+    except AnalysisException:  # a table that begins with this stream
+        batch, first = 0, None
+    record_batch(spark, target, batch, stream, stream_batch)
+    return batch, first or 0
 
 
 def start_refresh(spark: SparkSession, source: str, target: str,
@@ -45,44 +67,58 @@ def start_refresh(spark: SparkSession, source: str, target: str,
     """Start an ``availableNow`` stream from ``source`` files into ``target``.
 
     ``transform(batch_df, batch_id)`` turns raw rows into output rows that
-    contain the ``partition_by`` columns.
+    contain the ``partition_by`` columns. Without ``checkpoint`` it lies in
+    :func:`~starloom.plans.star.state_dir` of the target.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source)
+    where = checkpoint or _checkpoint(target, source)
 
-    def write_batch(df: DataFrame, batch_id: int) -> None:
-        out = transform(df, batch_id).withColumn("batch", F.lit(batch_id))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by, "batch").parquet(target))
+    def write_batch(df: DataFrame, stream_batch: int) -> None:
+        batch, _ = claim_batch(spark, target, where, stream_batch)
+        _overwrite(transform(df, batch), target, partition_by, batch)
 
     return (stream.writeStream.foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint or scratch_path(spark, "refresh-ckpt"))
+            .option("checkpointLocation", where)
             .trigger(availableNow=True).start())
 
 
-def _fact_transform(df: DataFrame, batch_id: int) -> DataFrame:
-    return fact_immigration(_fact_transform_clean(df, batch_id))
-
-
-def _fact_transform_clean(df: DataFrame, batch_id: int) -> DataFrame:
-    try:
-        n_parts = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect has no RDD API; bound by maxFilesPerTrigger
-        n_parts = 0
-    if n_parts >= MAX_BATCH_PARTITIONS:
-        raise ValueError(f"micro-batch has {n_parts} partitions; lower maxFilesPerTrigger")
-    return clean_arrivals(df, id_offset=(batch_id + 1) << BATCH_ID_SHIFT)
+def _stage_batch(df: DataFrame, fact_dir: str, stream: str, stream_batch: int
+                 ) -> tuple[int, DataFrame]:
+    """Batch number and the cleaned batch, staged, with ids of its own."""
+    spark = df.sparkSession
+    batch, first = claim_batch(spark, fact_dir, stream, stream_batch)
+    staged = spark.read.parquet(write_parquet(clean_arrivals(df, id_offset=first),
+                                              scratch_path(spark, "refresh-stage")))
+    # a re-run of the batch finds its own row and starts after all others again
+    record_batch(spark, fact_dir, batch, stream, stream_batch, free_id(staged))
+    return batch, staged
 
 
 def refresh_fact_immigration(spark: SparkSession, arrivals_source: str, fact_dir: str,
                              checkpoint: str | None = None,
                              max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append new monthly arrival files to the fact table (see module doc)."""
-    return start_refresh(spark, arrivals_source, fact_dir, _fact_transform,
-                         schemas.ARRIVALS_RAW, ("year", "month"), checkpoint,
-                         max_files_per_trigger)
+    where = checkpoint or _checkpoint(fact_dir, arrivals_source)
+
+    def write_batch(df: DataFrame, stream_batch: int) -> None:
+        batch, staged = _stage_batch(df, fact_dir, where, stream_batch)
+        _overwrite(fact_immigration(staged), fact_dir, ["year", "month"], batch)
+    return (_arrivals(spark, arrivals_source, max_files_per_trigger).writeStream
+            .foreachBatch(write_batch).option("checkpointLocation", where)
+            .trigger(availableNow=True).start())
+
+
+def _arrivals(spark: SparkSession, source: str, max_files: int | None) -> DataFrame:
+    reader = spark.readStream.schema(schemas.ARRIVALS_RAW)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(source)
+
+
+def _overwrite(out: DataFrame, path: str, partition_by: Sequence[str], batch: int) -> None:
+    (out.withColumn("batch", F.lit(batch)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by, "batch").parquet(path))
 
 
 def refresh_star(spark: SparkSession, arrivals_source: str, star_dir: str,
@@ -95,37 +131,26 @@ def refresh_star(spark: SparkSession, arrivals_source: str, star_dir: str,
     its fact rows go to ``year/month/batch=b`` and its person and flight rows
     to ``batch=b`` of their tables, each by dynamic partition overwrite (a
     re-run batch replaces exactly its own rows). Readers resolve one row per
-    key across batches (the latest batch wins), see
-    :func:`starloom.plans.star.read_star`.
+    key across batches, see :func:`starloom.plans.star.read_star`.
     """
     countries = load_lookups(spark, dictionary_path)["countries"]
     root = star_dir.rstrip("/")
 
-    def write_batch(df: DataFrame, batch_id: int) -> None:
-        clean = _fact_transform_clean(df, batch_id)
-        staged = spark.read.parquet(write_parquet(clean, scratch_path(spark, "refresh-stage")))
-        b = F.lit(batch_id)
-        writes = [
-            (fact_immigration(staged), "fact_immigration", ["year", "month", "batch"]),
-            (dim_personal(staged, countries, one_row_per_key=True), "dim_personal", ["batch"]),
-            (dim_flight(staged, one_row_per_key=True), "dim_flight", ["batch"]),
-        ]
-
-        def write(out: DataFrame, name: str, part: list[str]) -> None:
-            (out.withColumn("batch", b).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy(*part)
-             .parquet(f"{root}/{name}"))
+    fact_dir = f"{root}/fact_immigration"
+    where = checkpoint or _checkpoint(fact_dir, arrivals_source)
 
+    def write_batch(df: DataFrame, stream_batch: int) -> None:
+        batch, staged = _stage_batch(df, fact_dir, where, stream_batch)
+        writes = [(fact_immigration(staged), fact_dir, ["year", "month"]),
+                  (coded_persons(staged, countries), f"{root}/dim_personal", []),
+                  (flight_rows(staged), f"{root}/dim_flight", [])]
         # independent jobs over the same staged batch: submit them together
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-            for f in [pool.submit(write, *w) for w in writes]:
+            for f in [pool.submit(_overwrite, *w, batch) for w in writes]:
                 f.result()
 
-    reader = spark.readStream.schema(schemas.ARRIVALS_RAW)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return (reader.parquet(arrivals_source).writeStream.foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint or scratch_path(spark, "refresh-ckpt"))
+    return (_arrivals(spark, arrivals_source, max_files_per_trigger).writeStream
+            .foreachBatch(write_batch).option("checkpointLocation", where)
             .trigger(availableNow=True).start())
 
 

@@ -51,10 +51,12 @@ def test_dim_personal(built):
     d = built[0]["dim_personal"]
     got = {r.cicid: (r.citizen_country, r.residence_country, r.gender, r.age, r.birth_year)
            for r in d.collect()}
-    assert len(got) == d.count() == 7
+    # number 1 stands for one person in April and for one in May
+    assert len(got) == 7 and d.count() == 8
+    assert sorted(r.month for r in d.where("cicid = 1").collect()) == [4, 5]
     assert got[3] == (None, "NORTH ELBONIA", "F", 30, 1986)
     assert got[2][2] == "M"
-    assert dq_pk_unique(d, "cicid", "p").first().ok
+    assert dq_pk_unique(d, list(star.PERSON_KEY), "p").first().ok
 
 
 def test_dim_flight(built):
@@ -76,7 +78,7 @@ def test_dim_city_population(built):
     got = sorted((r.city, r.state_code, r.city_code, r.race) for r in rows)
     assert got == sorted([
         ("ALPHA CITY", "AK", "ABC", "White"), ("ALPHA CITY", "AK", "ALC", "White"),
-        ("CAPITOL", "DC", "WDC", "White"), ("CAPITOL", "DC", "WDC", "Black"),
+        ("CAPITOL", "DC", "WDC", "Black"),
         ("PORTVILLE", "ME", "PRT", "White"), ("PORTVILLE", "OR", "PRO", "White"),
         ("BROOK", "NY", "BRK", "White"), ("HASHTON", "WA", "HSH", "White"),
         ("SPRINGS", "CO", "SPX", "White")])
@@ -89,23 +91,11 @@ def test_dim_city_stats(built):
     assert got[("PORTVILLE", "PRO")] == 36.3 and got[("PORTVILLE", "PRT")] == 40.2
 
 
-def test_parity_keys_merge_same_named_cities(spark, built):
-    _, p, _ = built
-    from starloom.sources.files import read_csv
-    demog = read_csv(spark, p["demographics"], sep=";", schema=schemas.DEMOGRAPHICS_RAW)
-    lk = star.load_lookups(spark, p["dictionary"])
-    cities = star.majority_rows(demog, ("City",))
-    pv = [r for r in star.dim_city_population(cities, lk["ports"], parity=True).collect()
-          if r.city == "PORTVILLE"]
-    # city-only grouping keeps Oregon's row and the name-only join gives it both codes
-    assert sorted((r.state_code, r.city_code) for r in pv) == [("OR", "PRO"), ("OR", "PRT")]
-
-
 def test_flagship_on_star(built):
     t = built[0]
     res = top_female_port_city(t["fact_immigration"], t["dim_city_population"],
                                t["dim_personal"]).collect()
-    assert [tuple(r) for r in res] == [("CAPITOL", 4, 2000)]
+    assert [tuple(r) for r in res] == [("CAPITOL", 2, 2000)]
 
 
 def test_flagship_matches_sql_form(spark, built):
@@ -113,8 +103,8 @@ def test_flagship_matches_sql_form(spark, built):
     want = spark.sql("""
         WITH women AS (
           SELECT f.id, f.port FROM fact_immigration f
-          JOIN dim_personal p ON p.cicid = f.cicid AND p.gender = 'F')
-        SELECT c.city, count(w.id) AS porting_female_immigrants, c.foreign_population
+          JOIN dim_personal p USING (year, month, cicid) WHERE p.gender = 'F')
+        SELECT c.city, count(w.id) AS n_female_arrivals, c.foreign_population
         FROM women w LEFT JOIN dim_city_population c ON c.city_code = w.port
         GROUP BY c.city, c.foreign_population
         ORDER BY c.foreign_population DESC NULLS LAST, c.city LIMIT 1""").collect()
@@ -131,17 +121,20 @@ def test_bucketed_fact_and_person_join_without_shuffle(spark, tmp_path_factory):
                     f"{root}/out", person_buckets=4, database="star_bucketed")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    # the buckets hold one of the three key columns
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     try:
         fact = spark.table("star_bucketed.fact_immigration")
         person = spark.table("star_bucketed.dim_personal")
-        joined = fact.join(person.where(F.col("gender") == "F"), "cicid")
+        joined = fact.join(person.where(F.col("gender") == "F"), list(star.PERSON_KEY))
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
         city = spark.read.parquet(f"{root}/out/dim_city_population")
         res = top_female_port_city(fact, city, person).collect()
-        assert [tuple(r) for r in res] == [("CAPITOL", 4, 2000)]
+        assert [tuple(r) for r in res] == [("CAPITOL", 2, 2000)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
 
 
 def test_check_star_passes_on_default_build(spark, built):
@@ -152,20 +145,35 @@ def test_check_star_passes_on_default_build(spark, built):
     assert findings.count() > 20
 
 
-def test_check_star_flags_parity_duplicates(spark, tmp_path_factory):
+def test_check_star_flags_duplicates_and_orphans(spark, tmp_path_factory):
     from starloom.plans.checks import check_star
-    root = str(tmp_path_factory.mktemp("parity"))
+    root = str(tmp_path_factory.mktemp("broken"))
     p = fx.write_inputs(spark, f"{root}/in")
-    star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"], p["airports"],
-                    f"{root}/out", parity=True)
-    bad = {r.subject for r in check_star(spark, f"{root}/out", raise_errors=False)
-           .where(~F.col("ok")).collect()}
-    # one admission number with two flights: not a key of the DISTINCT flight table
-    assert "dim_flight.adm_num" in bad
-    with pytest.raises(ValueError):
+    out = star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"], p["airports"],
+                          f"{root}/out")
+    spark.read.parquet(out["dim_flight"]).limit(1).write.mode("append").parquet(out["dim_flight"])
+    spark.read.parquet(out["dim_city_stats"]).limit(1).write.mode("append").parquet(out["dim_city_stats"])
+    kept = [tuple(r) for r in spark.read.parquet(out["dim_personal"]).where("cicid <> 3").collect()]
+    (spark.createDataFrame(kept, schemas.DIM_PERSONAL).write.mode("overwrite")
+     .parquet(out["dim_personal"]))
+    rows = check_star(spark, f"{root}/out", raise_errors=False).collect()
+    bad = {r.subject for r in rows if not r.ok}
+    assert bad == {"dim_flight.adm_num", "dim_city_stats.city_code",
+                   "fact_immigration.year,month,cicid->dim_personal.year,month,cicid"}
+    covered = {r.subject: r.detail for r in rows if r.check == "coverage"}
+    assert covered["fact_immigration.port->dim_city_population.city_code"] == "orphan_rows=1"
+    with pytest.raises(ValueError, match="3 findings"):
         check_star(spark, f"{root}/out")
 
 
+def test_refreshable_and_buckets_exclude_each_other(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("both"))
+    p = fx.write_inputs(spark, f"{root}/in")
+    with pytest.raises(ValueError):
+        star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"], p["airports"],
+                        f"{root}/out", person_buckets=2, refreshable=True)
+
+
 def test_cli_build_check_ask(spark, tmp_path_factory, capsys):
     from starloom.__main__ import main
     root = str(tmp_path_factory.mktemp("cli"))

@@ -85,7 +85,7 @@ def test_refresh_star_keeps_references_and_keys(spark, tmp_dir):
     check_star(spark, f"{tmp_dir}/out")  # raises on orphans or duplicate keys
     t = star.read_star(spark, f"{tmp_dir}/out")
     assert t["fact_immigration"].count() == len(fx.KEPT_CICIDS)
-    assert t["dim_personal"].count() == len(set(fx.KEPT_CICIDS))
+    assert t["dim_personal"].count() == len(set(fx.KEPT_CICIDS)) + 1  # number 1 in two months
     # same results as building the star from both months at once
     whole = star.build_star(spark, fx_arrivals(spark, tmp_dir), p["dictionary"],
                             p["demographics"], p["airports"], f"{tmp_dir}/whole")
@@ -100,10 +100,85 @@ def fx_arrivals(spark, tmp_dir):
     return path
 
 
-def test_refreshable_requires_keyed_dimensions(spark, tmp_dir):
-    import pytest
+def _star(spark, tmp_dir, arrivals, name):
     from starloom.plans import star
+    p = fx.write_inputs(spark, f"{tmp_dir}/in-{name}")
+    arrivals.write.parquet(f"{tmp_dir}/raw-{name}")
+    star.build_star(spark, f"{tmp_dir}/raw-{name}", p["dictionary"], p["demographics"],
+                    p["airports"], f"{tmp_dir}/{name}", refreshable=True)
+    return f"{tmp_dir}/{name}", p["dictionary"]
+
+
+def _person(spark, rows):
+    cols = schemas.ARRIVALS_RAW.fieldNames()
+    rows = [dict(fx.BASE, **r) for r in rows]
+    return spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], schemas.ARRIVALS_RAW)
+
+
+def test_runs_from_different_folders_lose_nothing(spark, tmp_dir):
+    """Three loads without a checkpoint argument, the last one an older month."""
+    from starloom.plans import star
+    from starloom.streaming import refresh_star
+
+    def arrivals(month, *people):
+        return _person(spark, [dict(cicid=float(c), admnum=float(a), i94mon=month, gender=g, fltno=f)
+                               for c, a, g, f in people])
+    may = arrivals(5.0, (50, 100, "M", "00009"), (1, 101, "F", "00001"))
+    june = arrivals(6.0, (50, 102, "F", "00001"), (2, 103, "F", "00001"))
+    april = arrivals(4.0, (50, 104, "F", "00001"), (3, 100, "F", "00002"))
+    out, labels = _star(spark, tmp_dir, may, "late")
+    for name, rows in (("june", june), ("april", april)):
+        rows.write.parquet(f"{tmp_dir}/{name}")
+        for _ in range(2):  # the second run of a folder finds nothing new
+            refresh_star(spark, f"{tmp_dir}/{name}", out, labels).awaitTermination()
+    whole, _ = _star(spark, tmp_dir, may.unionByName(june).unionByName(april), "whole")
+
+    def content(root):
+        t = star.read_star(spark, root)
+        return {n: sorted((tuple(r) for r in t[n].drop("id").collect()), key=str)
+                for n in star.REFRESHED_TABLES}
+    assert content(out) == content(whole)
+    ids = [r.id for r in star.read_star(spark, out)["fact_immigration"].select("id").collect()]
+    assert len(ids) == len(set(ids)) == 6
+    before = content(out)
+    star.compact_star(spark, out)
+    assert content(out) == before
+    assert spark.read.parquet(f"{out}/dim_personal").select("batch").distinct().count() == 1
+    people = {(r.month, r.cicid): r.gender for r in star.read_star(spark, out)["dim_personal"].collect()}
+    assert people[(5, 50)] == "M" and people[(6, 50)] == people[(4, 50)] == "F"
+    flight = [r for r in star.read_star(spark, out)["dim_flight"].collect() if r.adm_num == 100]
+    assert [r.flight_no for r in flight] == ["00009"]  # the latest month's
+
+
+def test_rebuild_forgets_refreshed_months(spark, tmp_dir):
+    """A rebuild under a dynamic session replaces the star and its refresh state."""
+    from starloom.plans import star
+    from starloom.streaming import refresh_star
     p = fx.write_inputs(spark, f"{tmp_dir}/in")
-    with pytest.raises(ValueError):
-        star.build_star(spark, p["arrivals"], p["dictionary"], p["demographics"],
-                        p["airports"], f"{tmp_dir}/out", parity=True, refreshable=True)
+    _raw(spark, 4.0).write.parquet(f"{tmp_dir}/april")
+    _raw(spark, 5.0).write.parquet(f"{tmp_dir}/may")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        for _ in range(2):
+            star.build_star(spark, f"{tmp_dir}/april", p["dictionary"], p["demographics"],
+                            p["airports"], f"{tmp_dir}/out", refreshable=True)
+            fact = star.read_star(spark, f"{tmp_dir}/out")["fact_immigration"]
+            assert [r.month for r in fact.select("month").distinct().collect()] == [4]
+            refresh_star(spark, f"{tmp_dir}/may", f"{tmp_dir}/out", p["dictionary"]).awaitTermination()
+            fact = star.read_star(spark, f"{tmp_dir}/out")["fact_immigration"]
+            assert fact.count() == len(fx.KEPT_CICIDS)
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_interrupted_batch_keeps_its_number(spark, tmp_dir):
+    from starloom.plans.star import record_batch
+    from starloom.streaming.refresh import claim_batch
+    assert claim_batch(spark, tmp_dir, "a", 0) == (0, 0)
+    record_batch(spark, tmp_dir, 0, "a", 0, 1 << 40)
+    assert claim_batch(spark, tmp_dir, "b", 0) == (1, 1 << 40)  # stops before it keeps an id
+    assert claim_batch(spark, tmp_dir, "a", 1) == (2, 1 << 40)
+    record_batch(spark, tmp_dir, 2, "a", 1, 1 << 41)
+    assert claim_batch(spark, tmp_dir, "b", 0) == (1, 1 << 41)
