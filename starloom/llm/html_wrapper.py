@@ -76,9 +76,13 @@ OTHER_WORDS = frozenset(
     "subscription signup login share sharing social related recommended recommendations comment "
     "comments reply replies discussion respond disqus widget search pagination pager copyright legal "
     "disclaimer toolbar hidden form header".split())
+# words written as one, such as "siteheader"
+OTHER_STARTS = ("sidebar", "footer", "cookie", "newsletter", "breadcrumb", "advert", "sponsor")
+OTHER_ENDS = ("sidebar", "footer", "nav", "menu", "header", "comments", "banner", "ads")
 ALWAYS_OTHER = frozenset("comment comments reply replies ad ads advert advertisement sponsored promo "
                          "related hidden".split())
-MAIN_WORDS = ("articlebody", "article", "entry", "post", "story", "content", "main")
+MAIN_WORDS = ("articlebody", "article", "maincontent", "postbody", "entry", "post", "story",
+              "content", "main")
 
 
 def _key(name: str, attributes: str) -> str:
@@ -320,7 +324,7 @@ def decide(wrapper: list[Item], n_pages: int) -> None:
     regions = _regions(wrapper)
     varying = []
 
-    def walk(items, other, inside, header):
+    def walk(items, other, inside, header, main):
         for item in items:
             if item.key == "#":
                 item.keep = not other and (inside or not regions) and not header
@@ -328,12 +332,14 @@ def decide(wrapper: list[Item], n_pages: int) -> None:
                     varying.append(item)
                 continue
             tag, words, roles = _parts(item.key)
-            here = inside or tag in regions or bool(regions & words)
-            drop = other or _other(tag, words, roles, inside)
-            head = (header or inside and (tag == "header" or "header" in words)) \
-                and tag not in HEADINGS
-            walk(item.kids, drop, here and not drop, head)
-    walk(wrapper, False, False, False)
+            # a title often stands in the main part, just before the article
+            here = inside or tag in regions or bool(regions & words) or main and tag == "h1"
+            drop = other or (_other(tag, words, roles, inside)
+                             and not (tag == "form" and regions and _regions([item])))
+            head = (header or inside and (tag == "header" or any(w.endswith("header") for w in words))
+                    ) and tag not in HEADINGS
+            walk(item.kids, drop, here and not drop, head, main or tag == "main" and not drop)
+    walk(wrapper, False, False, False, False)
     if not regions:
         plain = [x for x in varying if 2 * x.links <= x.size]
         fixed = [x for x in plain if n_pages > 2 and x.const is not None]
@@ -355,8 +361,9 @@ def _other(tag, words, roles, inside) -> bool:
         return bool(words & ALWAYS_OTHER)
     if tag in OTHER_TAGS or roles & OTHER_ROLES or tag == "header" and not inside:
         return True
-    found = words & OTHER_WORDS
-    return bool(found - {"header"} if inside else found)
+    found = {w for w in words if w in OTHER_WORDS or w.startswith(OTHER_STARTS)
+             or w.endswith(OTHER_ENDS)}
+    return any(not w.endswith("header") for w in found) if inside else bool(found)
 
 
 def _regions(wrapper) -> frozenset:
@@ -368,8 +375,8 @@ def _regions(wrapper) -> frozenset:
             if item.key == "#":
                 continue
             tag, words, roles = _parts(item.key)
-            if _other(tag, words, roles, True) or tag == "header":
-                continue
+            if tag != "form" and _other(tag, words, roles, True) or tag == "header":
+                continue  # a form may be a frame around the whole page
             if item.size or _has_text(item):
                 seen.update({tag} & {"article", "main"})
                 seen.update(words & set(MAIN_WORDS))

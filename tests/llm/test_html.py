@@ -37,6 +37,15 @@ def test_furniture_goes():
     assert one(page) == "T & U\nOne\nTwo link x\na\nb"
 
 
+def test_frames_and_joined_words():
+    page = """<form id=aspnet><div class="siteheader">Top</div><main><h1>Title</h1>
+      <article><p>Body</p><form><p>ask</p></form></article><div class="related">more</div></main>
+      <div id="leftsidebar">links</div><div class="cookiebar">ok?</div></form>"""
+    assert one(page) == "Title\nBody"
+    assert one("<div class=pageheader>x</div><div class=postbody><div class=textheader><h2>H</h2>by me"
+               "</div><p>t</p><div role=alert>!</div></div><p>rest</p>") == "H\nt"
+
+
 def test_wrapper_is_a_union_free_expression():
     pages = ["<div><h1>A</h1><p>x</p><p>y</p></div>", "<div><h1>A</h1><h2>s</h2><p>z</p></div>",
              "<div><h1>B</h1><dl><dt>k<dd>v<dt>k2<dd>v2</dl><p>z</p></div>"]
