@@ -22,7 +22,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import documents_view, stage
+from starloom.llm.common import documents_view, small_batches, stage
 
 LEAF_BYTES = 16_384
 
@@ -38,34 +38,49 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+@functools.lru_cache(maxsize=2)
+def byte_encoding(path: str):
+    """(encoding, special tokens) of a byte-level tokenizer file."""
+    import tiktoken
+    with open(path, encoding="utf-8") as fh:
+        spec = json.load(fh)
+    vocab = spec["model"]["vocab"]
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+    order = [vocab[a + b] for a, b in pairs]
+    if order != sorted(order):
+        raise ValueError("ids of the vocabulary must follow its merges")
+    byte_of = {c: b for b, c in byte_alphabet().items()}
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}
+    return tiktoken.Encoding("own", pat_str=BYTE_PATTERN, mergeable_ranks=ranks,
+                             special_tokens=special), special
+
+
 class Codec:
     """Encoder and decoder over one tokenizer file."""
 
     def __init__(self, path: str):
-        import regex
-        import tiktoken
-        from tokenizers import Tokenizer
-        with open(path, encoding="utf-8") as fh:
-            spec = json.load(fh)
-        vocab = spec["model"]["vocab"]
-        merges = spec["model"]["merges"]
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
-        order = [vocab[a + b] for a, b in pairs]
-        if order != sorted(order):
-            raise ValueError("ids of the vocabulary must follow its merges")
-        self.byte_of = {c: b for b, c in byte_alphabet().items()}
+        self.path = path
+        self.fast, self.special = byte_encoding(path)
         self.char_of = byte_alphabet()
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.special = special
-        ranks = {bytes(self.byte_of[c] for c in t): i for t, i in vocab.items()
-                 if t not in special}
-        self.fast = tiktoken.Encoding("own", pat_str=BYTE_PATTERN, mergeable_ranks=ranks,
-                                      special_tokens=special)
-        self.names = {i: t for t, i in vocab.items()}
-        self.model = Tokenizer.from_file(path).model
-        self.pattern = regex.compile(BYTE_PATTERN)
         self.special_re = re.compile("|".join(
-            re.escape(s) for s in sorted(special, key=len, reverse=True)) or r"(?!)")
+            re.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
+
+    # only long unsplit text needs the following
+    @functools.cached_property
+    def model(self):
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.path).model
+
+    @functools.cached_property
+    def names(self) -> dict[int, str]:
+        with open(self.path, encoding="utf-8") as fh:
+            return {i: t for t, i in json.load(fh)["model"]["vocab"].items()}
+
+    @functools.cached_property
+    def pattern(self):
+        import regex
+        return regex.compile(BYTE_PATTERN)
 
     def encode(self, text: str):
         """Ids of a text without long pre-tokens, as a numpy array."""
@@ -141,7 +156,7 @@ def _encode_short(batches, path: str):
     import numpy as np
     import pyarrow as pa
     c = codec(path)
-    for batch in batches:
+    for batch in small_batches(batches):
         ids, decoded = [], []
         for text in batch.column("text").to_pylist():
             ids.append(c.encode(text or "").astype(np.int32, copy=False))
@@ -159,7 +174,7 @@ def _cut_long(batches, path: str, leaf_bytes: int):
     is one row; each leaf of a long pre-token is a row of its own."""
     import pyarrow as pa
     c = codec(path)
-    for batch in batches:
+    for batch in small_batches(batches):
         for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
             out, run, size = [], [], 0
 
@@ -189,7 +204,7 @@ def _cut_long(batches, path: str, leaf_bytes: int):
 def _encode_parts(batches, path: str):
     import pyarrow as pa
     c = codec(path)
-    for batch in batches:
+    for batch in small_batches(batches):
         ids = []
         for leaf, parts in zip(batch.column("leaf").to_pylist(), batch.column("parts").to_pylist()):
             got: list[int] = []

@@ -21,6 +21,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 500
+
+
+def small_batches(batches, rows: int = BATCH_ROWS):
+    """Slices of Arrow batches: what a task holds as Python objects stays small
+    beside the batch itself."""
+    import pyarrow as pa
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def as_bytes(column) -> list:
     """UTF-8 bytes (or None) of an Arrow string column, without decoding."""
     import pyarrow as pa

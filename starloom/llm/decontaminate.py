@@ -22,14 +22,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import as_bytes, documents_view, stage
+from starloom.llm.common import as_bytes, documents_view, small_batches, stage
 
 WINDOW = 13
 KGRAM = 8              # with 13 - 8 + 1 = 6 k-grams in a window
 BITS = 22
 LEAST_SHARE = 20       # contaminated if n_hit * LEAST_SHARE >= n_words
-CHUNK_WORDS = 1_000_000
-CACHE = 500_000        # words whose hash a worker remembers
+CHUNK_WORDS = 200_000
+CACHE = 100_000        # words whose hash a worker remembers
 
 # After this a text's words are its runs without spaces: A-Z become a-z, other
 # ASCII than digits and letters becomes a space, all else belongs to words.
@@ -81,7 +81,7 @@ def _item_windows(batches):
     import numpy as np
     import pyarrow as pa
     cache = _Hashes()
-    for batch in batches:
+    for batch in small_batches(batches):
         out = []
         for item, raw in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text"))):
             words = words_of(raw)
@@ -130,7 +130,7 @@ def _document_windows(batches, lengths: list[int], table: bytes):
                                                    "gram": gram, "at": []})
                 entry["at"].append(at)
         return [list(f.values()) for f in found]
-    for batch in batches:
+    for batch in small_batches(batches):
         n_words, found = [], []
         raws, counts, hashes = [], [], []
         for raw in as_bytes(batch.column("text")):

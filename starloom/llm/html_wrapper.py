@@ -32,7 +32,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import stage
+from starloom.llm.common import small_batches, stage
 from starloom.llm.url_filter import host_and_path
 
 DEPTH = 60
@@ -453,7 +453,7 @@ def _fold_batches(batches):
         return pa.RecordBatch.from_arrays(
             [pa.array([h for h, _ in rows], pa.string()),
              pa.array([w for _, w in rows], pa.string())], ["host", "wrapper"])
-    for batch in batches:
+    for batch in small_batches(batches):
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             wrapper, n = held.get(host, (None, 0))
             held[host] = (fold_pages(wrapper, page or ""), n + 1)
@@ -481,7 +481,7 @@ def _decided(text: str) -> list[Item]:
 
 def _extract_batches(batches):
     import pyarrow as pa
-    for batch in batches:
+    for batch in small_batches(batches):
         out = [extract(_decided(w), page) if page and w else ""
                for page, w in zip(batch.column("html").to_pylist(),
                                   batch.column("wrapper").to_pylist())]

@@ -14,14 +14,13 @@ long texts need no special case; columns beside id and text are ignored.
 
 from __future__ import annotations
 
-import functools
-import json
 import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import documents_view
+from starloom.llm.bpe_codec import byte_encoding
+from starloom.llm.common import documents_view, small_batches
 
 # The base patterns and the order of their kinds.
 KINDS = ("assign", "access", "hex")
@@ -75,19 +74,9 @@ def known_harmless(s: str) -> bool:
     return False
 
 
-@functools.lru_cache(maxsize=2)
 def _counter(path: str):
     """Token counter over a byte-level vocabulary file."""
-    import tiktoken
-    from starloom.llm.bpe_codec import BYTE_PATTERN, byte_alphabet
-    with open(path, encoding="utf-8") as fh:
-        spec = json.load(fh)
-    special = {t["content"] for t in spec["added_tokens"]}
-    byte_of = {c: b for b, c in byte_alphabet().items()}
-    ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items()
-             if t not in special}
-    enc = tiktoken.Encoding("scan", pat_str=BYTE_PATTERN, mergeable_ranks=ranks,
-                            special_tokens={})
+    enc, _ = byte_encoding(path)
     return lambda s: len(enc.encode_ordinary(s))
 
 
@@ -123,7 +112,7 @@ def _scan_batches(batches, path: str, max_ratio: float):
 
     def rows(spans):
         return [{"kind": k, "start": b, "end": e} for k, b, e in spans]
-    for batch in batches:
+    for batch in small_batches(batches):
         base, every = [], []
         for text in batch.column("text").to_pylist():
             found = scan(text or "", count, max_ratio)
@@ -162,7 +151,7 @@ def span_digests(scanned: DataFrame) -> DataFrame:
 def _redact_batches(batches, path: str, max_ratio: float, mark: str):
     import pyarrow as pa
     count = _counter(path)
-    for batch in batches:
+    for batch in small_batches(batches):
         texts, at = [], batch.schema.get_field_index("text")
         for text in batch.column(at).to_pylist():
             spans = scan(text, count, max_ratio)[1] if text else []

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import as_bytes, documents_view, stage
+from starloom.llm.common import as_bytes, documents_view, small_batches, stage
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -73,7 +73,7 @@ def _fingerprint_batches(batches, words: int):
     import xxhash
     digest = xxhash.xxh64_intdigest
     table = _bit_table()
-    for batch in batches:
+    for batch in small_batches(batches):
         out = []
         for raw in as_bytes(batch.column("text")):
             hashes = np.array([digest(s, SEED) for s in shingles(raw, words)], np.uint64)

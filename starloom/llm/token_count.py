@@ -22,7 +22,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import as_bytes, documents_view, stage
+from starloom.llm.common import as_bytes, documents_view, small_batches, stage
 
 HOT = 131_072
 HOT_BYTES = 64
@@ -84,7 +84,7 @@ def _distinct_in_tasks(batches):
         return pa.RecordBatch.from_arrays(
             [pa.array(list(pieces), pa.string()), pa.array(list(pieces.values()), pa.int64())],
             ["piece", "freq"])
-    for batch in batches:
+    for batch in small_batches(batches):
         for text in as_bytes(batch.column("text")):
             if text:
                 chunks.update(text.split())
@@ -102,7 +102,7 @@ def _count_pieces(batches, path: str):
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
     tok.no_padding()
-    for batch in batches:
+    for batch in small_batches(batches):
         pieces = batch.column("piece").to_pylist()
         counts = [len(e.ids) for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
         yield pa.RecordBatch.from_arrays(
@@ -126,7 +126,7 @@ def _sum_hot(batches, hot: dict):
         return known, rest
     cache = _Cache(split)
     pair = pa.struct([("piece", pa.string()), ("n", pa.int64())])
-    for batch in batches:
+    for batch in small_batches(batches):
         n_bytes, tokens, offsets, names, freqs = [], [], [0], [], []
         for text in as_bytes(batch.column("text")):
             total, rare = 0, Counter()
