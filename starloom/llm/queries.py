@@ -112,4 +112,55 @@ ORACLE: dict[str, str] = {
             GROUP BY r)
         SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict
         FROM parts LEFT JOIN best USING (r)""",
+    "op4_decontamination": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), @UPPER, lower(@UPPER)),
+                                              @WORD) AS w FROM documents),
+        item_words AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), @UPPER, lower(@UPPER)),
+                                               @WORD) AS w FROM benchmark),
+        grams AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[i + 1:i + n], ' ') AS gram
+            FROM (SELECT *, unnest(range(len(w) - n + 1)) AS i
+                  FROM (SELECT *, least(13, len(w)) AS n FROM item_words WHERE len(w) > 0))),
+        places AS (
+            SELECT doc_id, n, i, array_to_string(w[i + 1:i + n], ' ') AS gram
+            FROM (SELECT *, unnest(range(len(w) - n + 1)) AS i
+                  FROM words, (SELECT DISTINCT n FROM grams) WHERE len(w) >= n)),
+        hits AS (SELECT doc_id, n, i, item_id FROM places JOIN grams USING (n, gram)),
+        hit_words AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM (SELECT DISTINCT doc_id, n, i
+                                                                     FROM hits)) GROUP BY doc_id),
+        items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+        .replace("@UPPER", "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'")
+        .replace("@WORD", r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"),
+    # CRC-32 by its byte table, which the first lines compute from the polynomial
+    "op6_sharding": """
+        WITH steps AS (
+            SELECT list(v ORDER BY b) AS t
+            FROM (SELECT b, list_reduce([b::BIGINT] || list_transform(range(8), lambda x: 0::BIGINT),
+                         lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384)
+                                           ELSE a // 2 END) AS v FROM range(256) r(b))),
+        octets AS (
+            SELECT doc_id, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                                          lambda x: ('0x' || x)::BIGINT) AS o FROM documents),
+        sized AS (
+            SELECT doc_id, CAST(len(o) + 1 AS BIGINT) AS size,
+                   xor(list_reduce([4294967295::BIGINT] || o,
+                       lambda a, x: xor(a // 256, t[xor(a % 256, x) + 1])), 4294967295) AS text_crc32
+            FROM octets, steps),
+        line AS (
+            SELECT *, sum(size) OVER w AS upto, row_number() OVER w AS nth, sum(size) OVER () AS total
+            FROM sized WINDOW w AS (ORDER BY doc_id, text_crc32 ROWS UNBOUNDED PRECEDING)),
+        cut AS (SELECT *, CAST((2 * upto - size) * 8 // (2 * total) AS INTEGER) AS shard FROM line)
+        SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+               nth - min(nth) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+        FROM cut""",
 }
