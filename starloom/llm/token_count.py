@@ -150,6 +150,22 @@ def _sum_hot(batches, hot: dict):
              rest], ["doc_id", "n_bytes", "hot_tokens", "rest"])
 
 
+def most_frequent(pieces: DataFrame) -> DataFrame:
+    """At most ``HOT`` of the most frequent pre-tokens, as whole classes of
+    frequency (steps of a 16th of an octave): a cut by class sends the driver no
+    more rows than it keeps, whatever the number of tasks."""
+    short = pieces.where(F.octet_length("piece") <= HOT_BYTES).withColumn(
+        "class", F.floor(F.log2("freq") * 16).cast("int"))
+    total, least = 0, None
+    for r in short.groupBy("class").count().orderBy(F.desc("class")).collect():
+        total += r["count"]
+        if total > HOT:
+            break
+        least = r["class"]
+    return short.where(F.lit(False) if least is None else F.col("class") >= least).select(
+        "piece", "n_tokens")
+
+
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_tokens``."""
@@ -160,9 +176,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
               .mapInArrow(lambda it: _count_pieces(it, tokenizer_path),
                           "piece string, freq long, n_tokens long"))
     pieces = stage(pieces, "pieces")
-    hot = {r.piece: r.n_tokens for r in
-           pieces.where(F.octet_length("piece") <= HOT_BYTES)
-           .orderBy(F.desc("freq"), "piece").limit(HOT).select("piece", "n_tokens").collect()}
+    hot = {r.piece: r.n_tokens for r in most_frequent(pieces).collect()}
     id_type = view.schema["doc_id"].dataType.simpleString()
     counted = stage(
         view.mapInArrow(lambda it: _sum_hot(it, hot),
