@@ -208,25 +208,20 @@ def _children(left: Index, right: Index, level: int, a, b):
 
 
 def _link_task(pdf, max_bits: int):
-    """Links of one task: range ``home`` against itself and every range it
-    is paired with, as (code, smaller code of its tree) pairs."""
+    """Links within one range, or between the two ranges of a task, as (code,
+    smallest position's code of its tree) pairs."""
     import numpy as np
     import pandas as pd
-    empty = pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-    if not len(pdf):
-        return empty
     codes = pdf["code"].to_numpy().view(np.uint64)
     part = pdf["part"].to_numpy()
-    home = int(pdf["home"].iloc[0])
-    base = Index(codes[part == home])
-    others = [Index(codes[part == p]) for p in np.unique(part) if p != home]
-    every = np.concatenate([base.codes] + [o.codes for o in others])
+    sides = [Index(codes[part == p]) for p in np.unique(part)]
+    every = np.concatenate([x.codes for x in sides])
     forest = Forest(len(every))
-    search(base, base, max_bits, lambda i, j: forest.link(i, j))
-    at = len(base.codes)
-    for other in others:
-        search(base, other, max_bits, lambda i, j, at=at: forest.link(i, j + at))
-        at += len(other.codes)
+    if len(sides) == 1:
+        search(sides[0], sides[0], max_bits, forest.link)
+    else:
+        at = len(sides[0].codes)
+        search(sides[0], sides[1], max_bits, lambda i, j: forest.link(i, j + at))
     root = forest.roots(np.arange(len(every)))
     linked = root != np.arange(len(every))
     return pd.DataFrame({"a": every[linked].view(np.int64), "b": every[root[linked]].view(np.int64)})
@@ -253,22 +248,25 @@ def near_links(codes: DataFrame, max_bits: int = MAX_BITS, range_rows: int = RAN
     shared = ranked.groupBy("part").agg(F.bit_and("code").alias("ones"),
                                         F.bit_or("code").alias("any")).collect()
     pairs = _range_pairs([(r.part, r.ones, r.any) for r in shared], max_bits)
-    homes = ranked.sparkSession.createDataFrame(pairs, "part int, home int")
-    dealt = ranked.join(F.broadcast(homes), "part")
-    return stage(dealt.groupBy("home").applyInPandas(
+    tasks = ranked.sparkSession.createDataFrame(
+        [(p, x, y) for x, y in pairs for p in {x, y}], "part int, x int, y int")
+    dealt = ranked.join(F.broadcast(tasks), "part")  # bounded with the ranges
+    # a task holds one range or two, whatever the number of ranges
+    return stage(dealt.groupBy("x", "y").applyInPandas(
         lambda pdf: _link_task(pdf, max_bits), "a long, b long"), "links")
 
 
 def _range_pairs(shared, max_bits: int) -> list[tuple[int, int]]:
-    """(part, home): the ranges that a home range has to see, itself included.
-    A pair goes to one of both, by turns, so that the work spreads."""
+    """Pairs of ranges that have to meet, each range with itself included."""
+    import numpy as np
     full = (1 << 64) - 1
-    groups = [(p, a & full, ~(a ^ o) & full) for p, a, o in shared]
-    out = [(p, p) for p, _, _ in groups]
-    for i, (p, pat, mask) in enumerate(groups):
-        for q, pat2, mask2 in groups[:i]:
-            if ((pat ^ pat2) & mask & mask2).bit_count() <= max_bits:
-                out.append((p, q) if (p + q) % 2 else (q, p))
+    parts = [p for p, _, _ in shared]
+    patterns = np.array([a & full for _, a, _ in shared], np.uint64)
+    masks = np.array([~(a ^ o) & full for _, a, o in shared], np.uint64)
+    out = []
+    for i, p in enumerate(parts):
+        apart = np.bitwise_count((patterns[i] ^ patterns[i:]) & masks[i] & masks[i:])
+        out += [(p, parts[i + int(j)]) for j in np.flatnonzero(apart <= max_bits)]
     return out
 
 
