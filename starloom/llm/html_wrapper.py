@@ -400,8 +400,9 @@ def extract(wrapper: list[Item], page: str) -> str:
     """Texts of the page that fall on kept slots of the wrapper."""
     items, texts = parse(page)
     chosen: list[int] = []
+    paths: dict[tuple, bool] = {}
 
-    def walk(slots, parts, keep_rest):
+    def walk(slots, parts, path):
         parts = _grouped(parts, slots)
         slots = _grouped(slots, parts)
         matched = pairs([s.key for s in slots], [p.key for p in parts])
@@ -410,14 +411,33 @@ def extract(wrapper: list[Item], page: str) -> str:
         for q, part in enumerate(parts):
             slot = taken.get(q) or by_key.get(part.key)
             if part.key == "#":
-                if slot.keep if slot is not None else keep_rest:
+                if slot is None and not paths:
+                    paths.update(slot_paths(wrapper))
+                if slot.keep if slot is not None else paths.get(path):
                     chosen.extend(part.at)
             else:
-                walk(slot.kids if slot is not None else [], part.kids, False)
-    walk(wrapper, generalise(items), False)
+                walk(slot.kids if slot is not None else [], part.kids,
+                     path if part.key[0] == "(" else (*path, part.key))
+    walk(wrapper, generalise(items), ())
     return "\n".join(texts[i] for i in sorted(chosen))
 
 
+def slot_paths(wrapper: list[Item]) -> dict[tuple, bool]:
+    """Whether a text stays, by the keys of the tags around it. Groups add no key, so a
+    part that stands alone finds the slots of its like in groups, and the other way
+    round: aligning and folding move parts in and out of groups, but lose none."""
+    found: dict[tuple, bool] = {}
+
+    def walk(items, path):
+        for item in items:
+            if item.key == "#":
+                found[path] = found.get(path, False) or item.keep
+            else:
+                walk(item.kids, path if item.key[0] == "(" else (*path, item.key))
+    walk(wrapper, ())
+    return found
+
+
 def fold_pages(wrapper: list[Item] | None, page: str) -> list[Item]:
     """Wrapper of the pages so far and one more."""
     items = generalise(parse(page)[0])

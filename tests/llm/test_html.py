@@ -1,6 +1,8 @@
 """Wrapper induction on invented pages and on the smallest page table."""
 
+import functools
 import html
+import random
 import re
 
 from starloom.llm import html_wrapper as hw
@@ -68,3 +70,29 @@ def test_broken_pages():
                        ("a<script>x</b>", "a"), ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n2\n3"),
                        ("<p>" + "w " * 50_000, ("w " * 50_000).strip()), ("<!-- x", ""), ("a<!-- x --b", "a")]:
         assert one(page) == text
+
+
+def test_every_text_falls_on_a_slot():
+    """Parts alone on some pages and in repeated groups on others, in any order."""
+    forms = ["hp", "hfp", "hpf", "hfpfp", "hpfpf", "hfqfq", "hqp", "hfpqfpq"]
+    tags = {"h": "<h1>h{0}</h1>", "p": "<p>p{0}</p>", "f": "<figure><p>f{0}</p></figure>",
+            "q": "<blockquote><p>q{0}</p></blockquote>"}
+
+    def page(form):
+        parts = "".join(tags[c].format(i) for i, c in enumerate(form))
+        return f"<nav>m</nav><article>{parts}</article>"
+
+    def text(form):
+        return "\n".join(f"{c}{i}" for i, c in enumerate(form))
+    rng = random.Random(3)
+    orders = [forms[:4]] + [rng.sample(forms, rng.randint(2, len(forms))) for _ in range(60)]
+    for order in orders:
+        wrapper = None
+        for form in order:
+            wrapper = hw.fold_pages(wrapper, page(form))
+        halves = [hw.load(hw.dump(w, 1))[0] for w in (
+            functools.reduce(hw.fold_pages, map(page, part), None)
+            for part in (order[:len(order) // 2], order[len(order) // 2:])) if w is not None]
+        for w in (wrapper, functools.reduce(hw.align, halves)):
+            hw.decide(w, len(order))
+            assert [hw.extract(w, page(f)) for f in order] == [text(f) for f in order], order
