@@ -78,27 +78,40 @@ OTHER_WORDS = frozenset(
     "disclaimer toolbar hidden form header".split())
 # words written as one, such as "siteheader"
 OTHER_STARTS = ("sidebar", "footer", "cookie", "newsletter", "breadcrumb", "advert", "sponsor")
-OTHER_ENDS = ("sidebar", "footer", "nav", "menu", "header", "comments", "banner", "ads")
+OTHER_ENDS = ("sidebar", "footer", "nav", "menu", "header", "comments", "banner")
 ALWAYS_OTHER = frozenset("comment comments reply replies ad ads advert advertisement sponsored promo "
                          "related hidden".split())
+# of the words above, those that stand in names of an article's own parts as well
+DOUBTFUL = frozenset("related social search legal discussion hidden notice notices respond alert form "
+                     "header promotion subscription recommended recommendations copyright disclaimer "
+                     "navigation menu banner login signup widget".split())
+# whole ids that mark furniture even on sections
+OTHER_IDS = frozenset("comment comments reply replies respond disqus".split())
 MAIN_WORDS = ("articlebody", "article", "maincontent", "postbody", "entry", "post", "story",
               "content", "main")
 
 
 def _key(name: str, attributes: str) -> str:
-    """Tag with its role, class and id words, digits left out."""
+    """Tag with its role, class and id words, digits left out. Words of ids have a ``#``;
+    a ``=`` adds names that are one furniture word as a whole."""
     if not attributes.strip("/ \t\r\n"):
         return name
     words, marks = set(), []
     for a, v in _ATTRIBUTE.findall(attributes):
         a, v = a.lower(), v.strip("\"'").lower()
-        if a in ("class", "id", "itemprop"):
+        if a == "id":
+            found = [w for w in re.split(r"[^a-z]+", v) if w]
+            words.update("#" + w for w in found)
+            if len(found) == 1 and found[0] in OTHER_IDS:
+                words.add("#=" + found[0])
+        elif a in ("class", "itemprop"):
             words.update(w for w in re.split(r"[^a-z]+", v) if w)
+            words.update("=" + w for w in v.split() if w in DOUBTFUL)
         elif a == "role" and v:
             marks.append("!" + v)
         elif a == "hidden" or a == "aria-hidden" and v == "true" or a == "style" and re.search(
                 r"display\s*:\s*none|visibility\s*:\s*hidden", v):
-            words.add("hidden")
+            words.update(("hidden", "=hidden"))
     return (name + "".join("." + w for w in sorted(words)) + "".join(sorted(marks)))[:120]
 
 
@@ -334,9 +347,11 @@ def decide(wrapper: list[Item], n_pages: int) -> None:
             tag, words, roles = _parts(item.key)
             # a title often stands in the main part, just before the article
             here = inside or tag in regions or bool(regions & words) or main and tag == "h1"
-            drop = other or (_other(tag, words, roles, inside)
+            drop = other or ((_other_inside(item, n_pages) if inside
+                              else _other(item.key, False))
                              and not (tag == "form" and regions and _regions([item])))
-            head = (header or inside and (tag == "header" or any(w.endswith("header") for w in words))
+            named = _names(item.key)[1] if tag == "section" or "section" in words else words
+            head = (header or inside and (tag == "header" or any(w.endswith("header") for w in named))
                     ) and tag not in HEADINGS
             walk(item.kids, drop, here and not drop, head, main or tag == "main" and not drop)
     walk(wrapper, False, False, False, False)
@@ -349,23 +364,73 @@ def decide(wrapper: list[Item], n_pages: int) -> None:
 
 
 def _parts(key: str) -> tuple[str, frozenset, frozenset]:
+    """Tag, class and id words, and roles."""
+    tag, words, ids, roles, _ = _names(key)
+    return tag, words | ids, roles
+
+
+def _names(key: str) -> tuple[str, frozenset, frozenset, frozenset, frozenset]:
+    """Tag, class words, id words, roles, and ``=`` names."""
     if key[0] == "(":
-        return "(", frozenset(), frozenset()
+        return "(", frozenset(), frozenset(), frozenset(), frozenset()
     body, *roles = key.split("!")
     tag, *words = body.split(".")
-    return tag, frozenset(words), frozenset(roles)
+    return (tag, frozenset(w for w in words if w[0] not in "#="),
+            frozenset(w[1:] for w in words if w[0] == "#" and w[1] != "="), frozenset(roles),
+            frozenset(w for w in words if "=" in w))
+
 
+def _furniture(words) -> set:
+    return {w for w in words if w in OTHER_WORDS or w.startswith(OTHER_STARTS)
+            or w.endswith(OTHER_ENDS)}
 
-def _other(tag, words, roles, inside) -> bool:
-    if tag in ("article", "main", "("):
-        return bool(words & ALWAYS_OTHER)
+
+def _other(key: str, inside: bool) -> bool:
+    tag, words, ids, roles, whole = _names(key)
+    if tag in ("article", "main", "("):  # their ids are slugs of titles
+        sure = words & ALWAYS_OTHER
+        return bool(sure - DOUBTFUL or {"=" + w for w in sure} & whole
+                    or any(w[0] == "#" for w in whole))
     if tag in OTHER_TAGS or roles & OTHER_ROLES or tag == "header" and not inside:
         return True
-    found = {w for w in words if w in OTHER_WORDS or w.startswith(OTHER_STARTS)
-             or w.endswith(OTHER_ENDS)}
+    found = _furniture(words | ids)
     return any(not w.endswith("header") for w in found) if inside else bool(found)
 
 
+def _other_inside(item: Item, n_pages: int) -> bool:
+    """``_other`` in the main region, where names can be slugs of the article's own
+    headings: a doubtful word counts as a whole class, beside another one, or if the
+    part is mostly links or the same on all pages. Ids of headings and sections count
+    only if they are whole."""
+    if not _other(item.key, True):
+        return False
+    tag, words, ids, roles, whole = _names(item.key)
+    if tag in ("article", "main", "(") or tag in OTHER_TAGS or roles & OTHER_ROLES:
+        return True
+    by_class = {w for w in _furniture(words) if not w.endswith("header")}
+    if by_class - DOUBTFUL or {"=" + w for w in by_class} & whole:
+        return True
+    if tag in HEADINGS:
+        return len(by_class) > 1
+    by_id = {w for w in _furniture(ids) if not w.endswith("header")}
+    if any(w[0] == "#" for w in whole):
+        return True
+    if tag != "section" and "section" not in words:
+        if by_id - DOUBTFUL:
+            return True
+        by_class |= by_id
+    texts = list(_texts(item))
+    return (len(by_class) > 1 or 2 * sum(x.links for x in texts) > sum(x.size for x in texts)
+            or n_pages > 2 and not item.opt and all(x.const is not None for x in texts))
+
+
+def _texts(item: Item):
+    if item.key == "#":
+        yield item
+    for k in item.kids:
+        yield from _texts(k)
+
+
 def _regions(wrapper) -> frozenset:
     """What marks the main region: a tag, or a class word; empty if nothing."""
     seen: set = set()
@@ -375,7 +440,7 @@ def _regions(wrapper) -> frozenset:
             if item.key == "#":
                 continue
             tag, words, roles = _parts(item.key)
-            if tag != "form" and _other(tag, words, roles, True) or tag == "header":
+            if tag != "form" and _other(item.key, True) or tag == "header":
                 continue  # a form may be a frame around the whole page
             if item.size or _has_text(item):
                 seen.update({tag} & {"article", "main"})

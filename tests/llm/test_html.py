@@ -96,3 +96,23 @@ def test_every_text_falls_on_a_slot():
         for w in (wrapper, functools.reduce(hw.align, halves)):
             hw.decide(w, len(order))
             assert [hw.extract(w, page(f)) for f in order] == [text(f) for f in order], order
+
+
+def test_slugs_in_the_article_are_no_furniture():
+    ids = ["discussion", "related-work", "social-impact", "search", "legal", "hidden-markov-models",
+           "downloads", "threads", "navigation-and-search", "http-header"]
+    parts = "".join(f'<h2 id="{i}"><a href="#{i}">{i}</a></h2><section id="{i}"><p>on {i}</p></section>'
+                    f'<div class="section" id="{i}"><p>of {i}</p></div>' for i in ids)
+    parts += '<p class="roads">r</p><div id="leads">l</div><div id="legal-basis"><p>b</p></div>'
+    want = "\n".join(f"{i}\non {i}\nof {i}" for i in ids) + "\nr\nl\nb"
+    assert one(f'<article id="hidden-markov-models">{parts}</article>') == want
+    assert one(f'<main>{parts}<article class="related">x</article></main>') == want
+
+
+def test_furniture_in_the_article_goes():
+    page = ('<article><p>t{0}</p><div class="social share">s{0}</div><div class="comment-list">c{0}</div>'
+            '<div id="related-posts"><a href=x>r{0}</a></div><p class="ads">a{0}</p>'
+            '<div class="legal-note">same</div><div class="related">q{0}</div><h2 class="related">R</h2>'
+            '<section id="comments"><p>n{0}</p></section><div hidden>h{0}</div>'
+            '<article id="comment-{0}">c{0}</article></article>')
+    assert one(page.format(1), [page.format(k) for k in range(2, 6)]) == "t1"
