@@ -23,6 +23,7 @@ beside id, url and html are ignored.
 
 from __future__ import annotations
 
+import collections
 import difflib
 import functools
 import html as html_lib
@@ -154,6 +155,7 @@ def parse(page: str) -> tuple[list[Item], list[str]]:
     texts: list[str] = []
     top: list[Item] = []
     stack: list[tuple[str, list[Item]]] = [("", top)]
+    opened: dict[str, list[int]] = collections.defaultdict(list)  # places in the stack by tag
     buffer: list[str] = []
     linked = in_link = 0
     lower = None
@@ -169,13 +171,11 @@ def parse(page: str) -> tuple[list[Item], list[str]]:
         linked = 0
 
     def close(names, stops):
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in names:
-                flush()
-                del stack[i:]
-                return
-            if stack[i][0] in stops:
-                return
+        last = max((opened[n][-1] for n in names if opened[n]), default=0)
+        if last and last > max((opened[n][-1] for n in stops if opened[n]), default=0):
+            flush()
+            while len(stack) > last:
+                opened[stack.pop()[0]].pop()
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.search(page, at)
@@ -217,7 +217,11 @@ def parse(page: str) -> tuple[list[Item], list[str]]:
             close({"p"}, {"div", "article", "section", "td", "th", "li", "blockquote", "table"})
             if name in CLOSES:
                 close(*CLOSES[name])
-            if name == "hr" or len(stack) > DEPTH:
+            if name == "hr":
+                continue
+            opened[name].append(len(stack))
+            if len(stack) > DEPTH:  # open for its end tag only
+                stack.append((name, stack[-1][1]))
                 continue
             item = Item(_key(name, attributes))
             stack[-1][1].append(item)

@@ -116,3 +116,14 @@ def test_furniture_in_the_article_goes():
             '<section id="comments"><p>n{0}</p></section><div hidden>h{0}</div>'
             '<article id="comment-{0}">c{0}</article></article>')
     assert one(page.format(1), [page.format(k) for k in range(2, 6)]) == "t1"
+
+
+def test_text_after_a_closed_deep_nest():
+    for tag in ("div", "blockquote", "ul"):
+        for n in (50, 70, 3000):
+            page = (f"<div class=page><article><p>before</p>{f'<{tag}>' * n}deep<p>in</p>{f'</{tag}>' * n}"
+                    f"<p>after</p></article><p>out</p></div>")
+            assert one(page) == "before\ndeep\nin\nafter"
+    table = "<table><tr><td>"
+    page = f"<div><article>{table * 40}x{'</table>' * 40}<p>after</p></article><p>out</p></div>"
+    assert one(page) == "x\nafter"
