@@ -26,6 +26,7 @@ from __future__ import annotations
 import collections
 import difflib
 import functools
+import hashlib
 import html as html_lib
 import json
 import re
@@ -40,6 +41,7 @@ DEPTH = 60
 SALTS = 64
 HOSTS_IN_TASK = 2000     # wrappers that a map task holds before it passes them on
 LONGEST_PERIOD = 3       # tags of a repeated group side by side
+LONGEST_KEY = 120        # longer keys have a hash for the words that mark nothing
 TABLE_CELLS = 250_000    # alignment table; longer lists are aligned by matching blocks
 
 _TOKEN = re.compile(
@@ -113,7 +115,21 @@ def _key(name: str, attributes: str) -> str:
         elif a == "hidden" or a == "aria-hidden" and v == "true" or a == "style" and re.search(
                 r"display\s*:\s*none|visibility\s*:\s*hidden", v):
             words.update(("hidden", "=hidden"))
-    return (name + "".join("." + w for w in sorted(words)) + "".join(sorted(marks)))[:120]
+    key = name + "".join("." + w for w in sorted(words)) + "".join(sorted(marks))
+    if len(key) <= LONGEST_KEY:
+        return key
+    telling = {w for w in words if "=" in w or _telling(w.lstrip("#"))}
+    known = {m for m in marks if m[1:] in OTHER_ROLES or m == "!main"}
+    rest = "".join(sorted(words - telling) + sorted(set(marks) - known))
+    return (name + "".join("." + w for w in sorted(telling))
+            + (".~" + hashlib.md5(rest.encode()).hexdigest() if rest else "")
+            + "".join(sorted(known)))
+
+
+def _telling(word: str) -> bool:
+    """Whether a word marks the main region or furniture."""
+    return (word in OTHER_WORDS or word in MAIN_WORDS or word == "section"
+            or word.startswith(OTHER_STARTS) or word.endswith(OTHER_ENDS))
 
 
 class Item:
@@ -350,14 +366,14 @@ def decide(wrapper: list[Item], n_pages: int) -> None:
                 continue
             tag, words, roles = _parts(item.key)
             # a title often stands in the main part, just before the article
-            here = inside or tag in regions or bool(regions & words) or main and tag == "h1"
+            here = inside or tag in regions or bool(regions & (words | roles)) or main and tag == "h1"
             drop = other or ((_other_inside(item, n_pages) if inside
                               else _other(item.key, False))
                              and not (tag == "form" and regions and _regions([item])))
             named = _names(item.key)[1] if tag == "section" or "section" in words else words
             head = (header or inside and (tag == "header" or any(w.endswith("header") for w in named))
                     ) and tag not in HEADINGS
-            walk(item.kids, drop, here and not drop, head, main or tag == "main" and not drop)
+            walk(item.kids, drop, here and not drop, head, main or "main" in (tag, *roles) and not drop)
     walk(wrapper, False, False, False, False)
     if not regions:
         plain = [x for x in varying if 2 * x.links <= x.size]

@@ -127,3 +127,18 @@ def test_text_after_a_closed_deep_nest():
     table = "<table><tr><td>"
     page = f"<div><article>{table * 40}x{'</table>' * 40}<p>after</p></article><p>out</p></div>"
     assert one(page) == "x\nafter"
+
+
+def test_long_class_lists_keep_their_marks():
+    long = " ".join(f"aa{chr(97 + i)}-{'bcdefghijk'[:3 + i % 5]}{chr(97 + i)}{j}" for j, i in enumerate(range(26)))
+    page = (f'<div role="navigation" class="{long}">m</div><div class="{long} sidebar">s</div>'
+            f'<div role="main" class="{long}"><p>t</p><div class="{long} zz related">r</div>'
+            f'<div class="{long} zzz"><p>u</p></div></div><div class="{long}">x</div>')
+    assert one(page) == "t\nu"
+    assert one(f'<div class="{long} story"><p>t</p></div><div class="{long}">x</div>') == "t"
+    # a word that the cut made into another one
+    for n in range(100, 125):
+        word = "b" * (n - 8) + "-navy"
+        assert one(f'<div class="{word}"><p>t</p></div>') == "t"
+    assert hw._key("div", f'class="{long}"') != hw._key("div", f'class="{long} zzz"')
+    assert len(hw._key("div", f'class="{long}"')) < hw.LONGEST_KEY
