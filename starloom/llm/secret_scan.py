@@ -4,9 +4,10 @@ A tokenizer vocabulary spells ordinary words with few tokens, but random strings
 with many: characters per token fall. Candidates are runs of key-like characters;
 those at or below ``max_ratio`` characters per token are reported as ``random``,
 unless they are a known digest (hex of a usual digest length) or a known
-identifier (UUID, date or number, e-mail, URL, path, file name, a
-repeated or single-case word). Base spans always stay. Spans are code point offsets,
-end exclusive; a random span that overlaps a base span is not reported twice.
+identifier (UUID, date or number, e-mail, host, a run of few different
+characters). Words, paths and file names pass by their ratio, whatever their case.
+Base spans always stay. Spans are code point offsets, end exclusive; a random span
+that overlaps a base span is not reported twice.
 
 Null texts count as empty. Empty texts and tables, repeated rows and very
 long texts need no special case; columns beside id and text are ignored.
@@ -42,7 +43,6 @@ DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _NUMBER = re.compile(r"[0-9_+/=-]+")
-_WORDY = re.compile(r"[A-Za-z]+([-_/=+]+[A-Za-z]+)*[-_/=+]*|[-_=+/]+")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -60,18 +60,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def known_harmless(s: str) -> bool:
-    """Digests of a usual length, UUIDs, numbers and strings without digits
-    in words of one case."""
+    """Digests of a usual length, UUIDs, numbers and runs of few characters."""
     if _HEX_ONLY.fullmatch(s) and len(s) in DIGEST_LENGTHS:
         return True
-    if _UUID.fullmatch(s) or _NUMBER.fullmatch(s):
-        return True
-    if len(set(s)) <= 6:
-        return True
-    if _WORDY.fullmatch(s):
-        words = re.split(r"[-_/=+]+", s)
-        return all(w.islower() or w.isupper() or w[1:].islower() or not w for w in words)
-    return False
+    return bool(_UUID.fullmatch(s) or _NUMBER.fullmatch(s)) or len(set(s)) <= 6
 
 
 def _counter(path: str):

@@ -1,0 +1,34 @@
+"""Secret spans of invented texts."""
+
+import random
+import string
+
+import pytest
+
+from starloom.llm import secret_scan
+from starloom.llm.queries import BYTE_BPE
+
+KEY = "Xk29qLmZ8rTf4WvB7nYd3HcJ"
+
+
+@pytest.fixture(scope="module")
+def spans():
+    count = secret_scan._counter(BYTE_BPE)
+
+    def of(text):
+        return [(k, text[b:e]) for k, b, e in secret_scan.scan(text, count, secret_scan.MAX_RATIO)[1]]
+    return of
+
+
+@pytest.mark.parametrize("letters", [string.ascii_uppercase, string.ascii_lowercase])
+def test_random_letters_of_one_case(spans, letters):
+    rng = random.Random(1)
+    keys = ["".join(rng.choice(letters) for _ in range(32)) for _ in range(200)]
+    assert sum(spans(f"key {k} end") == [("random", k)] for k in keys) >= 190
+
+
+def test_words_and_paths_are_not_random(spans):
+    for word in ("internationalization-of-everything MAX_CONNECTION_POOL_TIMEOUT_SECONDS "
+                 "Kraftfahrzeughaftpflichtversicherung THE-QUICK-BROWN-FOX-JUMPS ========================= "
+                 "usr/share/locale/fr/messages hahahahahahahahahahahaha").split():
+        assert spans(f"a {word} b") == [], word
