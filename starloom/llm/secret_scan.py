@@ -4,7 +4,7 @@ A tokenizer vocabulary spells ordinary words with few tokens, but random strings
 with many: characters per token fall. Candidates are runs of key-like characters;
 those at or below ``max_ratio`` characters per token are reported as ``random``,
 unless they are a known digest (hex of a usual digest length) or a known
-identifier (UUID, date or number, e-mail, host, a run of few different
+identifier (UUID, date or number, e-mail, a run of few different
 characters). Words, paths and file names pass by their ratio, whatever their case.
 Base spans always stay. Spans are code point offsets, end exclusive; a random span
 that overlaps a base span is not reported twice.
@@ -42,6 +42,9 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+_DOMAIN = re.compile(r"(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9.-]*@)")
+_USER_INFO = re.compile(r"[^\s/@:]*(?::[^\s@]*)?")
+USER_INFO_CHARS = 1000  # user-info of a URL is looked for so far back
 _NUMBER = re.compile(r"[0-9_+/=-]+")
 
 
@@ -75,16 +78,30 @@ def _counter(path: str):
 def random_spans(text: str, count, max_ratio: float) -> list[tuple[str, int, int]]:
     out = []
     for m in CANDIDATE.finditer(text):
-        s = m.group()
-        around = text[max(0, m.start() - 1):m.start()] + text[m.end():m.end() + 1]
-        if "@" in around or "://" in text[max(0, m.start() - 3):m.start() + 1]:
-            continue  # mail addresses and hosts are identifiers
-        if known_harmless(s) or len(s) > max_ratio * count(s):
+        start, end = m.span()
+        if text[end:end + 1] == "@":
+            user = _user_info(text, start, end)
+            if user is not None:
+                start = max(start, user)
+            elif "/" not in m.group() and _DOMAIN.match(text, end + 1):
+                continue  # local part of a mail address
+        elif start > 1 and text[start - 1] == "@" and not text[start - 2].isspace():
+            domain = _DOMAIN.match(text, start)
+            if domain and domain.end() >= end:
+                continue
+        s = text[start:end]
+        if len(s) < LEAST_CHARS or known_harmless(s) or len(s) > max_ratio * count(s):
             continue
-        out.append((METHOD_KIND, *m.span()))
+        out.append((METHOD_KIND, start, end))
     return out
 
 
+def _user_info(text: str, start: int, end: int) -> int | None:
+    """Where the user-info of a URL starts, if it ends with the candidate."""
+    at = text.rfind("://", max(0, start - USER_INFO_CHARS), end)
+    return at + 3 if at >= 0 and _USER_INFO.fullmatch(text, at + 3, end) else None
+
+
 def scan(text: str, count, max_ratio: float) -> tuple[list, list]:
     """(base spans, all spans) of one text."""
     base = base_spans(text)

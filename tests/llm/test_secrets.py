@@ -32,3 +32,14 @@ def test_words_and_paths_are_not_random(spans):
                  "Kraftfahrzeughaftpflichtversicherung THE-QUICK-BROWN-FOX-JUMPS ========================= "
                  "usr/share/locale/fr/messages hahahahahahahahahahahaha").split():
         assert spans(f"a {word} b") == [], word
+
+
+def test_mail_addresses_and_user_info(spans):
+    for text in (f"postgres://admin:{KEY}@db.host", f"see https://{KEY}@example.org/x", f"redis://:{KEY}@h:6379",
+                 f"amqp://u.v:{KEY}@10.0.0.1/", f"{KEY}@", f"x @{KEY} y", f"a@{KEY} y", f"@{KEY}",
+                 f"p://u:x@{KEY}.z@h.org"):
+        assert spans(text) == [("random", KEY)], text
+    assert spans(f"mysql://u:{KEY[:12]}/{KEY[12:]}@db.host") == [("random", f"{KEY[:12]}/{KEY[12:]}")]
+    for text in (f"write to {KEY}@example.org.", f"mailto:{KEY}@mail.example.org", f"me@{KEY}.example.org",
+                 f"https://example.org/list/ mail {KEY}@example.org", f"ftp://u:p@{KEY}.example.org/x"):
+        assert spans(text) == [], text
