@@ -7,7 +7,7 @@ unless they are a known digest (hex of a usual digest length) or a known
 identifier (UUID, date or number, e-mail, a run of few different
 characters). Words, paths and file names pass by their ratio, whatever their case.
 Base spans always stay. Spans are code point offsets, end exclusive; a random span
-that overlaps a base span is not reported twice.
+that base spans cover wholly is not reported again.
 
 Null texts count as empty. Empty texts and tables, repeated rows and very
 long texts need no special case; columns beside id and text are ignored.
@@ -102,11 +102,20 @@ def _user_info(text: str, start: int, end: int) -> int | None:
     return at + 3 if at >= 0 and _USER_INFO.fullmatch(text, at + 3, end) else None
 
 
+def _covered(start: int, end: int, spans) -> bool:
+    """Whether spans, sorted by start, cover every place from start to end."""
+    for _, b, e in spans:
+        if b > start:
+            break
+        start = max(start, e)
+    return start >= end
+
+
 def scan(text: str, count, max_ratio: float) -> tuple[list, list]:
     """(base spans, all spans) of one text."""
     base = base_spans(text)
     own = [s for s in random_spans(text, count, max_ratio)
-           if not any(s[1] < e and b < s[2] for _, b, e in base)]
+           if not _covered(s[1], s[2], base)]
     order = (*KINDS, METHOD_KIND)
     return base, sorted(base + own, key=lambda s: (s[1], order.index(s[0])))
 
