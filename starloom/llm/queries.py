@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import (bpe_codec, decontaminate, html_wrapper, license_scan, quality_rules,
-                          secret_scan, sharding, simhash, token_count, url_filter)
+from starloom.llm import (bpe_codec, decontaminate, html_wrapper, license_scan, ngram_join,
+                          quality_rules, secret_scan, sharding, simhash, token_count, url_filter,
+                          whitening)
 from starloom.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -83,9 +84,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), ALLOW, BLOCK)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leading whitened components of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document."""
+    return (ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_shingles", "component_id"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_wrapper, op2_bpe_codec, op3_quality_rules, op4_decontamination, op5_token_count, op6_sharding,
-    op7_license_scan, op8_simhash, op9_secret_scan, op10_url_filter)}
+    op7_license_scan, op8_simhash, op9_secret_scan, op10_url_filter, op11_embedding_whitening,
+    op12_ngram_join)}
 
 _URL_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for v, rules in (("allow", ALLOW), ("block", BLOCK))
                        for h, p in rules)
