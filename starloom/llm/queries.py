@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import (bpe_codec, decontaminate, html_wrapper, license_scan, ngram_join,
-                          quality_rules, secret_scan, sharding, simhash, token_count, url_filter,
-                          whitening)
+from starloom.llm import (bpe_codec, collocations, decontaminate, html_wrapper, license_scan,
+                          ngram_join, quality_rules, secret_scan, sharding, simhash, token_count,
+                          url_filter, whitening)
 from starloom.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -95,10 +95,15 @@ def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best collocations of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_wrapper, op2_bpe_codec, op3_quality_rules, op4_decontamination, op5_token_count, op6_sharding,
     op7_license_scan, op8_simhash, op9_secret_scan, op10_url_filter, op11_embedding_whitening,
-    op12_ngram_join)}
+    op12_ngram_join, op13_collocations)}
 
 _URL_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for v, rules in (("allow", ALLOW), ("block", BLOCK))
                        for h, p in rules)
@@ -154,6 +159,56 @@ ORACLE: dict[str, str] = {
         FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)"""
         .replace("@UPPER", "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'")
         .replace("@WORD", r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"),
+    "op12_ngram_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(
+                   coalesce(text, ''), @UPPER, lower(@UPPER)), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS MATERIALIZED (
+            SELECT DISTINCT r, array_to_string(w[i + 1:i + n], ' ') AS gram
+            FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS i
+                  FROM (SELECT *, least(5, len(w)) AS n FROM words WHERE len(w) > 0))),
+        sized AS MATERIALIZED (SELECT r, count(*) AS n FROM sets GROUP BY r),
+        links AS MATERIALIZED (
+            SELECT a, b FROM (
+                SELECT x.r AS a, y.r AS b, count(*) AS c FROM sets x JOIN sets y USING (gram)
+                WHERE x.r <> y.r GROUP BY x.r, y.r)
+            JOIN sized s ON s.r = a JOIN sized t ON t.r = b WHERE 100 * c >= 80 * (s.n + t.n - c)),
+        reach(a, b) AS (
+            SELECT r, r FROM words UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+        SELECT w.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+        FROM words w JOIN reach ON reach.a = w.r JOIN words o ON o.r = reach.b LEFT JOIN sized s ON s.r = w.r
+        GROUP BY w.r, w.doc_id"""
+        .replace("@UPPER", "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"),
+    "op13_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+                   translate(coalesce(text, ''), @UPPER, lower(@UPPER)), '[.,;:!?\x0A-\x0D]')),
+                   '[^\x20\x09]+') AS w FROM documents),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+        counts AS MATERIALIZED (
+            SELECT lang, w[i + 1:i + k] AS p, k, count(*) AS f
+            FROM (SELECT lang, w, k, unnest(range(len(w) - k + 1)) AS i
+                  FROM (SELECT *, unnest(range(1, 6)) AS k FROM pieces) WHERE len(w) >= k)
+            GROUP BY ALL HAVING count(*) >= 100),
+        inside AS (
+            SELECT lang, p[i + 1:i + m] AS p, max(f) AS longer
+            FROM (SELECT lang, p, k, f, m, unnest(range(k - m + 1)) AS i
+                  FROM (SELECT *, unnest(range(2, k)) AS m FROM counts WHERE k > 2)) GROUP BY ALL),
+        cuts AS (
+            SELECT c.lang, c.p, c.f AS a, cut, x.f AS l, y.f AS r, n,
+                   CAST((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM counts WHERE k > 1) c
+            JOIN counts x ON x.lang = c.lang AND x.p = c.p[1:cut]
+            JOIN counts y ON y.lang = c.lang AND y.p = c.p[cut + 1:]
+            JOIN totals t ON t.lang = c.lang),
+        weakest AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC,
+               encode(array_to_string(p, ' '))) AS rank, array_to_string(p, ' ') AS phrase, a, l, r, n, score
+        FROM weakest LEFT JOIN inside USING (lang, p) WHERE coalesce(longer, 0) < a
+        QUALIFY rank <= 2000"""
+        .replace("@UPPER", "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"),
     # CRC-32 by its byte table, which the first lines compute from the polynomial
     "op6_sharding": """
         WITH steps AS (
