@@ -45,11 +45,11 @@ def function_definitions() -> dict[str, str]:
         # dictionary lines: code and label of an entry line ('' if none)
         "label_code": (
             "(line STRING) RETURNS STRING RETURN "
-            f"trim(regexp_extract(regexp_replace(line, {_lit(tx.LINE_COMMENT)}, ''), "
+            f"trim(regexp_extract(regexp_replace(line, {_lit(tx.QUOTED_OR_COMMENT)}, '$1'), "
             f"{_lit(tx.ENTRY)}, 1))"),
         "label_text": (
             "(line STRING) RETURNS STRING RETURN "
-            f"rtrim(replace(regexp_extract(regexp_replace(line, {_lit(tx.LINE_COMMENT)}, ''), "
+            f"rtrim(replace(regexp_extract(regexp_replace(line, {_lit(tx.QUOTED_OR_COMMENT)}, '$1'), "
             f"{_lit(tx.ENTRY)}, 2), \"''\", \"'\"))"),
         # port labels: city and state candidates (no check against a state list)
         "port_city": (

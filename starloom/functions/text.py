@@ -21,42 +21,49 @@ from pyspark.sql import functions as F
 HEADER = r"(?i)^\s*value\s+(\$?\w+)"
 ENTRY = r"^\s*'?([^'=]*?)'?\s*=\s*'(.*)'"
 CLOSES = r";\s*$"
-# A comment opened and closed on the same line (removed before looking for
-# headers and terminators, so a ';' inside it does not close a block).
-LINE_COMMENT = r"/\*.*?\*/"
+# Quoted text (which may hold comment marks) and comments, the last one perhaps still open at
+# the end of the line; and the former two only. What a quote or comment holds is not looked at.
+QUOTED = r"'[^']*(?:''[^']*)*'"
+QUOTED_OR_COMMENT = rf"(?s)({QUOTED})|/\*.*?\*/|/\*.*$"
+QUOTED_OR_CLOSED = rf"(?s){QUOTED}|/\*.*?\*/"
 # City and state of a port label: the last two capitals at the end (after a
 # comma or a blank), optionally followed by a bracketed or '#' suffix.
 PORT_SPLIT = r"^(.*?)\s*(?:,\s*|\s+)([A-Z]{2})(?:\s*[(#].*)?$"
 
 
-def _code_part(line: Column) -> Column:
-    """The line without same-line comments and without a byte-order mark."""
-    return F.regexp_replace(F.regexp_replace(line, "^\ufeff", ""), LINE_COMMENT, "")
+def without_comments(line: Column) -> Column:
+    """The line, which begins outside comments, without comments and byte-order mark."""
+    return F.regexp_replace(F.regexp_replace(line, "^\ufeff", ""), QUOTED_OR_COMMENT, "$1")
+
+
+def leaves_comment_open(line: Column) -> Column:
+    """True for a line, beginning outside comments, whose last comment goes on."""
+    return F.contains(F.regexp_replace(line, QUOTED_OR_CLOSED, " "), F.lit("/*"))
 
 
 def header_fmt(line: Column) -> Column:
     """Format name of a ``value <fmt>`` header line, else NULL."""
-    return F.nullif(F.regexp_extract(_code_part(line), HEADER, 1), F.lit(""))
+    return F.nullif(F.regexp_extract(without_comments(line), HEADER, 1), F.lit(""))
 
 
 def closes_block(line: Column) -> Column:
-    """True for a line ending a block with ``;`` (outside same-line comments)."""
-    return _code_part(line).rlike(CLOSES)
+    """True for a line ending a block with ``;`` (outside comments)."""
+    return without_comments(line).rlike(CLOSES)
 
 
 def is_entry(line: Column) -> Column:
     """True for a ``code = 'label'`` line."""
-    return _code_part(line).rlike(ENTRY)
+    return without_comments(line).rlike(ENTRY)
 
 
 def entry_code(line: Column) -> Column:
     """Code of an entry line, quotes and surrounding blanks removed."""
-    return F.trim(F.regexp_extract(_code_part(line), ENTRY, 1))
+    return F.trim(F.regexp_extract(without_comments(line), ENTRY, 1))
 
 
 def entry_label(line: Column) -> Column:
     """Label text with ``''`` unescaped and trailing blanks removed."""
-    raw = F.regexp_extract(_code_part(line), ENTRY, 2)
+    raw = F.regexp_extract(without_comments(line), ENTRY, 2)
     return F.rtrim(F.regexp_replace(raw, "''", "'"))
 
 

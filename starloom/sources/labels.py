@@ -1,17 +1,17 @@
 """Code dictionary -> lookup tables, as Spark jobs.
 
-The dictionary text is read once, line by line (splittable, in parallel). Each
-line learns the block it belongs to with a two-level scan instead of a
-driver round trip or a whole-file read:
-
-1. inside each input split, one ordered pass per partition strips comments
-   and carries the open block forward. A split cannot know whether it begins inside
-   a comment, so the pass answers for both cases. A split is never
-   divided between tasks and its lines arrive in file order, so this needs no
-   shuffle of the lines; the result is staged;
-2. a one-row-per-split summary of the staged lines gives the state that a
-   split inherits from the splits before it (ordered by file path and byte
-   offset): which case holds, and which block is open.
+The dictionary text is read once, line by line (splittable, in parallel). A line acts on
+two states, whether a comment is open and which block is: both acts are column
+expressions of the line alone. Composed in order, they give every line the comment and the
+block that it stands in, in two levels without a driver round trip or a whole-file read:
+
+1. inside an input split, windows over its lines compose the acts. Whether a comment is open
+   follows from the last line that decides it and the number of lines after it that turn
+   it round; a split cannot know whether it begins inside a comment, so the result
+   is kept for both cases. One shuffle puts the lines of a split, which Spark bounds, together;
+2. a one-row-per-split summary gives the state that a split inherits from the splits
+   before it (ordered by file path and byte offset): which case holds, and which block
+   is open.
 
 Blocks are parsed whole: no entry is lost at a block edge, comments may span
 lines anywhere, and codes of any width (``'AG'``, ``'.GA'``, ``'CP '``) are accepted.
@@ -23,8 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..session import scratch_path
-from .files import read_text_lines, write_parquet
+from .files import read_text_lines
 
 # Block names of the arrivals code dictionary.
 COUNTRY_FMT = "i94cntyl"
@@ -33,93 +32,76 @@ MODE_FMT = "i94model"
 STATE_FMT = "i94addrl"
 
 
-def _scan_lines():
-    """The ordered pass: a function for ``mapInPandas``.
+def _acts(lines: DataFrame) -> DataFrame:
+    """What every line does if it begins outside (0) or inside (1) a comment: ``code<c>``, the line
+    without comments; ``in<c>``, comment open after it; ``block<c>``, the block it opens
+    ('' closes, NULL neither)."""
+    v = F.col("value")
+    end = F.instr(v, "*/")
+    rest = F.when(end > 0, F.substr(v, end + 2))  # NULL: the comment goes on
+    both = {"code0": tx.without_comments(v), "in0": tx.leaves_comment_open(v),
+            "code1": F.coalesce(tx.without_comments(rest), F.lit("")),
+            "in1": F.coalesce(tx.leaves_comment_open(rest), F.lit(True))}
+    out = lines.select("value", "file", "block", "row", *[
+        F.coalesce(c, F.lit("" if k.startswith("code") else False)).alias(k) for k, c in both.items()])
 
-    For ``c`` = 0 (the split begins outside a comment) and 1 (inside) it adds
-    ``code<c>``, the line without comments; ``fmt<c>``, the block open before
-    the line ('' closed, NULL not known in this split); ``in<c>`` and
-    ``end<c>``, comment and block state after it. Built as a closure so that it is
-    shipped to the Python workers by value (they need not import this package).
-    """
-    import re
-    token = re.compile(r"'(?:[^']|'')*'|/\*")
-    header, closes = re.compile(tx.HEADER, re.ASCII), re.compile(tx.CLOSES, re.ASCII)
-
-    def strip(line, inside):
-        out, at = [], 0
-        while at < len(line):
-            if inside:
-                end = line.find("*/", at)
-                if end < 0:
-                    return "".join(out), True
-                at, inside = end + 2, False
-                continue
-            m = token.search(line, at)
-            stop = m.start() if m else len(line)
-            out.append(line[at:stop])
-            if not m:
-                break
-            at, inside = m.end(), m.group() == "/*"
-            if not inside:
-                out.append(m.group())  # quoted text may hold comment marks
-        return "".join(out), inside
-
-    def run(batches):
-        split, states = None, None
-        for pdf in batches:
-            rows = []
-            for line, file, block in zip(pdf["value"], pdf["file"], pdf["block"]):
-                if (file, block) != split:
-                    split, states = (file, block), [(False, None), (True, None)]
-                row = []
-                for c, (inside, fmt) in enumerate(states):
-                    code, inside = strip((line or "").lstrip("\ufeff"), inside)
-                    before, m = fmt, header.search(code)
-                    if closes.search(code):
-                        fmt = ""
-                    elif m:
-                        fmt = m.group(1)
-                    states[c] = (inside, fmt)
-                    row += [code, before, inside, fmt]
-                rows.append(row)
-            added = list(zip(*rows)) if rows else [[]] * 8
-            names = ["code0", "fmt0", "in0", "end0", "code1", "fmt1", "in1", "end1"]
-            yield pdf.assign(**{n: list(v) for n, v in zip(names, added)})
-    return run
+    def opened(code: str):
+        return F.when(F.col(code).rlike(tx.CLOSES), F.lit("")).otherwise(
+            F.nullif(F.regexp_extract(code, tx.HEADER, 1), F.lit("")))
+    return out.withColumns({f"block{c}": opened(f"code{c}") for c in (0, 1)})
 
 
 def label_lines(lines: DataFrame) -> DataFrame:
     """Add ``code`` (the line without comments) and ``fmt`` (the open block, or
     NULL outside blocks) to every line.
 
-    ``lines`` has the columns of :func:`read_text_lines`
-    (``value, file, block, row``); the scanned lines are staged once.
+    ``lines`` has the columns of :func:`read_text_lines` (``value, file, block, row``).
     """
-    spark = lines.sparkSession
-    added = [f"{n}{c} {t}" for c in (0, 1) for n, t in
-             (("code", "string"), ("fmt", "string"), ("in", "boolean"), ("end", "string"))]
-    schema = "value string, file string, block bigint, row bigint, " + ", ".join(added)
-    scanned = spark.read.parquet(write_parquet(
-        lines.select("value", "file", "block", "row").mapInPandas(_scan_lines(), schema),
-        scratch_path(spark, "label_lines")))
+    split = Window.partitionBy("file", "block").orderBy("row")
+    earlier = split.rowsBetween(Window.unboundedPreceding, -1)
+    upto = split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a line decides the comment state (in0 = in1), keeps it, or turns it round (in0 only)
+    turns = (F.col("in0") & ~F.col("in1")).cast("int")
+    # below the acts: both uses of the scan need the same columns of it, and share the shuffle
+    lines = lines.select("value", "file", "block", "row").repartition("file", "block")
+    scanned = _acts(lines).withColumn("turned", F.sum(turns).over(upto))
+    decides = F.when(F.col("in0") == F.col("in1"), F.struct("in0", "turned"))
+    scanned = scanned.withColumns({
+        "decided": F.last(decides, ignorenulls=True).over(earlier),
+        "before": F.coalesce(F.last("turned").over(earlier), F.lit(0))})
+    odd = (F.col("before") - F.coalesce("decided.turned", F.lit(0))) % 2 == 1
+    for c in (0, 1):
+        inside = F.coalesce("decided.in0", F.lit(bool(c))) != odd
+        scanned = scanned.withColumns({
+            f"after{c}": F.when(inside, F.col("in1")).otherwise(F.col("in0")),
+            f"text{c}": F.when(inside, F.col("code1")).otherwise(F.col("code0")),
+            f"open{c}": F.when(inside, F.col("block1")).otherwise(F.col("block0"))})
+    scanned = scanned.withColumns({f"fmt{c}": F.last(f"open{c}", ignorenulls=True).over(earlier)
+                                   for c in (0, 1)})
     # State after each split, in the global order of splits. One row per input
     # split, which the driver plans anyway.
-    splits = (scanned.groupBy("file", "block")
-              .agg(F.max_by(F.struct("in0", "end0", "in1", "end1"), "row").alias("s"))
+    last = F.struct("after0", F.coalesce("open0", "fmt0").alias("end0"),
+                    "after1", F.coalesce("open1", "fmt1").alias("end1"))
+    splits = (scanned.groupBy("file", "block").agg(F.max_by(last, "row").alias("s"))
               .select("file", "block", "s.*"))
     before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    # a split without comment marks ends as it began, all others end one way
-    known = F.when(F.col("in0") == F.col("in1"), F.col("in0"))
-    splits = splits.withColumn("inside", F.coalesce(
-        F.last(known, ignorenulls=True).over(before), F.lit(False)))
+    # as for lines: a split decides the comment state, keeps it, or turns it round
+    turned = F.sum((F.col("after0") & ~F.col("after1")).cast("int"))
+    splits = splits.withColumn("turned", turned.over(
+        Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    known = F.last(F.when(F.col("after0") == F.col("after1"), F.struct("after0", "turned")),
+                   ignorenulls=True).over(before)
+    splits = splits.withColumns({"known": known, "past": F.coalesce(
+        F.last("turned").over(before), F.lit(0))})
+    splits = splits.withColumn("inside", F.coalesce("known.after0", F.lit(False)) != (
+        (F.col("past") - F.coalesce("known.turned", F.lit(0))) % 2 == 1))
     end = F.when(F.col("inside"), F.col("end1")).otherwise(F.col("end0"))
     carry = splits.select("file", "block", "inside",
                           F.last(end, ignorenulls=True).over(before).alias("open"))
     # no hint: AQE broadcasts the summary when it is small
     joined = scanned.join(carry, ["file", "block"], "left")
     fmt = F.when(F.col("inside"), F.col("fmt1")).otherwise(F.col("fmt0"))
-    code = F.when(F.col("inside"), F.col("code1")).otherwise(F.col("code0"))
+    code = F.when(F.col("inside"), F.col("text1")).otherwise(F.col("text0"))
     return joined.select("value", "file", "block", "row", code.alias("code"),
                          F.nullif(F.coalesce(fmt, F.col("open")), F.lit("")).alias("fmt"))
 

@@ -164,5 +164,69 @@ def test_comments_over_lines_inside_and_between_blocks(spark, tmp_path):
 
 
 def test_parse_reads_the_text_once(spark, dict_path):
-    plan = lb.code_labels(spark, dict_path)._jdf.queryExecution().executedPlan().toString()
-    assert "Scan text" not in plan and "MapInPandas" not in plan  # staged lines only
+    """Native, and the split summary reuses the lines' one shuffle."""
+    key = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        plan = lb.code_labels(spark, dict_path)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, old)
+    assert "Pandas" not in plan and "Python" not in plan and "Arrow" not in plan
+    assert plan.count("FileScan text") == 1 and "ReusedExchange" in plan
+
+
+def _read_in_order(lines):
+    """(code, open block) of every line by one walk over the text."""
+    import re
+    inside, block, out = False, None, []
+    for line in lines:
+        code, at = "", 0
+        while at < len(line):
+            if inside:
+                end = line.find("*/", at)
+                if end < 0:
+                    break
+                at, inside = end + 2, False
+                continue
+            m = re.compile(r"'(?:[^']|'')*'|/[*]").search(line, at)
+            code += line[at:m.start() if m else len(line)]
+            if not m:
+                break
+            at, inside = m.end(), m.group() == "/*"
+            code += "" if inside else m.group()
+        out.append((code, block))
+        header = re.search(r"(?i)^\s*value\s+(\$?\w+)", code)
+        if re.search(r";\s*$", code):
+            block = None
+        elif header:
+            block = header.group(1)
+    return out
+
+
+pieces = st.lists(st.sampled_from(["/*", "*/", "/", "*", "'", "''", " ", "a", ";", "value $b", "value c",
+                                   "'x'='y'", "'k' = 'l /* m */'", "1='it''s'"]), max_size=5)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(pieces, min_size=1, max_size=40), st.sampled_from(["128m", "150"]))
+def test_every_line_stands_where_a_walk_finds_it(spark, tmp_path_factory, text, size):
+    """Comments, quotes and blocks in any disorder, cut into splits anywhere."""
+    lines = ["".join(p) for p in text]
+    path = tmp_path_factory.mktemp("walk") / "d.txt"
+    path.write_text("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        rows = lb.label_lines(read_text_lines(spark, str(path))).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    rows.sort(key=lambda r: (r.block, r.row))
+    assert [r.value for r in rows] == lines
+    assert [(r.code, r.fmt) for r in rows] == _read_in_order(lines)
+
+
+def test_label_keeps_comment_marks_in_quotes(spark, tmp_path):
+    p = tmp_path / "d.txt"
+    p.write_text("value $blk\n 'A' = 'ALPHA /* kept */ end'\n;\n")
+    assert [r.label for r in lb.code_labels(spark, str(p)).collect()] == ["ALPHA /* kept */ end"]
