@@ -110,35 +110,60 @@ def dq_references(child: DataFrame,
     """:func:`dq_fk_orphans` for several references of one child table with
     one scan of it: ``relations`` are ``(name, fk, parent, pk)``.
 
-    Every child row gives one key per relation; keys are counted per
-    (relation, key) on the map side before they are shuffled.
+    Every child row gives one typed key per relation, every parent row one key marked as
+    found, and one aggregate over both adds up rows and marks per (relation, key). Map
+    tasks count before the only shuffle of keys, so a hot key is one row per task, and
+    there is no join.
     """
     spark = child.sparkSession
-
-    def key(columns, types):
-        return F.array(*[quoted(c).cast(t).cast("string") for c, t in zip(columns, types)])
-    keys, parents = [], []
-    for i, (_, fk, parent, pk) in enumerate(relations):
+    slots: dict[str, str] = {}      # key columns that the relations share, by type
+    places = []
+    for _, _, parent, pk in relations:
+        used: dict[str, int] = {}
+        own = []
+        for c in pk:
+            kind = _carrier(parent.schema[c].dataType)
+            used[kind] = used.get(kind, 0) + 1
+            own.append(f"{kind} {used[kind]}")
+            slots[own[-1]] = kind
+        places.append(own)
+
+    def key(rel, own, columns, types, null, found):
+        values = dict(zip(own, [quoted(c).cast(t) for c, t in zip(columns, types)]))
+        return F.struct(F.lit(rel).alias("rel"), null.alias("null"), *[
+            F.when(~null, values[s].cast(kind)).alias(s) if s in values
+            else F.lit(None).cast(kind).alias(s) for s, kind in slots.items()],
+            F.lit(0 if found else 1).cast("bigint").alias("c"), F.lit(found).alias("found"))
+    never = F.lit(False)
+    keys, marked = [], []
+    for i, ((_, fk, parent, pk), own) in enumerate(zip(relations, places)):
         types = [parent.schema[c].dataType for c in pk]
         null = reduce(lambda a, b: a | b, [quoted(c).isNull() for c in fk])
-        keys.append(F.struct(F.lit(i).alias("rel"), key(fk, types).alias("k"), null.alias("null")))
-        parents.append(parent.select(F.lit(i).alias("rel"), key(pk, types).alias("k")).distinct())
-    per_key = (child.select(F.explode(F.array(*keys)).alias("x")).select("x.*")
-               .groupBy("rel", "k", "null").agg(F.count(F.lit(1)).alias("c")))
-    known = reduce(DataFrame.unionByName, parents).withColumn("found", F.lit(True))
-    orphan = ~F.col("null") & F.col("found").isNull()
+        keys.append(key(i, own, fk, types, null, False))
+        marked.append(parent.select(key(i, own, pk, types, never, True).alias("x")).select("x.*"))
+    rows = child.select(F.explode(F.array(*keys)).alias("x")).select("x.*")
+    # a row of each relation, so that an empty child has its line too
+    empty = spark.range(len(relations)).select(
+        F.col("id").cast("int").alias("rel"), F.lit(True).alias("null"),
+        *[F.lit(None).cast(kind).alias(s) for s, kind in slots.items()],
+        F.lit(0).cast("bigint").alias("c"), never.alias("found"))
+    per_key = (reduce(DataFrame.unionByName, [rows, empty, *marked])
+               .groupBy("rel", "null", *[quoted(s) for s in slots]).agg(F.sum("c").alias("c"), F.max("found").alias("found")))
+    orphan = ~F.col("null") & ~F.col("found")
 
     def total(cond):
         return F.coalesce(F.sum(F.when(cond, F.col("c"))), F.lit(0)).cast("bigint")
-    found = per_key.join(known, ["rel", "k"], "left").groupBy("rel").agg(
+    names = F.array(*[F.lit(r[0]) for r in relations])
+    return (per_key.groupBy("rel").agg(
         F.sum("c").alias("n_rows"), total(F.col("null")).alias("n_null_fk"),
         total(orphan).alias("n_orphan_rows"), F.count(F.when(orphan, True)).alias("n_orphan_keys"))
-    names = spark.createDataFrame([(i, r[0]) for i, r in enumerate(relations)],
-                                  "rel int, relation string")
-    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in
-              ("n_rows", "n_null_fk", "n_orphan_rows", "n_orphan_keys")]
-    return (names.join(found, "rel", "left").select("relation", *counts)
-            .withColumn("ok", F.col("n_orphan_rows") == 0))
+        .select(names[F.col("rel")].alias("relation"), "n_rows", "n_null_fk", "n_orphan_rows",
+                "n_orphan_keys").withColumn("ok", F.col("n_orphan_rows") == 0))
+
+
+def _carrier(kind: T.DataType) -> str:
+    """Type of the column that carries keys of a type: whole numbers share one."""
+    return "bigint" if isinstance(kind, T.IntegralType) else kind.simpleString()
 
 
 def dq_null_profile(df: DataFrame, table_name: str,
