@@ -32,12 +32,12 @@ from ..operators import (as_map, bounded_broadcast, cast_columns, conform, dq_fk
 from ..session import scratch_path
 from ..streaming import read_refreshed, start_refresh
 from ..sources import labels as lb
-from ..sources.files import (read_csv, read_parquet, read_parquet_glob, read_text_lines,
+from ..sources.files import (read_csv, read_csv_by_name, read_parquet, read_parquet_glob, read_text_lines,
                              write_csv, write_parquet)
 from . import arrivals_fixture as afx
 from . import dictionary_fixture as dfx
 from . import star
-from .olap import top_female_port_city, top_market
+from .olap import top_female_port_city, top_female_port_city_by_counts, top_market
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, declared: bool = True) -> DataFrame:
@@ -106,6 +106,44 @@ def q_scan_csv_inferred(spark, d):
     return found.select(*[F.col(f.name).cast(f.dataType) for f in schemas.DRIVER["part"].fields])
 
 
+# Headers of three files of parts; the third has a column that nobody declared.
+PART_HEADERS = (("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
+                ("p_retailprice", "p_size", "p_type", "p_brand", "p_name", "p_partkey"),
+                ("p_brand", "note", "p_partkey", "p_name", "p_type", "p_retailprice", "p_size"))
+
+
+def _malformed_parts(spark, d) -> str:
+    """Parts in three files whose headers differ: every 7th name holds a line break, every 11th
+    size is no number, every 13th record lacks its last field."""
+    part = table(spark, d, "part")
+    every = lambda n: F.col("p_partkey") % n == 0
+    cells = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in part.columns}
+    cells["p_size"] = F.concat(cells["p_size"], F.when(every(11), "x").otherwise(""))
+    cells["p_name"] = F.concat(F.lit('"'), "p_name", F.when(every(7), "\nand more").otherwise(""),
+                               F.lit('"'))
+    cells["note"] = F.lit("a note")
+    lines = []
+    for i, header in enumerate(PART_HEADERS):
+        own = part.where(F.col("p_partkey") % 3 == i)
+        whole = F.concat_ws(";", *[cells[c] for c in header])
+        torn = F.concat_ws(";", *[cells[c] for c in header[:-1]])
+        lines.append(own.select(F.lit(i).alias("f"), F.lit(1).alias("nth"),
+                                F.when(every(13), torn).otherwise(whole).alias("value")))
+        lines.append(spark.createDataFrame([(i, 0, ";".join(header))], "f int, nth int, value string"))
+    path = scratch_path(spark, "parts_malformed")
+    (reduce(DataFrame.unionByName, lines).repartition("f").sortWithinPartitions("f", "nth")
+     .drop("nth").write.partitionBy("f").text(path))
+    return path
+
+
+def q_scan_csv_malformed(spark, d):
+    """Good records by name, and how many were rejected for what."""
+    rows, rejected = read_csv_by_name(spark, f"{_malformed_parts(spark, d)}/f=*",
+                                      schemas.DRIVER["part"], ";", multiline=True)
+    return rows.withColumns({"reason": F.lit(None).cast("string"), "n": F.lit(1).cast("long")}).unionByName(
+        rejected.groupBy("reason").agg(F.count("record").alias("n")), allowMissingColumns=True)
+
+
 def q_sql_over_views(spark, d):
     table(spark, d, "orders").createOrReplaceTempView("sl_orders")
     table(spark, d, "customer").createOrReplaceTempView("sl_customer")
@@ -484,6 +522,98 @@ def q_star_refresh_ids(spark, d):
     return ids.agg(F.count("id").alias("n"), F.count_distinct("id").alias("n_distinct"))
 
 
+def _loads(spark, d, parts: dict, raw: DataFrame | None = None) -> tuple[str, dict, str]:
+    """A refreshable star of the arrivals of the first of ``parts`` (name: condition); returns
+    its folder, the landing folder of every part and the dictionary."""
+    raw = afx.raw_arrivals(spark, d) if raw is None else raw
+    paths = {k: write_parquet(raw.where(c), scratch_path(spark, f"arrivals_{k}"))
+             for k, c in parts.items()}
+    p = star_inputs(spark, d)
+    out = scratch_path(spark, "star_loaded")
+    star.build_star(spark, next(iter(paths.values())), p["dictionary"], p["demographics"],
+                    p["airports"], out, refreshable=True)
+    return out, paths, p["dictionary"]
+
+
+def q_star_compact_rerun(spark, d):
+    """Persons after a refresh, a load that failed before its commit, a compaction, the same
+    load again and a second compaction."""
+    from ..sources.files import with_place
+    from ..streaming import refresh_star
+    from ..streaming.refresh import write_arrivals
+    late = (F.col("i94yr") == 1996) & (F.col("i94mon") == 3)
+    out, paths, labels = _loads(spark, d, {"first": (F.col("i94yr") < 1997) & ~late,
+                                           "next": F.col("i94yr") >= 1997, "late": late})
+    refresh_star(spark, paths["next"], out, labels).awaitTermination()
+    landed = with_place(read_parquet(spark, paths["late"], schemas.ARRIVALS_RAW))
+    write_arrivals(spark, landed, out, star.load_lookups(spark, labels)["countries"])
+    star.compact_star(spark, out)
+    refresh_star(spark, paths["late"], out, labels).awaitTermination()
+    star.compact_star(spark, out)
+    return star.read_star(spark, out)["dim_personal"]
+
+
+def q_star_refresh_ledger(spark, d):
+    """Facts after the same months have landed under three spellings of their folder, one of
+    them the folder that the star was built from."""
+    from ..streaming import refresh_star
+    raw = afx.raw_arrivals(spark, d).withColumn("year", F.col("i94yr").cast("int"))
+    root = write_parquet(raw, scratch_path(spark, "arrivals_by_year"), partition_by=["year"])
+    p = star_inputs(spark, d)
+    out = scratch_path(spark, "star_ledger")
+    star.build_star(spark, f"{root}/year=1996", p["dictionary"], p["demographics"], p["airports"],
+                    out, refreshable=True)
+    for spelled in (f"{root}/year=199[67]", f"{root}/*", f"{root}/../{root.rsplit('/', 1)[1]}/year=*"):
+        refresh_star(spark, spelled, out, p["dictionary"]).awaitTermination()
+    return star.read_star(spark, out)["fact_immigration"].drop("id")
+
+
+def q_star_stable_ids(spark, d):
+    """Arrivals staged twice, the second time in other splits: ids, different ids, and rows that are
+    equal with their id."""
+    path = write_parquet(afx.raw_arrivals(spark, d), scratch_path(spark, "arrivals_twice"))
+    first, _ = star.stage_arrivals(spark, path)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        second, _ = star.stage_arrivals(spark, path)
+    finally:
+        spark.conf.set(key, before)
+    both = first.join(second.withColumnsRenamed({c: f"{c}_2" for c in second.columns}),
+                      F.col("id") == F.col("id_2"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{c}_2")) for c in first.columns])
+    return both.agg(F.count("id").alias("n"), F.count_distinct("id").alias("n_distinct"),
+                    F.count(F.when(same, 1)).alias("n_equal"))
+
+
+def _summary_star(spark, d) -> str:
+    """A star whose second load changes persons of the first: records of one person differ in
+    gender, and the younger ones, which decide, come last."""
+    from ..streaming import refresh_star
+    raw = afx.raw_arrivals(spark, d).withColumn("gender", F.when(
+        F.col("gender").isNotNull(), F.when(F.col("i94visa") % 2 == 0, "F").otherwise("M")))
+    out, paths, labels = _loads(spark, d, {"old": F.col("i94bir") >= 30, "young": F.col("i94bir") < 15,
+                                           "middle": F.col("i94bir").between(15, 29)}, raw)
+    for part in ("young", "middle"):
+        refresh_star(spark, paths[part], out, labels).awaitTermination()
+    return out
+
+
+def q_star_summary_counts(spark, d):
+    """Arrivals per month, port and gender as the refreshes have kept them, compacted at last."""
+    out = _summary_star(spark, d)
+    star.compact_star(spark, out)
+    return star.read_summary(spark, out)
+
+
+def q_star_summary_answer(spark, d):
+    """The OLAP question from the kept counts."""
+    out = _summary_star(spark, d)
+    return top_female_port_city_by_counts(star.read_summary(spark, out),
+                                          star.read_star(spark, out)["dim_city_population"])
+
+
 def q_star_rebuild_dynamic(spark, d):
     """A star rebuilt from fewer months, in a session that asks for dynamic
     overwrite, holds these months only."""

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import top_k
-from .star import PERSON_KEY
+from .summary import PERSON_KEY
 
 
 def top_market(fact: DataFrame, markets: DataFrame, persons: DataFrame, *,
@@ -45,6 +45,13 @@ def top_market(fact: DataFrame, markets: DataFrame, persons: DataFrame, *,
     same = reduce(lambda a, b: a & b, [f[f"_f{i}"] == p[f"_p{i}"] for i in range(len(pk))])
     per_port = (f.join(p, same, "inner")
                 .groupBy("_port").agg(F.count("_id").alias("_n")))
+    return _top_of_ports(per_port, markets, market_code, market_name, market_size, out_name,
+                         out_count, out_size, k)
+
+
+def _top_of_ports(per_port: DataFrame, markets: DataFrame, market_code: str, market_name: str,
+                  market_size: str, out_name: str, out_count: str, out_size: str, k: int) -> DataFrame:
+    """The largest markets with the counts (``_port, _n``) of their ports."""
     m = markets.select(F.col(market_code).alias("_code"),
                        F.col(market_name).alias(out_name),
                        F.col(market_size).alias(out_size))
@@ -54,6 +61,15 @@ def top_market(fact: DataFrame, markets: DataFrame, persons: DataFrame, *,
     return top_k(per_market, k, out_size, [out_name]).select(out_name, out_count, out_size)
 
 
+def top_female_port_city_by_counts(counts: DataFrame, city_population: DataFrame) -> DataFrame:
+    """The answer of :func:`top_female_port_city` from the counts that refreshes keep
+    (:func:`starloom.plans.star.read_summary`), without reading facts or persons."""
+    per_port = (counts.where("gender = 'F'").groupBy(F.col("port").alias("_port"))
+                .agg(F.sum("n").alias("_n")))
+    return _top_of_ports(per_port, city_population, "city_code", "city", "foreign_population",
+                         "city", "n_female_arrivals", "foreign_population", 1)
+
+
 def top_female_port_city(fact: DataFrame, city_population: DataFrame,
                          personal: DataFrame) -> DataFrame:
     """Arrivals of women at the city with most foreign-born inhabitants, on the

@@ -145,6 +145,14 @@ LIMIT 1""",
     "scan_csv_comma": """SELECT *, CAST(c_custkey AS STRING) || ', ' || CAST(c_nationkey AS STRING)
   AS coordinates FROM customer""",
     "scan_csv_inferred": "SELECT * FROM part",
+    "scan_csv_malformed": """WITH judged AS (
+  SELECT *, CASE WHEN p_partkey % 13 = 0 THEN 'number of fields'
+                 WHEN p_partkey % 11 = 0 THEN 'p_size: not int' END AS reason FROM part)
+SELECT p_partkey, p_name || CASE WHEN p_partkey % 7 = 0 THEN chr(10) || 'and more' ELSE '' END AS p_name,
+  p_brand, p_type, p_size, p_retailprice, reason, CAST(1 AS BIGINT) AS n FROM judged WHERE reason IS NULL
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, reason, count(*) FROM judged WHERE reason IS NOT NULL
+GROUP BY reason""",
     "sql_over_views": """
 SELECT c.c_mktsegment, count(o.o_orderkey) AS n_orders, max(o.o_totalprice) AS max_totalprice
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY c.c_mktsegment""",
@@ -170,9 +178,8 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY c.c_mktsegme
     "require_columns": """SELECT * FROM (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority,
   nullif(o_orderstatus, 'P') AS status, o_totalprice FROM orders)
 WHERE priority IS NOT NULL AND status IS NOT NULL""",
-    "rows_at_group_max": """SELECT a.* FROM part a
-JOIN (SELECT p_brand, max(p_retailprice) AS m FROM part GROUP BY p_brand) b
-  ON a.p_brand = b.p_brand AND a.p_retailprice = b.m""",
+    "rows_at_group_max": """SELECT * FROM part
+QUALIFY p_retailprice = max(p_retailprice) OVER (PARTITION BY p_brand)""",
     "role_playing_lookup": """
 SELECT DISTINCT l.l_orderkey AS order_key, cn.n_name AS customer_nation,
   sn.n_name AS supplier_nation, o.o_orderpriority AS priority
@@ -184,14 +191,13 @@ LEFT JOIN nation cn ON c.c_nationkey = cn.n_nationkey
 LEFT JOIN nation sn ON s.s_nationkey = sn.n_nationkey""",
     "conform_by_name": f"""
 WITH cities AS ({CITIES}), ports AS ({PORTS}),
-top AS (SELECT a.* FROM cities a JOIN (SELECT city, max(p_retailprice) AS m FROM cities GROUP BY city) b
-        ON a.city = b.city AND a.p_retailprice = b.m)
+top AS (SELECT * FROM cities QUALIFY p_retailprice = max(p_retailprice) OVER (PARTITION BY city))
 SELECT t.city, t.state, p.city_code, p.port_state, t.p_partkey, t.p_retailprice
 FROM top t JOIN ports p ON t.city = p.port_city""",
     "conform_by_name_state": f"""
 WITH cities AS ({CITIES}), ports AS ({PORTS}),
-top AS (SELECT a.* FROM cities a JOIN (SELECT city, state, max(p_retailprice) AS m FROM cities
-        GROUP BY city, state) b ON a.city = b.city AND a.state = b.state AND a.p_retailprice = b.m)
+top AS (SELECT * FROM cities
+        QUALIFY p_retailprice = max(p_retailprice) OVER (PARTITION BY city, state))
 SELECT t.city, t.state, p.city_code, t.p_partkey, t.p_retailprice
 FROM top t JOIN ports p ON t.city = p.port_city AND t.state = p.port_state""",
     "star_left_join": """
@@ -258,6 +264,16 @@ SELECT DISTINCT adm_num, flight_no, airline, visatype FROM clean""",
     "star_refresh_personal": f"{STAR_NAMED} {PERSON_SQL}",
     "star_refresh_flight": f"{STAR_CLEAN} {FLIGHT_SQL}",
     "star_refresh_ids": f"{STAR_CLEAN} SELECT count(*) AS n, count(*) AS n_distinct FROM clean",
+    "star_compact_rerun": f"{STAR_NAMED} {PERSON_SQL}",
+    "star_refresh_ledger": f"""{STAR_CLEAN} SELECT cicid, year, month, port, state_code, visa,
+  arrival_date, departure_date, adm_num FROM clean""",
+    "star_stable_ids": f"""{STAR_CLEAN}
+SELECT count(*) AS n, count(*) AS n_distinct, count(*) AS n_equal FROM clean""",
+    "star_summary_counts": f"""{STAR_CLEAN}, decided AS (
+  SELECT year, month, port, first_value(CASE WHEN adm_num % 2 = 0 THEN 'F' ELSE 'M' END) OVER (
+    PARTITION BY year, month, cicid ORDER BY age, adm_num % 2) AS gender FROM clean)
+SELECT year, month, port, gender, count(*) AS n FROM decided GROUP BY ALL""",
+    "star_summary_answer": _women_sql("CASE WHEN adm_num % 2 = 0 THEN 'F' ELSE 'M' END"),
     "star_rebuild_dynamic": f"""{STAR_CLEAN}
 SELECT year, month, count(*) AS n_rows FROM clean WHERE year = 1997 GROUP BY year, month""",
     "star_build": f"""{STAR_NAMED}, {STAR_CITY_PARTS}, one_city AS (

@@ -20,8 +20,11 @@ from ..operators import (conform, first_by_key, quoted, require_columns,
                          role_lookup, rows_at_group_max, where_equal)
 from ..operators.order import clustered_for_write
 from ..session import scratch_path
+from ..sources import commits
 from ..sources import labels as lb
-from ..sources.files import read_csv, read_parquet, write_bucketed_table, write_parquet
+from ..sources.files import (files_of, numbered_files, read_csv_by_name, read_parquet,
+                             with_place, with_row_ids, write_bucketed_table, write_parquet)
+from .summary import PERSON_KEY, SUMMARY, merged_counts, port_gender_counts
 
 # Arrivals by air have mode 1; these columns must be present.
 AIR_MODE = 1
@@ -29,18 +32,19 @@ REQUIRED_ARRIVAL_COLUMNS = ("depdate", "i94addr", "fltno", "airline", "visatype"
                             "gender", "i94cit", "i94res")
 
 
-def clean_arrivals(raw: DataFrame, id_offset: int = 0) -> DataFrame:
+def clean_arrivals(raw: DataFrame, row_id: str | None = None) -> DataFrame:
     """Air arrivals with all required columns, narrowed and decoded.
 
-    ``id`` is assigned here, once, so that every table written from this
-    staging shares it; it is unique but neither dense nor stable across
-    runs and is never used as a join key. ``id_offset`` separates the id
-    ranges of successive loads (see :mod:`starloom.streaming.refresh`).
+    ``id`` is assigned here, once, so that every table written from this staging
+    shares it. It is the column ``row_id`` (file number and place in the file, see
+    :func:`starloom.sources.files.with_row_ids`: the same in every run over the same
+    files) or, for rows that come from no file, unique but neither dense nor stable.
+    It is never used as a join key.
     """
     df = require_columns(where_equal(raw, "i94mode", AIR_MODE), REQUIRED_ARRIVAL_COLUMNS)
     n = lambda c, t: F.col(c).try_cast(t)  # noqa: E731  lenient narrowing
     return df.select(
-        (F.monotonically_increasing_id() + F.lit(id_offset)).alias("id"),
+        (F.col(row_id) if row_id else F.monotonically_increasing_id()).alias("id"),
         n("cicid", "bigint").alias("cicid"),
         n("i94yr", "int").alias("year"),
         n("i94mon", "int").alias("month"),
@@ -67,8 +71,6 @@ def fact_immigration(clean: DataFrame) -> DataFrame:
                         "arrival_date", "departure_date", "adm_num")
 
 
-# A person number is unique within its month; an admission number everywhere.
-PERSON_KEY = ("year", "month", "cicid")
 PERSON_ORDER = ("age", "birth_year", "gender", "citizen_country", "residence_country")
 
 
@@ -194,16 +196,29 @@ def load_lookups(spark: SparkSession, dictionary_path: str) -> dict[str, DataFra
             "ports": lb.ports(entries, st)}
 
 
+def stage_arrivals(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """(cleaned arrivals, files with their numbers), both written to the scratch folder. The
+    same files give the same ids, however Spark splits the scan."""
+    placed = with_place(read_parquet(spark, path, schemas.ARRIVALS_RAW))
+    files = spark.read.parquet(write_parquet(numbered_files(files_of(placed)),
+                                             scratch_path(spark, "arrival_files")))
+    clean = clean_arrivals(with_row_ids(placed, files), "_id")
+    return spark.read.parquet(write_parquet(clean, scratch_path(spark, "arrivals_clean"))), files
+
+
 def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
                demographics_path: str, airports_path: str, out_dir: str,
                person_buckets: int | None = None, database: str | None = None,
-               refreshable: bool = False) -> dict[str, str]:
+               refreshable: bool = False, csv_multiline: bool = False) -> dict[str, str]:
     """Build and write the six star tables; returns ``{table: path}``.
 
     The cleaned arrivals and the cities are written once to the scratch folder
     and the tables read those copies, instead of re-reading and
     re-cleaning the raw files for each of them (this also cuts lineage, so
     a lost executor re-runs only the last stage). Every table is replaced whole.
+    The columns of the two CSV inputs are found by name; records that do not fit them are
+    written to :func:`rejected_path` with file and reason (``csv_multiline``: quoted fields may
+    hold line breaks).
 
     With ``person_buckets`` the fact and the person dimension are also
     registered as catalog tables of those names (in ``database`` if given),
@@ -214,16 +229,18 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     With ``refreshable`` the fact, person and flight tables get a ``batch``
     partition level (``-1`` for this build) so that
     :func:`starloom.streaming.refresh_star` can add later months to the same
-    folders; read them with :func:`read_star`.
+    folders; read them with :func:`read_star`. Counts of arrivals per month, port and
+    gender are kept beside them (:mod:`starloom.plans.summary`).
     """
     if refreshable and person_buckets:
         raise ValueError("a refresh writes plain files: choose refreshable or person_buckets")
-    raw = read_parquet(spark, arrivals_path, schemas.ARRIVALS_RAW)
-    staged = spark.read.parquet(
-        write_parquet(clean_arrivals(raw), scratch_path(spark, "arrivals_clean")))
+    staged, files = stage_arrivals(spark, arrivals_path)
     lk = load_lookups(spark, dictionary_path)
-    demog = read_csv(spark, demographics_path, sep=";", schema=schemas.DEMOGRAPHICS_RAW)
-    airports = read_csv(spark, airports_path, sep=",", schema=schemas.AIRPORTS_RAW)
+    demog, bad_demog = read_csv_by_name(spark, demographics_path, schemas.DEMOGRAPHICS_RAW, ";",
+                                        csv_multiline)
+    airports, bad_airports = read_csv_by_name(spark, airports_path, schemas.AIRPORTS_RAW, ",",
+                                              csv_multiline)
+    rejected = bad_demog.unionByName(bad_airports)
     cities = spark.read.parquet(write_parquet(majority_rows(demog, tie_break="Race"),
                                               scratch_path(spark, "cities")))
     persons = dim_personal(staged, lk["countries"], one_row_per_key=True)
@@ -238,11 +255,12 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     if refreshable:
         tables["dim_personal"] = coded_persons(staged, lk["countries"])
         tables["dim_flight"] = flight_rows(staged)
+        tables[SUMMARY] = port_gender_counts(tables["fact_immigration"], person_rows(staged))
 
     def write(name: str, df: DataFrame) -> str:
         path = f"{out_dir.rstrip('/')}/{name}"
         part = ["year", "month"] if name == "fact_immigration" else None
-        if refreshable and name in REFRESHED_TABLES:
+        if refreshable and name in COMMITTED_TABLES:
             df = df.withColumn("batch", F.lit(-1))
             part = (part or []) + ["batch"]
         if person_buckets and name in ("fact_immigration", "dim_personal"):
@@ -254,16 +272,36 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
 
     # The six writes are independent jobs: submit them together so small
     # dimension jobs run alongside the fact write instead of after it.
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+    with ThreadPoolExecutor(max_workers=len(tables) + 1) as pool:
         futures = {name: pool.submit(write, name, df) for name, df in tables.items()}
+        pool.submit(write_parquet, rejected, rejected_path(out_dir)).result()
         out = {name: f.result() for name, f in futures.items()}
     if refreshable:  # after the fact, whose overwrite also removes older state
-        record_batch(spark, out["fact_immigration"], -1, next_id=free_id(staged))
+        fact = out["fact_immigration"]
+        write_parquet(files, ledger_path(fact, -1))
+        last = files.agg(F.coalesce(F.max("file_no"), F.lit(-1))).first()[0]
+
+        def first_commit(state: dict) -> dict:
+            return commits.added(-1, [*COMMITTED_TABLES, LEDGER])({**state, "next_file": last + 1})
+        commits.commit(spark, fact, first_commit)
     return out
 
 
-# Tables that a refresh extends.
+def rejected_path(out_dir: str) -> str:
+    """CSV records that a build could not read (``file, block, row, record, reason``)."""
+    return f"{out_dir.rstrip('/')}/_rejected"
+
+
+# Tables that a refresh extends, and the list of the arrival files they were loaded from.
 REFRESHED_TABLES = ("fact_immigration", "dim_personal", "dim_flight")
+COMMITTED_TABLES = (*REFRESHED_TABLES, SUMMARY)
+LEDGER = "files"
+
+
+def ledger_path(fact_dir: str, batch: int | None = None) -> str:
+    """Folder of the list of loaded files (``path, length, modified, file_no``)."""
+    root = f"{commits.state_dir(fact_dir)}/{LEDGER}"
+    return root if batch is None else f"{root}/batch={batch}"
 
 
 def coded_persons(clean: DataFrame, countries: DataFrame) -> DataFrame:
@@ -272,26 +310,6 @@ def coded_persons(clean: DataFrame, countries: DataFrame) -> DataFrame:
     return name_countries(person_rows(clean), countries)
 
 
-def state_dir(fact_dir: str) -> str:
-    """Bookkeeping of a refreshed fact table; readers of the table skip it."""
-    return f"{fact_dir.rstrip('/')}/_refresh"
-
-
-def free_id(staged: DataFrame) -> int:
-    """The first id after those of a staged load."""
-    return staged.agg(F.coalesce(F.max("id"), F.lit(-1)) + 1).first()[0]
-
-
-def record_batch(spark: SparkSession, fact_dir: str, batch: int, stream: str | None = None,
-                 stream_batch: int | None = None, next_id: int | None = None) -> None:
-    """Keep what ``batch`` holds and the first id free after it (re-runs replace
-    the row)."""
-    row = spark.createDataFrame([(stream, stream_batch, next_id, batch)],
-                                "stream string, stream_batch long, next_id long, batch int")
-    (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch").parquet(f"{state_dir(fact_dir)}/batches"))
-
-
 def merged(df: DataFrame, name: str) -> DataFrame:
     """One row per key of a refreshed person or flight table over all batches,
     by the same order as within one load."""
@@ -304,16 +322,19 @@ def merged(df: DataFrame, name: str) -> DataFrame:
 def read_star(spark: SparkSession, star_dir: str) -> dict[str, DataFrame]:
     """The six tables under ``star_dir``.
 
-    For a refreshed star the bookkeeping columns are resolved: fact rows are all
-    kept; person and flight rows are one per key (a partial aggregate, so
-    a key present in every batch costs one row per task), exactly those of a build from
-    all months at once. :func:`compact_star` shortens that work.
+    For a refreshed star only the batches of the newest commit are read and the
+    bookkeeping columns are resolved: fact rows are all kept; person and flight rows are one
+    per key (a partial aggregate, so a key present in every batch costs one row per
+    task), exactly those of a build from all months at once. :func:`compact_star`
+    shortens that work.
     """
-    tables = {n: spark.read.parquet(f"{star_dir.rstrip('/')}/{n}") for n in schemas.STAR_SCHEMAS}
+    root = star_dir.rstrip("/")
+    tables = {n: spark.read.parquet(f"{root}/{n}") for n in schemas.STAR_SCHEMAS}
+    if "batch" not in tables["fact_immigration"].columns:
+        return tables
+    state = commits.latest(spark, f"{root}/fact_immigration")
     for name in REFRESHED_TABLES:
-        df = tables[name]
-        if "batch" not in df.columns:
-            continue
+        df = commits.live_rows(tables[name], state, name)
         if name == "dim_personal":
             df = merged(df, name).drop("citizen_country", "residence_country").withColumnsRenamed(
                 {"citizen_country_name": "citizen_country",
@@ -324,19 +345,36 @@ def read_star(spark: SparkSession, star_dir: str) -> dict[str, DataFrame]:
     return tables
 
 
+def read_summary(spark: SparkSession, star_dir: str) -> DataFrame:
+    """``year, month, port, gender, n`` of a refreshable star, merged over its batches."""
+    root = star_dir.rstrip("/")
+    state = commits.latest(spark, f"{root}/fact_immigration")
+    return merged_counts(commits.live_rows(spark.read.parquet(f"{root}/{SUMMARY}"), state, SUMMARY))
+
+
 def compact_star(spark: SparkSession, star_dir: str) -> None:
-    """Rewrite the person and flight tables of a refreshed star to one row per
-    key. The merged rows are staged first, so a failed rewrite can be
-    repeated from the scratch copy."""
-    for name in ("dim_personal", "dim_flight"):
-        path = f"{star_dir.rstrip('/')}/{name}"
-        df = spark.read.parquet(path)
-        last = df.agg(F.max("batch")).first()[0]
-        if last is None:
+    """One stored row per key again in the person, flight and summary tables of a refreshed star.
+
+    The merged rows are a batch of their own, which the next commit puts in the place of
+    the batches it was made from. Until then, and if this fails, readers see those;
+    a refresh that commits in between keeps its rows, and one that failed before has
+    none that are live. Replaced folders are deleted after the commit."""
+    root = star_dir.rstrip("/")
+    fact = f"{root}/fact_immigration"
+    state = commits.latest(spark, fact)
+    if state is None:
+        raise ValueError(f"{star_dir} was not built with refreshable=True")
+    folders = {n: f"{root}/{n}" for n in ("dim_personal", "dim_flight", SUMMARY)}
+    for name, path in folders.items():
+        batches = state["live"].get(name, [])
+        if len(batches) < 2:
             continue
-        copy = write_parquet(merged(df, name).withColumn("batch", F.lit(last)),
-                             scratch_path(spark, f"compact-{name}"))
-        write_parquet(spark.read.parquet(copy), path, partition_by=["batch"])
+        rows = commits.live_rows(spark.read.parquet(path), state, name)
+        batch, _ = commits.claim(spark, fact)
+        one = merged_counts(rows) if name == SUMMARY else merged(rows, name)
+        write_parquet(one, f"{path}/batch={batch}")
+        commits.commit(spark, fact, commits.swapped(batch, name, batches))
+    commits.remove_dead(spark, fact, folders)
 
 
 def register_views(spark: SparkSession, star: str | dict[str, DataFrame],

@@ -1,21 +1,25 @@
-"""Monthly refresh of the fact table with Structured Streaming.
-
-New monthly arrival files land in a source folder; an ``availableNow``
-stream picks up exactly the files not processed before (the file source's
-offset log in the checkpoint), cleans them with the batch code, and writes
-each micro-batch with dynamic partition overwrite keyed by
-``(year, month, batch)``. A micro-batch that is re-run after a failure
-rewrites exactly its own partitions, so the output is the same as if it ran
-once; readers prune by ``year``/``month`` as usual.
-
-State lies beside the data (``_refresh`` under the fact table, which readers of
-the table skip) and goes with it when the star is rebuilt. Each landing folder has its own
-checkpoint there, so a later run continues where the last one from that folder
-ended. Batch numbers are given out over all folders: a batch of a folder that was
-begun before keeps its number, a new one gets the next. Ids: within a load
-``monotonically_increasing_id`` is ``partition << 33 | row``; a batch starts at the
-first id that is free after all other batches, so ids cannot meet at any
-partition count. Refreshes of one star must not run at the same time.
+"""Monthly refresh of a star, or of one fact table, with Structured Streaming.
+
+New monthly arrival files land in a source folder; an ``availableNow`` stream picks
+up the files that its checkpoint does not know, and every micro-batch goes through the
+same steps:
+
+1. *Which files are new.* The files of the batch (resolved path and length, from the
+   scan itself) are compared with the ledger of all files that live batches were loaded
+   from. Only rows of new files go on, so a month is loaded once, whatever way its
+   folder was spelled, whichever stream or build brought it, and however often a
+   batch is run again. A file that has changed its length since it was loaded is an error.
+2. *Whose rows they are.* The batch gets a number and a range of file numbers that
+   nobody else gets (:func:`starloom.sources.commits.claim`); ids are file number and
+   place in the file.
+3. *Write, then commit.* Rows go to ``batch=<number>`` folders of every table; one
+   commit makes all of them live. A run that fails before leaves rows that are never
+   read, and its files are still new for the next run.
+
+State (ledger, claims, commits, checkpoints) lies under the fact table in ``_refresh``, which
+readers of the table skip, and goes with it when the star is rebuilt. Refreshes and
+compactions may run at the same time; of two that load the same file at the same
+time the second to commit fails and loads nothing.
 """
 
 from __future__ import annotations
@@ -23,40 +27,96 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..plans.star import (clean_arrivals, coded_persons, fact_immigration, flight_rows, free_id,
-                          load_lookups, record_batch, state_dir)
+from ..plans.star import (COMMITTED_TABLES, LEDGER, clean_arrivals, coded_persons,
+                          fact_immigration, flight_rows, ledger_path, load_lookups, merged)
+from ..plans.summary import PERSON_KEY, SUMMARY, moved_counts, port_gender_counts
 from ..session import scratch_path
-from ..sources.files import write_parquet
+from ..sources import commits
+from ..sources.files import files_of, numbered_files, with_place, with_row_ids, write_parquet
+
+LEDGER_SCHEMA = "path string, length long, modified timestamp, file_no long, batch int"
+
+
+class NewRows(NamedTuple):
+    """Rows of files that no live batch was loaded from, with ``_id``."""
+    batch: int
+    rows: DataFrame
+    seen: list[int]     # ledger batches that were compared
 
 
 def _checkpoint(target: str, source: str) -> str:
-    return f"{state_dir(target)}/checkpoint-{hashlib.sha256(source.encode()).hexdigest()[:16]}"
-
-
-def claim_batch(spark: SparkSession, target: str, stream: str, stream_batch: int) -> tuple[int, int]:
-    """(batch number, first free id) for a micro-batch of a stream, which its
-    checkpoint identifies."""
-    try:
-        known = spark.read.schema(
-            "stream string, stream_batch long, next_id long, batch int").parquet(
-            f"{state_dir(target)}/batches")
-        last, mine = known.agg(F.max("batch"), F.max(F.when(
-            (F.col("stream") == stream) & (F.col("stream_batch") == stream_batch),
-            F.col("batch")))).first()
-        batch = mine if mine is not None else (-1 if last is None else last) + 1
-        first = known.where(F.col("batch") != batch).agg(F.max("next_id")).first()[0]
-    except AnalysisException:  # a table that begins with this stream
-        batch, first = 0, None
-    record_batch(spark, target, batch, stream, stream_batch)
-    return batch, first or 0
+    name = hashlib.sha256(source.encode()).hexdigest()[:16]
+    return f"{commits.state_dir(target)}/checkpoint-{name}"
+
+
+def loaded_files(spark: SparkSession, target: str, batches: list[int]) -> DataFrame:
+    """Files that the given batches of a table were loaded from."""
+    if not batches:
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path(target))
+    return ledger.where(F.col("batch").isin(batches))
+
+
+def new_rows(df: DataFrame, target: str) -> NewRows | None:
+    """The rows of ``df`` (a scan :func:`with_place`) that are to be loaded, under a batch number
+    of their own, with their files entered in the ledger; None if all files are known."""
+    spark = df.sparkSession
+    seen = (commits.latest(spark, target) or {"live": {}})["live"].get(LEDGER, [])
+    files = spark.read.parquet(write_parquet(files_of(df), scratch_path(spark, "batch-files")))
+    known = loaded_files(spark, target, seen)
+    changed = (files.join(known.select("path", F.col("length").alias("before")), "path")
+               .where("length <> before").limit(5).collect())
+    if changed:
+        raise ValueError("these files have changed since they were loaded: "
+                         + ", ".join(r.path for r in changed))
+    new = spark.read.parquet(write_parquet(files.join(known, "path", "left_anti"),
+                                           scratch_path(spark, "new-files")))
+    n = new.count()
+    if not n:
+        return None
+    batch, first = commits.claim(spark, target, n)
+    path = write_parquet(numbered_files(new, first), ledger_path(target, batch))
+    return NewRows(batch, with_row_ids(df, spark.read.parquet(path)), seen)
+
+
+def commit_batch(spark: SparkSession, target: str, new: NewRows, tables: Sequence[str]) -> None:
+    """Make the batch's rows in ``tables`` and its files live, unless one of the files has
+    been loaded by somebody else meanwhile."""
+    add = commits.added(new.batch, [*tables, LEDGER])
+
+    def change(state: dict) -> dict:
+        later = sorted(set(state["live"].get(LEDGER, [])) - set(new.seen))
+        if later:
+            twice = loaded_files(spark, target, [new.batch]).join(
+                loaded_files(spark, target, later).select("path"), "path", "left_semi").limit(5).collect()
+            if twice:
+                raise RuntimeError("another refresh has loaded these files meanwhile: "
+                                   + ", ".join(r.path for r in twice))
+        return add(state)
+    commits.commit(spark, target, change)
+
+
+def _append(out: DataFrame, path: str, partition_by: Sequence[str], batch: int) -> None:
+    (out.withColumn("batch", F.lit(batch)).write.mode("append")
+     .partitionBy(*partition_by, "batch").parquet(path))
+
+
+def _stream(spark: SparkSession, source: str, schema: T.StructType, max_files: int | None,
+            checkpoint: str, write_batch: Callable[[DataFrame], None]) -> StreamingQuery:
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return (with_place(reader.parquet(source)).writeStream
+            .foreachBatch(lambda df, _: write_batch(df))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def start_refresh(spark: SparkSession, source: str, target: str,
@@ -66,94 +126,101 @@ def start_refresh(spark: SparkSession, source: str, target: str,
                   ) -> StreamingQuery:
     """Start an ``availableNow`` stream from ``source`` files into ``target``.
 
-    ``transform(batch_df, batch_id)`` turns raw rows into output rows that
-    contain the ``partition_by`` columns. Without ``checkpoint`` it lies in
-    :func:`~starloom.plans.star.state_dir` of the target.
+    ``transform(batch_df, batch)`` turns raw rows (and ``_id``, see module doc) into output
+    rows that contain the ``partition_by`` columns. Without ``checkpoint`` it lies in the
+    target's state folder. Read the table with :func:`read_refreshed`.
     """
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source)
-    where = checkpoint or _checkpoint(target, source)
+    def write_batch(df: DataFrame) -> None:
+        new = new_rows(df, target)
+        if new is not None:
+            _append(transform(new.rows, new.batch), target, partition_by, new.batch)
+            commit_batch(spark, target, new, [_name(target)])
+    return _stream(spark, source, schema, max_files_per_trigger,
+                   checkpoint or _checkpoint(target, source), write_batch)
 
-    def write_batch(df: DataFrame, stream_batch: int) -> None:
-        batch, _ = claim_batch(spark, target, where, stream_batch)
-        _overwrite(transform(df, batch), target, partition_by, batch)
 
-    return (stream.writeStream.foreachBatch(write_batch)
-            .option("checkpointLocation", where)
-            .trigger(availableNow=True).start())
+def _name(target: str) -> str:
+    return target.rstrip("/").rsplit("/", 1)[-1]
 
 
-def _stage_batch(df: DataFrame, fact_dir: str, stream: str, stream_batch: int
-                 ) -> tuple[int, DataFrame]:
-    """Batch number and the cleaned batch, staged, with ids of its own."""
-    spark = df.sparkSession
-    batch, first = claim_batch(spark, fact_dir, stream, stream_batch)
-    staged = spark.read.parquet(write_parquet(clean_arrivals(df, id_offset=first),
-                                              scratch_path(spark, "refresh-stage")))
-    # a re-run of the batch finds its own row and starts after all others again
-    record_batch(spark, fact_dir, batch, stream, stream_batch, free_id(staged))
-    return batch, staged
+def _staged(new: NewRows) -> DataFrame:
+    """The cleaned rows of a batch, written once to the scratch folder."""
+    spark = new.rows.sparkSession
+    return spark.read.parquet(write_parquet(clean_arrivals(new.rows, "_id"),
+                                            scratch_path(spark, "refresh-stage")))
 
 
 def refresh_fact_immigration(spark: SparkSession, arrivals_source: str, fact_dir: str,
                              checkpoint: str | None = None,
                              max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Append new monthly arrival files to the fact table (see module doc)."""
-    where = checkpoint or _checkpoint(fact_dir, arrivals_source)
-
-    def write_batch(df: DataFrame, stream_batch: int) -> None:
-        batch, staged = _stage_batch(df, fact_dir, where, stream_batch)
-        _overwrite(fact_immigration(staged), fact_dir, ["year", "month"], batch)
-    return (_arrivals(spark, arrivals_source, max_files_per_trigger).writeStream
-            .foreachBatch(write_batch).option("checkpointLocation", where)
-            .trigger(availableNow=True).start())
-
-
-def _arrivals(spark: SparkSession, source: str, max_files: int | None) -> DataFrame:
-    reader = spark.readStream.schema(schemas.ARRIVALS_RAW)
-    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(source)
-
-
-def _overwrite(out: DataFrame, path: str, partition_by: Sequence[str], batch: int) -> None:
-    (out.withColumn("batch", F.lit(batch)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by, "batch").parquet(path))
+    """Append new monthly arrival files to the fact table alone (see module doc)."""
+    return start_refresh(spark, arrivals_source, fact_dir,
+                         lambda rows, _: fact_immigration(clean_arrivals(rows, "_id")),
+                         schemas.ARRIVALS_RAW, checkpoint=checkpoint,
+                         max_files_per_trigger=max_files_per_trigger)
+
+
+def _corrections(spark: SparkSession, root: str, persons: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(persons of the batch as they are with it, count corrections of older facts)."""
+    state = commits.latest(spark, f"{root}/fact_immigration")
+    keys = list(PERSON_KEY)
+    stored = commits.live_rows(spark.read.parquet(f"{root}/dim_personal"), state, "dim_personal")
+    # months first: they prune files, the keys do the rest
+    months = persons.select("year", "month").distinct()
+    before = merged(stored.join(months, ["year", "month"], "left_semi")
+                    .join(persons.select(*keys), keys, "left_semi"), "dim_personal")
+    before = spark.read.parquet(write_parquet(before, scratch_path(spark, "persons-before")))
+    after = merged(before.unionByName(persons), "dim_personal")
+    fact = commits.live_rows(spark.read.parquet(f"{root}/fact_immigration"), state,
+                             "fact_immigration")
+    touched = before.select("year", "month").distinct()
+    old = fact.join(touched, ["year", "month"], "left_semi")  # prunes folders at runtime
+    return after, moved_counts(old, before, after)
+
+
+def write_arrivals(spark: SparkSession, df: DataFrame, star_dir: str, countries: DataFrame
+                   ) -> NewRows | None:
+    """Write the new rows of a scan to the tables of a star; nothing of it is live before
+    :func:`commit_batch`."""
+    root = star_dir.rstrip("/")
+    new = new_rows(df, f"{root}/fact_immigration")
+    if new is None:
+        return None
+    staged = _staged(new)
+    persons = spark.read.parquet(write_parquet(coded_persons(staged, countries),
+                                               scratch_path(spark, "refresh-persons")))
+    after, moved = _corrections(spark, root, persons)
+    counts = port_gender_counts(fact_immigration(staged), after).unionByName(moved)
+    writes = [(fact_immigration(staged), f"{root}/fact_immigration", ["year", "month"]),
+              (persons, f"{root}/dim_personal", []), (flight_rows(staged), f"{root}/dim_flight", []),
+              (counts, f"{root}/{SUMMARY}", [])]
+    # independent jobs over the same staged batch: submit them together
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for f in [pool.submit(_append, *w, new.batch) for w in writes]:
+            f.result()
+    return new
 
 
 def refresh_star(spark: SparkSession, arrivals_source: str, star_dir: str,
                  dictionary_path: str, checkpoint: str | None = None,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Add new monthly arrival files to a star built with
-    ``build_star(..., refreshable=True)``: fact, person and flight tables.
-
-    Each micro-batch is cleaned once and staged in the scratch folder, then
-    its fact rows go to ``year/month/batch=b`` and its person and flight rows
-    to ``batch=b`` of their tables, each by dynamic partition overwrite (a
-    re-run batch replaces exactly its own rows). Readers resolve one row per
-    key across batches, see :func:`starloom.plans.star.read_star`.
+    ``build_star(..., refreshable=True)``: fact, person and flight tables and the counts
+    of :mod:`starloom.plans.summary` (see module doc). Readers resolve one row per key across
+    batches, see :func:`starloom.plans.star.read_star`.
     """
     countries = load_lookups(spark, dictionary_path)["countries"]
-    root = star_dir.rstrip("/")
-
-    fact_dir = f"{root}/fact_immigration"
-    where = checkpoint or _checkpoint(fact_dir, arrivals_source)
-
-    def write_batch(df: DataFrame, stream_batch: int) -> None:
-        batch, staged = _stage_batch(df, fact_dir, where, stream_batch)
-        writes = [(fact_immigration(staged), fact_dir, ["year", "month"]),
-                  (coded_persons(staged, countries), f"{root}/dim_personal", []),
-                  (flight_rows(staged), f"{root}/dim_flight", [])]
-        # independent jobs over the same staged batch: submit them together
-        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-            for f in [pool.submit(_overwrite, *w, batch) for w in writes]:
-                f.result()
+    fact_dir = f"{star_dir.rstrip('/')}/fact_immigration"
 
-    return (_arrivals(spark, arrivals_source, max_files_per_trigger).writeStream
-            .foreachBatch(write_batch).option("checkpointLocation", where)
-            .trigger(availableNow=True).start())
+    def write_batch(df: DataFrame) -> None:
+        new = write_arrivals(spark, df, star_dir, countries)
+        if new is not None:
+            commit_batch(spark, fact_dir, new, COMMITTED_TABLES)
+    return _stream(spark, arrivals_source, schemas.ARRIVALS_RAW, max_files_per_trigger,
+                   checkpoint or _checkpoint(fact_dir, arrivals_source), write_batch)
 
 
 def read_refreshed(spark: SparkSession, target: str) -> DataFrame:
-    """The refreshed table without the bookkeeping ``batch`` column."""
-    return spark.read.parquet(target).drop("batch")
+    """The live rows of a refreshed table without the bookkeeping ``batch`` column."""
+    state = commits.latest(spark, target)
+    return commits.live_rows(spark.read.parquet(target), state, _name(target)).drop("batch")

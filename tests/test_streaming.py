@@ -173,12 +173,156 @@ def test_rebuild_forgets_refreshed_months(spark, tmp_dir):
         spark.conf.set(key, old)
 
 
-def test_interrupted_batch_keeps_its_number(spark, tmp_dir):
-    from starloom.plans.star import record_batch
-    from starloom.streaming.refresh import claim_batch
-    assert claim_batch(spark, tmp_dir, "a", 0) == (0, 0)
-    record_batch(spark, tmp_dir, 0, "a", 0, 1 << 40)
-    assert claim_batch(spark, tmp_dir, "b", 0) == (1, 1 << 40)  # stops before it keeps an id
-    assert claim_batch(spark, tmp_dir, "a", 1) == (2, 1 << 40)
-    record_batch(spark, tmp_dir, 2, "a", 1, 1 << 41)
-    assert claim_batch(spark, tmp_dir, "b", 0) == (1, 1 << 41)
+def test_claims_and_commits(spark, tmp_dir):
+    """Numbers are given out once; a commit that another one overtook is made again on it."""
+    from starloom.sources import commits
+    assert [commits.claim(spark, tmp_dir, n) for n in (3, 2, 0)] == [(0, 0), (1, 3), (2, 5)]
+    assert commits.latest(spark, tmp_dir) is None
+    assert commits.commit(spark, tmp_dir, commits.added(0, ["a", "b"]))["live"] == {"a": [0], "b": [0]}
+    calls = []
+
+    def overtaken(state):
+        if not calls:
+            calls.append(commits.commit(spark, tmp_dir, commits.added(7, ["a"])))
+        return commits.added(1, ["b"])(state)
+    commits.commit(spark, tmp_dir, overtaken)
+    assert commits.latest(spark, tmp_dir)["live"] == {"a": [0, 7], "b": [0, 1]}
+    commits.commit(spark, tmp_dir, commits.swapped(8, "a", [0]))
+    state = commits.latest(spark, tmp_dir)
+    assert state["live"]["a"] == [7, 8] and state["dead"] == {"a": [0]}
+    assert not commits._append(spark, f"{commits.state_dir(tmp_dir)}/commits", 0, {})
+
+
+def _months(spark, tmp_dir):
+    """A star of April, and May in a landing folder."""
+    out, labels = _star(spark, tmp_dir, _raw(spark, 4.0), "star")
+    _raw(spark, 5.0).write.parquet(f"{tmp_dir}/landing/m=201605")
+    whole, _ = _star(spark, tmp_dir, _raw(spark, 4.0).unionByName(_raw(spark, 5.0)), "whole")
+    return out, labels, f"{tmp_dir}/landing", _content(spark, whole)
+
+
+def _content(spark, root):
+    from starloom.plans import star
+    t = star.read_star(spark, root)
+    rows = {n: sorted((tuple(r) for r in t[n].drop("id").collect()), key=str)
+            for n in star.REFRESHED_TABLES}
+    rows["summary"] = sorted((tuple(r) for r in star.read_summary(spark, root).collect()), key=str)
+    return rows
+
+
+def test_failed_load_then_compaction_then_rerun(spark, tmp_dir):
+    """A load that fails after its writes is not seen, survives a compaction, and its re-run
+    neither loses nor doubles a row."""
+    from starloom.plans import star
+    from starloom.sources.files import with_place
+    from starloom.streaming import refresh, refresh_star
+    out, labels, landing, want = _months(spark, tmp_dir)
+    before = _content(spark, out)
+    countries = star.load_lookups(spark, labels)["countries"]
+    df = with_place(spark.read.schema(schemas.ARRIVALS_RAW).parquet(landing))
+    assert refresh.write_arrivals(spark, df, out, countries).batch == 0
+    assert _content(spark, out) == before
+    star.compact_star(spark, out)
+    assert _content(spark, out) == before
+    for _ in range(2):
+        refresh_star(spark, f"{landing}/m=*", out, labels).awaitTermination()
+        assert _content(spark, out) == want
+        star.compact_star(spark, out)
+    assert _content(spark, out) == want
+
+
+def test_compaction_that_fails_changes_nothing(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    from starloom.plans import star
+    from starloom.sources import commits
+    from starloom.streaming import refresh_star
+    out, labels, landing, want = _months(spark, tmp_dir)
+    refresh_star(spark, landing + "/m=*", out, labels).awaitTermination()
+    with monkeypatch.context() as m:
+        def stop(*_):
+            raise OSError("stopped before the commit")
+        m.setattr(commits, "commit", stop)
+        with pytest.raises(OSError):
+            star.compact_star(spark, out)
+    assert _content(spark, out) == want
+    star.compact_star(spark, out)
+    assert _content(spark, out) == want
+
+
+def test_one_file_is_loaded_once(spark, tmp_dir):
+    """However its folder is spelled, also the folder of the build and with a new checkpoint."""
+    from starloom.streaming import refresh_star
+    out, labels, landing, want = _months(spark, tmp_dir)
+    for i, spelled in enumerate((f"{landing}/m=*", f"{landing}/*", f"{landing}/../landing/m=*",
+                                 f"file://{landing}/m=201605", f"{tmp_dir}/raw-star")):
+        refresh_star(spark, spelled, out, labels, f"{tmp_dir}/ckpt-{i}").awaitTermination()
+        assert _content(spark, out) == want
+
+
+def test_changed_file_is_an_error(spark, tmp_dir):
+    import glob
+    import shutil
+
+    import pytest
+
+    from starloom.streaming import refresh_star
+    out, labels, landing, want = _months(spark, tmp_dir)
+    refresh_star(spark, f"{landing}/m=*", out, labels).awaitTermination()
+    [part] = [f for f in glob.glob(f"{landing}/m=201605/*.parquet")]
+    _raw(spark, 4.0).unionByName(_raw(spark, 4.0)).coalesce(1).write.parquet(f"{tmp_dir}/other")
+    shutil.copy(glob.glob(f"{tmp_dir}/other/*.parquet")[0], part)
+    for crc in glob.glob(f"{landing}/m=201605/.*.crc"):
+        shutil.copy(glob.glob(f"{tmp_dir}/other/.*.parquet.crc")[0], crc) if "part-" in crc else None
+    with pytest.raises(Exception, match="changed since"):
+        refresh_star(spark, f"{landing}/m=*", out, labels, f"{tmp_dir}/again").awaitTermination()
+    assert _content(spark, out) == want
+
+
+def test_two_loads_of_one_file_at_a_time(spark, tmp_dir):
+    """Both write; the second to commit is refused."""
+    import pytest
+
+    from starloom.plans import star
+    from starloom.sources.files import with_place
+    from starloom.streaming import refresh
+    out, labels, landing, want = _months(spark, tmp_dir)
+    countries = star.load_lookups(spark, labels)["countries"]
+    df = with_place(spark.read.schema(schemas.ARRIVALS_RAW).parquet(landing))
+    fact = f"{out}/fact_immigration"
+    loads = [refresh.write_arrivals(spark, df, out, countries) for _ in range(2)]
+    assert [x.batch for x in loads] == [0, 1]
+    refresh.commit_batch(spark, fact, loads[1], star.COMMITTED_TABLES)
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        refresh.commit_batch(spark, fact, loads[0], star.COMMITTED_TABLES)
+    assert _content(spark, out) == want
+
+
+def test_ids_do_not_depend_on_the_run(spark, tmp_dir):
+    from starloom.plans import star
+    _raw(spark, 4.0).repartition(3).write.parquet(f"{tmp_dir}/in/m=4")
+    _raw(spark, 5.0).write.parquet(f"{tmp_dir}/in/m=5")
+    paths = [f"{tmp_dir}/in/m=5", f"{tmp_dir}/in/m=4"]
+    runs = [{r.id: (r.cicid, r.month, r.adm_num) for r in star.stage_arrivals(spark, p)[0].collect()}
+            for p in (paths, paths[::-1])]
+    assert runs[0] == runs[1] and len(runs[0]) == len(fx.KEPT_CICIDS)
+
+
+def test_counts_follow_a_changed_person(spark, tmp_dir):
+    """A later batch decides another gender for a person of an earlier one."""
+    from starloom.plans import star
+    from starloom.plans.olap import top_female_port_city, top_female_port_city_by_counts
+    from starloom.streaming import refresh_star
+
+    def load(*rows):
+        return _person(spark, [dict(cicid=float(c), admnum=float(a), gender=g, i94bir=float(age))
+                               for c, a, g, age in rows])
+    out, labels = _star(spark, tmp_dir, load((1, 1, "M", 40), (1, 2, "M", 41), (2, 3, "F", 30)), "base")
+    load((1, 4, "F", 20), (3, 5, "F", 20), (2, 6, "F", 50)).write.parquet(f"{tmp_dir}/later")
+    refresh_star(spark, f"{tmp_dir}/later", out, labels).awaitTermination()
+    counts = star.read_summary(spark, out)
+    assert sorted((r.gender, r.n) for r in counts.groupBy("gender").sum("n").toDF("gender", "n").collect()) \
+        == [("F", 6)]
+    t = star.read_star(spark, out)
+    full = top_female_port_city(t["fact_immigration"], t["dim_city_population"], t["dim_personal"])
+    assert top_female_port_city_by_counts(counts, t["dim_city_population"]).collect() == full.collect()
