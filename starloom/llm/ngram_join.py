@@ -336,46 +336,67 @@ def _middle_pairs(posted: DataFrame, percent: int) -> DataFrame:
                        F.least("vertex", "m.b").alias("b")).distinct()
 
 
+def _size_step(n):
+    """Number of the step of sizes, a tenth wide, that a size falls in."""
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(1.1))).cast("int")
+
+
 def _open_pairs(posted: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """(a, b) in different components that pass the length and positional filter."""
+    """(a, b) in different components that pass the length and positional filter at a common
+    n-gram of their prefixes.
+
+    The first common n-gram of a linked pair leaves enough places behind it in both sets. For
+    the smaller set that is so in its first places only; the larger one meets the sizes that its
+    place allows. Both are dealt by n-gram and step of sizes, groups of one component as a
+    whole."""
+    over = 100 + percent
     placed = posted.drop("rare").join(
         roots.select(F.col("code").alias("vertex"), "root"), "vertex", "left") \
         .withColumn("root", F.coalesce("root", "vertex"))
     several = placed.groupBy("gram", "root").agg(F.count("*").alias("c")).groupBy("gram") \
         .agg(F.count("*").alias("c")).where("c > 1").select("gram")
     placed = stage(placed.join(several, "gram", "left_semi"), "open")
-    groups = placed.select("gram", "root").distinct()
-    meet = (groups.join(groups.withColumnRenamed("root", "other"), "gram").where("root < other"))
-    left = placed.join(meet, ["gram", "root"]).select(
-        "gram", F.col("other").alias("root"), F.col("vertex").alias("x"), F.col("n").alias("nx"),
-        F.col("place").alias("px"))
-    both = (left.join(placed, ["gram", "root"])
-            .where(_length_filter(F.col("nx"), F.col("n"), percent))
-            .select(F.greatest("x", "vertex").alias("a"), F.least("x", "vertex").alias("b"),
-                    F.when(F.col("x") > F.col("vertex"), F.col("nx") - 1 - F.col("px"))
-                    .otherwise(F.col("n") - 1 - F.col("place")).alias("resta"),
-                    F.when(F.col("x") > F.col("vertex"), F.col("n") - 1 - F.col("place"))
-                    .otherwise(F.col("nx") - 1 - F.col("px")).alias("restb"),
-                    (F.col("nx") + F.col("n")).alias("both")))
-    # common n-grams of the prefixes, and what can follow the last of them in either order
-    return (both.groupBy("a", "b").agg(F.count("*").alias("c"), F.min("resta").alias("ra"),
-                                       F.min("restb").alias("rb"), F.max("both").alias("both"))
-            .where(F.col("c") + F.least("ra", "rb")
-                   >= F.ceil(percent * F.col("both") / (100 + percent)))
-            .select("a", "b"))
-
-
-def similar_links(ranked: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) between vertices that connect them as all pairs of similar sets would; staged."""
+    n, place = F.col("n"), F.col("place")
+    small = (placed.where(place <= n - F.ceil(percent * 2 * n / over))
+             .withColumn("step", _size_step(n)))
+    most = F.least(n, F.floor(over * (n - place) / percent) - n)
+    least = F.ceil(percent * n / 100)
+    large = placed.where(most >= least).withColumn(
+        "step", F.explode(F.sequence(_size_step(least), _size_step(most))))
+    keys = ["gram", "step", "root"]
+    meet = (large.select(*keys).distinct()
+            .join(small.select("gram", "step", F.col("root").alias("other")).distinct(),
+                  ["gram", "step"]).where("root <> other"))
+    x = large.join(meet, keys).select("gram", "step", F.col("other").alias("root"),
+                                      F.col("vertex").alias("x"), F.col("n").alias("nx"),
+                                      F.col("place").alias("px"))
+    need = F.ceil(percent * (F.col("nx") + n) / over)
+    return (x.join(small, keys)
+            .where((n <= F.col("nx")) & _length_filter(F.col("nx"), n, percent)
+                   & (F.col("px") <= F.col("nx") - need) & (place <= n - need))
+            .select(F.greatest("x", "vertex").alias("a"), F.least("x", "vertex").alias("b"))
+            .distinct())
+
+
+def components(ranked: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(code, root) of all linked vertices, as all pairs of similar sets would connect them."""
     posted = stage(ranked.select("vertex", "n", "shared", "grams").mapInArrow(
         lambda it: _prefix_batches(it, percent),
         "gram long, vertex long, n long, place long, rare long"), "prefixes")
     first = stage(_middle_pairs(posted, percent), "middle-pairs")
-    links = stage(_verified(first, ranked, percent), "middle-links")
-    roots = star_components(links, "ngram-roots")
+    roots = star_components(_verified(first, ranked, percent), "middle-roots")
     rest = _open_pairs(posted, roots, percent).join(first, ["a", "b"], "left_anti")
-    more = stage(_verified(stage(rest, "open-pairs"), ranked, percent), "open-links")
-    return links.unionByName(more)
+    more = _verified(stage(rest, "open-pairs"), ranked, percent)
+    # what step 2 links are components of step 1: one vertex each
+
+    def named(df, c):
+        own = roots.select(F.col("code").alias(c), F.col("root").alias(f"root_{c}"))
+        return df.join(own, c, "left").withColumn(c, F.coalesce(f"root_{c}", c)).drop(f"root_{c}")
+    joined = star_components(named(named(more, "a"), "b"), "open-roots")
+    outer = joined.select(F.col("code").alias("root"), F.col("root").alias("outer"))
+    return (roots.join(outer, "root", "left")
+            .select("code", F.coalesce("outer", "root").alias("root"))
+            .unionByName(joined.join(roots, "code", "left_anti")))
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -387,8 +408,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     id_type = view.schema["doc_id"].dataType.simpleString()
     marks = stage(view.mapInArrow(lambda it: _mark_batches(it, words),
                                   f"doc_id {id_type}, vertex long, n long, gram long"), "sets")
-    roots = star_components(similar_links(ranked_sets(view, marks, words, percent, part_grams),
-                                          percent), "ngram-components")
+    roots = components(ranked_sets(view, marks, words, percent, part_grams), percent)
     rows = marks.where("gram is null").drop("gram")
     classes = (rows.where("vertex is not null").groupBy("vertex")
                .agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")))
