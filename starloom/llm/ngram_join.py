@@ -176,19 +176,21 @@ def _request_batches(batches, words: int, parts: int, hot):
         yield flush()
 
 
-def _count_share(table):
-    """For one share: per vertex its n-grams of two or more vertices with their class of
-    frequency (eighths of powers of two; hot ones 255)."""
+def _whole(table, name: str, kind):
+    import numpy as np
+    return np.concatenate([np.frombuffer(b, kind) for b in table.column(name).to_pylist()])
+
+
+def _count_share(table, bundles: int):
+    """For one share: the n-grams of two or more vertices with their class of frequency (eighths
+    of powers of two; hot ones 255), by vertex, a row for every bundle of vertices."""
     import numpy as np
     import pyarrow as pa
     share = table.column("share")[0].as_py()
-
-    def whole(name, kind):
-        return np.concatenate([np.frombuffer(b, kind) for b in table.column(name).to_pylist()])
-    counts = whole("counts", np.uint32)
-    vertex = np.repeat(whole("vertices", np.uint64), counts)
-    sizes = np.repeat(whole("sizes", np.uint32), counts)
-    octets = whole("grams", np.uint8)
+    counts = _whole(table, "counts", np.uint32)
+    vertex = np.repeat(_whole(table, "vertices", np.uint64), counts)
+    sizes = np.repeat(_whole(table, "sizes", np.uint32), counts)
+    octets = _whole(table, "grams", np.uint8)
     if share < 0:
         grams = octets.view(np.uint64)
     else:
@@ -208,41 +210,56 @@ def _count_share(table):
     keep = np.repeat(often > 1, np.diff(np.append(starts, len(grams))))
     level = np.repeat(level, np.diff(np.append(starts, len(grams))))[keep]
     vertex, sizes, grams = vertex[keep], sizes[keep], grams[keep]
-    order = np.argsort(vertex, kind="stable")
+    bundle = (vertex % np.uint64(bundles)).astype(np.int64)
+    order = np.lexsort((vertex, bundle))
     vertex, sizes, grams, level = vertex[order], sizes[order], grams[order], level[order]
-    cuts = np.flatnonzero(np.concatenate([[True], vertex[1:] != vertex[:-1]])) \
-        if len(vertex) else np.zeros(0, np.int64)
-    ends = np.append(cuts[1:], len(vertex))
-    return pa.table({
-        "vertex": vertex[cuts].view(np.int64), "n": sizes[cuts].astype(np.int64),
-        "grams": pa.array([grams[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-        "levels": pa.array([level[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())})
-
-
-def _rank_batches(batches, percent: int):
-    """Per vertex its shared n-grams in the order (rarest first), if its prefix has any, and
-    how many of them fall in each part of the hashes."""
+    bundle = bundle[order]
+    first = np.ones(len(vertex), bool)
+    first[1:] = vertex[1:] != vertex[:-1]
+    starts = np.flatnonzero(first)
+    counts = np.diff(np.append(starts, len(vertex))).astype(np.uint32)
+    own, sizes, of = vertex[starts], sizes[starts], bundle[starts]
+    cuts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else of
+    rows: list = [[], [], [], [], [], []]
+    ends = np.append(starts, len(vertex))
+    for a, b in zip(cuts, [*cuts[1:], len(of)]):
+        for to, x in zip(rows, (int(of[a]), own[a:b].tobytes(), sizes[a:b].tobytes(),
+                                counts[a:b].tobytes(), grams[ends[a]:ends[b]].tobytes(),
+                                level[ends[a]:ends[b]].tobytes())):
+            to.append(x)
+    return pa.Table.from_arrays(
+        [pa.array(rows[0], pa.int32())] + [pa.array(r, pa.binary()) for r in rows[1:]],
+        ["bundle", "vertices", "sizes", "counts", "grams", "levels"])
+
+
+def _rank_bundle(table, percent: int):
+    """Per vertex of a bundle its shared n-grams in the order (rarest first), if its prefix has
+    any, and how many of them fall in each part of the hashes."""
     import numpy as np
     import pyarrow as pa
-    for batch in batches:
-        out: list = [[], [], [], [], []]
-        for vertex, n, pieces in zip(batch.column("vertex").to_pylist(), batch.column("n").to_pylist(),
-                                     batch.column("pieces").to_pylist()):
-            grams = np.frombuffer(b"".join(p["grams"] for p in pieces), np.uint64)
-            level = np.frombuffer(b"".join(p["levels"] for p in pieces), np.uint8)
-            grams, first = np.unique(grams, return_index=True)
-            if n - len(grams) >= prefix_length(n, percent):
-                continue
-            level = level[first]
-            order = np.lexsort((grams, level))
-            parts = np.bincount((grams >> np.uint64(59)).astype(np.int64), minlength=SUFFIX_PARTS)
-            for to, x in zip(out, (vertex, n, len(grams), grams[order].tobytes(),
-                                   parts.astype(np.int32))):
-                to.append(x)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x, pa.int64()) for x in out[:3]]
-            + [pa.array(out[3], pa.binary()), pa.array(out[4], pa.list_(pa.int32()))],
-            ["vertex", "n", "shared", "grams", "parts"])
+    counts = _whole(table, "counts", np.uint32)
+    vertex = np.repeat(_whole(table, "vertices", np.uint64), counts)
+    size = np.repeat(_whole(table, "sizes", np.uint32), counts).astype(np.int64)
+    grams, level = _whole(table, "grams", np.uint64), _whole(table, "levels", np.uint8)
+    order = np.lexsort((grams, level, vertex))
+    vertex, size, grams, level = vertex[order], size[order], grams[order], level[order]
+    new = np.ones(len(vertex), bool)  # hot ones of copies
+    new[1:] = (vertex[1:] != vertex[:-1]) | (grams[1:] != grams[:-1])
+    vertex, size, grams = vertex[new], size[new], grams[new]
+    starts = np.flatnonzero(np.concatenate([[True], vertex[1:] != vertex[:-1]]))
+    out: list = [[], [], [], [], []]
+    for a, b in zip(starts, np.append(starts[1:], len(vertex))):
+        n = int(size[a])
+        if n - (b - a) >= prefix_length(n, percent):
+            continue
+        parts = np.bincount((grams[a:b] >> np.uint64(59)).astype(np.int64), minlength=SUFFIX_PARTS)
+        for to, x in zip(out, (int(vertex[a:a + 1].view(np.int64)[0]), n, int(b - a),
+                               grams[a:b].tobytes(), parts.astype(np.int32))):
+            to.append(x)
+    return pa.Table.from_arrays(
+        [pa.array(x, pa.int64()) for x in out[:3]]
+        + [pa.array(out[3], pa.binary()), pa.array(out[4], pa.list_(pa.int32()))],
+        ["vertex", "n", "shared", "grams", "parts"])
 
 
 def ranked_sets(view: DataFrame, marks: DataFrame, words: int = SHINGLE_WORDS,
@@ -256,11 +273,10 @@ def ranked_sets(view: DataFrame, marks: DataFrame, words: int = SHINGLE_WORDS,
         lambda it: _request_batches(it, words, parts, hot),
         "share int, vertices binary, sizes binary, counts binary, grams binary")
     counted = requests.groupBy("share").applyInArrow(
-        _count_share, "vertex long, n long, grams binary, levels binary")
-    gathered = counted.groupBy("vertex").agg(F.max("n").alias("n"), F.collect_list(
-        F.struct("grams", "levels")).alias("pieces"))
-    return stage(gathered.mapInArrow(
-        lambda it: _rank_batches(it, percent),
+        lambda rows: _count_share(rows, parts),
+        "bundle int, vertices binary, sizes binary, counts binary, grams binary, levels binary")
+    return stage(counted.groupBy("bundle").applyInArrow(
+        lambda rows: _rank_bundle(rows, percent),
         "vertex long, n long, shared long, grams binary, parts array<int>"), "ranked")
 
 
