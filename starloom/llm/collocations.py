@@ -245,17 +245,12 @@ def _slice_phrases(words, most_words: int, table: Table):
             yield i, n, c
 
 
-def _phrase_batches(batches, most_words: int, table: Table):
-    """Rows (lang, size, phrase, f); size 0: all words of the language."""
-    import numpy as np
-    import pyarrow as pa
+COUNTS = "lang string, size int, phrase string, f long"
 
-    def flush(found):
-        keys = list(found)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-             pa.array([k[2] for k in keys], pa.binary()).cast(pa.string()),
-             pa.array([found[k] for k in keys], pa.int64())], ["lang", "size", "phrase", "f"])
+
+def _phrase_counts(batches, most_words: int, table: Table):
+    """Counts of (lang, size, phrase) in bounded dictionaries; size 0: all words of the language."""
+    import numpy as np
     found: dict = {}
     for part, texts in ngrams.text_slices(batches):
         words = _slice_words(part, texts)
@@ -272,10 +267,50 @@ def _phrase_batches(batches, most_words: int, table: Table):
             key = (langs[doc[i]], n, text)
             found[key] = found.get(key, 0) + c
         if len(found) >= FLUSH_PHRASES:
-            yield flush(found)
+            yield found
             found = {}
     if found:
-        yield flush(found)
+        yield found
+
+
+def _packed_batches(batches, most_words: int, table: Table):
+    """The counts as tables, one row per share of the phrases' hashes."""
+    import numpy as np
+    import pyarrow as pa
+    import xxhash
+    shares = 1 << table.share_bits
+    for found in _phrase_counts(batches, most_words, table):
+        keys = list(found)
+        columns = pa.table({
+            "lang": pa.array([k[0] for k in keys], pa.string()),
+            "size": pa.array([k[1] for k in keys], pa.int32()),
+            "phrase": pa.array([k[2] for k in keys], pa.binary()).cast(pa.string()),
+            "f": pa.array([found[k] for k in keys], pa.int64())})
+        share = np.array([xxhash.xxh64_intdigest(k[2]) % shares for k in keys])
+        columns = columns.take(pa.array(np.argsort(share, kind="stable")))
+        own, counts = np.unique(share, return_counts=True)
+        blobs, at = [], 0
+        for n in counts.tolist():
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, columns.schema) as out:
+                out.write_table(columns.slice(at, n))
+            blobs.append(sink.getvalue().to_pybytes())
+            at += n
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(blobs, pa.binary())],
+                                         ["share", "counts"])
+
+
+def _summed_share(rows, min_count: int):
+    """Counts of one share over all tasks, of frequent phrases and of languages."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    parts = [pa.ipc.open_stream(b).read_all() for b in rows.column("counts").to_pylist()]
+    summed = pa.concat_tables(parts).group_by(["lang", "size", "phrase"]).aggregate([("f", "sum")])
+    keep = pc.or_(pc.greater_equal(summed.column("f_sum"), min_count),
+                  pc.equal(summed.column("size"), 0))
+    summed = summed.filter(keep)
+    return pa.table({c: summed.column(f"{c}_sum" if c == "f" else c)
+                     for c in ("lang", "size", "phrase", "f")})
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -290,10 +325,10 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     table = _frequent(view, (1, 2), share_bits, min_count, None)
     if most_words > 2:
         table = _frequent(view, range(3, most_words + 1), share_bits, min_count, table)
-    counted = view.mapInArrow(lambda it: _phrase_batches(it, most_words, table),
-                              "lang string, size int, phrase string, f long")
-    return stage(counted.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
-                 .where((F.col("f") >= min_count) | (F.col("size") == 0)), "phrases")
+    packed = view.mapInArrow(lambda it: _packed_batches(it, most_words, table),
+                             "share int, counts binary")
+    return stage(packed.groupBy("share").applyInArrow(
+        lambda rows: _summed_share(rows, min_count), COUNTS), "phrases")
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",

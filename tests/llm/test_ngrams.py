@@ -278,9 +278,9 @@ def test_collocations_survive_collisions(spark, monkeypatch, broken):
         monkeypatch.setattr(collocations.ngrams, "joined", joined)
     table = collocations.Table(np.full(1 << (collocations.TABLE_BITS - 3), 255, np.uint8), 0)
     counts = Counter()
-    for batch in collocations._phrase_batches(iter(view.to_batches(max_chunksize=40)), 5, table):
-        for r in batch.to_pylist():
-            counts[r["lang"], r["size"], r["phrase"]] += r["f"]
+    for found in collocations._phrase_counts(iter(view.to_batches(max_chunksize=40)), 5, table):
+        for (lang, n, phrase), f in found.items():
+            counts[lang, n, phrase.decode()] += f
     exact = Counter()
     for text, lang in rows:
         lang = "und" if lang is None else lang
