@@ -3,8 +3,7 @@
     zip -r starloom.zip starloom
     spark-submit --py-files starloom.zip submit.py build --arrivals ... --out ...
 
-``--py-files`` puts the package on the driver's path (and the executors');
-the executors' only Python pass is shipped by value.
+``--py-files`` puts the package on the driver's path (and the executors').
 """
 
 from starloom.__main__ import main

@@ -1,5 +1,10 @@
 """Monthly refresh: incremental, unique ids across batches, re-run safe."""
 
+import glob
+import shutil
+import tempfile
+
+import pytest
 
 from starloom import schemas
 from starloom.plans.star import clean_arrivals, fact_immigration
@@ -193,12 +198,21 @@ def test_claims_and_commits(spark, tmp_dir):
     assert not commits._append(spark, f"{commits.state_dir(tmp_dir)}/commits", 0, {})
 
 
-def _months(spark, tmp_dir):
-    """A star of April, and May in a landing folder."""
-    out, labels = _star(spark, tmp_dir, _raw(spark, 4.0), "star")
+@pytest.fixture(scope="module")
+def april(spark):
+    """A star of April and the content of one of both months, built once."""
+    root = tempfile.mkdtemp(prefix="starloom-april-")
+    out, labels = _star(spark, root, _raw(spark, 4.0), "star")
+    whole, _ = _star(spark, root, _raw(spark, 4.0).unionByName(_raw(spark, 5.0)), "whole")
+    return out, labels, f"{root}/raw-star", _content(spark, whole)
+
+
+def _months(spark, tmp_dir, april):
+    """A copy of the star of April, and May in a landing folder."""
+    out, labels, _, want = april
+    shutil.copytree(out, f"{tmp_dir}/star")
     _raw(spark, 5.0).write.parquet(f"{tmp_dir}/landing/m=201605")
-    whole, _ = _star(spark, tmp_dir, _raw(spark, 4.0).unionByName(_raw(spark, 5.0)), "whole")
-    return out, labels, f"{tmp_dir}/landing", _content(spark, whole)
+    return f"{tmp_dir}/star", labels, f"{tmp_dir}/landing", want
 
 
 def _content(spark, root):
@@ -210,13 +224,13 @@ def _content(spark, root):
     return rows
 
 
-def test_failed_load_then_compaction_then_rerun(spark, tmp_dir):
+def test_failed_load_then_compaction_then_rerun(spark, tmp_dir, april):
     """A load that fails after its writes is not seen, survives a compaction, and its re-run
     neither loses nor doubles a row."""
     from starloom.plans import star
     from starloom.sources.files import with_place
     from starloom.streaming import refresh, refresh_star
-    out, labels, landing, want = _months(spark, tmp_dir)
+    out, labels, landing, want = _months(spark, tmp_dir, april)
     before = _content(spark, out)
     countries = star.load_lookups(spark, labels)["countries"]
     df = with_place(spark.read.schema(schemas.ARRIVALS_RAW).parquet(landing))
@@ -231,13 +245,11 @@ def test_failed_load_then_compaction_then_rerun(spark, tmp_dir):
     assert _content(spark, out) == want
 
 
-def test_compaction_that_fails_changes_nothing(spark, tmp_dir, monkeypatch):
-    import pytest
-
+def test_compaction_that_fails_changes_nothing(spark, tmp_dir, april, monkeypatch):
     from starloom.plans import star
     from starloom.sources import commits
     from starloom.streaming import refresh_star
-    out, labels, landing, want = _months(spark, tmp_dir)
+    out, labels, landing, want = _months(spark, tmp_dir, april)
     refresh_star(spark, landing + "/m=*", out, labels).awaitTermination()
     with monkeypatch.context() as m:
         def stop(*_):
@@ -250,43 +262,36 @@ def test_compaction_that_fails_changes_nothing(spark, tmp_dir, monkeypatch):
     assert _content(spark, out) == want
 
 
-def test_one_file_is_loaded_once(spark, tmp_dir):
+def test_one_file_is_loaded_once(spark, tmp_dir, april):
     """However its folder is spelled, also the folder of the build and with a new checkpoint."""
     from starloom.streaming import refresh_star
-    out, labels, landing, want = _months(spark, tmp_dir)
+    out, labels, landing, want = _months(spark, tmp_dir, april)
     for i, spelled in enumerate((f"{landing}/m=*", f"{landing}/*", f"{landing}/../landing/m=*",
-                                 f"file://{landing}/m=201605", f"{tmp_dir}/raw-star")):
+                                 f"file://{landing}/m=201605", april[2])):
         refresh_star(spark, spelled, out, labels, f"{tmp_dir}/ckpt-{i}").awaitTermination()
         assert _content(spark, out) == want
 
 
-def test_changed_file_is_an_error(spark, tmp_dir):
-    import glob
-    import shutil
-
-    import pytest
-
+def test_changed_file_is_an_error(spark, tmp_dir, april):
     from starloom.streaming import refresh_star
-    out, labels, landing, want = _months(spark, tmp_dir)
+    out, labels, landing, want = _months(spark, tmp_dir, april)
     refresh_star(spark, f"{landing}/m=*", out, labels).awaitTermination()
-    [part] = [f for f in glob.glob(f"{landing}/m=201605/*.parquet")]
+    part = sorted(glob.glob(f"{landing}/m=201605/*.parquet"))[0]
     _raw(spark, 4.0).unionByName(_raw(spark, 4.0)).coalesce(1).write.parquet(f"{tmp_dir}/other")
-    shutil.copy(glob.glob(f"{tmp_dir}/other/*.parquet")[0], part)
-    for crc in glob.glob(f"{landing}/m=201605/.*.crc"):
-        shutil.copy(glob.glob(f"{tmp_dir}/other/.*.parquet.crc")[0], crc) if "part-" in crc else None
+    [other] = glob.glob(f"{tmp_dir}/other/*.parquet")
+    for name in ("{}/{}", "{}/.{}.crc"):  # the file and its checksum
+        shutil.copy(*[name.format(*f.rsplit("/", 1)) for f in (other, part)])
     with pytest.raises(Exception, match="changed since"):
         refresh_star(spark, f"{landing}/m=*", out, labels, f"{tmp_dir}/again").awaitTermination()
     assert _content(spark, out) == want
 
 
-def test_two_loads_of_one_file_at_a_time(spark, tmp_dir):
+def test_two_loads_of_one_file_at_a_time(spark, tmp_dir, april):
     """Both write; the second to commit is refused."""
-    import pytest
-
     from starloom.plans import star
     from starloom.sources.files import with_place
     from starloom.streaming import refresh
-    out, labels, landing, want = _months(spark, tmp_dir)
+    out, labels, landing, want = _months(spark, tmp_dir, april)
     countries = star.load_lookups(spark, labels)["countries"]
     df = with_place(spark.read.schema(schemas.ARRIVALS_RAW).parquet(landing))
     fact = f"{out}/fact_immigration"
