@@ -1,6 +1,7 @@
 """Monthly refresh: incremental, unique ids across batches, re-run safe."""
 
 import glob
+import os
 import shutil
 import tempfile
 
@@ -276,7 +277,7 @@ def test_changed_file_is_an_error(spark, tmp_dir, april):
     from starloom.streaming import refresh_star
     out, labels, landing, want = _months(spark, tmp_dir, april)
     refresh_star(spark, f"{landing}/m=*", out, labels).awaitTermination()
-    part = sorted(glob.glob(f"{landing}/m=201605/*.parquet"))[0]
+    part = max(glob.glob(f"{landing}/m=201605/*.parquet"), key=os.path.getsize)  # others are empty
     _raw(spark, 4.0).unionByName(_raw(spark, 4.0)).coalesce(1).write.parquet(f"{tmp_dir}/other")
     [other] = glob.glob(f"{tmp_dir}/other/*.parquet")
     for name in ("{}/{}", "{}/.{}.crc"):  # the file and its checksum
