@@ -25,7 +25,7 @@ from ..functions import (char_cast, code_label, region_state, register_sql_funct
 from ..operators import (as_map, bounded_broadcast, cast_columns, conform, dq_fk_orphans, dq_non_empty,
                          dq_null_profile, dq_pk_unique, dq_references, dq_schema,
                          distinct_projection,
-                         first_by_key, group_count, group_max, map_element, preview,
+                         first_by_key, group_count, group_max, hot_key_join, map_element, preview,
                          rename, require_columns, role_lookup, rows_at_group_max,
                          select_star, sorted_distinct, star_join, top_k, where_equal,
                          cast_key_join)
@@ -295,6 +295,36 @@ def q_star_left_join(spark, d):
     return out.select("l_orderkey", "l_linenumber", "s_name", "o_orderpriority")
 
 
+def _hot_lineitem(spark, d):
+    """Order lines of which every third is moved to the first order and the first supplier."""
+    moved = F.col("l_partkey") % 3 == 0
+    return table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(moved, F.lit(1).cast("bigint")).otherwise(F.col("l_orderkey").cast("bigint")).alias("person"),
+        F.when(moved, F.lit(1).cast("bigint")).otherwise(F.col("l_suppkey").cast("bigint")).alias("port"))
+
+
+def q_star_join_hot_keys(spark, d):
+    f = _hot_lineitem(spark, d).withColumn(
+        "port", F.when(F.col("l_linenumber") != 7, F.col("port")))
+    s = table(spark, d, "supplier").select("s_suppkey", "s_name")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    row = ["l_orderkey", "l_linenumber"]
+    out = hot_key_join(f, s, {"port": "s_suppkey"}, row, "left")
+    out = hot_key_join(out, o, {"person": "o_orderkey"}, row, "left")
+    return out.select("l_orderkey", "l_linenumber", "person", "s_name", "o_orderpriority")
+
+
+def q_top_market_hot_persons(spark, d):
+    return top_market(
+        _hot_lineitem(spark, d), table(spark, d, "supplier"), table(spark, d, "orders"),
+        fact_id="l_orderkey", fact_port="port", fact_person="person",
+        market_code="s_suppkey", market_name="s_name", market_size="s_acctbal",
+        person_key="o_orderkey", person_attr="o_orderpriority", person_value="1-URGENT",
+        out_name="market", out_count="n_facts", out_size="market_size", k=20,
+        spread_by=["l_orderkey", "l_linenumber"])
+
+
 def q_join_cast_key(spark, d):
     lk = (table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("code"),
                                            F.col("n_name").alias("name"))

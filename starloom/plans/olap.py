@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import top_k
+from ..operators import hot_key_join, top_k
 from .summary import PERSON_KEY
 
 
@@ -34,17 +34,28 @@ def top_market(fact: DataFrame, markets: DataFrame, persons: DataFrame, *,
                market_code: str, market_name: str, market_size: str,
                person_key: str | Sequence[str], person_attr: str, person_value,
                out_name: str = "market", out_count: str = "n_arrivals",
-               out_size: str = "market_size", k: int = 1) -> DataFrame:
-    """Top ``k`` markets by size with their count of matching fact rows (module doc)."""
+               out_size: str = "market_size", k: int = 1,
+               spread_by: Sequence[str] | None = None) -> DataFrame:
+    """Top ``k`` markets by size with their count of matching fact rows (module doc).
+
+    With ``spread_by`` (fact columns that differ within a person) the person join splits
+    hot persons itself (:func:`starloom.operators.hot_key_join`) and does not rely on AQE.
+    """
     fk = [fact_person] if isinstance(fact_person, str) else list(fact_person)
     pk = [person_key] if isinstance(person_key, str) else list(person_key)
     p = (persons.where(F.col(person_attr) == F.lit(person_value))
          .select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(pk)]))
+    spread = {c: f"_s{i}" for i, c in enumerate(spread_by or [])}
     f = fact.select(F.col(fact_id).alias("_id"), F.col(fact_port).alias("_port"),
-                    *[F.col(c).alias(f"_f{i}") for i, c in enumerate(fk)])
-    same = reduce(lambda a, b: a & b, [f[f"_f{i}"] == p[f"_p{i}"] for i in range(len(pk))])
-    per_port = (f.join(p, same, "inner")
-                .groupBy("_port").agg(F.count("_id").alias("_n")))
+                    *[F.col(c).alias(f"_f{i}") for i, c in enumerate(fk)],
+                    *[F.col(c).alias(n) for c, n in spread.items()])
+    if spread:
+        joined = hot_key_join(f, p, {f"_f{i}": f"_p{i}" for i in range(len(pk))},
+                              list(spread.values()))
+    else:
+        same = reduce(lambda a, b: a & b, [f[f"_f{i}"] == p[f"_p{i}"] for i in range(len(pk))])
+        joined = f.join(p, same, "inner")
+    per_port = joined.groupBy("_port").agg(F.count("_id").alias("_n"))
     return _top_of_ports(per_port, markets, market_code, market_name, market_size, out_name,
                          out_count, out_size, k)
 

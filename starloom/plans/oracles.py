@@ -206,6 +206,20 @@ FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 7 THEN l_suppke
       FROM lineitem) f
 LEFT JOIN supplier s ON f.supp_key = s.s_suppkey
 LEFT JOIN orders o ON f.l_orderkey = o.o_orderkey""",
+    "star_join_hot_keys": """
+WITH f AS (SELECT l_orderkey, l_linenumber,
+                  CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE l_orderkey END AS person,
+                  CASE WHEN l_linenumber = 7 THEN NULL WHEN l_partkey % 3 = 0 THEN 1
+                       ELSE l_suppkey END AS port FROM lineitem)
+SELECT f.l_orderkey, f.l_linenumber, CAST(f.person AS BIGINT) AS person, s.s_name, o.o_orderpriority
+FROM f LEFT JOIN supplier s ON s.s_suppkey = f.port LEFT JOIN orders o ON o.o_orderkey = f.person""",
+    "top_market_hot_persons": """
+WITH f AS (SELECT CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE l_orderkey END AS person,
+                  CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE l_suppkey END AS port FROM lineitem),
+urgent AS (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')
+SELECT s.s_name AS market, count(*) AS n_facts, s.s_acctbal AS market_size
+FROM f JOIN urgent ON f.person = urgent.o_orderkey LEFT JOIN supplier s ON s.s_suppkey = f.port
+GROUP BY ALL ORDER BY market_size DESC NULLS LAST, market NULLS LAST LIMIT 20""",
     "join_cast_key": """
 SELECT c.c_custkey, l.name AS nation_name
 FROM customer c JOIN (SELECT CAST(n_nationkey AS STRING) AS code, n_name AS name FROM nation
