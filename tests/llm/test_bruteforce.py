@@ -224,6 +224,62 @@ def test_licence_templates_find_themselves(spark):
     assert got[101].labels == [] and got[101].score == 0
 
 
+def plain_licences(texts):
+    """Labels and score of the index for each text, word by word."""
+    words = {i: re.findall(WORD, lower(t)) for i, t in texts.items()}
+    seen = Counter(w for ws in words.values() for w in set(ws))
+    entries = license_scan.rare_index(seen, len(words))
+    slack = license_scan.SLACK
+    for i, ws in words.items():
+        at, votes = {}, {}
+        for k, w in enumerate(ws):
+            at.setdefault(w, []).append(k)
+        for word, t, position, n in entries:
+            for k in at.get(word, ()):
+                for phase in (0, 1):
+                    band = (k - position + phase * slack) // (2 * slack)
+                    votes.setdefault((t, n, phase, band), set()).add(word)
+        line, labels, score = f" {' '.join(ws)} ", set(), 0.0
+        for (t, n, _, _), found in votes.items():
+            label, _, need = license_scan.TEMPLATES[t]
+            if len(found) / n >= license_scan.LEAST_SHARE and all(f" {p} " in line for p in need):
+                labels.add(label)
+                score = max(score, len(found) / n)
+        yield i, labels, score
+
+
+def test_licence_index_against_brute_force(texts, result):
+    got = result("op7_license_scan")
+    for i, labels, score in plain_licences(texts):
+        base = {x for x in got[i].base_labels.split(",") if x}
+        assert got[i].labels == ",".join(sorted(labels | base)) and got[i].score == score
+
+
+def test_licence_short_forms(spark):
+    cases = {
+        "License: CC BY-SA 4.0": "cc-by-sa", "SPDX-License-Identifier: MIT": "mit",
+        "// SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+        "# SPDX-License-Identifier: GPL-2.0-or-later": "gpl",
+        "This Source Code Form is subject to the Mozilla Public License, version 2.0": "mpl-2.0",
+        "See the GNU Lesser General Public License.": "lgpl",
+        "Redistributions in binary form must reproduce the above copyright notice, this list "
+        "of conditions and the following disclaimer in the documentation.": "bsd",
+        "This text is licensed under a CC BY 4.0 license": "cc-by-4.0",
+        # words added and left out within the notice
+        "Permission is hereby granted, free of charge, dear reader, to any person obtaining copies "
+        "of this software and its associated documentation files": "mit",
+    }
+    clean = ["The software was free of charge, and the public domain is large.",
+             "4.0 by the way", "A license to use the identifier, version 2.0, from MIT.", "", None]
+    rows = [(i, t) for i, t in enumerate([*cases, *clean])]
+    got = {r.doc_id: r for r in license_scan.scan_licenses(
+        spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    for i, label in enumerate(cases.values()):
+        assert label in got[i].labels and got[i].score >= license_scan.LEAST_SHARE, (rows[i], got[i])
+    for i in range(len(cases), len(rows)):
+        assert got[i].labels == [] and got[i].score == 0, (rows[i], got[i])
+
+
 def plain_fingerprint(text):
     import xxhash
     w = re.findall(BLANK, lower(text))
