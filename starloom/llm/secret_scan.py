@@ -44,7 +44,6 @@ _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _DOMAIN = re.compile(r"(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9.-]*@)")
 _USER_INFO = re.compile(r"[^\s/@:]*(?::[^\s@]*)?")
-USER_INFO_CHARS = 1000  # user-info of a URL is looked for so far back
 _NUMBER = re.compile(r"[0-9_+/=-]+")
 
 
@@ -98,7 +97,9 @@ def random_spans(text: str, count, max_ratio: float) -> list[tuple[str, int, int
 
 def _user_info(text: str, start: int, end: int) -> int | None:
     """Where the user-info of a URL starts, if it ends with the candidate."""
-    at = text.rfind("://", max(0, start - USER_INFO_CHARS), end)
+    # it holds no "@", so the search ends at the one before, and all searches of a text
+    # together pass over it once
+    at = text.rfind("://", text.rfind("@", 0, start) + 1, end)
     return at + 3 if at >= 0 and _USER_INFO.fullmatch(text, at + 3, end) else None
 
 

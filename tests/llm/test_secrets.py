@@ -45,6 +45,15 @@ def test_mail_addresses_and_user_info(spans):
         assert spans(text) == [], text
 
 
+def test_user_info_of_any_length(spans):
+    long = "u." * 20_000
+    assert spans(f"see https://{long}:{KEY}@example.org/x") == [("random", KEY)]
+    assert spans(f"see https://{long} {KEY}@example.org") == []     # white space ends it
+    assert spans(f"see https://a@{long}:{KEY}@example.org") == []   # so does another "@"
+    many = f"{KEY}@example.org " * 20_000                           # each search is short
+    assert spans("https://x/ " + many) == []
+
+
 def test_random_spans_that_overlap_base_spans(spans):
     run = "0123456789abcdef89abcdef"
     for key in (f"{KEY}-{run}", f"{run}-{KEY}", f"{KEY}{run}Z{KEY}", "9e107d9d372bb6826bd81d3542a419d6-1b6eb03d-4f2a1c3e"):
