@@ -1,11 +1,11 @@
 """Quality rules with an isolation forest over rule statistics.
 
 Base rules reject a text by themselves. An isolation forest over the statistics
-behind them (and a few further ratios) judges the others: random
-splits isolate odd documents early, so a short mean path means an anomaly. Trees
-and threshold come from at most ``FIT_ROWS`` labelled rows, chosen by hash: the good
-rows of one half fit the trees, the other half calibrates the score above which a
-document goes, so that at most ``MAX_LOSS`` of the good rows are lost.
+behind them (and a few further ratios) judges the others: random cuts isolate odd
+documents early, so a short mean path means an anomaly. The trees hold the counts of all
+good labelled rows; all labelled rows calibrate the score above which a document goes, so
+that at most ``MAX_LOSS`` of the good ones are lost. There a good row is judged by the trees
+without itself. Spark counts rows per leaf and finds the ranks, so neither needs a sample.
 
 Null and empty texts have no words and fail the base rules. Without a
 labelled row of either class there is no threshold and the base rules decide
@@ -21,11 +21,11 @@ from pyspark.sql import types as T
 
 from starloom.llm.common import as_bytes, documents_view, small_batches, stage
 
-FIT_ROWS = 20_000      # bound of the labelled rows that reach the driver
 TREES = 128
-TREE_ROWS = 256
+DEPTH = 8              # cuts on a path
 MAX_LOSS = 0.001
 SEED = 7
+BINS = 4096            # counts that reach the driver in one step to a rank
 
 # Fixed values of the base rules.
 WINDOW = 5
@@ -109,110 +109,160 @@ def base_failed():
             | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
 
 
-def _mean_path(n) -> float:
-    """Mean depth of an unsuccessful search among n rows."""
-    import math
-    return 0.0 if n <= 1 else 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+def _mean_path(n):
+    """Mean depth of an unsuccessful search among n rows, for each entry of an array."""
+    import numpy as np
+    m = np.maximum(n, 2)
+    return np.where(n <= 1, 0.0, 2 * (np.log(m - 1) + 0.5772156649) - 2 * (m - 1) / m)
 
 
 class Forest:
-    """Isolation forest in flat arrays: a node has a feature and a cut, or
-    (feature -1) a path length.
+    """Isolation forest of complete trees, nodes of a level side by side.
 
     Cuts are drawn over the box that a node covers within ``low`` to ``high``, not
     over the range of its rows: regions that the fitted rows leave empty become
-    leaves near the root, also along features that these rows hold constant.
+    leaves near the root, also along features that these rows hold constant. So the
+    cuts do not depend on rows, and any number of rows is fitted by counting them per
+    leaf (:meth:`leaf_counts`, :meth:`fill`). A path ends where at most one fitted row is
+    left, no feature can be cut or ``depth`` is reached.
     """
 
-    def __init__(self, rows, low, high, seed: int = SEED, trees: int = TREES,
-                 tree_rows: int = TREE_ROWS):
-        import math
-
+    def __init__(self, low, high, seed: int = SEED, trees: int = TREES, depth: int = DEPTH):
         import numpy as np
         rng = np.random.default_rng(seed)
-        size = min(tree_rows, len(rows))
-        self.norm = max(_mean_path(size), 1e-9)
-        self.trees = []
-        limit = math.ceil(math.log2(max(size, 2)))
-        for _ in range(trees):
-            sample = rows[rng.choice(len(rows), size, replace=False)]
-            nodes: list[list] = []
-            todo = [(sample, low.copy(), high.copy(), 0, None, 0)]
+        self.depth = depth
+        self.shape = (trees, 2 ** depth)
+        self.feature = np.zeros((trees, 2 ** depth - 1), int)
+        self.cut = np.full((trees, 2 ** depth - 1), -np.inf)
+        self.closed = np.ones((trees, 2 ** depth - 1), bool)
+        for t in range(trees):
+            todo = [(0, low, high)]
             while todo:
-                part, lo, hi, depth, parent, side = todo.pop()
-                me = len(nodes)
-                if parent is not None:
-                    nodes[parent][2 + side] = me
+                me, lo, hi = todo.pop()
                 free = np.flatnonzero(hi > lo)
-                if depth >= limit or len(part) <= 1 or not len(free):
-                    nodes.append([-1, depth + _mean_path(len(part)), me, me])
+                if me >= 2 ** depth - 1 or not len(free):
                     continue
-                f = int(rng.choice(free))
+                f = int(free[rng.integers(len(free))])
                 cut = float(rng.uniform(lo[f], hi[f]))
-                nodes.append([f, cut, me, me])
-                left = part[:, f] < cut
+                self.feature[t, me], self.cut[t, me], self.closed[t, me] = f, cut, False
                 lo_right, hi_left = lo.copy(), hi.copy()
                 lo_right[f] = hi_left[f] = cut
-                todo += [(part[left], lo, hi_left, depth + 1, me, 0),
-                         (part[~left], lo_right, hi, depth + 1, me, 1)]
-            table = np.array(nodes, float)
-            self.trees.append((table[:, 0].astype(int), table[:, 1],
-                               table[:, 2].astype(int), table[:, 3].astype(int)))
-        self.depth = limit + 1
-
-    def score(self, rows):
-        """2 ** (-mean path / expected path): near 1 for anomalies."""
+                todo += [(2 * me + 1, lo, hi_left), (2 * me + 2, lo_right, hi)]
+
+    def _leaves(self, rows, tree: int):
         import numpy as np
-        total = np.zeros(len(rows))
-        every = np.arange(len(rows))
-        for feature, value, left, right in self.trees:
-            at = np.zeros(len(rows), int)
-            for _ in range(self.depth):
-                f = feature[at]
-                go_left = rows[every, np.maximum(f, 0)] < value[at]
-                at = np.where(f < 0, at, np.where(go_left, left[at], right[at]))
-            total += value[at]
-        return 2.0 ** (-total / len(self.trees) / self.norm)
-
-
-def calibrate(scores, good, max_loss: float = MAX_LOSS) -> float:
-    """Threshold above the scores of all but ``max_loss`` of the good rows, half
-    way to the bad rows that lie beyond (to their first tenth)."""
-    import numpy as np
-    ranked = np.sort(scores[good])[::-1]
-    least = float(ranked[int(max_loss * len(ranked))])
-    beyond = np.sort(scores[~good & (scores > least)])
-    return (least + float(beyond[len(beyond) // 10])) / 2 if len(beyond) else least
+        every, at = np.arange(len(rows)), np.zeros(len(rows), int)
+        for _ in range(self.depth):
+            at = 2 * at + 1 + (rows[every, self.feature[tree, at]] >= self.cut[tree, at])
+        return at - (2 ** self.depth - 1)
 
+    def leaf_counts(self, rows):
+        """Rows per tree and leaf."""
+        import numpy as np
+        trees, leaves = self.shape
+        return np.array([np.bincount(self._leaves(rows, t), minlength=leaves) for t in range(trees)])
+
+    def fill(self, counts) -> None:
+        """Take the counts of all fitted rows."""
+        self.norm = max(float(_mean_path(counts[0].sum())), 1e-9)
+        self.path, self.path_without = self._paths(counts, 0), self._paths(counts, 1)
 
-def fit(stats: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
-    """(forest, threshold) from labelled rows, or None without both classes."""
+    def _paths(self, counts, own: int):
+        """Path length of a row that ends in each leaf, ``own`` fitted rows being itself."""
+        import numpy as np
+        trees, leaves = self.shape
+        out = self.depth + _mean_path(counts - own)
+        for d in range(self.depth - 1, -1, -1):  # the end nearest to the root holds
+            n = counts.reshape(trees, 2 ** d, -1).sum(axis=2) - own
+            ends = (n <= 1) | self.closed[:, 2 ** d - 1:2 ** (d + 1) - 1]
+            wide = leaves >> d
+            out = np.where(np.repeat(ends, wide, axis=1),
+                           np.repeat(d + _mean_path(n), wide, axis=1), out)
+        return out
+
+    def score(self, rows, fitted=False):
+        """2 ** (-mean path / expected path): near 1 for anomalies. Rows that are
+        ``fitted`` (one or a flag per row) do not count themselves."""
+        import numpy as np
+        total = np.zeros(len(rows))
+        for t in range(len(self.path)):
+            at = self._leaves(rows, t)
+            total += np.where(fitted, self.path_without[t, at], self.path[t, at])
+        return 2.0 ** (-total / len(self.path) / self.norm)
+
+
+def value_at(df: DataFrame, name: str, place: int) -> float:
+    """The value at a place (from 0) of the ascending column: counts per bin lead to ever
+    smaller bins until one value is left."""
+    x = F.col(name)
+    low, high = df.agg(F.min(x), F.max(x)).first()
+    while low < high:
+        part = F.floor((x - F.lit(low)) / F.lit(high - low) * BINS).cast("int")
+        bins = (df.where(x.between(low, high)).groupBy(part.alias("part"))
+                .agg(F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high"))
+                .orderBy("part").collect())  # at most BINS + 1
+        for b in bins:
+            if place < b.n:
+                low, high = b.low, b.high
+                break
+            place -= b.n
+    return low
+
+
+def calibrate(scores: DataFrame, max_loss: float = MAX_LOSS) -> float:
+    """Threshold (of ``good, score``) above the scores of all but ``max_loss`` of the good rows,
+    half way to the bad rows that lie beyond (to their first tenth)."""
+    good = scores.where("good")
+    n = good.count()
+    least = value_at(good, "score", n - 1 - int(max_loss * n))
+    beyond = scores.where(~F.col("good") & (F.col("score") > least))
+    n = beyond.count()
+    return (least + value_at(beyond, "score", n // 10)) / 2 if n else least
+
+
+def fit(stats: DataFrame, labels: DataFrame):
+    """(forest, threshold) from all labelled rows, or None without both classes."""
     import numpy as np
     marks = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
-             .groupBy("doc_id").agg(F.min("quality").alias("quality")))
+             .groupBy("doc_id").agg((F.min("quality") > 0).alias("good")))
     names = [f"f{i}" for i in range(len(FEATURES))]
-    # one row per id, or an id with a third of all rows would be all of the sample
+    # one row per id, or an id with a third of all rows would weigh as much as these
     passed = (stats.where(~base_failed())
               .select("doc_id", F.struct(*[c.alias(n) for c, n in zip(feature_columns(), names)])
                       .alias("f")).groupBy("doc_id").agg(F.min("f").alias("f")))
-    labelled = stage(passed.join(marks, "doc_id").select("doc_id", "quality", "f.*"), "labelled")
-    # hash classes of about fit_rows / 64 rows: 60 of them stay below the bound, and no task
-    # sends the driver more than its part of them
-    classes = max(1, labelled.count() * 64 // fit_rows)
-    rows = (labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(classes)) < 60)
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-            .select("quality", *names).collect())
-    if len({r.quality > 0 for r in rows}) < 2:
+    labelled = stage(passed.join(marks, "doc_id").select("good", "f.*"), "labelled")
+    seen = labelled.agg(F.count_if("good"), F.count_if(~F.col("good")), *[F.min(n) for n in names],
+                        *[F.max(n) for n in names]).first()
+    if not seen[0] or not seen[1]:
         return None
-    x = np.array([r[1:] for r in rows], float)
-    good = np.array([r.quality > 0 for r in rows])
-    # split off the calibration rows, so that trees do not judge their own rows
-    half = np.arange(len(rows)) % 2 == 0
-    if not good[half].any() or len(set(good[~half])) < 2:
-        half[:] = True
-    judged = ~half if (~half).any() else half
-    forest = Forest(x[half & good], x.min(axis=0), x.max(axis=0))
-    return forest, calibrate(forest.score(x[judged]), good[judged])
+    low, high = np.array(seen[2:], float).reshape(2, -1)
+    forest = Forest(low, high)
+    counts = np.zeros(forest.shape, np.int64)
+    for r in (labelled.where("good").select(*names).mapInPandas(_leaf_counter(forest), "leaf int, n long")
+              .groupBy("leaf").agg(F.sum("n").alias("n")).collect()):  # at most TREES * 2 ** DEPTH
+        counts.flat[r.leaf] = r.n
+    forest.fill(counts)
+
+    @F.pandas_udf("double")
+    def score(fitted, *cols):
+        import numpy as np
+        import pandas as pd
+        return pd.Series(forest.score(np.column_stack(cols), fitted.to_numpy(bool)))
+    return forest, calibrate(stage(labelled.select("good", score("good", *names).alias("score")),
+                                   "calibration"))
+
+
+def _leaf_counter(forest: Forest):
+    """Leaf counts of a task's rows, one row per filled leaf."""
+    def count(batches):
+        import numpy as np
+        import pandas as pd
+        total = np.zeros(forest.shape, np.int64)
+        for rows in batches:
+            total += forest.leaf_counts(rows.to_numpy(float))
+        filled = np.flatnonzero(total)
+        yield pd.DataFrame({"leaf": filled.astype("int32"), "n": total.flat[filled]})
+    return count
 
 
 def judge(stats: DataFrame, model) -> DataFrame:
@@ -233,13 +283,13 @@ def judge(stats: DataFrame, model) -> DataFrame:
 
 
 def judge_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
-                    text_col: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
+                    text_col: str = "text") -> DataFrame:
     """One row per document: id, counts, ``base_failed``, ``score``, ``kept``."""
     stats = stage(with_statistics(documents_view(docs, id_col, text_col)).drop("text"), "rules")
-    return judge(stats, fit(stats, labels, fit_rows))
+    return judge(stats, fit(stats, labels))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` (columns ``doc_id`` and ``text`` among them) without the documents
     that are judged bad; columns stay as they are."""
     names = [f"c{i}" for i in range(len(docs.columns))]
@@ -251,6 +301,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> D
     ids = names[docs.columns.index("doc_id")]
     labelled = stage(counted.join(marked, F.col(ids) == marked["doc_id"], "left_semi")
                      .drop("text").withColumnRenamed(ids, "doc_id"), "labelled")
-    model = fit(labelled, labels, fit_rows)
+    model = fit(labelled, labels)
     kept = judge(counted, model).where("kept").withColumnRenamed("text", names[at])
     return kept.select(*names).toDF(*docs.columns)
