@@ -462,9 +462,14 @@ def q_star_dim_flight(spark, d):
 def star_inputs(spark, d) -> dict:
     """Raw inputs of the star build in their original formats, derived from
     the driver tables and written to the scratch folder."""
+    arrivals = write_parquet(afx.raw_arrivals(spark, d), scratch_path(spark, "star_arrivals"))
+    return {"arrivals": arrivals, **_other_inputs(spark, d)}
+
+
+def _other_inputs(spark, d) -> dict:
+    """The inputs beside the arrivals, for stars whose arrivals come in several loads."""
     root = scratch_path(spark, "star_inputs")
     return {
-        "arrivals": write_parquet(afx.raw_arrivals(spark, d), f"{root}/arrivals"),
         "dictionary": _dictionary(spark, d),
         "demographics": write_csv(afx.demographics(spark, d), f"{root}/demographics", sep=";"),
         "airports": write_csv(afx.airports(spark, d), f"{root}/airports", sep=","),
@@ -483,6 +488,17 @@ def q_star_build(spark, d):
         .select(F.lit(name).alias("table_name"), "n_rows", "digest") for name, path in out.items()])
 
 
+def _landed(df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
+    """Arrivals written to a new folder, no more files than tasks that write at a time: a load's
+    files, and so its micro-batches, do not become more with its rows. Partitions (months) have
+    one file each."""
+    if partition_by:
+        df = df.repartition(*partition_by)
+    else:
+        df = df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+    return write_parquet(df, scratch_path(df.sparkSession, name), partition_by=partition_by)
+
+
 # What the digest of each star table covers (ids are not comparable).
 STAR_DIGEST = {name: [f.name for f in schema.fields if f.name != "id"]
                for name, schema in schemas.STAR_SCHEMAS.items()}
@@ -503,11 +519,10 @@ def q_star_monthly_refresh(spark, d):
     micro-batch); the refreshed fact equals a one-shot build."""
     from ..streaming import refresh_star
     raw = afx.raw_arrivals(spark, d).withColumn("ym", F.col("i94yr") * 100 + F.col("i94mon"))
-    early, late = scratch_path(spark, "arrivals_early"), scratch_path(spark, "arrivals_late")
-    write_parquet(raw.where(F.col("i94yr") < 1997).drop("ym"), early)
-    write_parquet(raw.where(~(F.col("i94yr") < 1997) | F.col("i94yr").isNull()), late,
-                  partition_by=["ym"])
-    p = star_inputs(spark, d)
+    early = _landed(raw.where(F.col("i94yr") < 1997).drop("ym"), "arrivals_early")
+    late = _landed(raw.where(~(F.col("i94yr") < 1997) | F.col("i94yr").isNull()), "arrivals_late",
+                   ["ym"])
+    p = _other_inputs(spark, d)
     out = scratch_path(spark, "star_refreshed")
     star.build_star(spark, early, p["dictionary"], p["demographics"], p["airports"], out,
                     refreshable=True)
@@ -524,9 +539,8 @@ def _late_refreshed(spark, d) -> tuple[str, DataFrame]:
     raw = afx.raw_arrivals(spark, d)
     late = (F.col("i94yr") == 1996) & (F.col("i94mon") == 3)
     parts = {"first": (F.col("i94yr") < 1997) & ~late, "next": ~(F.col("i94yr") < 1997), "late": late}
-    paths = {k: write_parquet(raw.where(c), scratch_path(spark, f"arrivals_{k}"))
-             for k, c in parts.items()}
-    p = star_inputs(spark, d)
+    paths = {k: _landed(raw.where(c), f"arrivals_{k}") for k, c in parts.items()}
+    p = _other_inputs(spark, d)
     out = scratch_path(spark, "star_late")
     star.build_star(spark, paths["first"], p["dictionary"], p["demographics"], p["airports"], out,
                     refreshable=True)
@@ -556,9 +570,8 @@ def _loads(spark, d, parts: dict, raw: DataFrame | None = None) -> tuple[str, di
     """A refreshable star of the arrivals of the first of ``parts`` (name: condition); returns
     its folder, the landing folder of every part and the dictionary."""
     raw = afx.raw_arrivals(spark, d) if raw is None else raw
-    paths = {k: write_parquet(raw.where(c), scratch_path(spark, f"arrivals_{k}"))
-             for k, c in parts.items()}
-    p = star_inputs(spark, d)
+    paths = {k: _landed(raw.where(c), f"arrivals_{k}") for k, c in parts.items()}
+    p = _other_inputs(spark, d)
     out = scratch_path(spark, "star_loaded")
     star.build_star(spark, next(iter(paths.values())), p["dictionary"], p["demographics"],
                     p["airports"], out, refreshable=True)
@@ -589,7 +602,7 @@ def q_star_refresh_ledger(spark, d):
     from ..streaming import refresh_star
     raw = afx.raw_arrivals(spark, d).withColumn("year", F.col("i94yr").cast("int"))
     root = write_parquet(raw, scratch_path(spark, "arrivals_by_year"), partition_by=["year"])
-    p = star_inputs(spark, d)
+    p = _other_inputs(spark, d)
     out = scratch_path(spark, "star_ledger")
     star.build_star(spark, f"{root}/year=1996", p["dictionary"], p["demographics"], p["airports"],
                     out, refreshable=True)

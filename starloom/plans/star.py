@@ -255,7 +255,6 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     if refreshable:
         tables["dim_personal"] = coded_persons(staged, lk["countries"])
         tables["dim_flight"] = flight_rows(staged)
-        tables[SUMMARY] = port_gender_counts(tables["fact_immigration"], person_rows(staged))
 
     def write(name: str, df: DataFrame) -> str:
         path = f"{out_dir.rstrip('/')}/{name}"
@@ -275,6 +274,9 @@ def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
     with ThreadPoolExecutor(max_workers=len(tables) + 1) as pool:
         futures = {name: pool.submit(write, name, df) for name, df in tables.items()}
         pool.submit(write_parquet, rejected, rejected_path(out_dir)).result()
+        if refreshable:  # the persons are read back, not reduced to one row per key again
+            persons = spark.read.parquet(futures["dim_personal"].result())
+            write(SUMMARY, port_gender_counts(tables["fact_immigration"], persons))
         out = {name: f.result() for name, f in futures.items()}
     if refreshable:  # after the fact, whose overwrite also removes older state
         fact = out["fact_immigration"]

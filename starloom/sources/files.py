@@ -52,9 +52,10 @@ def with_place(df: DataFrame) -> DataFrame:
 def files_of(placed: DataFrame) -> DataFrame:
     """``path, length, modified`` of the files that the rows of a scan lie in: one row per file,
     whatever way the folder was spelled."""
-    return placed.select(F.regexp_replace("_file", "^file:/+", "file:/").alias("path"),
-                         F.col("_length").alias("length"),
-                         F.col("_modified").alias("modified")).distinct()
+    files = placed.select("_file", "_length", "_modified").distinct()  # first, as rows are many
+    return files.select(F.regexp_replace("_file", "^file:/+", "file:/").alias("path"),
+                        F.col("_length").alias("length"),
+                        F.col("_modified").alias("modified")).distinct()
 
 
 def numbered_files(files: DataFrame, first: int = 0) -> DataFrame:
@@ -126,9 +127,9 @@ def read_csv_by_name(spark: SparkSession, path: str | list[str], schema: T.Struc
 def _headers(spark: SparkSession, path: str | list[str], options: dict) -> list[tuple[str, tuple]]:
     """(file, names of its first line), one per file, as the driver plans files too."""
     lines = read_text_lines(spark, path, options["encoding"]).where("block = 0 and value <> ''")
-    first = lines.groupBy("file").agg(F.min_by("value", "row").alias("line")).collect()
+    first = lines.groupBy("file").agg(F.min_by("value", "row").alias("line"))
     out = []
-    for r in sorted(first, key=lambda r: r.file):
+    for r in sorted(first.toLocalIterator(), key=lambda r: r.file):
         names = next(csv.reader([r.line.lstrip("\ufeff")], delimiter=options["sep"],
                                 quotechar=options["quote"]))
         out.append((r.file, tuple(n.strip() for n in names)))

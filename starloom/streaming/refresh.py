@@ -29,7 +29,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -73,7 +73,7 @@ def new_rows(df: DataFrame, target: str) -> NewRows | None:
     files = spark.read.parquet(write_parquet(files_of(df), scratch_path(spark, "batch-files")))
     known = loaded_files(spark, target, seen)
     changed = (files.join(known.select("path", F.col("length").alias("before")), "path")
-               .where("length <> before").limit(5).collect())
+               .where("length <> before").take(5))
     if changed:
         raise ValueError("these files have changed since they were loaded: "
                          + ", ".join(r.path for r in changed))
@@ -96,7 +96,7 @@ def commit_batch(spark: SparkSession, target: str, new: NewRows, tables: Sequenc
         later = sorted(set(state["live"].get(LEDGER, [])) - set(new.seen))
         if later:
             twice = loaded_files(spark, target, [new.batch]).join(
-                loaded_files(spark, target, later).select("path"), "path", "left_semi").limit(5).collect()
+                loaded_files(spark, target, later).select("path"), "path", "left_semi").take(5)
             if twice:
                 raise RuntimeError("another refresh has loaded these files meanwhile: "
                                    + ", ".join(r.path for r in twice))
@@ -160,22 +160,37 @@ def refresh_fact_immigration(spark: SparkSession, arrivals_source: str, fact_dir
                          max_files_per_trigger=max_files_per_trigger)
 
 
-def _corrections(spark: SparkSession, root: str, persons: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(persons of the batch as they are with it, count corrections of older facts)."""
+def _months(persons: DataFrame) -> Column | None:
+    """Condition on the first and last month of ``persons``; None without a person that has a
+    month. It holds literals, so a scan skips the folders and row groups of other months."""
+    place = F.col("year").cast("long") * 12 + F.col("month")
+    found = persons.agg(F.min("year"), F.max("year"), F.min(place), F.max(place)).first()
+    if any(v is None for v in found):  # `in` a Row asks for a column
+        return None
+    return F.col("year").between(*found[:2]) & place.between(*found[2:])
+
+
+def _corrections(spark: SparkSession, root: str, persons: DataFrame
+                 ) -> tuple[DataFrame, DataFrame | None]:
+    """(persons of the batch as they are with it, count corrections of older facts). Stored rows
+    are read in the batch's months only; None if none of its persons is known."""
     state = commits.latest(spark, f"{root}/fact_immigration")
     keys = list(PERSON_KEY)
     stored = commits.live_rows(spark.read.parquet(f"{root}/dim_personal"), state, "dim_personal")
+    months = _months(persons)
+    if months is None:
+        return persons, None
     # months first: they prune files, the keys do the rest
-    months = persons.select("year", "month").distinct()
-    before = merged(stored.join(months, ["year", "month"], "left_semi")
-                    .join(persons.select(*keys), keys, "left_semi"), "dim_personal")
+    before = merged(stored.where(months).join(persons.select(*keys), keys, "left_semi"),
+                    "dim_personal")
     before = spark.read.parquet(write_parquet(before, scratch_path(spark, "persons-before")))
+    months = _months(before)
+    if months is None:
+        return persons, None
     after = merged(before.unionByName(persons), "dim_personal")
     fact = commits.live_rows(spark.read.parquet(f"{root}/fact_immigration"), state,
                              "fact_immigration")
-    touched = before.select("year", "month").distinct()
-    old = fact.join(touched, ["year", "month"], "left_semi")  # prunes folders at runtime
-    return after, moved_counts(old, before, after)
+    return after, moved_counts(fact.where(months), before, after)
 
 
 def write_arrivals(spark: SparkSession, df: DataFrame, star_dir: str, countries: DataFrame
@@ -190,7 +205,9 @@ def write_arrivals(spark: SparkSession, df: DataFrame, star_dir: str, countries:
     persons = spark.read.parquet(write_parquet(coded_persons(staged, countries),
                                                scratch_path(spark, "refresh-persons")))
     after, moved = _corrections(spark, root, persons)
-    counts = port_gender_counts(fact_immigration(staged), after).unionByName(moved)
+    counts = port_gender_counts(fact_immigration(staged), after)
+    if moved is not None:
+        counts = counts.unionByName(moved)
     writes = [(fact_immigration(staged), f"{root}/fact_immigration", ["year", "month"]),
               (persons, f"{root}/dim_personal", []), (flight_rows(staged), f"{root}/dim_flight", []),
               (counts, f"{root}/{SUMMARY}", [])]
