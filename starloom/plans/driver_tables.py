@@ -241,6 +241,9 @@ def q_rows_at_group_max(spark, d):
     return rows_at_group_max(table(spark, d, "part"), ["p_brand"], "p_retailprice")
 
 
+LINES_PER_TASK = 500_000
+
+
 def q_role_playing_lookup(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
@@ -249,11 +252,13 @@ def q_role_playing_lookup(spark, d):
     # Lineitem rows meet the supplier first and shrink to distinct
     # (order, supplier nation) pairs, partially aggregated before the shuffle,
     # so a hot order collapses map-side; only those pairs meet the
-    # orders-sized order/customer side.
+    # orders-sized order/customer side. That join sorts both sides and holds the distinct
+    # rows of a task, so its tasks become more with the rows, not larger.
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + li.count() // LINES_PER_TASK)
     pairs = (li.join(bounded_broadcast(s), li.l_suppkey == s.s_suppkey)
-             .select("l_orderkey", "s_nationkey").distinct())
+             .select("l_orderkey", "s_nationkey").distinct().repartition(n, "l_orderkey"))
     orders = (o.join(c, o.o_custkey == c.c_custkey)
-              .select("o_orderkey", "o_orderpriority", "c_nationkey"))
+              .select("o_orderkey", "o_orderpriority", "c_nationkey").repartition(n, "o_orderkey"))
     staged = pairs.join(orders, pairs.l_orderkey == orders.o_orderkey)
     named = role_lookup(staged, table(spark, d, "nation"), "n_nationkey", "n_name",
                         {"c_nationkey": "customer_nation", "s_nationkey": "supplier_nation"})

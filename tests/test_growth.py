@@ -37,3 +37,11 @@ def test_landed_files_do_not_grow_with_partitions(spark):
     assert 0 < len(glob.glob(f"{dt._landed(many, 'flat')}/*.parquet".replace("file:", ""))) <= limit
     path = dt._landed(many, "months", ["ym"]).replace("file:", "")
     assert [len(glob.glob(f"{path}/ym={k}/*.parquet")) for k in range(5)] == [1] * 5
+
+
+def test_role_playing_tasks_follow_the_rows(spark, monkeypatch):
+    want = dt.q_role_playing_lookup(spark, SF_SMALL).count()
+    monkeypatch.setattr(dt, "LINES_PER_TASK", 300)
+    df = dt.q_role_playing_lookup(spark, SF_SMALL)
+    n = 1 + dt.table(spark, SF_SMALL, "lineitem").count() // 300
+    assert df.rdd.getNumPartitions() == n and df.count() == want
