@@ -493,6 +493,10 @@ def q_star_build(spark, d):
         .select(F.lit(name).alias("table_name"), "n_rows", "digest") for name, path in out.items()])
 
 
+# A micro-batch has few files; with small row groups all cores read them.
+LANDED_ROW_GROUP = 8 * 1024 * 1024
+
+
 def _landed(df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
     """Arrivals written to a new folder, no more files than tasks that write at a time: a load's
     files, and so its micro-batches, do not become more with its rows. Partitions (months) have
@@ -501,7 +505,8 @@ def _landed(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
         df = df.repartition(*partition_by)
     else:
         df = df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
-    return write_parquet(df, scratch_path(df.sparkSession, name), partition_by=partition_by)
+    return write_parquet(df, scratch_path(df.sparkSession, name), partition_by=partition_by,
+                         row_group_bytes=LANDED_ROW_GROUP)
 
 
 # What the digest of each star table covers (ids are not comparable).
@@ -546,12 +551,12 @@ def _late_refreshed(spark, d) -> tuple[str, DataFrame]:
     parts = {"first": (F.col("i94yr") < 1997) & ~late, "next": ~(F.col("i94yr") < 1997), "late": late}
     paths = {k: _landed(raw.where(c), f"arrivals_{k}") for k, c in parts.items()}
     p = _other_inputs(spark, d)
+    labels = star.load_lookups(spark, p["dictionary"])
     out = scratch_path(spark, "star_late")
-    star.build_star(spark, paths["first"], p["dictionary"], p["demographics"], p["airports"], out,
+    star.build_star(spark, paths["first"], labels, p["demographics"], p["airports"], out,
                     refreshable=True)
     for k in ("next", "late"):
-        refresh_star(spark, paths[k], out, p["dictionary"],
-                     max_files_per_trigger=3).awaitTermination()
+        refresh_star(spark, paths[k], out, labels, max_files_per_trigger=3).awaitTermination()
     return out, raw
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -32,6 +32,36 @@ REQUIRED_ARRIVAL_COLUMNS = ("depdate", "i94addr", "fltno", "airline", "visatype"
                             "gender", "i94cit", "i94res")
 
 
+def is_clean() -> Column:
+    """Condition of :func:`clean_arrivals` on a raw row; never NULL."""
+    present = [quoted(c).isNotNull() for c in REQUIRED_ARRIVAL_COLUMNS]
+    return reduce(lambda a, b: a & b, present, F.col("i94mode").eqNullSafe(F.lit(AIR_MODE)))
+
+
+def clean_columns() -> dict[str, Column]:
+    """Columns of a cleaned arrival, beside ``id``, by name."""
+    n = lambda c, t: F.col(c).try_cast(t)  # noqa: E731  lenient narrowing
+    return {
+        "cicid": n("cicid", "bigint"),
+        "year": n("i94yr", "int"),
+        "month": n("i94mon", "int"),
+        "citizen_country": n("i94cit", "int"),
+        "residence_country": n("i94res", "int"),
+        "port": F.trim(char_cast("i94port")),  # codes are trimmed like the dictionary's
+        "arrival_date": sas_day_to_timestamp("arrdate"),
+        "departure_date": sas_day_to_timestamp("depdate"),
+        "state_code": F.trim(char_cast("i94addr")),
+        "age": n("i94bir", "int"),
+        "birth_year": n("biryear", "int"),
+        "visa": code_label("i94visa"),
+        "gender": char_cast("gender"),
+        "adm_num": n("admnum", "bigint"),
+        "flight_no": F.col("fltno"),
+        "airline": F.col("airline"),
+        "visatype": F.col("visatype"),
+    }
+
+
 def clean_arrivals(raw: DataFrame, row_id: str | None = None) -> DataFrame:
     """Air arrivals with all required columns, narrowed and decoded.
 
@@ -42,27 +72,9 @@ def clean_arrivals(raw: DataFrame, row_id: str | None = None) -> DataFrame:
     It is never used as a join key.
     """
     df = require_columns(where_equal(raw, "i94mode", AIR_MODE), REQUIRED_ARRIVAL_COLUMNS)
-    n = lambda c, t: F.col(c).try_cast(t)  # noqa: E731  lenient narrowing
     return df.select(
         (F.col(row_id) if row_id else F.monotonically_increasing_id()).alias("id"),
-        n("cicid", "bigint").alias("cicid"),
-        n("i94yr", "int").alias("year"),
-        n("i94mon", "int").alias("month"),
-        n("i94cit", "int").alias("citizen_country"),
-        n("i94res", "int").alias("residence_country"),
-        F.trim(char_cast("i94port")).alias("port"),  # codes are trimmed like the dictionary's
-        sas_day_to_timestamp("arrdate").alias("arrival_date"),
-        sas_day_to_timestamp("depdate").alias("departure_date"),
-        F.trim(char_cast("i94addr")).alias("state_code"),
-        n("i94bir", "int").alias("age"),
-        n("biryear", "int").alias("birth_year"),
-        code_label("i94visa").alias("visa"),
-        char_cast("gender").alias("gender"),
-        n("admnum", "bigint").alias("adm_num"),
-        F.col("fltno").alias("flight_no"),
-        F.col("airline"),
-        F.col("visatype"),
-    )
+        *[c.alias(name) for name, c in clean_columns().items()])
 
 
 def fact_immigration(clean: DataFrame) -> DataFrame:
@@ -182,13 +194,18 @@ def dim_city_stats(cities: DataFrame, ports: DataFrame) -> DataFrame:
         "city", "state", "city_code", "state_code", "median_age", "avg_household_size")
 
 
-def load_lookups(spark: SparkSession, dictionary_path: str) -> dict[str, DataFrame]:
-    """Countries, ports and states from the code dictionary (parsed once).
+def load_lookups(spark: SparkSession, dictionary_path: str | dict[str, DataFrame]
+                 ) -> dict[str, DataFrame]:
+    """Countries, ports and states from the code dictionary (parsed once). Lookups that are
+    loaded already are given back as they are, so that a build and the refreshes after it
+    can share them.
 
     The parsed entries are small (one row per code) and reused three times,
     so they are checkpointed to the shared scratch folder instead of being
     re-parsed for each lookup.
     """
+    if isinstance(dictionary_path, dict):
+        return dictionary_path
     entries = lb.code_labels(spark, dictionary_path)
     entries = spark.read.parquet(write_parquet(entries, scratch_path(spark, "code_labels")))
     st = lb.states(entries)
@@ -206,11 +223,13 @@ def stage_arrivals(spark: SparkSession, path: str | list[str]) -> tuple[DataFram
     return spark.read.parquet(write_parquet(clean, scratch_path(spark, "arrivals_clean"))), files
 
 
-def build_star(spark: SparkSession, arrivals_path: str, dictionary_path: str,
+def build_star(spark: SparkSession, arrivals_path: str,
+               dictionary_path: str | dict[str, DataFrame],
                demographics_path: str, airports_path: str, out_dir: str,
                person_buckets: int | None = None, database: str | None = None,
                refreshable: bool = False, csv_multiline: bool = False) -> dict[str, str]:
-    """Build and write the six star tables; returns ``{table: path}``.
+    """Build and write the six star tables; returns ``{table: path}``. ``dictionary_path``
+    may be what :func:`load_lookups` gave for the dictionary.
 
     The cleaned arrivals and the cities are written once to the scratch folder
     and the tables read those copies, instead of re-reading and

@@ -188,8 +188,9 @@ def read_text_lines(spark: SparkSession, path: str | list[str],
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: list[str] | None = None) -> str:
-    """Parquet write; full overwrite by default, as for the star tables.
+                  partition_by: list[str] | None = None, row_group_bytes: int | None = None) -> str:
+    """Parquet write; full overwrite by default, as for the star tables. A scan can split a file
+    between row groups only: smaller ones (``row_group_bytes``) let more tasks read few files.
 
     An overwrite replaces the whole table, whatever ``partitionOverwriteMode``
     the session has (the streaming refresh asks for dynamic overwrite itself).
@@ -197,6 +198,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
     writer.parquet(path)
     return path
 

@@ -35,18 +35,20 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..plans.star import (COMMITTED_TABLES, LEDGER, clean_arrivals, coded_persons,
-                          fact_immigration, flight_rows, ledger_path, load_lookups, merged)
+from ..plans.star import (COMMITTED_TABLES, LEDGER, clean_arrivals, clean_columns, coded_persons,
+                          fact_immigration, flight_rows, is_clean, ledger_path, load_lookups,
+                          merged)
 from ..plans.summary import PERSON_KEY, SUMMARY, moved_counts, port_gender_counts
 from ..session import scratch_path
 from ..sources import commits
-from ..sources.files import files_of, numbered_files, with_place, with_row_ids, write_parquet
+from ..sources.files import (PLACE, files_of, numbered_files, with_place, with_row_ids,
+                             write_parquet)
 
 LEDGER_SCHEMA = "path string, length long, modified timestamp, file_no long, batch int"
 
 
 class NewRows(NamedTuple):
-    """Rows of files that no live batch was loaded from, with ``_id``."""
+    """Rows of files that no live batch was loaded from, with their id."""
     batch: int
     rows: DataFrame
     seen: list[int]     # ledger batches that were compared
@@ -65,12 +67,15 @@ def loaded_files(spark: SparkSession, target: str, batches: list[int]) -> DataFr
     return ledger.where(F.col("batch").isin(batches))
 
 
-def new_rows(df: DataFrame, target: str) -> NewRows | None:
+def new_rows(df: DataFrame, target: str, found_in: DataFrame | None = None,
+             row_id: str = "_id") -> NewRows | None:
     """The rows of ``df`` (a scan :func:`with_place`) that are to be loaded, under a batch number
-    of their own, with their files entered in the ledger; None if all files are known."""
+    of their own, with their files entered in the ledger; None if all files are known. The files
+    are those that the rows of ``found_in`` lie in, by default those of ``df``."""
     spark = df.sparkSession
     seen = (commits.latest(spark, target) or {"live": {}})["live"].get(LEDGER, [])
-    files = spark.read.parquet(write_parquet(files_of(df), scratch_path(spark, "batch-files")))
+    files = spark.read.parquet(write_parquet(files_of(df if found_in is None else found_in),
+                                             scratch_path(spark, "batch-files")))
     known = loaded_files(spark, target, seen)
     changed = (files.join(known.select("path", F.col("length").alias("before")), "path")
                .where("length <> before").take(5))
@@ -84,7 +89,7 @@ def new_rows(df: DataFrame, target: str) -> NewRows | None:
         return None
     batch, first = commits.claim(spark, target, n)
     path = write_parquet(numbered_files(new, first), ledger_path(target, batch))
-    return NewRows(batch, with_row_ids(df, spark.read.parquet(path)), seen)
+    return NewRows(batch, with_row_ids(df, spark.read.parquet(path), row_id), seen)
 
 
 def commit_batch(spark: SparkSession, target: str, new: NewRows, tables: Sequence[str]) -> None:
@@ -143,11 +148,14 @@ def _name(target: str) -> str:
     return target.rstrip("/").rsplit("/", 1)[-1]
 
 
-def _staged(new: NewRows) -> DataFrame:
-    """The cleaned rows of a batch, written once to the scratch folder."""
-    spark = new.rows.sparkSession
-    return spark.read.parquet(write_parquet(clean_arrivals(new.rows, "_id"),
-                                            scratch_path(spark, "refresh-stage")))
+def _staged(df: DataFrame) -> DataFrame:
+    """The cleaned rows of a scan (``_clean``) and the first row of every file, with their place,
+    written once to the scratch folder. Any use of a micro-batch reads all its columns again,
+    so its files and its rows are taken in one pass."""
+    spark = df.sparkSession
+    rows = df.withColumn("_clean", is_clean()).where("_clean OR _row = 0").select(
+        "_clean", *PLACE, *[F.when(F.col("_clean"), c).alias(k) for k, c in clean_columns().items()])
+    return spark.read.parquet(write_parquet(rows, scratch_path(spark, "refresh-stage")))
 
 
 def refresh_fact_immigration(spark: SparkSession, arrivals_source: str, fact_dir: str,
@@ -195,21 +203,22 @@ def _corrections(spark: SparkSession, root: str, persons: DataFrame
 
 def write_arrivals(spark: SparkSession, df: DataFrame, star_dir: str, countries: DataFrame
                    ) -> NewRows | None:
-    """Write the new rows of a scan to the tables of a star; nothing of it is live before
-    :func:`commit_batch`."""
+    """Write the new rows of a scan :func:`with_place` of whole files to the tables of a star;
+    nothing of it is live before :func:`commit_batch`."""
     root = star_dir.rstrip("/")
-    new = new_rows(df, f"{root}/fact_immigration")
+    staged = _staged(df)
+    new = new_rows(staged.where("_clean").drop("_clean"), f"{root}/fact_immigration",
+                   staged.where("_row = 0"), "id")
     if new is None:
         return None
-    staged = _staged(new)
-    persons = spark.read.parquet(write_parquet(coded_persons(staged, countries),
+    persons = spark.read.parquet(write_parquet(coded_persons(new.rows, countries),
                                                scratch_path(spark, "refresh-persons")))
     after, moved = _corrections(spark, root, persons)
-    counts = port_gender_counts(fact_immigration(staged), after)
+    counts = port_gender_counts(fact_immigration(new.rows), after)
     if moved is not None:
         counts = counts.unionByName(moved)
-    writes = [(fact_immigration(staged), f"{root}/fact_immigration", ["year", "month"]),
-              (persons, f"{root}/dim_personal", []), (flight_rows(staged), f"{root}/dim_flight", []),
+    writes = [(fact_immigration(new.rows), f"{root}/fact_immigration", ["year", "month"]),
+              (persons, f"{root}/dim_personal", []), (flight_rows(new.rows), f"{root}/dim_flight", []),
               (counts, f"{root}/{SUMMARY}", [])]
     # independent jobs over the same staged batch: submit them together
     with ThreadPoolExecutor(max_workers=len(writes)) as pool:
@@ -219,12 +228,13 @@ def write_arrivals(spark: SparkSession, df: DataFrame, star_dir: str, countries:
 
 
 def refresh_star(spark: SparkSession, arrivals_source: str, star_dir: str,
-                 dictionary_path: str, checkpoint: str | None = None,
+                 dictionary_path: str | dict[str, DataFrame], checkpoint: str | None = None,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Add new monthly arrival files to a star built with
     ``build_star(..., refreshable=True)``: fact, person and flight tables and the counts
     of :mod:`starloom.plans.summary` (see module doc). Readers resolve one row per key across
-    batches, see :func:`starloom.plans.star.read_star`.
+    batches, see :func:`starloom.plans.star.read_star`. ``dictionary_path`` may be
+    what :func:`starloom.plans.star.load_lookups` gave for the dictionary.
     """
     countries = load_lookups(spark, dictionary_path)["countries"]
     fact_dir = f"{star_dir.rstrip('/')}/fact_immigration"
