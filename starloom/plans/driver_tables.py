@@ -576,16 +576,17 @@ def q_star_refresh_ids(spark, d):
     return ids.agg(F.count("id").alias("n"), F.count_distinct("id").alias("n_distinct"))
 
 
-def _loads(spark, d, parts: dict, raw: DataFrame | None = None) -> tuple[str, dict, str]:
+def _loads(spark, d, parts: dict, raw: DataFrame | None = None) -> tuple[str, dict, dict]:
     """A refreshable star of the arrivals of the first of ``parts`` (name: condition); returns
-    its folder, the landing folder of every part and the dictionary."""
+    its folder, the landing folder of every part and the dictionary's lookups."""
     raw = afx.raw_arrivals(spark, d) if raw is None else raw
     paths = {k: _landed(raw.where(c), f"arrivals_{k}") for k, c in parts.items()}
     p = _other_inputs(spark, d)
+    labels = star.load_lookups(spark, p["dictionary"])
     out = scratch_path(spark, "star_loaded")
-    star.build_star(spark, next(iter(paths.values())), p["dictionary"], p["demographics"],
-                    p["airports"], out, refreshable=True)
-    return out, paths, p["dictionary"]
+    star.build_star(spark, next(iter(paths.values())), labels, p["demographics"], p["airports"],
+                    out, refreshable=True)
+    return out, paths, labels
 
 
 def q_star_compact_rerun(spark, d):

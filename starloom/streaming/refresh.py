@@ -52,6 +52,7 @@ class NewRows(NamedTuple):
     batch: int
     rows: DataFrame
     seen: list[int]     # ledger batches that were compared
+    whole: bool         # no file of the scan was known
 
 
 def _checkpoint(target: str, source: str) -> str:
@@ -89,7 +90,8 @@ def new_rows(df: DataFrame, target: str, found_in: DataFrame | None = None,
         return None
     batch, first = commits.claim(spark, target, n)
     path = write_parquet(numbered_files(new, first), ledger_path(target, batch))
-    return NewRows(batch, with_row_ids(df, spark.read.parquet(path), row_id), seen)
+    return NewRows(batch, with_row_ids(df, spark.read.parquet(path), row_id), seen,
+                   n == files.count())
 
 
 def commit_batch(spark: SparkSession, target: str, new: NewRows, tables: Sequence[str]) -> None:
@@ -211,14 +213,16 @@ def write_arrivals(spark: SparkSession, df: DataFrame, star_dir: str, countries:
                    staged.where("_row = 0"), "id")
     if new is None:
         return None
-    persons = spark.read.parquet(write_parquet(coded_persons(new.rows, countries),
+    # without known files only the fact, which has the ids, needs to be joined to the files
+    clean = staged.where("_clean") if new.whole else new.rows
+    persons = spark.read.parquet(write_parquet(coded_persons(clean, countries),
                                                scratch_path(spark, "refresh-persons")))
     after, moved = _corrections(spark, root, persons)
-    counts = port_gender_counts(fact_immigration(new.rows), after)
+    counts = port_gender_counts(clean, after)
     if moved is not None:
         counts = counts.unionByName(moved)
     writes = [(fact_immigration(new.rows), f"{root}/fact_immigration", ["year", "month"]),
-              (persons, f"{root}/dim_personal", []), (flight_rows(new.rows), f"{root}/dim_flight", []),
+              (persons, f"{root}/dim_personal", []), (flight_rows(clean), f"{root}/dim_flight", []),
               (counts, f"{root}/{SUMMARY}", [])]
     # independent jobs over the same staged batch: submit them together
     with ThreadPoolExecutor(max_workers=len(writes)) as pool:
